@@ -6,7 +6,7 @@ from importlib import import_module
 
 from tidemark.queries.registry import QUERIES, Query
 
-MODULES = ("experiments",)
+MODULES = ("experiments", "corpus", "chat")
 
 
 def all_queries() -> dict[str, Query]:

@@ -35,5 +35,29 @@ JOB_STATES = """job_states AS (
   FROM events)"""
 
 
+FROM_VALUE = """from_value AS (
+  SELECT conv_id, turn, CASE role WHEN 'user' THEN 'human' WHEN 'assistant' THEN 'gpt' ELSE role END AS "from", text AS value
+  FROM conversations)"""
+
+UNEVEN = FROM_VALUE + """,
+uneven AS (
+  SELECT conv_id, turn, CASE WHEN conv_id % 7 = 3 AND turn = 1 THEN NULL WHEN conv_id % 4 = 1 AND turn = 1 THEN 'system'
+      ELSE "from" END AS "from",
+    CASE WHEN conv_id % 3 = 1 AND turn % 4 = 3 THEN ' ' || chr(10) || chr(9) || chr(160) || ' ' ELSE value END AS value
+  FROM from_value),
+messages AS (
+  SELECT conv_id, turn, CASE "from" WHEN 'human' THEN 'user' WHEN 'gpt' THEN 'model' END AS role, value AS text FROM uneven
+  WHERE "from" IN ('human', 'gpt') AND trim(value, ' ' || chr(9) || chr(10) || chr(13) || chr(160)) <> ''),
+facts AS (
+  SELECT c.conv_id, coalesce(n, 0) AS n_messages, coalesce(letters, '') AS letters, malformed,
+    NOT malformed AND coalesce(regexp_matches(letters, '^(um)+u?$'), false) AS valid
+  FROM (SELECT conv_id, bool_or("from" IS NULL) AS malformed FROM uneven GROUP BY conv_id) c
+  LEFT JOIN (SELECT conv_id, count(*) AS n, string_agg(left(role, 1), '' ORDER BY turn) AS letters FROM messages GROUP BY conv_id) m
+    ON c.conv_id = m.conv_id),
+segments AS (
+  SELECT m.conv_id, turn, role, text, '<|turn>' || role || chr(10) AS opener, '<|turn>' || role || chr(10) || text || '<turn|>' || chr(10) AS segment
+  FROM messages m JOIN facts f ON m.conv_id = f.conv_id WHERE valid)"""
+
+
 def with_views(*views: str) -> str:
     return "WITH " + ",\n".join(views) + "\n"

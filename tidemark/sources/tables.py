@@ -85,3 +85,32 @@ def job_states(spark: SparkSession, folder: str) -> DataFrame:
         "event_id",
         state.alias("state"),
     )
+
+
+def json_turns(spark: SparkSession, folder: str) -> DataFrame:
+    """Turns in the role/content schema, content as JSON: a string, a list of parts, or null."""
+    text, role = F.col("text"), F.col("role")
+    quoted = F.to_json(F.struct(text.alias("c")))
+    parts = F.to_json(
+        F.array(
+            F.struct(F.lit("text").alias("type"), text.alias("text")),
+            F.struct(F.lit("image").alias("type"), F.lit("picture").alias("text")),
+            F.struct(F.lit("text").alias("type"), role.alias("text")),
+            F.struct(F.lit("text").alias("type"), F.lit(None).cast("string").alias("text")),
+        )
+    )
+    content = (
+        F.when(F.expr("conv_id % 5 = 0 and turn = 2"), "null")
+        .when(F.expr("turn % 3 = 0"), parts)
+        .otherwise(F.expr("substring(quoted, 6, length(quoted) - 6)"))
+    )
+    return turns(spark, folder).withColumn("quoted", quoted).select("conv_id", "turn", "role", content.alias("content"))
+
+
+def uneven_turns(spark: SparkSession, folder: str) -> DataFrame:
+    """from/value turns with blank texts, dropped roles and turns that have no role at all."""
+    who = F.when(F.expr("conv_id % 7 = 3 and turn = 1"), None).when(
+        F.expr("conv_id % 4 = 1 and turn = 1"), "system"
+    ).otherwise(F.col("from"))
+    value = F.when(F.expr("conv_id % 3 = 1 and turn % 4 = 3"), " \n\t\u00a0 ").otherwise(F.col("value"))
+    return from_value_turns(spark, folder).select("conv_id", "turn", who.alias("from"), value.alias("value"))
