@@ -10,16 +10,22 @@ from tidemark.queries.registry import query
 from tidemark.queries.views import CORPUS, FROM_VALUE, UNEVEN, with_views
 from tidemark.sources import tables
 
-SOURCE, VALUE = F.col("from"), F.col("value")
+
+def source():
+    return F.col("from")
+
+
+def value():
+    return F.col("value")
 
 
 def uneven_messages(spark, folder):
-    return c.without_blank(c.normalise(tables.uneven_turns(spark, folder), c.role_of(SOURCE), VALUE))
+    return c.without_blank(c.normalise(tables.uneven_turns(spark, folder), c.role_of(source()), value()))
 
 
 def uneven_facts(spark, folder):
     turns = tables.uneven_turns(spark, folder)
-    return c.conversation_facts(turns, c.role_of(SOURCE), VALUE, SOURCE.isNull())
+    return c.conversation_facts(turns, c.role_of(source()), value(), source().isNull())
 
 
 def kept_messages(spark, folder):
@@ -30,7 +36,7 @@ def kept_messages(spark, folder):
 SELECT conv_id, turn, CASE "from" WHEN 'human' THEN 'user' WHEN 'gpt' THEN 'model' END AS role, value AS text
 FROM from_value WHERE "from" IN ('human', 'gpt')""")
 def c1(spark, folder):
-    return c.normalise(tables.from_value_turns(spark, folder), c.role_of(SOURCE), VALUE)
+    return c.normalise(tables.from_value_turns(spark, folder), c.role_of(source()), value())
 
 
 @query("c2_turns_role_content", """
@@ -51,7 +57,7 @@ def c3(spark, folder):
 @query("c4_malformed", with_views(UNEVEN) + "SELECT conv_id FROM facts WHERE malformed")
 def c4(spark, folder):
     turns = tables.uneven_turns(spark, folder)
-    return turns.groupBy("conv_id").agg(F.bool_or(SOURCE.isNull()).alias("malformed")).filter("malformed").select("conv_id")
+    return turns.groupBy("conv_id").agg(F.bool_or(source().isNull()).alias("malformed")).filter("malformed").select("conv_id")
 
 
 @query("c5_without_blank", with_views(UNEVEN) + "SELECT conv_id, turn, role, text FROM messages")
@@ -73,7 +79,7 @@ def c7(spark, folder):
 @query("c8_lenient", with_views(FROM_VALUE) + """
 SELECT conv_id, turn, CASE "from" WHEN 'human' THEN 'user' ELSE 'model' END AS role, value AS text FROM from_value""")
 def c8(spark, folder):
-    return c.normalise(tables.from_value_turns(spark, folder), c.lenient_role(SOURCE), VALUE)
+    return c.normalise(tables.from_value_turns(spark, folder), c.lenient_role(source()), value())
 
 
 @query("c9_kept_texts", with_views(UNEVEN) + """
@@ -98,7 +104,7 @@ def c10(spark, folder):
 SELECT conv_id, turn, role, text AS content FROM conversations""")
 def c11(spark, folder):
     rows = tables.from_value_turns(spark, folder)
-    return rows.select("conv_id", "turn", c.standard_role(SOURCE).alias("role"), VALUE.alias("content"))
+    return rows.select("conv_id", "turn", c.standard_role(source()).alias("role"), value().alias("content"))
 
 
 @query("c12_holdout", """
@@ -155,5 +161,5 @@ SELECT conv_id, CASE WHEN bool_and("from" IS NOT NULL AND value IS NOT NULL) THE
   ELSE 'turn without from or value' END AS problem FROM uneven GROUP BY conv_id""")
 def p23(spark, folder):
     turns = tables.uneven_turns(spark, folder)
-    complete = F.bool_and(SOURCE.isNotNull() & VALUE.isNotNull())
+    complete = F.bool_and(source().isNotNull() & value().isNotNull())
     return turns.groupBy("conv_id").agg(F.when(~complete, "turn without from or value").alias("problem"))

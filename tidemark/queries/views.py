@@ -61,3 +61,26 @@ segments AS (
 
 def with_views(*views: str) -> str:
     return "WITH " + ",\n".join(views) + "\n"
+
+
+RUN_FACTS = STEP_LOG + """,
+runs AS (SELECT run_id, count(*) AS steps, min(loss) AS best, coalesce(sum(dt_us) FILTER (step > 10), 0) AS timed_us,
+  sum(dt_us) AS all_us FROM step_log GROUP BY run_id),
+summary AS (
+  SELECT run_id, 3 AS line_no, 'val_bpb' AS key, best AS value, printf('%.6f', best) AS shown FROM runs
+  UNION ALL SELECT run_id, 4, 'training_seconds', (timed_us // 100000) / 10, (timed_us // 1000000) || '.' || (timed_us // 100000) % 10 FROM runs
+  UNION ALL SELECT run_id, 5, 'total_seconds', (all_us // 100000) / 10, (all_us // 1000000) || '.' || (all_us // 100000) % 10 FROM runs
+  UNION ALL SELECT run_id, 6, 'peak_vram_mb', steps * 100 + 0.5, (steps * 100) || '.5' FROM runs
+  UNION ALL SELECT run_id, 7, 'num_steps', steps, steps || '' FROM runs
+  UNION ALL SELECT run_id, 8, 'depth', 8, '8' FROM runs),
+log_lines AS (
+  SELECT run_id, line_no, rpad(key || ':', 18, ' ') || shown AS line FROM summary
+  UNION ALL SELECT run_id, 0, 'starting run ' || run_id FROM runs
+  UNION ALL SELECT run_id, 1, 'val_bpb is computed at the end' FROM runs
+  UNION ALL SELECT run_id, 2, '---' FROM runs UNION ALL SELECT run_id, 9, 'finished' FROM runs)"""
+
+STAGES = """stage_events AS (
+  SELECT user_id AS run_id, event_type AS stage, epoch_us(ts) AS at_us,
+    CASE WHEN CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) % 2 = 1 THEN 'start' ELSE 'end' END AS edge FROM events),
+stages AS (SELECT run_id, stage, round((max(at_us) FILTER (edge = 'end') - min(at_us) FILTER (edge = 'start')) / 1e6, 2) AS seconds
+  FROM stage_events GROUP BY run_id, stage)"""

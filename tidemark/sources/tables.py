@@ -114,3 +114,88 @@ def uneven_turns(spark: SparkSession, folder: str) -> DataFrame:
     ).otherwise(F.col("from"))
     value = F.when(F.expr("conv_id % 3 = 1 and turn % 4 = 3"), " \n\t\u00a0 ").otherwise(F.col("value"))
     return from_value_turns(spark, folder).select("conv_id", "turn", who.alias("from"), value.alias("value"))
+
+
+def run_log_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of the captured log of each run: start-up lines, the summary block, a closing line."""
+    step = F.col("step")
+    runs = step_log(spark, folder).groupBy("run_id").agg(
+        F.count(F.lit(1)).alias("steps"),
+        F.min("loss").alias("best"),
+        F.coalesce(F.sum(F.when(step > 10, F.col("dt_us"))), F.lit(0)).alias("timed_us"),
+        F.sum("dt_us").alias("all_us"),
+    )
+
+    def tenths(us: str):
+        whole = F.expr(f"{us} div 1000000"), F.expr(f"({us} div 100000) % 10")
+        return F.format_string("%d.%d", *whole)
+
+    def line(key: str, value):
+        return F.concat(F.rpad(F.lit(key + ":"), 18, " "), value)
+
+    lines = F.array(
+        F.concat(F.lit("starting run "), F.col("run_id").cast("string")),
+        F.lit("val_bpb is computed at the end"),
+        F.lit("---"),
+        line("val_bpb", F.format_string("%.6f", "best")),
+        line("training_seconds", tenths("timed_us")),
+        line("total_seconds", tenths("all_us")),
+        line("peak_vram_mb", F.format_string("%d.5", F.col("steps") * 100)),
+        line("num_steps", F.col("steps").cast("string")),
+        line("depth", F.lit("8")),
+        F.lit("finished"),
+    )
+    slug = F.concat(F.lit("job-"), F.col("run_id").cast("string")).alias("slug")
+    return runs.select("run_id", slug, F.posexplode(lines).alias("line_no", "line"))
+
+
+def raw_step_lines(spark: SparkSession, folder: str, updates: int = 8) -> DataFrame:
+    """Raw log lines that each hold up to ``updates`` step updates separated by returns."""
+    update = F.format_string(
+        "step %05d (%d.0%%) | loss: %.6f | lrm: 0.%d0 | dt: %dms | tok/sec: %s | mfu: %d.5%% | epoch: %d | remaining: %ds    ",
+        F.col("step"),
+        F.expr("step div 2"),
+        F.col("loss"),
+        F.expr("step % 10"),
+        F.expr("dt_us div 1000"),
+        F.format_number(F.expr("524288000000 div dt_us"), 0),
+        F.expr("step % 50"),
+        F.expr("1 + step div 50"),
+        F.expr("greatest(0, 300 - step)"),
+    )
+    steps = step_log(spark, folder).filter("dt_us > 0").withColumn("update", update)
+    held = F.array_sort(F.collect_list(F.struct("step", "update")))
+    lines = steps.groupBy("run_id", F.expr(f"step div {updates}").alias("line_no")).agg(held.alias("u"))
+    return lines.select(
+        "run_id", "line_no", F.array_join(F.transform("u", lambda x: F.concat(F.lit("\r"), x["update"])), "").alias("line")
+    )
+
+
+def stage_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Start and end marks of the stages of each run."""
+    odd = F.regexp_extract("props", r"(\d+)", 1).cast("int") % 2 == 1
+    return read(spark, folder, "events").select(
+        F.col("user_id").alias("run_id"),
+        F.col("event_type").alias("stage"),
+        F.unix_micros(F.col("ts").cast("timestamp")).alias("at_us"),
+        F.when(odd, "start").otherwise("end").alias("edge"),
+    )
+
+
+def gpu_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """GPU snapshot lines of each run; some are error messages."""
+    k = F.regexp_extract("props", r"(\d+)", 1)
+    line = F.when(F.col("event_type") == "error", "snapshot failed").otherwise(
+        F.concat(F.lit("Accelerator A, "), (k.cast("int") * 100).cast("string"), F.lit(", 81920, "), k, F.lit(", 41"))
+    )
+    return read(spark, folder, "events").select("event_id", F.col("user_id").alias("run_id"), line.alias("line"))
+
+
+def job_list(spark: SparkSession, folder: str) -> DataFrame:
+    """Job records: position in the listing, slug and name. Names repeat."""
+    k = F.regexp_extract("props", r"(\d+)", 1)
+    return read(spark, folder, "events").select(
+        F.col("event_id").alias("idx"),
+        F.concat(F.lit("job-"), F.col("event_id").cast("string")).alias("slug"),
+        F.concat_ws("-", "event_type", k).alias("name"),
+    )
