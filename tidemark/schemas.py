@@ -2,21 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
+RESULT_TEXT = "commit string, val_text string, mem_text string, status_text string, description string"
 
+FROM_VALUE_RECORD = "conversations array<struct<from: string, value: string>>"
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+RECORD = "conversations array<struct<from: string, value: string, role: string, content: string>>"
 
-
-RESULT_TEXT = _struct("commit string, val_text string, mem_text string, status_text string, description string")
-
-FROM_VALUE_RECORD = _struct("conversations array<struct<from: string, value: string>>")
-
-RECORD = _struct("conversations array<struct<from: string, value: string, role: string, content: string>>")
-
-METRICS = _struct(
-    """mode string, run_tag string, started_at string, finished_at string, output_dir string,
+METRICS = """mode string, run_tag string, started_at string, finished_at string, output_dir string,
     stages map<string, double>, env struct<cuda_visible_devices: string, hostname: string>,
     torch_version string, cuda_available boolean, gpu_name string, model string,
     lora struct<r: int, alpha: int, dropout: double>,
@@ -28,10 +20,9 @@ METRICS = _struct(
     peak_vram_gb double, inference_baseline array<struct<prompt: string, response: string>>,
     inference_posttraining array<struct<prompt: string, response: string>>,
     final_output_path string, total_wall_sec double"""
-)
 
 GPU_SNAPSHOT = "name string, memory_used double, memory_total double, utilization double, temperature double"
 
-JOB_STATE = _struct("slug string, at_us bigint, event_id bigint, state string")
+JOB_STATE = "slug string, at_us bigint, event_id bigint, state string"
 
-PACKED = _struct("packer_id bigint, row_id bigint, tokens array<int>, epoch int, drain boolean, docs int, cropped bigint")
+PACKED = "packer_id bigint, row_id bigint, tokens array<int>, epoch int, drain boolean, docs int, cropped bigint"

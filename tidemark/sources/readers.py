@@ -64,7 +64,7 @@ def first_existing(spark: SparkSession, candidates: Iterable[str]) -> str:
     raise FileNotFoundError(f"none of these exists: {tried}")
 
 
-def json_records(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
+def json_records(spark: SparkSession, path: str, schema: str | T.StructType, multi_line: bool = False) -> DataFrame:
     """JSON records. ``multi_line`` reads files that hold one array each; such a file is read by one task."""
     return spark.read.schema(schema).option("multiLine", multi_line).option("mode", "PERMISSIVE").json(path)
 
@@ -74,7 +74,7 @@ def table_of(spark: SparkSession, rows: Sequence[tuple], schema: str | T.StructT
     return spark.createDataFrame(rows, schema)
 
 
-def result_files(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def result_files(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame:
     """Tab-separated result files with a header, all columns as text until they are coerced."""
     schema = schema or schemas.RESULT_TEXT
     return spark.read.schema(schema).option("sep", "\t").option("header", True).option("quote", "").csv(path)
