@@ -108,7 +108,12 @@ def until_diverged(log: DataFrame, run: str = "run_id", step: str = "step", loss
 
 
 def smoothed_loss(
-    log: DataFrame, run: str = "run_id", step: str = "step", loss: str = "loss", beta: float = s.EMA_BETA
+    log: DataFrame,
+    run: str = "run_id",
+    step: str = "step",
+    loss: str = "loss",
+    beta: float = s.EMA_BETA,
+    carried: DataFrame | None = None,
 ) -> DataFrame:
     """Exponential mean of the loss of each run, corrected for its start.
 
@@ -116,6 +121,9 @@ def smoothed_loss(
     gives it; blocks are short enough for the weights to stay in range. What a block receives is the same recursion
     over block totals, again in short groups. What a group receives from before the last group is weighted below
     1e-180 and vanishes in double precision. No task ever holds more than one block of a run.
+
+    ``carried`` (run, ema, seen) continues runs of which ``seen`` steps went before. The result has the uncorrected
+    mean as ``ema`` and the number of steps so far as ``seen``.
     """
     block = max(1, min(256, int(math.log(1e12) / -math.log(beta))))
     across = beta**block
@@ -133,15 +141,21 @@ def smoothed_loss(
     totals = totals.withColumn("_end", F.pow(F.lit(across), F.col("_r")) * weighted)
     group_end = totals.groupBy(run, (F.col("_g") + 1).alias("_g")).agg(F.max_by("_end", "_b").alias("_from"))
     totals = totals.join(group_end, [run, "_g"], "left")
-    carried = F.pow(F.lit(across), F.col("_r") + 1) * F.coalesce("_from", F.lit(0.0))
-    entering = totals.select(run, (F.col("_b") + 1).alias("_b"), (F.col("_end") + carried).alias("_enter"))
+    faded_in = F.pow(F.lit(across), F.col("_r") + 1) * F.coalesce("_from", F.lit(0.0))
+    entering = totals.select(run, (F.col("_b") + 1).alias("_b"), (F.col("_end") + faded_in).alias("_enter"))
 
     in_block = Window.partitionBy(run, "_b").orderBy("_j").rowsBetween(Window.unboundedPreceding, 0)
     local = F.pow(F.lit(beta), F.col("_j")) * F.sum(share * F.pow(F.lit(beta), -F.col("_j"))).over(in_block)
     rows = rows.withColumn("_local", local).join(entering, [run, "_b"], "left")
     smooth = F.col("_local") + F.pow(F.lit(beta), F.col("_j") + 1) * F.coalesce("_enter", F.lit(0.0))
-    corrected = smooth / (F.lit(1.0) - F.pow(F.lit(beta), F.col("_n") + 1))
-    return rows.withColumn("smooth_loss", corrected).drop("_n", "_b", "_j", "_local", "_enter")
+    rows = rows.withColumns({"ema": smooth, "seen": F.col("_n") + 1}).drop("_n", "_b", "_j", "_local", "_enter")
+    if carried is not None:
+        past = carried.select(run, F.col("ema").alias("_ema"), F.col("seen").alias("_seen"))
+        rows = rows.join(past, run, "left")
+        faded = F.pow(F.lit(beta), F.col("seen")) * F.coalesce("_ema", F.lit(0.0))
+        seen = F.col("seen") + F.coalesce("_seen", F.lit(0))
+        rows = rows.withColumns({"ema": F.col("ema") + faded, "seen": seen}).drop("_ema", "_seen")
+    return rows.withColumn("smooth_loss", F.col("ema") / (F.lit(1.0) - F.pow(F.lit(beta), F.col("seen"))))
 
 
 def run_totals(

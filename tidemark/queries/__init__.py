@@ -6,7 +6,7 @@ from importlib import import_module
 
 from tidemark.queries.registry import QUERIES, Query
 
-MODULES = ("experiments", "corpus", "chat", "telemetry", "jobs")
+MODULES = ("experiments", "corpus", "chat", "telemetry", "jobs", "tokens", "files", "streams")
 
 
 def all_queries() -> dict[str, Query]:

@@ -92,6 +92,11 @@ def metrics_documents(spark: SparkSession, path: str) -> DataFrame:
     return docs.withColumn("run_folder", F.regexp_extract("_metadata.file_path", r"([^/]+)/[^/]+$", 1))
 
 
+def metrics_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Metrics documents of a sweep gathered in files of one document per line."""
+    return spark.read.schema(schemas.METRICS).json(path)
+
+
 def log_lines(spark: SparkSession, path: str) -> DataFrame:
     """Log lines with their file and a number that rises within each file."""
     return spark.read.text(path).select(
