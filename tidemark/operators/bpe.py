@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -136,17 +136,22 @@ def bos_id(merges: Sequence[Merge]) -> int:
 # --------------------------------------------------------------------------- encoding and decoding
 
 
-def word_encoder(merges: Sequence[Merge], memo_words: int = 200_000):
-    """Token ids of the pre-tokens of a text, as a batched function of a column of string arrays.
+def word_encoder(merges: Sequence[Merge], memo_words: int = 300_000):
+    """Token ids of the pre-tokens of a text, as an Arrow function of a column of string arrays.
 
-    Words repeat, so each task remembers the words it has met; the memory is bounded and only saves time. Texts are
-    encoded where they lie: nothing is shuffled.
+    Words repeat, so a batch encodes each distinct word once and copies the ids to its places as whole arrays. A task
+    also remembers words between batches; that memory is bounded and only saves time. Texts are encoded where they
+    lie: nothing is shuffled.
     """
     ranks = {pair: i for i, pair in enumerate(merges)}
-    first = FIRST_MERGED
+    first, unknown = FIRST_MERGED, len(ranks)
+
+    @F.arrow_udf("array<int>")
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        from itertools import chain
+
+        import numpy as np
 
-    @F.pandas_udf("array<int>")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         memo: dict[str, list[int]] = {}
 
         def ids_of(word: str) -> list[int]:
@@ -154,17 +159,16 @@ def word_encoder(merges: Sequence[Merge], memo_words: int = 200_000):
             if found is None:
                 found = list(word.encode("utf-8"))
                 while len(found) > 1:
-                    rank, pair = min((ranks.get(p, len(ranks)), p) for p in zip(found, found[1:]))
-                    if rank == len(ranks):
+                    pairs = list(zip(found, found[1:]))
+                    known = [ranks.get(p, unknown) for p in pairs]
+                    rank = min(known)
+                    if rank == unknown:
                         break
-                    at, merged = 0, []
+                    pair, at, merged = pairs[known.index(rank)], 0, []
                     while at < len(found):
-                        if tuple(found[at : at + 2]) == pair:
-                            merged.append(first + rank)
-                            at += 2
-                        else:
-                            merged.append(found[at])
-                            at += 1
+                        here = at < len(pairs) and pairs[at] == pair
+                        merged.append(first + rank if here else found[at])
+                        at += 2 if here else 1
                     found = merged
                 if len(memo) >= memo_words:
                     memo.clear()
@@ -172,7 +176,17 @@ def word_encoder(merges: Sequence[Merge], memo_words: int = 200_000):
             return found
 
         for texts in batches:
-            yield texts.map(lambda words: [i for w in words for i in ids_of(w)], na_action="ignore")
+            words = texts.flatten().dictionary_encode()
+            pieces = [ids_of(w) for w in words.dictionary.to_pylist()]
+            sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+            begins = np.cumsum(sizes) - sizes
+            table = np.fromiter(chain.from_iterable(pieces), np.int32, int(sizes.sum()))
+            which = words.indices.to_numpy()
+            ends = np.concatenate([[0], np.cumsum(sizes[which])])
+            place = np.arange(ends[-1]) + np.repeat(begins[which] - ends[:-1], sizes[which])
+            bounds = texts.offsets.to_numpy().astype(np.int64)
+            offsets = pa.array(ends[bounds - bounds[0]], pa.int32())
+            yield pa.ListArray.from_arrays(offsets, pa.array(table[place], pa.int32()), mask=texts.is_null())
 
     return encode
 

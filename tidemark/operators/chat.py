@@ -91,7 +91,7 @@ def conversation_facts(
         F.when(has_text(text), role).alias("_role"),
         (F.lit(False) if malformed is None else malformed).alias("_malformed"),
     )
-    rows = order_rows(rows, KEYS, [order]).scan(_before=latest("_role", inclusive=False)).rows()
+    rows = order_rows(rows, KEYS, [order], cuts_from=turns).scan(_before=latest("_role", inclusive=False)).rows()
     repeats = F.col("_role") == F.coalesce("_before", F.lit("model"))
     out = rows.groupBy(*KEYS).agg(
         F.count("_role").alias("n_messages"),
@@ -129,14 +129,17 @@ def without_bos(text: Column, bos: str = LEADING_BOS) -> Column:
     return F.when(text.startswith(bos), F.substring(text, len(bos) + 1, 2**31 - 1)).otherwise(text)
 
 
-def rendered(messages: DataFrame, order: str = "turn", part_chars: int = PART_CHARS) -> DataFrame:
+def rendered(
+    messages: DataFrame, order: str = "turn", part_chars: int = PART_CHARS, cuts_from: DataFrame | None = None
+) -> DataFrame:
     """Text of each conversation as (conv_id, part, text).
 
     Nearly every conversation is one part. One too long for a single value continues in further parts, so no group
-    gathers more than ``part_chars`` characters and one message.
+    gathers more than ``part_chars`` characters and one message. ``cuts_from`` is the stored table of turns.
     """
     rows = messages.select(*KEYS, order, segment(F.col("role"), F.col("text")).alias("_segment"))
-    rows = order_rows(rows, KEYS, [order]).scan(_start=running_sum(F.length("_segment"), inclusive=False)).rows()
+    before = running_sum(F.length("_segment"), inclusive=False)
+    rows = order_rows(rows, KEYS, [order], cuts_from=cuts_from).scan(_start=before).rows()
     rows = rows.withColumn("part", F.floor(F.col("_start") / part_chars).cast("bigint"))
     texts = rows.groupBy(*KEYS, "part").agg(F.array_sort(F.collect_list(F.struct(order, "_segment"))).alias("_all"))
     whole = F.array_join(F.transform("_all", lambda s: s["_segment"]), "")
@@ -144,7 +147,7 @@ def rendered(messages: DataFrame, order: str = "turn", part_chars: int = PART_CH
     return texts.select(*KEYS, "part", text.alias("text")).filter(F.length("text") > 0)
 
 
-def target_spans(messages: DataFrame, order: str = "turn") -> DataFrame:
+def target_spans(messages: DataFrame, order: str = "turn", cuts_from: DataFrame | None = None) -> DataFrame:
     """Character spans of each message in the rendered text: opener, then body; only model bodies are targets."""
     rows = messages.withColumns(
         {
@@ -152,7 +155,8 @@ def target_spans(messages: DataFrame, order: str = "turn") -> DataFrame:
             "_length": F.length(segment(F.col("role"), F.col("text"))),
         }
     )
-    rows = order_rows(rows, KEYS, [order]).scan(_start=running_sum("_length", inclusive=False)).rows()
+    before = running_sum("_length", inclusive=False)
+    rows = order_rows(rows, KEYS, [order], cuts_from=cuts_from).scan(_start=before).rows()
     body = F.col("_start") + F.col("_opener")
     spans = F.array(
         F.struct(F.col("_start").alias("span_start"), body.alias("span_end"), F.lit(False).alias("is_target")),

@@ -32,7 +32,8 @@ def packed(
     """
     ordered = order_rows(docs.select(*ORDER, "batch", *_inputs(docs)), (), ORDER, docs_per_packer)
     rows = ordered.df.select(SLICE, *ORDER, "batch", ids.alias("ids"))
-    rows = rows.repartition(SLICE).sortWithinPartitions(SLICE, *ORDER)
+    slices = 1 if ordered.cuts is None else len(ordered.cuts.points) + 1
+    rows = rows.repartitionById(slices, SLICE).sortWithinPartitions(*ORDER)
     return rows.mapInPandas(_packer(row_tokens, buffer), PACKED)
 
 
@@ -46,6 +47,8 @@ def _packer(row_tokens: int, buffer: int):
         from collections import deque
         from itertools import chain, groupby, islice
 
+        import numpy as np
+
         def documents():
             for frame in frames:
                 yield from zip(
@@ -84,8 +87,7 @@ def _packer(row_tokens: int, buffer: int):
                     row.append(doc[:room])
                     room -= min(len(doc), room)
                     held, n_docs = held - 1, n_docs + 1
-                tokens = [t for part in row for t in part]
-                yield slice_no, row_no, tokens, epoch, not more, n_docs, cropped
+                yield slice_no, row_no, np.concatenate(row), epoch, not more, n_docs, cropped
                 row_no += 1
 
         made = chain.from_iterable(

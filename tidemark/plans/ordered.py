@@ -259,12 +259,20 @@ def slice_rows(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("tidemark.rowsPerSlice", str(ROWS_PER_SLICE)))
 
 
-def order_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_slice: int | None = None) -> Ordered:
+def order_rows(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    rows_per_slice: int | None = None,
+    cuts_from: DataFrame | None = None,
+) -> Ordered:
     """Put the rows of ``df`` in ``order`` inside each group of ``keys`` (none: the whole table).
 
-    ``order`` must be unique inside a group. A session setting ``tidemark.rowsPerSlice`` overrides the size.
+    ``order`` must be unique inside a group. A session setting ``tidemark.rowsPerSlice`` overrides the size. Counting
+    and sampling run over ``cuts_from`` when given: a stored table with the same keys that holds at least these rows
+    spares running a costly ``df`` twice.
     """
-    cuts = find_cuts(df, keys, order, rows_per_slice or slice_rows(df))
+    cuts = find_cuts(df if cuts_from is None else cuts_from, keys, order, rows_per_slice or slice_rows(df))
     position = F.lit(0) if cuts is None else cuts.position()
     return Ordered(df.withColumn(SLICE, position), tuple(keys), tuple(order), cuts)
 

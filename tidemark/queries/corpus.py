@@ -114,7 +114,7 @@ def p2(spark, folder):
     f"len(regexp_extract_all(text, '{form}')) AS n_{kind}" for kind, form in PERSONAL_DATA.items()
 ) + ", " + " + ".join(f"len(regexp_extract_all(text, '{form}'))" for form in PERSONAL_DATA.values()) + " > 0 AS flagged FROM documents")
 def p24(spark, folder):
-    rows = p.personal_data(tables.corpus(spark, folder).select("doc_id", "text"))
+    rows = p.personal_data(tables.texts(spark, folder).select("doc_id", "text"))
     return rows.drop("text")
 
 
@@ -133,7 +133,7 @@ def t1(spark, folder):
 SELECT doc_id, len(w) AS n_words, md5(array_to_string(w, '|')) AS digest FROM words""")
 def t2(spark, folder):
     words = k.pretokens(collapse(F.col("text")))
-    return tables.corpus(spark, folder).select("doc_id", words.alias("w")).select(
+    return tables.texts(spark, folder).select("doc_id", words.alias("w")).select(
         "doc_id", F.size("w").cast("bigint").alias("n_words"), F.md5(F.array_join("w", "|")).alias("digest")
     )
 
@@ -141,13 +141,13 @@ def t2(spark, folder):
 @query("t2_pretokens_lossless", "SELECT doc_id, md5(text) AS digest FROM documents")
 def t2_lossless(spark, folder):
     joined = F.array_join(k.pretokens(F.col("text")), "")
-    return tables.corpus(spark, folder).select("doc_id", F.md5(joined).alias("digest"))
+    return tables.texts(spark, folder).select("doc_id", F.md5(joined).alias("digest"))
 
 
 @query("t3_word_counts", with_views(WORDS) + """
 SELECT word, count(*) AS cnt FROM (SELECT unnest(w) AS word FROM words) GROUP BY word""")
 def t3(spark, folder):
-    return p.word_counts(tables.corpus(spark, folder), collapse(F.col("text")))
+    return p.word_counts(tables.texts(spark, folder), collapse(F.col("text")))
 
 
 @query("t11_document_batches", with_views(CORPUS) + """
@@ -162,11 +162,10 @@ def t11(spark, folder):
 
 
 @query("p19_input_target_shift", with_views(WORDS) + """
-SELECT doc_id, md5(array_to_string(w[1:len(w)-1], '|')) AS inputs, md5(array_to_string(w[2:], '|')) AS targets FROM words
-WHERE len(w) > 1""")
+SELECT doc_id, md5(array_to_string(w[1:len(w)-1], '|')) AS inputs, md5(array_to_string(w[2:], '|')) AS targets FROM words""")
 def p19(spark, folder):
     words = k.pretokens(collapse(F.col("text")))
-    rows = tables.corpus(spark, folder).select("doc_id", words.alias("w")).filter(F.size("w") > 1)
+    rows = tables.texts(spark, folder).select("doc_id", words.alias("w"))
     return rows.select(
         "doc_id",
         F.md5(F.array_join(k.inputs(F.col("w")), "|")).alias("inputs"),

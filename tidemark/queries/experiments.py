@@ -216,3 +216,17 @@ def p27(spark, folder):
         t.signed(F.col("delta")).alias("change"),
         t.thousands(F.col("event_id") * 1000).alias("grouped"),
     )
+
+
+@query("j7_scalar_baseline", with_views(EXPERIMENTS) + """
+, base AS (SELECT arg_min(val_bpb, event_id) AS baseline, min(val_bpb) AS best FROM experiments
+  WHERE status <> 'CRASH' AND val_bpb IS NOT NULL)
+SELECT event_id, val_bpb, round(val_bpb - best, 6) AS over_best FROM experiments, base
+WHERE status <> 'CRASH' AND val_bpb <= baseline + 0.0005""")
+def j7(spark, folder):
+    rows = x.valid(experiments(spark, folder)).filter("val_bpb is not null")
+    # One value each, computed once and compared with every row.
+    baseline = rows.agg(F.min_by("val_bpb", "event_id")).scalar()
+    best = rows.agg(F.min("val_bpb")).scalar()
+    near = rows.filter(F.col("val_bpb") <= baseline + F.lit(x.PLOT_SLACK))
+    return near.select("event_id", "val_bpb", F.round(F.col("val_bpb") - best, 6).alias("over_best"))

@@ -133,3 +133,23 @@ def s18(spark, folder):
 ))
 def f3(spark, folder):
     return readers.checked_shards(readers.list_files(spark, folder, "*.parquet"), tasks=4)
+
+
+@query("s8_first_existing", "SELECT 'documents.parquet' AS file_name, count(*) AS n_docs FROM documents")
+def s8(spark, folder):
+    path = readers.first_existing(spark, [f"{folder}/none/documents.parquet", f"{folder}/documents.parquet"])
+    rows = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_docs"))
+    return rows.select(F.lit(path.rsplit("/", 1)[-1]).alias("file_name"), "n_docs")
+
+
+# How a table from rows the driver holds names the languages.
+LANGUAGES = (("en", "English"), ("fr", "French"), ("de", "German"), ("es", "Spanish"))
+
+
+@query("s10_rows_to_table", """
+SELECT name, count(*) AS n_docs FROM documents JOIN (VALUES ('en', 'English'), ('fr', 'French'), ('de', 'German'), ('es', 'Spanish'))
+  l(lang, name) USING (lang) GROUP BY name""")
+def s10(spark, folder):
+    names = readers.table_of(spark, LANGUAGES, "lang string, name string")
+    counts = tables.corpus(spark, folder).groupBy("lang").agg(F.count(F.lit(1)).alias("n_docs"))
+    return counts.join(names, "lang").select("name", "n_docs")

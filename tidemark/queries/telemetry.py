@@ -265,7 +265,7 @@ losses AS (SELECT *, -ln(cnt / sum(cnt) OVER (PARTITION BY shard)) AS nats,
 SELECT shard, CAST(sum(n_bytes * cnt) AS BIGINT) AS n_bytes,
   round(sum(nats * cnt) FILTER (n_bytes > 0) / (ln(2) * sum(n_bytes * cnt)), 6) AS bpb FROM losses GROUP BY shard""")
 def a1(spark, folder):
-    counts = word_counts(tables.corpus(spark, folder), collapse(F.col("text")), by=("shard",))
+    counts = word_counts(tables.texts(spark, folder), collapse(F.col("text")), by=("shard",))
     totals = counts.groupBy("shard").agg(F.sum("cnt").alias("total"))
     # A lone blank stands for a special token: it has no bytes and counts in neither sum.
     rows = counts.join(totals, "shard").select(

@@ -5,16 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import collapse
-from tidemark.functions.tokens import targets
+from tidemark.functions.tokens import inputs, targets
 from tidemark.operators import bpe
 from tidemark.operators import corpus as p
 from tidemark.operators import evaluation as ev
 from tidemark.operators import packing
-from tidemark.plans.staging import staged_path
+from tidemark.plans.staging import stage, staged_path
 from tidemark.queries.corpus import WORDS, split_corpus
 from tidemark.queries.registry import query
 from tidemark.queries.views import with_views
-from tidemark.sources import sinks, tables
+from tidemark.sources import readers, sinks, tables
 
 MERGES = 48
 ROW_TOKENS = 513
@@ -26,7 +26,7 @@ def merges(spark, folder):
     """Merges trained on the training split within the character budget; trained once per folder."""
     if folder not in _trained:
         train = split_corpus(spark, folder).filter("split = 'train'")
-        words = p.word_counts(p.character_budget(train), F.col("text"))
+        words = p.word_counts(readers.spread(p.character_budget(train)), F.col("text"))
         _trained[folder] = bpe.train(words, MERGES)
     return _trained[folder]
 
@@ -37,7 +37,7 @@ def vocabulary(spark, folder):
 
 def encoded(spark, folder):
     ids = bpe.encoded(F.col("text"), merges(spark, folder))
-    return tables.corpus(spark, folder).select("doc_id", "text", ids.alias("ids"))
+    return tables.texts(spark, folder).select("doc_id", "text", ids.alias("ids"))
 
 
 def packed(spark, folder, split):
@@ -51,7 +51,7 @@ def packed(spark, folder, split):
 SELECT pair, CAST(sum(cnt) AS BIGINT) AS cnt FROM (
   SELECT substr(h, 2 * i - 1, 4) AS pair, cnt FROM (SELECT h, cnt, unnest(range(1, length(h) // 2)) AS i FROM counts)) GROUP BY pair""")
 def t4_pairs(spark, folder):
-    words = p.word_counts(tables.corpus(spark, folder), collapse(F.col("text")))
+    words = p.word_counts(tables.texts(spark, folder), collapse(F.col("text")))
     pairs = bpe.pair_counts(words.select(bpe.as_symbols(F.col("word")).alias("symbols"), "cnt"))
     return pairs.select(F.hex(F.encode("pair", "ISO-8859-1")).alias("pair"), "cnt")
 
@@ -81,7 +81,7 @@ def t7(spark, folder):
 
 @query("t7_token_counts")
 def t7_counts(spark, folder):
-    words = p.word_counts(tables.corpus(spark, folder), F.col("text"))
+    words = p.word_counts(tables.texts(spark, folder), F.col("text"))
     return bpe.token_counts(words, merges(spark, folder))
 
 
@@ -150,5 +150,19 @@ def t13(spark, folder):
 
 @query("t14_evaluation_rows")
 def t14(spark, folder):
-    rows = packed(spark, folder, "val").select("packer_id", "row_id", F.size("tokens").alias("n_tokens"))
+    # Packed once and stored, as a trainer would read it; the budget is then found on the stored rows.
+    rows = stage(packed(spark, folder, "val").select("packer_id", "row_id", F.size("tokens").alias("n_tokens")), "packed")
     return packing.evaluation_rows(rows, BATCH_ROWS, EVAL_BUDGET, ROW_TOKENS - 1)
+
+
+@query("f4_packed_inputs")
+def f4(spark, folder):
+    tokens = F.col("tokens")
+    return packed(spark, folder, "val").select(
+        "packer_id",
+        "row_id",
+        F.size(inputs(tokens)).alias("n_inputs"),
+        F.md5(F.array_join(inputs(tokens).cast("array<string>"), " ")).alias("inputs"),
+        F.md5(F.array_join(targets(tokens).cast("array<string>"), " ")).alias("targets"),
+        "epoch",
+    )

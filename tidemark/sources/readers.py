@@ -19,6 +19,20 @@ def text_shards(spark: SparkSession, path: str, text: str = "text") -> DataFrame
     )
 
 
+def spread(rows: DataFrame, split_bytes: int = 128 * 1024 * 1024) -> DataFrame:
+    """Rows of a small input over all cores, for work that costs much per row; a large input stays where it is.
+
+    A few small files make fewer tasks than there are cores. Only then are the rows shuffled.
+    """
+    spark = rows.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    files = rows.inputFiles()
+    if not files or len(files) >= cores:
+        return rows
+    size = spark.read.format("binaryFile").load(files).agg(F.sum("length")).head()[0]
+    return rows.repartition(cores) if size < cores * split_bytes else rows
+
+
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.parquet") -> DataFrame:
     """Files of a folder by name and size; their content is not read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("path", "length")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.plans.ordered import following, number, order_rows
+from tidemark.sources.readers import spread
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,6 +20,11 @@ def corpus(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def texts(spark: SparkSession, folder: str) -> DataFrame:
+    """The corpus for work that costs much per text."""
+    return spread(corpus(spark, folder))
+
+
 def turns(spark: SparkSession, folder: str) -> DataFrame:
     """Conversation turns, one row each: conv_id, turn, role, text."""
     return read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")

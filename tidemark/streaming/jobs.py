@@ -14,6 +14,7 @@ from tidemark.operators import experiments as x
 from tidemark.operators import jobs as j
 from tidemark.operators import telemetry as o
 from tidemark.plans.ordered import order_rows, running_any, running_sum
+from tidemark.plans.staging import stage
 from tidemark.streaming.incremental import Incremental
 
 
@@ -99,6 +100,7 @@ def run_progress(folder: str) -> Incremental:
                 "failed": s.diverged(F.col("loss")),
             }
         ).drop("_trained", "_gone")
+        rows = stage(rows, "progress")
         last = F.max_by(F.struct("ema", "seen", "trained", "failed"), "step").alias("_last")
         new = rows.groupBy("run_id").agg(last).select("run_id", "_last.*")
         return rows.select("run_id", "step", "smooth_loss", "trained", "failed"), new.unionByName(over)
