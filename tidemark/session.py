@@ -43,6 +43,5 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+    return spark.sparkContext.getCheckpointDir()
