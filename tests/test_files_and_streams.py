@@ -76,6 +76,20 @@ def test_too_little_input_is_refused(spark):
         p.require_input(corpus)
 
 
+def test_leaks_with_and_without_broadcast(spark):
+    rows = [("train", "copy")] * 50 + [("val", "copy"), ("val", "own"), ("train", "other")]
+    corpus = spark.createDataFrame(rows, "split string, text string")
+    for bound in (100, 1):
+        assert [(r.n_train, r.n_val) for r in p.leaked_texts(corpus, bound).collect()] == [(50, 1)]
+
+
+def test_batches_use_stored_positions(spark):
+    corpus = readers.text_shards(spark, f"{SMALL}/documents.parquet")
+    rows = p.document_batches(corpus, size=64, key="row_index")
+    assert [r["count"] for r in rows.groupBy("batch").count().orderBy("batch").collect()] == [64, 64, 64, 8]
+    assert "Exchange" not in rows._jdf.queryExecution().toString()
+
+
 def test_planned_shards(spark):
     ids = lambda df: sorted(r.shard for r in df.collect())
     assert ids(p.planned_shards(spark, 3)) == [0, 1, 2, 6542]

@@ -90,6 +90,20 @@ def test_keep_until(spark, per_slice, limit):
     assert sorted(tuple(r) for r in got) == kept
 
 
+@pytest.mark.parametrize("early", [True, False])
+def test_keep_until_counts_null_keys_first(spark, early):
+    df = spark.createDataFrame([(None if i % 4 == 0 else i, i) for i in range(80)], "a int, id int")
+    got = sorted(r.id for r in keep_until(df, ["a", "id"], F.lit(1), 30, 7, early).collect())
+    want = sorted((r for r in range(80)), key=lambda i: (i % 4 != 0, i))[:30]
+    assert got == sorted(want)
+
+
+def test_keep_until_reads_only_the_beginning(spark, tmp_path):
+    spark.range(1000).select(F.col("id").alias("shard"), F.col("id")).write.parquet(str(tmp_path / "t"))
+    kept = keep_until(spark.read.parquet(str(tmp_path / "t")), ["shard", "id"], F.lit(1), 5, 50)
+    assert kept.count() == 5 and "LessThanOrEqual(shard,4)" in kept._jdf.queryExecution().toString()
+
+
 def test_cut_plan_does_not_sort_a_group_whole(spark):
     df = spark.createDataFrame(rows(6), "k string, t int, id int, v int")
     plan = order_rows(df, ["k"], ["t", "id"], 40).scan(n=number()).rows()._jdf.queryExecution().toString()

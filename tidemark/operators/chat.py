@@ -213,7 +213,7 @@ def holdout(df: DataFrame, key: str, seed: int, share: float = 0.8) -> DataFrame
     """
     mix = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
     keys = df.select(mix.alias("_mix"), key)
-    last = cutoff_key(keys, ["_mix", key], F.lit(1), int(keys.count() * share))
+    last = cutoff_key(keys, ["_mix", key], F.lit(1), int(keys.count() * share), early=False)
     if last is None or last == ():
         return df.withColumn("part", F.lit("test" if last == () else "train"))
     border = F.struct(F.lit(last[0]).alias("_mix"), F.lit(last[1]).cast(df.schema[key].dataType).alias(key))

@@ -94,8 +94,13 @@ def character_budget(
 def document_batches(
     corpus: DataFrame, size: int = DOCS_PER_BATCH, epochs: int = 1, within: Sequence[str] = ("shard",), key: str = "doc_id"
 ) -> DataFrame:
-    """Number documents inside each row group from 0 and batch them; repeated once per epoch from 1."""
-    rows = order_rows(corpus, within, [key]).scan(row_index=number(0)).rows()
+    """Batch the documents of each row group by their position from 0; repeated once per epoch from 1.
+
+    A corpus read from shards has the position as ``row_index`` already and is not shuffled. Otherwise documents are
+    numbered by ``key``.
+    """
+    numbered = "row_index" in corpus.columns
+    rows = corpus if numbered else order_rows(corpus, within, [key]).scan(row_index=number(0)).rows()
     rows = rows.withColumn("batch", F.floor(F.col("row_index") / size).cast("bigint"))
     return rows.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(epochs))))
 
@@ -106,12 +111,17 @@ def word_counts(texts: DataFrame, text: Column, by: Sequence[str] = ()) -> DataF
     return words.groupBy(*by, "word").agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def leaked_texts(corpus: DataFrame) -> DataFrame:
+def leaked_texts(corpus: DataFrame, max_broadcast: int = 200_000) -> DataFrame:
     """Texts found in both splits, with how many documents of each split hold them.
 
-    Copies are counted per text before anything is compared, so a large group of copies stays one row.
+    The validation split is one shard. While it has few distinct texts, only documents that hold one of them are
+    shuffled. Copies are counted per text inside each input partition, so a large group of copies stays one row.
     """
-    texts = corpus.groupBy(F.sha2("text", 256).alias("text_hash")).agg(
+    hashed = corpus.select("split", F.sha2("text", 256).alias("text_hash"))
+    val = hashed.filter(F.col("split") == "val").select("text_hash").distinct()
+    if val.limit(max_broadcast + 1).count() <= max_broadcast:
+        hashed = hashed.join(F.broadcast(val), "text_hash", "left_semi")
+    texts = hashed.groupBy("text_hash").agg(
         F.count_if(F.col("split") == "train").alias("n_train"), F.count_if(F.col("split") == "val").alias("n_val")
     )
     return texts.filter("n_train > 0 and n_val > 0")

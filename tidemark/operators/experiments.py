@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as t
-from tidemark.plans.ordered import latest, number, order_rows, previous, running_min
+from tidemark.plans.ordered import Ordered, latest, number, order_rows, previous, running_min
 
 # Outcomes, how far above the baseline the plot still shows, and its margin.
 KEEP, DISCARD, CRASH = "KEEP", "DISCARD", "CRASH"
@@ -114,16 +114,24 @@ def running_best(df: DataFrame, by: Sequence[str] = ("tag",), order: Sequence[st
 
 def deltas(df: DataFrame, by: Sequence[str] = ("tag",), order: Sequence[str] = ORDER) -> DataFrame:
     """Improvement of each kept experiment over the kept one before; the first of a tag has none and is left out."""
-    rows = order_rows(kept(df), by, order).scan(kept_no=number(), prev_bpb=previous("val_bpb")).rows()
-    return rows.filter("kept_no > 1").withColumn("delta", F.col("prev_bpb") - F.col("val_bpb"))
+    return _with_delta(_kept_in_order(df, by, order).rows())
 
 
 def ranked_deltas(df: DataFrame, by: Sequence[str] = ("tag",), order: Sequence[str] = ORDER) -> DataFrame:
     """Deltas ranked inside each tag, largest first, missing last, ties by order."""
-    keyed = deltas(df, by, order).withColumns({"_none": F.col("delta").isNull(), "_less": -F.col("delta")})
+    keyed = _with_delta(_kept_in_order(df, by, order).settled())
+    keyed = keyed.withColumns({"_none": F.col("delta").isNull(), "_less": -F.col("delta")})
     return order_rows(keyed, by, ["_none", "_less", *order]).scan(rank=number()).rows().drop("_none", "_less")
 
 
+def _kept_in_order(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> Ordered:
+    return order_rows(kept(df), by, order).scan(kept_no=number(), prev_bpb=previous("val_bpb"))
+
+
+def _with_delta(rows: DataFrame) -> DataFrame:
+    return rows.filter("kept_no > 1").withColumn("delta", F.col("prev_bpb") - F.col("val_bpb"))
+
+
 def effort(df: DataFrame, by: Sequence[str] = ("tag",), order: Sequence[str] = ORDER) -> DataFrame:
     """Number of every kept experiment and how many experiments it took since the kept one before."""
     numbered = order_rows(df, by, order).scan(idx=number(0))

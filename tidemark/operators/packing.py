@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.evaluation import eval_rows
@@ -19,7 +19,12 @@ ORDER = ("epoch", "shard", "doc_id")
 
 
 def packed(
-    docs: DataFrame, ids, row_tokens: int, buffer: int = BUFFER_DOCS, docs_per_packer: int = DOCS_PER_PACKER
+    docs: DataFrame,
+    ids: Column,
+    row_tokens: int,
+    buffer: int = BUFFER_DOCS,
+    docs_per_packer: int = DOCS_PER_PACKER,
+    cuts_from: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of exactly ``row_tokens`` tokens from documents (epoch, shard, doc_id, batch, ...).
 
@@ -28,9 +33,9 @@ def packed(
     slice the rows come in the order of a single loader. A packer holds ``buffer`` documents, refilled by whole
     batches. It places the largest document that fits, the first of equal ones. When none fits it cuts the
     shortest to the space that is left and drops the rest of it. Rows made after the last batch was read are marked
-    ``drain``; a last row that cannot be filled is left out.
+    ``drain``; a last row that cannot be filled is left out. ``cuts_from`` is a stored table with the order columns.
     """
-    ordered = order_rows(docs.select(*ORDER, "batch", *_inputs(docs)), (), ORDER, docs_per_packer)
+    ordered = order_rows(docs.select(*ORDER, "batch", *_inputs(docs)), (), ORDER, docs_per_packer, cuts_from)
     rows = ordered.df.select(SLICE, *ORDER, "batch", ids.alias("ids"))
     slices = 1 if ordered.cuts is None else len(ordered.cuts.points) + 1
     rows = rows.repartitionById(slices, SLICE).sortWithinPartitions(*ORDER)

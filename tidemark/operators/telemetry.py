@@ -128,7 +128,7 @@ def smoothed_loss(
     block = max(1, min(256, int(math.log(1e12) / -math.log(beta))))
     across = beta**block
     group = max(1, int(math.log(1e-187) / math.log(across)))
-    rows = order_rows(log, [run], [step]).scan(_n=number(0)).rows()
+    rows = order_rows(log, [run], [step]).scan(_n=number(0)).settled()
     rows = rows.withColumns({"_b": F.floor(F.col("_n") / block).cast("bigint"), "_j": F.col("_n") % block})
     share = (1 - beta) * F.col(loss)
 

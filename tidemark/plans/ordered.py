@@ -254,6 +254,29 @@ class Ordered:
     def rows(self) -> DataFrame:
         return self.df.drop(SLICE)
 
+    def settled(self) -> DataFrame:
+        """The rows for use by several later steps: written to the shared folder when the table is large."""
+        return self.rows() if self.cuts is None else stage(self.rows(), "settled")
+
+    def between(self, low: int, high: int) -> DataFrame:
+        """Rows of the slices from ``low`` up to ``high`` of a table without groups.
+
+        The bounds on the first order column reach the scan, so files outside of them are not read.
+        """
+        first, points = F.col(self.order[0]), self.cuts.points
+        out = self.df.filter((F.col(SLICE) >= low) & (F.col(SLICE) < high))
+        kind = self.cuts.fields[0].dataType
+        if low > 0 and points[low - 1][0] is not None:
+            out = out.filter(first >= F.lit(points[low - 1][0]).cast(kind))
+        if high <= len(points):
+            out = out.filter(_up_to(first, F.lit(points[high - 1][0]).cast(kind)))
+        return out
+
+
+def _up_to(column: Column, bound: Column) -> Column:
+    """Nulls come first in every order used here."""
+    return column.isNull() | (column <= bound)
+
 
 def slice_rows(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("tidemark.rowsPerSlice", str(ROWS_PER_SLICE)))
@@ -281,41 +304,65 @@ def order_rows(
 
 
 def keep_until(
-    df: DataFrame, order: Sequence[str], weight: Column | str, limit: int, rows_per_slice: int | None = None
+    df: DataFrame,
+    order: Sequence[str],
+    weight: Column | str,
+    limit: int,
+    rows_per_slice: int | None = None,
+    early: bool = True,
 ) -> DataFrame:
     """Rows, in ``order``, up to and including the one at which the running ``weight`` reaches ``limit``.
 
     Only the order and weight columns are ordered, and only inside the slice where the limit is reached. The
     result is a filter on the order key, so wide columns such as text are never shuffled.
     """
-    last = cutoff_key(df, order, weight, limit, rows_per_slice)
+    last = cutoff_key(df, order, weight, limit, rows_per_slice, early)
     if last is None:
         return df
     if last == ():
         return df.limit(0)
     fields = [df.schema[c] for c in order]
-    first = F.col(order[0]) <= F.lit(last[0]).cast(fields[0].dataType)
-    return df.filter(first & (F.struct(*order) <= _literal(last, fields)))
+    kept = F.struct(*order) <= _literal(last, fields)
+    if last[0] is None:
+        return df.filter(kept)
+    return df.filter(_up_to(F.col(order[0]), F.lit(last[0]).cast(fields[0].dataType)) & kept)
 
 
 def cutoff_key(
-    df: DataFrame, order: Sequence[str], weight: Column | str, limit: int, rows_per_slice: int | None = None
+    df: DataFrame,
+    order: Sequence[str],
+    weight: Column | str,
+    limit: int,
+    rows_per_slice: int | None = None,
+    early: bool = True,
 ) -> tuple | None:
-    """Order key of the last kept row; None when every row is kept, () when none is."""
+    """Order key of the last kept row; None when every row is kept, () when none is.
+
+    Slices are totalled from the front, twice as many each time, until the limit is reached: a small limit on a large
+    table reads only its beginning. ``early`` off totals all slices at once, for an order that no file is sorted by.
+    """
     if limit <= 0:
         return ()
     narrow = df.select(*order, _col(weight).cast("bigint").alias("_weight"))
     ordered = order_rows(narrow, (), order, rows_per_slice)
-    totals = {r[0]: r[1] for r in ordered.df.groupBy(SLICE).agg(F.sum("_weight")).collect()}
-    before = 0
-    for at in sorted(totals):
-        if before + (totals[at] or 0) >= limit:
-            break
-        before += totals[at] or 0
-    else:
-        return None
+    slices = 1 if ordered.cuts is None else len(ordered.cuts.points) + 1
+    before, low, step = 0, 0, 1 if early else slices
+    while low < slices:
+        high = min(slices, low + step)
+        part = ordered.df if slices == 1 else ordered.between(low, high)
+        totals = {r[0]: r[1] or 0 for r in part.groupBy(SLICE).agg(F.sum("_weight")).collect()}
+        for at in sorted(totals):
+            if before + totals[at] >= limit:
+                inside = ordered.df if slices == 1 else ordered.between(at, at + 1)
+                return _key_inside(inside, order, before, limit)
+            before += totals[at]
+        low, step = high, step * 2
+    return None
+
+
+def _key_inside(inside: DataFrame, order: Sequence[str], before: int, limit: int) -> tuple:
+    """Order key at which the limit is reached inside one slice."""
     here = Window.partitionBy(SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    inside = ordered.df.filter(F.col(SLICE) == at).withColumn(
-        "_before", F.coalesce(F.sum("_weight").over(here), F.lit(0)) + F.lit(before)
-    )
-    return tuple(inside.filter(F.col("_before") < limit).agg(F.max(F.struct(*order))).head()[0])
+    running = F.coalesce(F.sum("_weight").over(here), F.lit(0)) + F.lit(before)
+    kept = inside.withColumn("_before", running).filter(F.col("_before") < limit)
+    return tuple(kept.agg(F.max(F.struct(*order))).head()[0])

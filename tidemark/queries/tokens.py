@@ -43,7 +43,9 @@ def encoded(spark, folder):
 def packed(spark, folder, split):
     known = merges(spark, folder)
     docs = split_corpus(spark, folder).filter(F.col("split") == split).select("shard", "doc_id", "text")
-    return packing.packed(p.document_batches(docs), bpe.encoded(F.col("text"), known, bpe.bos_id(known)), ROW_TOKENS)
+    ids = bpe.encoded(F.col("text"), known, bpe.bos_id(known))
+    stored = docs.select(F.lit(1).alias("epoch"), "shard", "doc_id")
+    return packing.packed(p.document_batches(docs), ids, ROW_TOKENS, cuts_from=stored)
 
 
 @query("t4_pair_counts", with_views(WORDS) + """
