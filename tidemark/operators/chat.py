@@ -140,11 +140,10 @@ def rendered(
     rows = messages.select(*KEYS, order, segment(F.col("role"), F.col("text")).alias("_segment"))
     before = running_sum(F.length("_segment"), inclusive=False)
     rows = order_rows(rows, KEYS, [order], cuts_from=cuts_from).scan(_start=before).rows()
-    rows = rows.withColumn("part", F.floor(F.col("_start") / part_chars).cast("bigint"))
+    first = F.when(F.col("_start") == 0, without_bos(F.col("_segment"))).otherwise(F.col("_segment"))
+    rows = rows.select(*KEYS, order, F.expr(f"_start div {part_chars}").alias("part"), first.alias("_segment"))
     texts = rows.groupBy(*KEYS, "part").agg(F.array_sort(F.collect_list(F.struct(order, "_segment"))).alias("_all"))
-    whole = F.array_join(F.transform("_all", lambda s: s["_segment"]), "")
-    text = F.when(F.col("part") == 0, without_bos(whole)).otherwise(whole)
-    return texts.select(*KEYS, "part", text.alias("text")).filter(F.length("text") > 0)
+    return texts.select(*KEYS, "part", F.array_join(F.transform("_all", lambda s: s["_segment"]), "").alias("text"))
 
 
 def target_spans(messages: DataFrame, order: str = "turn", cuts_from: DataFrame | None = None) -> DataFrame:

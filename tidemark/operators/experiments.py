@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as t
-from tidemark.plans.ordered import Ordered, latest, number, order_rows, previous, running_min
+from tidemark.plans.ordered import Ordered, latest, number, order_key, order_rows, previous, running_min
 
 # Outcomes, how far above the baseline the plot still shows, and its margin.
 KEEP, DISCARD, CRASH = "KEEP", "DISCARD", "CRASH"
@@ -60,7 +60,7 @@ def keep_rate(df: DataFrame, by: Sequence[str] = ("tag",)) -> DataFrame:
 
 def _first(value: Column, order: Sequence[str], where: Column | None = None) -> Column:
     """Value on the first row, null if that value is null."""
-    at = F.struct(*order)
+    at = order_key(order)
     return F.min_by(value, at if where is None else F.when(where, at))
 
 

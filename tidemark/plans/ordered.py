@@ -139,6 +139,11 @@ def latest(value: Column | str, inclusive: bool = True) -> Scan:
     return Scan("latest", _col(value), inclusive)
 
 
+def order_key(order: Sequence[str]) -> Column:
+    """The order columns as one value to compare by."""
+    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
+
+
 def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
@@ -222,7 +227,7 @@ class Ordered:
         return replace(base, df=df, scanned=True)
 
     def _receive(self, df: DataFrame, scans: dict[str, Scan]) -> DataFrame:
-        order = F.struct(*self.order)
+        order = order_key(self.order)
         sums = self._cut_rows().groupBy(*self.keys, SLICE).agg(
             *[scan.summary(order).alias(name) for name, scan in scans.items()]
         )
