@@ -157,21 +157,55 @@ class Cuts:
 
     fields: tuple[T.StructField, ...]
     points: tuple[tuple, ...]
+    n_keys: int
+
+    def groups(self) -> list[tuple]:
+        """Groups that a cut point falls into."""
+        return list(dict.fromkeys(p[: self.n_keys] for p in self.points))
 
     def position(self) -> Column:
-        """Index of the slice a row falls into: a binary search over the cut points."""
-        bounds = F.array(*[_literal(point, self.fields) for point in self.points])
-        key = F.struct(*[F.col(f.name) for f in self.fields])
+        """Index of the slice a row falls into. Rows of a group that is not cut all have index 0."""
+        if self.n_keys != 1:
+            return self._search()
+        key, cut = F.col(self.fields[0].name), [g[0] for g in self.groups()]
+        in_cut = F.coalesce(key.isin([k for k in cut if k is not None]), F.lit(False))
+        if None in cut:
+            in_cut = in_cut | key.isNull()
+        return F.when(in_cut, self._search()).otherwise(F.lit(0))
+
+    def _search(self) -> Column:
+        """Number of cut points at or before a row, by binary search."""
         steps, step = [], 1
         while step <= len(self.points):
             steps.insert(0, step)
             step *= 2
+        reached = self._reached()
         return F.aggregate(
             F.array(*[F.lit(s) for s in steps]),
             F.lit(0),
-            lambda at, s: F.when(F.get(bounds, at + s - F.lit(1)) <= key, at + s).otherwise(at),
+            lambda at, s: F.when(reached(at + s - F.lit(1)), at + s).otherwise(at),
         )
 
+    def _reached(self):
+        """Whether a row lies at or after the cut point of an index; null, like false, for an index past the end."""
+        if any(None in p for p in self.points):
+            bounds = F.array(*[_literal(point, self.fields) for point in self.points])
+            row = F.struct(*[F.col(f.name) for f in self.fields])
+            return lambda i: F.get(bounds, i) <= row
+        # Without nulls, one array per column compares much faster than structs. A null in the row sorts first.
+        columns = [
+            F.array(*[F.lit(p[j]).cast(f.dataType) for p in self.points]) for j, f in enumerate(self.fields)
+        ]
+
+        def reached(i: Column) -> Column:
+            last = F.get(columns[-1], i) <= F.col(self.fields[-1].name)
+            for bounds, f in list(zip(columns, self.fields))[-2::-1]:
+                bound, value = F.get(bounds, i), F.col(f.name)
+                last = (bound < value) | ((bound == value) & last)
+            return last
+
+        return reached
+
 
 def _literal(point: Sequence, fields: Sequence[T.StructField]) -> Column:
     return F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(point, fields)])
@@ -194,7 +228,7 @@ def find_cuts(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per
     chosen = list(dict.fromkeys(tuple(sample[i]) for i in points))
     if not chosen:
         return None
-    return Cuts(tuple(columns.schema.fields), tuple(chosen))
+    return Cuts(tuple(columns.schema.fields), tuple(chosen), len(keys))
 
 
 # --------------------------------------------------------------------------- ordered rows
@@ -248,9 +282,8 @@ class Ordered:
         if not self.keys:
             return self.df
         fields = self.cuts.fields[: len(self.keys)]
-        groups = list(dict.fromkeys(p[: len(self.keys)] for p in self.cuts.points))
         schema = T.StructType([T.StructField(f"_g{i}", f.dataType) for i, f in enumerate(fields)])
-        cut = self.df.sparkSession.createDataFrame(groups, schema)
+        cut = self.df.sparkSession.createDataFrame(self.cuts.groups(), schema)
         same = reduce(
             lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_g{i}")) for i, k in enumerate(self.keys)]
         )
@@ -269,13 +302,12 @@ class Ordered:
         The bounds on the first order column reach the scan, so files outside of them are not read.
         """
         first, points = F.col(self.order[0]), self.cuts.points
-        out = self.df.filter((F.col(SLICE) >= low) & (F.col(SLICE) < high))
-        kind = self.cuts.fields[0].dataType
+        kind, out = self.cuts.fields[0].dataType, self.df
         if low > 0 and points[low - 1][0] is not None:
             out = out.filter(first >= F.lit(points[low - 1][0]).cast(kind))
-        if high <= len(points):
+        if high <= len(points) and points[high - 1][0] is not None:
             out = out.filter(_up_to(first, F.lit(points[high - 1][0]).cast(kind)))
-        return out
+        return out.filter((F.col(SLICE) >= low) & (F.col(SLICE) < high))
 
 
 def _up_to(column: Column, bound: Column) -> Column:
