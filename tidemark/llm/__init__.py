@@ -9,6 +9,7 @@ from tidemark.queries.registry import Query
 
 MODULES = (
     "mixing",
+    "packing_histogram",
     "simhash_trie",
     "warc",
 )
