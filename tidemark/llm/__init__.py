@@ -10,6 +10,7 @@ from tidemark.queries.registry import Query
 MODULES = (
     "learned_partitions",
     "mixing",
+    "outliers",
     "packing_histogram",
     "simhash_trie",
     "warc",
