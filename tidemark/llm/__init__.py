@@ -13,6 +13,7 @@ MODULES = (
     "outliers",
     "packing_histogram",
     "simhash_trie",
+    "toxicity",
     "warc",
 )
 
