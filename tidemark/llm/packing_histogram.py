@@ -12,6 +12,7 @@ repeated rows and null ids are packed like any other; an empty table gives no ro
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -28,8 +29,8 @@ CAPACITY = 4_096
 END_TOKEN = 2
 #: Rows ranked together.
 BUCKET_ROWS = 100_000
-#: Words whose ids a worker remembers; a full memory starts anew.
-REMEMBERED_WORDS = 400_000
+#: Words whose ids a worker remembers, twice.
+REMEMBERED_WORDS = 500_000
 
 PIECES = "doc_id {}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
@@ -37,27 +38,42 @@ PIECES = "doc_id {}, start bigint, length bigint, ids_crc32 bigint, doc_tokens b
 # --------------------------------------------------------------------------- encoding and cutting
 
 
-class WordIds(dict):
-    """The ids of white-space separated words as little-endian 32-bit integers.
+#: A full stop or comma after an ASCII letter or digit at the end of a word is a piece of its own.
+LAST_MARK = re.compile(rb"(?<=[a-z0-9])([.,])(?=[\x20\x09-\x0D]|$)")
 
-    The vocabulary's splitting never joins text across white space, so words are encoded once each.
+
+class WordIds:
+    """The ids of words as little-endian 32-bit integers.
+
+    The vocabulary lowers case and never joins text across white space, so words are encoded once each. Of the words seen
+    before, a worker remembers the latest.
     """
 
     def __init__(self, definition: str) -> None:
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.definition, self.tokenizer = definition, Tokenizer.from_str(definition)
+        self.recent: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def encode(self, text: bytes) -> bytes:
+        if b"<|" not in text:  # else it may hold a special token, which case tells from other text
+            text = LAST_MARK.sub(rb" \1", text.lower())
         words = text.split()  # at ASCII white space
-        if len(self) > REMEMBERED_WORDS:
-            self.clear()
-        if new := [w for w in set(words) if w not in self]:
+        if len(self.recent) > REMEMBERED_WORDS:
+            self.recent, self.older = {}, self.recent
+        recent, older = self.recent, self.older
+        new = []
+        for word in set(words).difference(recent):
+            if word in older:
+                recent[word] = older[word]
+            else:
+                new.append(word)
+        if new:
             texts = [w.decode("utf-8", "replace") for w in new]
             for word, found in zip(new, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-                self[word] = np.array(found.ids, "<u4").tobytes()
-        return b"".join(map(self.__getitem__, words))
+                recent[word] = np.array(found.ids, "<u4").tobytes()
+        return b"".join(map(recent.__getitem__, words))
 
 
 _encoders: list[WordIds] = []
