@@ -28,7 +28,7 @@ from tidemark.plans.staging import stage
 CAPACITY = 4_096
 END_TOKEN = 2
 #: Rows ranked together.
-BUCKET_ROWS = 100_000
+BUCKET_ROWS = 4_000
 #: Words whose ids a worker remembers, twice.
 REMEMBERED_WORDS = 500_000
 
