@@ -12,6 +12,7 @@ MODULES = (
     "mixing",
     "outliers",
     "packing_histogram",
+    "pitman_yor",
     "simhash_trie",
     "toxicity",
     "warc",
