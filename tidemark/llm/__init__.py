@@ -13,6 +13,7 @@ MODULES = (
     "outliers",
     "packing_histogram",
     "pitman_yor",
+    "run_index",
     "simhash_trie",
     "toxicity",
     "warc",
