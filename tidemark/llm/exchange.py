@@ -6,6 +6,7 @@ with compressed arrays in place of one row per key.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,10 +35,22 @@ def array(data: bytes, kind: str = "i8") -> np.ndarray:
 
 
 def stage_arrays(df: DataFrame, name: str) -> DataFrame:
-    """A written table of compressed arrays."""
-    path = staged_path(df.sparkSession, name)
+    """A written table of compressed arrays.
+
+    Shuffles are kept until the driver's garbage collector finds that nothing refers to them; it has no reason to run
+    while executors fill their disks, so it is asked to after each written table.
+    """
+    spark = df.sparkSession
+    path = staged_path(spark, name)
     df.write.option("compression", "none").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def ascending(x: np.ndarray) -> bytes:
+    """Numbers that never fall, as compressed differences."""
+    return packed(np.diff(x, prepend=0))
 
 
 def divided(key: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
