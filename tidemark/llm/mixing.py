@@ -86,18 +86,10 @@ def _border(rows: DataFrame, sources: DataFrame) -> tuple[DataFrame, DataFrame]:
     return border, inside
 
 
-def mix(
-    docs: DataFrame,
-    size: Column,
-    weights: Sequence[float] = WEIGHTS,
-    most_repeats: int = MOST_REPEATS,
-    seed: str = SEED,
-) -> DataFrame:
-    """The documents with size, source_size, target, copies, p, pareto_rank and taken (copies times size)."""
-    rows = docs.select(
-        "doc_id", source_key(F.col("source")).alias("key"), size.cast("bigint").alias("size"), draw(seed, F.col("doc_id")).alias("u")
-    )
-    rows = stage(rows, "mix")
+def _decided(docs: DataFrame, size: Column, weights: Sequence[float], most_repeats: float, seed: str, whole: bool) -> DataFrame:
+    """key, size and u of each document, with what its source gets, and copies; ``row``, its columns, if ``whole``."""
+    columns = [source_key(F.col("source")).alias("key"), size.cast("bigint").alias("size"), draw(seed, F.col("doc_id")).alias("u"), "doc_id"]
+    rows = stage(docs.select(*columns), "mix")
     sources = source_targets(rows.groupBy("key").agg(F.sum("size").alias("source_size")), weights, most_repeats)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     sources = sources.withColumn("whole", F.floor(ratio)).withColumn("p", ratio - F.col("whole"))
@@ -105,22 +97,32 @@ def mix(
     border, inside = _border(rows, sources)
 
     # A handful of rows per source: those that share 36 bits of the draw at the border.
+    place = F.struct("u", F.coalesce("doc_id", F.lit(-(2**63))).alias("doc_id"), "size")
     near = Window.partitionBy("key").orderBy("u", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     last = (
         inside.withColumn("before", F.coalesce(F.sum("size").over(near), F.lit(0)))
         .join(border, "key")
         .filter(F.col("before") + F.col("size") / 2 < F.col("left"))
         .groupBy("key", "prefix")
-        .agg(F.max(F.struct("u", F.coalesce("doc_id", F.lit(-(2**63))).alias("doc_id"), "size")).alias("last"))
+        .agg(F.max(place).alias("last"))
     )
     known = sources.join(border.drop("left"), "key", "left").join(last, ["key", "prefix"], "left")
-    known = known.withColumn("full", (F.col("left") > 0) & F.col("prefix").isNull())
-    shift = DRAW_BITS - LEVEL_BITS * LEVELS
-    at = F.struct("u", F.coalesce("doc_id", F.lit(-(2**63))).alias("doc_id"), "size")
-    extra = F.col("full") | (F.shiftright("u", shift) < F.col("prefix")) | (at <= F.col("last"))
+    known = stage(known.withColumn("full", (F.col("left") > 0) & F.col("prefix").isNull()), "known")
+    extra = F.col("full") | (F.shiftright("u", DRAW_BITS - LEVEL_BITS * LEVELS) < F.col("prefix")) | (place <= F.col("last"))
+    base = docs.select(*columns, F.struct("*").alias("row")) if whole else rows
+    return base.join(known, "key").withColumn("copies", F.col("whole") + F.coalesce(extra, F.lit(False)).cast("bigint"))
+
+
+def mix(
+    docs: DataFrame,
+    size: Column,
+    weights: Sequence[float] = WEIGHTS,
+    most_repeats: int = MOST_REPEATS,
+    seed: str = SEED,
+) -> DataFrame:
+    """The documents with size, source_size, target, copies, p, pareto_rank and taken (copies times size)."""
     u = (F.col("u") + 0.5) / float(2**DRAW_BITS)
-    out = rows.join(known, "key").withColumn("copies", F.col("whole") + F.coalesce(extra, F.lit(False)).cast("bigint"))
-    return out.select(
+    return _decided(docs, size, weights, most_repeats, seed, whole=False).select(
         "doc_id",
         "size",
         "source_size",
@@ -132,6 +134,22 @@ def mix(
     )
 
 
+def mixed(
+    docs: DataFrame,
+    size: Column,
+    weights: Sequence[float] = WEIGHTS,
+    most_repeats: int = MOST_REPEATS,
+    seed: str = SEED,
+) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it."""
+    rows = _decided(docs, size, weights, most_repeats, seed, whole=True).filter("copies > 0")
+    return rows.select("row", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies"))).select("row.*")
+
+
+def words(column: str = "text") -> Column:
+    return F.coalesce(F.regexp_count(column, F.lit(WORD)), F.lit(0))
+
+
 SQL = rf"""
 WITH d AS (SELECT doc_id, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS k,
   len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size,
@@ -156,5 +174,5 @@ SELECT doc_id, size, z AS source_size, target,
 @query("op7_pareto_mix", SQL)
 def pareto_mix(spark: SparkSession, folder: str) -> DataFrame:
     """All documents mixed to the weights 5, 2, 1, repeating over the sources."""
-    words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0))
-    return mix(table(spark, folder, "documents"), words).select("doc_id", "size", "source_size", "target", "taken")
+    mixture = mix(table(spark, folder, "documents"), words())
+    return mixture.select("doc_id", "size", "source_size", "target", "taken")
