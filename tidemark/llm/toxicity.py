@@ -5,8 +5,7 @@ the more characters lie in between, in either. Characters inserted into an insul
 Within ``SPAN`` characters these subsequences are few enough to be listed, so a string's kernel with all landmarks is a
 lookup of its subsequences in one table.
 
-A text is read sentence by sentence as units: its words without punctuation, and runs of single characters read
-together. Landmarks are units whose share among toxic training texts stands out, unlike each other under the kernel.
+A text is read as units: its words without punctuation, and runs of single characters read together. Landmarks are units whose share among toxic training texts stands out, unlike each other under the kernel.
 Each text is represented by its largest kernel value with each landmark, mapped by the inverse root of the landmarks'
 own kernel matrix; a linear support vector machine with squared hinge loss separates the classes there, and a sigmoid
 fitted to its margins gives the score.
@@ -43,37 +42,32 @@ DECAY, SPAN, UNIT = 0.75, 8, 24
 FLOOR, ALIKE = 0.35, 0.8
 #: A landmark occurs in this many toxic texts, with this standard score against the others.
 LEAST_TEXTS, LEAST_SCORE = 3, 4.0
-REMEMBERED_UNITS = 300_000
+REMEMBERED_WORDS = 400_000
+TEXTS_AT_ONCE = 256
 
 PUNCTUATION = dict.fromkeys(c for c in range(33, 127) if not chr(c).isalnum())
-SENTENCE_END = re.compile(r"[.!?]+[\x20\x09-\x0D]+|\n")
+#: Three or more single characters in a row, each with any punctuation around it.
+SPELLED_OUT = re.compile(r"(?<!\S)(?:[^\w\s]*\w[^\w\s]*[ \t]+){2,}[^\w\s]*\w[^\w\s]*(?!\S)")
 
 
-def sentence_units(sentence: str) -> Iterator[str]:
-    """Lower-case units of a sentence, none of them longer than ``UNIT``."""
-    run: list[str] = []
-    for word in [*sentence.lower().split(), ""]:
-        word = word.translate(PUNCTUATION)
-        if len(word) == 1:
-            run.append(word)
-            continue
-        if len(run) > 2:
-            yield from _windows("".join(run))
-        run = []
-        if len(word) > 2:
-            yield from _windows(word)
+def text_words(text: str) -> set[str]:
+    """Lower-case words of a text, and its runs of single characters as one word each."""
+    lower = text.lower()
+    words = set(lower.split())
+    words.update("".join(run.split()) for run in SPELLED_OUT.findall(lower))
+    return words
 
 
-def _windows(unit: str) -> Iterator[str]:
-    for at in range(0, max(1, len(unit) - UNIT // 2), UNIT // 2):
-        yield unit[at : at + UNIT]
+def word_units(word: str) -> list[str]:
+    """A word without punctuation as units, none of them longer than ``UNIT``."""
+    unit = word.translate(PUNCTUATION)
+    if len(unit) <= UNIT:
+        return [unit] if len(unit) > 2 else []
+    return [unit[at : at + UNIT] for at in range(0, max(1, len(unit) - UNIT // 2), UNIT // 2)]
 
 
 def text_units(text: str) -> set[str]:
-    found: set[str] = set()
-    for sentence in SENTENCE_END.split(text):
-        found.update(sentence_units(sentence))
-    return found
+    return {unit for word in text_words(text) for unit in word_units(word)}
 
 
 # --------------------------------------------------------------------------- the kernel
@@ -119,7 +113,9 @@ class Landmarks:
     """Landmark strings and the table of their subsequences."""
 
     strings: list[str]
-    memory: dict[str, np.ndarray | None] = field(default_factory=dict, repr=False)
+    seen: set[str] = field(default_factory=set, repr=False)
+    #: Of the words seen, those like a landmark.
+    alike: dict[str, np.ndarray] = field(default_factory=dict, repr=False)
 
     @cached_property
     def _table(self) -> tuple[np.ndarray, np.ndarray]:
@@ -153,19 +149,22 @@ class Landmarks:
                 out[part[some]] = np.add.reduceat(shared, edge, axis=0) / _norms(codes[some], weight)[:, None]
         return out
 
-    def likeness(self, text: str) -> np.ndarray:
-        """The largest kernel value of any unit of the text with each landmark; small ones count as none."""
-        if len(self.memory) > REMEMBERED_UNITS:
-            self.memory.clear()
-        units = text_units(text)
-        if new := [u for u in units if u not in self.memory]:
-            values = self.kernel(new)
-            large = values.max(axis=1, initial=0) >= FLOOR
-            self.memory |= {u: np.where(v >= FLOOR, v, 0) if keep else None for u, v, keep in zip(new, values, large)}
-        out = np.zeros(len(self.strings))
-        for value in map(self.memory.__getitem__, units):
-            if value is not None:
-                np.maximum(out, value, out=out)
+    def likeness(self, texts: list[str]) -> np.ndarray:
+        """For each text, the largest kernel value of any of its units with each landmark; small ones count as none."""
+        if len(self.seen) > REMEMBERED_WORDS:
+            self.seen, self.alike = set(), {}
+        words = [text_words(text) for text in texts]
+        new = set().union(*words) - self.seen
+        units = [(word, unit) for word in new for unit in word_units(word)]
+        values = self.kernel([unit for _, unit in units])
+        for i in np.flatnonzero(values.max(axis=1, initial=0) >= FLOOR):
+            word, value = units[i][0], np.where(values[i] >= FLOOR, values[i], 0)
+            self.alike[word] = np.maximum(value, self.alike.get(word, 0))
+        self.seen |= new
+        out = np.zeros((len(texts), len(self.strings)))
+        for row, own in zip(out, words):
+            for word in own & self.alike.keys():
+                np.maximum(row, self.alike[word], out=row)
         return out
 
 
@@ -249,6 +248,11 @@ def _arrow_texts(column: pa.Array) -> Iterator[str]:
     return (text or "" for text in column.to_pylist())
 
 
+def _likeness(known: Landmarks, column: pa.Array) -> np.ndarray:
+    parts = [column.slice(at, TEXTS_AT_ONCE) for at in range(0, max(1, len(column)), TEXTS_AT_ONCE)]
+    return np.concatenate([known.likeness(list(_arrow_texts(part))) for part in parts])
+
+
 def training_texts(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_ROWS) -> DataFrame:
     """text and toxic of at most ``most`` labelled documents of each class outside the held-out fold."""
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out("doc_id"))
@@ -302,7 +306,7 @@ def with_likeness(docs: DataFrame, landmarks: list[str], *kept: str) -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _landmarks(strings)
         for batch in batches:
-            found = [known.likeness(text) for text in _arrow_texts(batch.column(0))]
+            found = _likeness(known, batch.column(0)).tolist()
             yield pa.record_batch([*batch.columns[1:], pa.array(found, pa.list_(pa.float64()))], names=[*kept, "likeness"])
 
     schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept), "likeness array<double>"])
@@ -317,7 +321,7 @@ def scored(docs: DataFrame, model: Model | None, *kept: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _landmarks(model.landmarks)
         for batch in batches:
-            found = np.array([known.likeness(t) for t in _arrow_texts(batch.column(0))]).reshape(-1, len(model.landmarks))
+            found = _likeness(known, batch.column(0))
             yield pa.record_batch([*batch.columns[1:], pa.array(model.scores(found))], names=[*kept, "score"])
 
     schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept), "score double"])
