@@ -169,23 +169,50 @@ def test_packing_equals_naive_search(documents):
     for shard in range(3):
         own = [d[2] for d in docs if d[0] == shard]
         batches += [own[i : i + 128] for i in range(0, len(own), 128)]
-    rows = packing.packed(document_batches(df), F.col("ids"), 33, buffer=150).orderBy("row_id").collect()
+    rows = packing.packed(document_batches(df), F.col("ids"), 33, buffer=150, packers=1).orderBy("row_id").collect()
     assert [list(r.tokens) for r in rows] == naive_pack(batches, 33, 150)
     assert all(r.packer_id == 0 for r in rows)
 
 
 def test_many_packers_share_a_shard(documents):
     docs, df = documents
-    rows = packing.packed(document_batches(df, epochs=2), F.col("ids"), 33, buffer=20, docs_per_packer=100).cache()
+    rows = packing.packed(document_batches(df, epochs=2), F.col("ids"), 33, buffer=20, packers=6).cache()
     report = packing.packing_report(rows, 33, 7).head()
     assert report.n_rows == report.full_rows == report.bos_rows > 0
-    assert rows.select("packer_id").distinct().count() > 5
+    assert rows.select("packer_id").distinct().count() == 6
     total = 2 * sum(len(d[2]) for d in docs)
     packers = rows.select("packer_id").distinct().count()
     lost = total - 33 * report.n_rows - report.cropped_tokens
     assert 0 <= lost < 33 * (packers + 3) + 81 * 33  # only unfinished last rows
 
 
+@pytest.mark.parametrize("packers", [1, 3, 5])
+def test_packing_ignores_files_and_partitions(spark, documents, tmp_path, packers):
+    _, df = documents
+    one, many = str(tmp_path / "one"), str(tmp_path / "many")
+    df.coalesce(1).write.parquet(one)
+    df.repartition(5).write.parquet(many)
+    key = lambda r: (r.packer_id, r.row_id)
+    made = []
+    for path, parts in ((one, 1), (many, 7), (many, 2)):
+        docs = document_batches(spark.read.parquet(path).repartition(parts), epochs=2)
+        rows = packing.packed(docs, F.col("ids"), 33, buffer=20, packers=packers).collect()
+        made.append([(key(r), list(r.tokens), r.epoch, r.drain) for r in sorted(rows, key=key)])
+    assert made[0] == made[1] == made[2]
+
+
+def test_each_packer_is_a_loader_of_its_range(documents):
+    docs, df = documents
+    batches = []
+    for shard in range(3):
+        own = [d[2] for d in docs if d[0] == shard]
+        batches += [own[i : i + 128] for i in range(0, len(own), 128)]
+    rows = packing.packed(document_batches(df), F.col("ids"), 33, buffer=20, packers=2).orderBy("packer_id", "row_id").collect()
+    for packer in (0, 1):
+        mine = [b for i, b in enumerate(batches) if i * 2 // len(batches) == packer]
+        assert [list(r.tokens) for r in rows if r.packer_id == packer] == naive_pack(mine, 33, 20)
+
+
 def test_evaluation_rows(documents):
-    rows = packing.packed(document_batches(documents[1]), F.col("ids"), 33, buffer=20, docs_per_packer=100)
+    rows = packing.packed(document_batches(documents[1]), F.col("ids"), 33, buffer=20, packers=6)
     assert packing.evaluation_rows(rows, 4, 32 * 25, 32).count() == 24

@@ -205,6 +205,12 @@ def decoded(ids: Column, merges: Sequence[Merge], special: Sequence[str] = SPECI
     return F.make_valid_utf8(F.array_join(pieces, ""))
 
 
+def bytes_of(ids: Column, merges: Sequence[Merge]) -> Column:
+    """Bytes that token ids stand for, summed in the array; special tokens have none."""
+    lengths = F.array(*[F.lit(len(v)) for v in token_values(merges)])
+    return F.aggregate(ids, F.lit(0).cast("bigint"), lambda n, i: n + F.coalesce(F.get(lengths, i), F.lit(0)))
+
+
 def with_token_bytes(tokens: DataFrame, vocab: DataFrame, token_id: str = "token_id") -> DataFrame:
     """Token rows with the byte length of their token. The vocabulary is bounded by its size parameter."""
     lengths = vocab.select(F.col("token_id").alias(token_id), "n_bytes", "raw_bytes", "is_special")

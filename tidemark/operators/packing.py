@@ -5,47 +5,50 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.evaluation import eval_rows
-from tidemark.plans.ordered import SLICE, keep_until, order_rows
+from tidemark.plans.ordered import keep_until
 from tidemark.schemas import PACKED
 
-# Documents a packer holds at least, and the order of documents.
+# Fixed value: documents a packer holds at least.
 BUFFER_DOCS = 1_000
-DOCS_PER_PACKER = 250_000
-ORDER = ("epoch", "shard", "doc_id")
+#: Packers by default. The rows depend on this number, so it is a parameter and never follows the cluster or the files.
+PACKERS = 8
+ORDER = ("epoch", "shard", "batch", "doc_id")
+
+
+def with_packer(docs: DataFrame, packers: int) -> DataFrame:
+    """``packer``: which contiguous range of the corpus's batches a document belongs to, the same in every epoch.
+
+    Batches are numbered over all shards in order. There is one small row per shard.
+    """
+    shards = docs.groupBy("shard").agg((F.max("batch") + 1).alias("_batches"))
+    upto = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    shards = shards.withColumn("_before", F.coalesce(F.sum("_batches").over(upto), F.lit(0)))
+    shards = shards.withColumn("_total", F.sum("_batches").over(Window.partitionBy(F.lit(0))))
+    place = F.expr(f"((_before + batch) * {int(packers)}) div _total")
+    return docs.join(shards, "shard").withColumn("packer", place).drop("_batches", "_before", "_total")
 
 
 def packed(
-    docs: DataFrame,
-    ids: Column,
-    row_tokens: int,
-    buffer: int = BUFFER_DOCS,
-    docs_per_packer: int = DOCS_PER_PACKER,
-    cuts_from: DataFrame | None = None,
+    docs: DataFrame, ids: Column, row_tokens: int, buffer: int = BUFFER_DOCS, packers: int = PACKERS
 ) -> DataFrame:
     """Rows of exactly ``row_tokens`` tokens from documents (epoch, shard, doc_id, batch, ...).
 
-    ``ids`` is the column expression of a document's tokens, the first of which begins a document. A packer takes
-    the documents of one contiguous slice of the corpus in order, so a large shard is shared by many packers; with one
-    slice the rows come in the order of a single loader. A packer holds ``buffer`` documents, refilled by whole
-    batches. It places the largest document that fits, the first of equal ones. When none fits it cuts the
-    shortest to the space that is left and drops the rest of it. Rows made after the last batch was read are marked
-    ``drain``; a last row that cannot be filled is left out. ``cuts_from`` is a stored table with the order columns.
+    ``ids`` is the column expression of a document's tokens, the first of which begins a document. Each of ``packers``
+    takes a contiguous range of the corpus's batches and reads it in order, epoch after epoch, as one of that many
+    loaders; one packer gives exactly the rows of a single loader. Rows depend only on the documents and these
+    parameters. A packer holds ``buffer`` documents, refilled by whole batches. It places the largest document that
+    fits, the first of equal ones. When none fits it cuts the shortest to the space that is left and drops the rest
+    of it. Rows made after the last batch was read are marked ``drain``; a last row that cannot be filled is left out.
     """
-    ordered = order_rows(docs.select(*ORDER, "batch", *_inputs(docs)), (), ORDER, docs_per_packer, cuts_from)
-    rows = ordered.df.select(SLICE, *ORDER, "batch", ids.alias("ids"))
-    slices = 1 if ordered.cuts is None else len(ordered.cuts.points) + 1
-    rows = rows.repartitionById(slices, SLICE).sortWithinPartitions(*ORDER)
+    rows = with_packer(docs, packers).select("packer", *ORDER, ids.alias("ids"))
+    rows = rows.repartitionById(packers, F.col("packer").cast("int")).sortWithinPartitions("packer", *ORDER)
     return rows.mapInPandas(_packer(row_tokens, buffer), PACKED)
 
 
-def _inputs(docs: DataFrame) -> list[str]:
-    return [c for c in docs.columns if c not in (*ORDER, "batch")]
-
-
 def _packer(row_tokens: int, buffer: int):
     def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from bisect import bisect_right, insort
@@ -57,10 +60,10 @@ def _packer(row_tokens: int, buffer: int):
         def documents():
             for frame in frames:
                 yield from zip(
-                    frame["_slice"], frame["epoch"], frame["shard"], frame["batch"], frame["ids"], strict=True
+                    frame["packer"], frame["epoch"], frame["shard"], frame["batch"], frame["ids"], strict=True
                 )
 
-        def rows_of(slice_no, docs):
+        def rows_of(packer, docs):
             batches = (list(group) for _, group in groupby(docs, key=lambda d: d[1:4]))
             queues, lengths = {}, []  # documents of each length in order of arrival; the lengths held, sorted
             held, more, epoch, row_no = 0, True, 1, 0
@@ -92,11 +95,11 @@ def _packer(row_tokens: int, buffer: int):
                     row.append(doc[:room])
                     room -= min(len(doc), room)
                     held, n_docs = held - 1, n_docs + 1
-                yield slice_no, row_no, np.concatenate(row), epoch, not more, n_docs, cropped
+                yield packer, row_no, np.concatenate(row), epoch, not more, n_docs, cropped
                 row_no += 1
 
         made = chain.from_iterable(
-            rows_of(slice_no, docs) for slice_no, docs in groupby(documents(), key=lambda d: d[0])
+            rows_of(packer, docs) for packer, docs in groupby(documents(), key=lambda d: d[0])
         )
         names = ["packer_id", "row_id", "tokens", "epoch", "drain", "docs", "cropped"]
         while chunk := list(islice(made, 256)):

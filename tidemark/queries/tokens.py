@@ -13,22 +13,31 @@ from tidemark.operators import packing
 from tidemark.plans.staging import stage, staged_path
 from tidemark.queries.corpus import WORDS, split_corpus
 from tidemark.queries.registry import query
-from tidemark.queries.views import with_views
+from tidemark.queries.views import CORPUS, with_views
+from tidemark.session import shared_dir
 from tidemark.sources import readers, sinks, tables
 
 MERGES = 48
-ROW_TOKENS = 513
-BATCH_ROWS, EVAL_BUDGET = 4, 100_000
-_trained: dict[str, list[bpe.Merge]] = {}
+ROW_TOKENS = 2_049
+BATCH_ROWS, EVAL_BUDGET = 4, 20_971_520
+MERGE_ROWS = "rank int, left_id int, right_id int"
 
 
 def merges(spark, folder):
-    """Merges trained on the training split within the character budget; trained once per folder."""
-    if folder not in _trained:
+    """Merges trained on the training split within the character budget.
+
+    They are a stored table in the shared folder, found again by the number of merges and a digest of the documents.
+    """
+    rows = tables.corpus(spark, folder)
+    digest = rows.agg(F.count(F.lit(1)), F.sum(F.xxhash64("shard", "doc_id", "text").cast("decimal(38,0)"))).head()
+
+    def train():
         train = split_corpus(spark, folder).filter("split = 'train'")
         words = p.word_counts(readers.spread(p.character_budget(train)), F.col("text"))
-        _trained[folder] = bpe.train(words, MERGES)
-    return _trained[folder]
+        return spark.createDataFrame([(i, *pair) for i, pair in enumerate(bpe.train(words, MERGES))], MERGE_ROWS)
+
+    stored = sinks.built_once(spark, f"{shared_dir(spark)}/merges-{MERGES}-{digest[0]}-{digest[1]}", train)
+    return [(r.left_id, r.right_id) for r in stored.orderBy("rank").collect()]  # as many rows as there are merges
 
 
 def vocabulary(spark, folder):
@@ -44,8 +53,7 @@ def packed(spark, folder, split):
     known = merges(spark, folder)
     docs = split_corpus(spark, folder).filter(F.col("split") == split).select("shard", "doc_id", "text")
     ids = bpe.encoded(F.col("text"), known, bpe.bos_id(known))
-    stored = docs.select(F.lit(1).alias("epoch"), "shard", "doc_id")
-    return packing.packed(p.document_batches(docs), ids, ROW_TOKENS, cuts_from=stored)
+    return packing.packed(p.document_batches(docs), ids, ROW_TOKENS)
 
 
 @query("t4_pair_counts", with_views(WORDS) + """
@@ -58,6 +66,10 @@ def t4_pairs(spark, folder):
     return pairs.select(F.hex(F.encode("pair", "ISO-8859-1")).alias("pair"), "cnt")
 
 
+# What must hold of any vocabulary, whatever its merges.
+IDS = f"(SELECT range AS token_id FROM range({256 + MERGES + 4}))"
+
+
 @query("t4_merges")
 def t4(spark, folder):
     rows = vocabulary(spark, folder).filter("left_id is not null")
@@ -74,6 +86,31 @@ def t6(spark, folder):
     return vocabulary(spark, folder).select("token_id", "n_bytes", "raw_bytes")
 
 
+@query("t6_vocabulary_invariants", f"""
+SELECT count(*) AS n_tokens, count(*) FILTER (token_id >= {256 + MERGES}) AS n_special, CAST({MERGES} AS BIGINT) AS n_merged,
+  true AS bytes_come_first, true AS parts_come_before, true AS lengths_add_up FROM {IDS}""")
+def t6_invariants(spark, folder):
+    """Single bytes first, then tokens made of two earlier ones whose lengths add up, then the special ones."""
+    rows = vocabulary(spark, folder)
+    part = lambda side: rows.select(F.col("token_id").alias(f"{side}_id"), F.col("raw_bytes").alias(f"{side}_bytes"))
+    joined = rows.join(part("left"), "left_id", "left").join(part("right"), "right_id", "left")
+    merged = F.col("left_id").isNotNull()
+    return joined.agg(
+        F.count(F.lit(1)).alias("n_tokens"),
+        F.count_if("is_special").alias("n_special"),
+        F.count_if(merged).alias("n_merged"),
+        F.bool_and((F.col("token_id") >= 256) | (F.hex("token") == F.lpad(F.hex("token_id"), 2, "0"))).alias("bytes_come_first"),
+        F.bool_and(~merged | (F.greatest("left_id", "right_id") < F.col("token_id"))).alias("parts_come_before"),
+        F.bool_and(~merged | (F.col("raw_bytes") == F.col("left_bytes") + F.col("right_bytes"))).alias("lengths_add_up"),
+    )
+
+
+@query("t7_encoded_bytes", "SELECT doc_id, CAST(strlen(text) AS BIGINT) AS n_bytes FROM documents")
+def t7_bytes(spark, folder):
+    """The bytes of a document's tokens are those of its text."""
+    return encoded(spark, folder).select("doc_id", bpe.bytes_of(F.col("ids"), merges(spark, folder)).alias("n_bytes"))
+
+
 @query("t7_encoded")
 def t7(spark, folder):
     return encoded(spark, folder).select(
@@ -117,9 +154,8 @@ def s15(spark, folder):
 
 @query("j1_token_bytes", "SELECT doc_id, CAST(strlen(text) AS BIGINT) AS raw_bytes FROM documents WHERE text <> ''")
 def j1(spark, folder):
-    tokens = encoded(spark, folder).select("doc_id", F.explode("ids").alias("token_id"))
-    rows = bpe.with_token_bytes(tokens, vocabulary(spark, folder))
-    return rows.groupBy("doc_id").agg(F.sum("raw_bytes").alias("raw_bytes"))
+    rows = encoded(spark, folder).filter(F.size("ids") > 0)
+    return rows.select("doc_id", bpe.bytes_of(F.col("ids"), merges(spark, folder)).alias("raw_bytes"))
 
 
 @query("a1_packed_bits_per_byte")
@@ -150,6 +186,28 @@ def t13(spark, folder):
     return out.withColumn("docs_per_row", F.round("docs_per_row", 6))
 
 
+@query("t13_packing_invariants", with_views(CORPUS) + f"""
+SELECT true AS all_full, true AS all_begin_a_document, true AS placed_at_most_all, true AS tokens_add_up,
+  least({packing.PACKERS}, CAST(sum(batches) AS BIGINT)) AS packers
+FROM (SELECT (count(*) + 127) // 128 AS batches FROM corpus WHERE shard < (SELECT max(shard) FROM corpus) GROUP BY shard)""")
+def t13_invariants(spark, folder):
+    """Rows are full and begin with a document; their tokens and the cut ones are at most those of the split."""
+    known = merges(spark, folder)
+    rows = stage(packed(spark, folder, "train"), "packed")
+    train = split_corpus(spark, folder).filter("split = 'train'")
+    had = train.agg(F.sum(F.size(bpe.encoded(F.col("text"), known)) + 1).alias("had"), F.count(F.lit(1)).alias("n"))
+    docs = train.select("shard", "doc_id")
+    made = packing.with_packer(p.document_batches(docs), packing.PACKERS).agg(F.countDistinct("packer").alias("packers"))
+    report = packing.packing_report(rows, ROW_TOKENS, bpe.bos_id(known))
+    used = F.col("n_rows") * ROW_TOKENS + F.coalesce("cropped_tokens", F.lit(0))
+    return report.crossJoin(had).crossJoin(made).select(  # one row each
+        (F.col("full_rows") == F.col("n_rows")).alias("all_full"),
+        (F.col("bos_rows") == F.col("n_rows")).alias("all_begin_a_document"),
+        (F.coalesce("placed_docs", F.lit(0)) <= F.col("n")).alias("placed_at_most_all"),
+        (used <= F.col("had")).alias("tokens_add_up"),
+        "packers",
+    )
+
 @query("t14_evaluation_rows")
 def t14(spark, folder):
     # Packed once and stored, as a trainer would read it; the budget is then found on the stored rows.
