@@ -5,7 +5,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark import schemas
 from tidemark.operators import chat as c
+from tidemark.sources import readers
 
 U, M = "<|turn>user\n", "<|turn>model\n"
 END = "<turn|>\n"
@@ -62,12 +64,23 @@ def test_turn_tables_agree_with_records(spark, records, per_slice):
     assert (counts.raw_size, counts.size) == (len(RECORDS) - 1, len(got))  # "empty" has no turns
 
 
-def test_long_conversation_continues_in_parts(spark):
-    turns = [(1, i, "user" if i % 2 == 0 else "model", "x" * 50) for i in range(40)]
+def test_long_conversation_is_one_row_or_listed(spark):
+    turns = [(k, i, "user" if i % 2 == 0 else "model", "x" * 50) for k, n in ((1, 40), (2, 2)) for i in range(n)]
     messages = spark.createDataFrame(turns, "conv_id int, turn int, role string, text string")
-    parts = sorted(c.rendered(messages, part_chars=300).collect(), key=lambda r: r.part)
     whole = "".join((U if i % 2 == 0 else M) + "x" * 50 + END for i in range(40))
-    assert len(parts) > 3 and "".join(p.text for p in parts) == whole
+    got = {r.conv_id: r for r in c.rendered(messages).collect()}
+    assert len(got) == 2 and got[1].text == whole
+    got = {r.conv_id: r for r in c.rendered(messages, max_chars=300).collect()}
+    assert len(got) == 2 and got[1].text is None and got[1].n_chars == len(whole) and got[2].text
+
+
+def test_list_content_in_a_record(spark, tmp_path):
+    parts = [{"type": "text", "text": "hi"}, {"type": "image", "text": "no"}]
+    turns = [{"role": "user", "content": parts}, {"role": "assistant", "content": '[{"type": "text", "text": "as typed"}]'}]
+    (tmp_path / "r.json").write_text(json.dumps({"conversations": turns}) + "\n")
+    rows = readers.json_records(spark, str(tmp_path), schemas.RECORD)
+    got = rows.select(c.record_text(c.record_messages(F.col("conversations"), c.variant_text)).alias("t")).head().t
+    assert got == U + "hi" + END + M + '[{"type": "text", "text": "as typed"}]' + END
 
 
 def test_leading_bos_is_dropped(spark):

@@ -1,11 +1,13 @@
 """Chat datasets: role and content normalisation, validity, rendering, target spans, hold-out split.
 
 Two forms. Turn tables hold one row per turn (conv_id, turn, ...) and are never gathered per conversation, except
-for text parts of bounded length. Record expressions work on one array column, where a record is one row already.
+to render texts of bounded length. Record expressions work on one array column, where a record is one row already.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +20,8 @@ LEADING_BOS = "<bos>"
 IGNORED_LABEL = -1
 
 KEYS = ("conv_id",)
-PART_CHARS = 4_000_000
+#: Characters that one rendered text may have: a value must fit into a fraction of an executor.
+MAX_CHARS = 100_000_000
 
 
 # --------------------------------------------------------------------------- roles and content
@@ -59,6 +62,11 @@ def content_text(content: Column, null_text: str | None = "None") -> Column:
     return F.when(F.ltrim(content).startswith("["), joined).otherwise(F.coalesce(scalar, F.lit(null_text)))
 
 
+def variant_text(content: Column) -> Column:
+    """``content_text`` of a variant as the JSON reader makes it of a string, a list or anything else."""
+    return F.when(content.isNotNull(), content_text(F.to_json(content)))
+
+
 def has_text(text: Column) -> Column:
     return text.rlike(r"(?U)\S")
 
@@ -129,21 +137,23 @@ def without_bos(text: Column, bos: str = LEADING_BOS) -> Column:
     return F.when(text.startswith(bos), F.substring(text, len(bos) + 1, 2**31 - 1)).otherwise(text)
 
 
-def rendered(
-    messages: DataFrame, order: str = "turn", part_chars: int = PART_CHARS, cuts_from: DataFrame | None = None
-) -> DataFrame:
-    """Text of each conversation as (conv_id, part, text).
+def rendered(messages: DataFrame, order: str = "turn", max_chars: int = MAX_CHARS) -> DataFrame:
+    """Text of each conversation as (conv_id, n_chars, text), one row each.
 
-    Nearly every conversation is one part. One too long for a single value continues in further parts, so no group
-    gathers more than ``part_chars`` characters and one message. ``cuts_from`` is the stored table of turns.
+    A conversation of more than ``max_chars`` characters cannot be one value; it is listed with its length and no
+    text, and its messages are never gathered.
     """
     rows = messages.select(*KEYS, order, segment(F.col("role"), F.col("text")).alias("_segment"))
-    before = running_sum(F.length("_segment"), inclusive=False)
-    rows = order_rows(rows, KEYS, [order], cuts_from=cuts_from).scan(_start=before).rows()
-    first = F.when(F.col("_start") == 0, without_bos(F.col("_segment"))).otherwise(F.col("_segment"))
-    rows = rows.select(*KEYS, order, F.expr(f"_start div {part_chars}").alias("part"), first.alias("_segment"))
-    texts = rows.groupBy(*KEYS, "part").agg(F.array_sort(F.collect_list(F.struct(order, "_segment"))).alias("_all"))
-    return texts.select(*KEYS, "part", F.array_join(F.transform("_all", lambda s: s["_segment"]), "").alias("text"))
+    sizes = rows.groupBy(*KEYS).agg(F.sum(F.length("_segment")).alias("n_chars"))
+    large = sizes.filter(F.col("n_chars") > max_chars)
+    texts = rows.join(large, list(KEYS), "left_anti").groupBy(*KEYS).agg(
+        F.array_sort(F.collect_list(F.struct(order, "_segment"))).alias("_all")
+    )
+    text = without_bos(F.array_join(F.transform("_all", lambda s: s["_segment"]), ""))
+    short = texts.select(*KEYS, text.alias("text"))
+    return short.select(*KEYS, F.length("text").cast("bigint").alias("n_chars"), "text").unionByName(
+        large.select(*KEYS, "n_chars", F.lit(None).cast("string").alias("text"))
+    )
 
 
 def target_spans(messages: DataFrame, order: str = "turn", cuts_from: DataFrame | None = None) -> DataFrame:
@@ -222,16 +232,16 @@ def holdout(df: DataFrame, key: str, seed: int, share: float = 0.8) -> DataFrame
 # --------------------------------------------------------------------------- records: one array column
 
 
-def record_messages(conversations: Column) -> Column:
+def record_messages(conversations: Column, content: Callable[[Column], Column] = lambda c: c) -> Column:
     """Messages of a from/value or role/content record; null when a turn has neither key.
 
-    Turns are structs with the fields from, value, role and content (text).
+    Turns are structs with the fields from, value, role and content, of which ``content`` makes text.
     """
     messages = F.transform(
         conversations,
         lambda t: F.struct(
             role_of(t["from"], t["role"]).alias("role"),
-            F.coalesce(F.when(t["from"].isNotNull(), t["value"]).otherwise(t["content"]), F.lit("")).alias("text"),
+            F.coalesce(F.when(t["from"].isNotNull(), t["value"]).otherwise(content(t["content"])), F.lit("")).alias("text"),
         ),
     )
     usable = F.filter(messages, lambda m: m["role"].isNotNull() & has_text(m["text"]))
@@ -264,3 +274,10 @@ def record_problem(conversations: Column) -> Column:
         .when(F.size(conversations) == 0, "no turns")
         .when(~complete, "turn without from or value")
     )
+
+
+def line_problem(line: Column) -> Column:
+    """Why a raw line of from/value records cannot be used, bad syntax included; null when it can."""
+    parsed = F.from_json(line, "conversations array<struct<from: string, value: string>>, _bad string", {"columnNameOfCorruptRecord": "_bad"})
+    problem = record_problem(parsed["conversations"])
+    return F.when(parsed["_bad"].isNotNull() | F.try_parse_json(line).isNull(), "not JSON").otherwise(problem)

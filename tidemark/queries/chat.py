@@ -71,9 +71,10 @@ def c6(spark, folder):
 
 
 @query("c7_rendered", with_views(UNEVEN) + """
-SELECT conv_id, CAST(0 AS BIGINT) AS part, string_agg(segment, '' ORDER BY turn) AS text FROM segments GROUP BY conv_id""")
+SELECT conv_id, length(string_agg(segment, '' ORDER BY turn)) AS n_chars, string_agg(segment, '' ORDER BY turn) AS text
+FROM segments GROUP BY conv_id""")
 def c7(spark, folder):
-    return c.rendered(kept_messages(spark, folder), cuts_from=tables.turns(spark, folder))
+    return c.rendered(kept_messages(spark, folder))
 
 
 @query("c8_lenient", with_views(FROM_VALUE) + """
@@ -86,8 +87,8 @@ def c8(spark, folder):
 SELECT conv_id, length(string_agg(segment, '' ORDER BY turn)) AS n_chars, md5(string_agg(segment, '' ORDER BY turn)) AS digest
 FROM segments GROUP BY conv_id""")
 def c9(spark, folder):
-    texts = c.rendered(kept_messages(spark, folder), cuts_from=tables.turns(spark, folder)).filter(F.col("text").isNotNull() & (F.length("text") > 0))
-    return texts.select("conv_id", F.length("text").cast("bigint").alias("n_chars"), F.md5("text").alias("digest"))
+    texts = c.rendered(kept_messages(spark, folder)).filter(F.col("text").isNotNull() & (F.length("text") > 0))
+    return texts.select("conv_id", "n_chars", F.md5("text").alias("digest"))
 
 
 @query("c10_target_spans", with_views(UNEVEN) + """,

@@ -16,43 +16,91 @@ from tidemark.sources import readers, sinks, tables
 TABLES = ("benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels", "lineitem", "nation",
           "orders", "pages", "part", "region", "supplier")
 
-RECORDS = """WITH pairs AS (SELECT conv_id, max(text) FILTER (turn = 0) AS prompt, max(text) FILTER (turn = 1) AS response
-  FROM conversations GROUP BY conv_id)
+RECORDS = """WITH messages AS (
+  SELECT conv_id, turn, CASE role WHEN 'user' THEN 'user' WHEN 'assistant' THEN 'model' END AS role, text FROM conversations
+  WHERE role IN ('user', 'assistant') AND trim(text, ' ' || chr(9) || chr(10) || chr(13) || chr(160)) <> ''),
+made AS (SELECT conv_id, string_agg(left(role, 1), '' ORDER BY turn) AS letters,
+  string_agg('<|turn>' || role || chr(10) || text || '<turn|>' || chr(10), '' ORDER BY turn) AS text FROM messages GROUP BY conv_id),
+texts AS (SELECT c.conv_id, CASE WHEN regexp_matches(letters, '^(um)+u?$') THEN text END AS text
+  FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN made m ON c.conv_id = m.conv_id)
 """
 
 
 def written_records(spark, folder):
-    """Prompt/response records in the from/value schema, written as JSON and read back."""
-    pairs = c.prompt_response(tables.turns(spark, folder))
-    turn = lambda who, text: F.struct(F.lit(who).alias("from"), F.col(text).alias("value"))
-    records = pairs.select(F.array(turn("human", "prompt"), turn("gpt", "response")).alias("conversations"))
+    """Whole conversations as records, written as JSON and read back.
+
+    Even ids have the from/value schema, the others role/content, every other of these with a list of parts.
+    """
+    text, kind = F.col("text"), F.col("conv_id") % 4
+    who = F.when(F.col("role") == "user", "human").when(F.col("role") == "assistant", "gpt").otherwise(F.col("role"))
+    part = lambda name, value: F.struct(F.lit(name).alias("type"), value.alias("text"))
+    parts = F.array(part("image", F.lit("left out")), part("text", text))
+    turn = (
+        F.when(kind % 2 == 0, F.to_json(F.struct(who.alias("from"), text.alias("value"))))
+        .when(kind == 1, F.to_json(F.struct("role", text.alias("content"))))
+        .otherwise(F.to_json(F.struct("role", parts.alias("content"))))
+    )
+    turns = tables.turns(spark, folder).select("conv_id", "turn", turn.alias("turn_json"))
+    # A record is one value of its file, so its turns are gathered.
+    whole = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "turn_json"))).alias("all"))
+    joined = F.array_join(F.transform("all", lambda t: t["turn_json"]), ",")
+    record = F.concat(F.lit('{"conv_id":'), "conv_id", F.lit(',"conversations":['), joined, F.lit("]}"))
     path = staged_path(spark, "records")
-    sinks.write_records(records, path)
-    return readers.json_records(spark, path, schemas.RECORD)
+    sinks.write_lines(whole.select(record.alias("line")), path, "line")
+    return readers.json_records(spark, path, f"conv_id bigint, {schemas.RECORD}")
 
 
-@query("s7_json_records", RECORDS + "SELECT prompt, response FROM pairs")
+@query("s7_json_records", """
+SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS place,
+  CASE WHEN conv_id % 2 = 1 THEN role WHEN role = 'user' THEN 'human' WHEN role = 'assistant' THEN 'gpt' ELSE role END AS who, text
+FROM conversations""")
 def s7(spark, folder):
-    turn = lambda i: F.get("conversations", F.lit(i)).getField("value")
-    return written_records(spark, folder).select(turn(0).alias("prompt"), turn(1).alias("response"))
+    turns = written_records(spark, folder).select("conv_id", F.posexplode("conversations").alias("place", "t"))
+    text = F.coalesce("t.value", c.variant_text(F.col("t.content")))
+    return turns.select("conv_id", F.col("place").cast("bigint").alias("place"), F.coalesce("t.from", "t.role").alias("who"), text.alias("text"))
 
 
-@query("f1_record_texts", RECORDS + """
-SELECT CASE WHEN response IS NOT NULL AND trim(response) <> '' AND trim(prompt) <> '' THEN
-  '<|turn>user' || chr(10) || prompt || '<turn|>' || chr(10) || '<|turn>model' || chr(10) || response || '<turn|>' || chr(10) END AS text
-FROM pairs""")
+@query("f1_record_texts", RECORDS + "SELECT conv_id, text FROM texts")
 def f1(spark, folder):
-    messages = c.record_messages(F.col("conversations"))
-    return written_records(spark, folder).select(c.record_text(messages).alias("text"))
+    messages = c.record_messages(F.col("conversations"), c.variant_text)
+    return written_records(spark, folder).select("conv_id", c.record_text(messages).alias("text"))
 
 
-@query("f2_kept_records", RECORDS + """
-SELECT count(*) AS raw_size, count(*) FILTER (response IS NOT NULL AND trim(response) <> '' AND trim(prompt) <> '') AS size FROM pairs""")
+@query("f2_kept_records", RECORDS + "SELECT count(*) AS raw_size, count(*) FILTER (text IS NOT NULL) AS size FROM texts")
 def f2(spark, folder):
     rows = f1(spark, folder)
     return rows.agg(F.count(F.lit(1)).alias("raw_size"), F.count_if(F.col("text").isNotNull() & (F.length("text") > 0)).alias("size"))
 
 
+@query("p23_record_problems", """
+SELECT conv_id, CASE conv_id % 5 WHEN 1 THEN 'not JSON' WHEN 2 THEN 'no conversations' WHEN 3 THEN 'no turns'
+  WHEN 4 THEN 'turn without from or value' END AS problem FROM (SELECT DISTINCT conv_id FROM conversations)""")
+def p23_records(spark, folder):
+    """Raw lines of a user's file: whole records, cut ones, and records that lack what is needed."""
+    turns = tables.from_value_turns(spark, folder)
+    value = F.when((F.col("conv_id") % 5 != 4) | (F.col("turn") > 0), F.col("value"))
+    turns = turns.select("conv_id", F.struct("turn", F.col("from"), value.alias("value")).alias("t"))
+    whole = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("all"))
+    kept = F.transform("all", lambda t: F.struct(t["from"].alias("from"), t["value"].alias("value")))
+    line = F.to_json(F.struct("conv_id", kept.alias("conversations")))
+    bare = F.to_json(F.struct("conv_id"))
+    kind = F.col("conv_id") % 5
+    line = (
+        F.when(kind == 1, F.left(line, F.length(line) - 2))
+        .when(kind == 2, bare)
+        .when(kind == 3, F.concat(F.left(bare, F.length(bare) - 1), F.lit(',"conversations":[]}')))
+        .otherwise(line)
+    )
+    path = staged_path(spark, "raw-records")
+    sinks.write_lines(whole.select(line.alias("line")), path, "line")
+    raw = spark.read.text(path)
+    parsed = raw.select(
+        F.regexp_extract("value", r'"conv_id":(\d+)', 1).cast("bigint").alias("conv_id"),
+        c.line_problem(F.col("value")).alias("problem"),
+    )
+    return parsed
+
+
 @query("s11_result_files", with_views(EXPERIMENTS) + """
 SELECT commit, val_bpb, memory_gb, status, trim(description) AS description FROM experiments""")
 def s11(spark, folder):

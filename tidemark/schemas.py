@@ -6,7 +6,8 @@ RESULT_TEXT = "commit string, val_text string, mem_text string, status_text stri
 
 FROM_VALUE_RECORD = "conversations array<struct<from: string, value: string>>"
 
-RECORD = "conversations array<struct<from: string, value: string, role: string, content: string>>"
+#: Content may be a string or a list of parts.
+RECORD = "conversations array<struct<from: string, value: string, role: string, content: variant>>"
 
 METRICS = """mode string, run_tag string, started_at string, finished_at string, output_dir string,
     stages map<string, double>, env struct<cuda_visible_devices: string, hostname: string>,

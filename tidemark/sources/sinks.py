@@ -25,6 +25,11 @@ def write_metrics(documents: DataFrame, path: str, document: str = "document") -
     documents.select(F.col(document).alias("value")).write.mode("overwrite").text(path)
 
 
+def write_lines(rows: DataFrame, path: str, line: str) -> None:
+    """One text line per row, such as a record that is JSON already."""
+    rows.select(F.col(line).alias("value")).write.mode("overwrite").text(path)
+
+
 def write_records(records: DataFrame, path: str) -> None:
     records.write.mode("overwrite").json(path)
 
