@@ -46,8 +46,7 @@ def test_first_existing(spark, tmp_path):
 
 
 def test_listing_and_footers(spark):
-    files = readers.list_files(spark, SMALL)
-    rows = {r.file_name: r.n_rows for r in readers.checked_shards(files, tasks=2).collect()}
+    rows = {r.file_name: r.n_rows for r in readers.checked_shards(spark, SMALL).collect()}
     assert rows["documents.parquet"] == 200 and rows["region.parquet"] == 5
     assert readers.folder_size(spark, SMALL).head().n_files == len(rows)
 
@@ -90,6 +89,24 @@ def test_batches_use_stored_positions(spark):
     assert "Exchange" not in rows._jdf.queryExecution().toString()
 
 
+def test_a_broken_shard_fails_loudly(spark, tmp_path):
+    spark.range(3).coalesce(1).write.parquet(str(tmp_path / "x"))
+    (tmp_path / "x" / "broken.parquet").write_bytes(b"PAR1 this is no footer PAR1")
+    with pytest.raises(Exception, match="broken.parquet"):
+        readers.checked_shards(spark, str(tmp_path / "x")).collect()
+
+
+def test_batches_start_anew_with_each_row_group(spark, tmp_path):
+    import pyarrow as pa
+    from pyarrow import parquet
+
+    rows = pa.table({"text": [f"t{i}" for i in range(400)]})
+    parquet.write_table(rows, tmp_path / "shard_00000.parquet", row_group_size=200)
+    corpus = readers.in_row_groups(readers.text_shards(spark, str(tmp_path)), readers.row_groups(spark, str(tmp_path)))
+    got = p.document_batches(corpus).groupBy("batch").count().orderBy("batch").collect()
+    assert [r["count"] for r in got] == [128, 72, 128, 72]
+
+
 def test_planned_shards(spark):
     ids = lambda df: sorted(r.shard for r in df.collect())
     assert ids(p.planned_shards(spark, 3)) == [0, 1, 2, 6542]

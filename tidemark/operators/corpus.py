@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import PERSONAL_DATA, personal_data_hits
@@ -94,14 +94,22 @@ def character_budget(
 def document_batches(
     corpus: DataFrame, size: int = DOCS_PER_BATCH, epochs: int = 1, within: Sequence[str] = ("shard",), key: str = "doc_id"
 ) -> DataFrame:
-    """Batch the documents of each row group by their position from 0; repeated once per epoch from 1.
+    """Batch the documents of each row group by their position in it; repeated once per epoch from 1.
 
-    A corpus read from shards has the position as ``row_index`` already and is not shuffled. Otherwise documents are
-    numbered by ``key``.
+    A corpus with ``row_group`` and ``group_row`` (``in_row_groups``) starts a new batch with each row group, and
+    batches are numbered over the shard. One with a ``row_index`` only is one row group per shard. Otherwise
+    documents are numbered by ``key``. Stored positions need no shuffle of the documents.
     """
-    numbered = "row_index" in corpus.columns
-    rows = corpus if numbered else order_rows(corpus, within, [key]).scan(row_index=number(0)).rows()
-    rows = rows.withColumn("batch", F.floor(F.col("row_index") / size).cast("bigint"))
+    if "row_group" in corpus.columns:
+        sizes = corpus.groupBy(*within, "row_group").agg((F.floor(F.max("group_row") / size) + 1).alias("_batches"))
+        upto = Window.partitionBy(*within).orderBy("row_group").rowsBetween(Window.unboundedPreceding, -1)
+        first = sizes.select(*within, "row_group", F.coalesce(F.sum("_batches").over(upto), F.lit(0)).alias("_first"))
+        rows = corpus.join(first, [*within, "row_group"])  # one small row per row group
+        rows = rows.withColumn("batch", (F.col("_first") + F.floor(F.col("group_row") / size)).cast("bigint")).drop("_first")
+    else:
+        numbered = "row_index" in corpus.columns
+        rows = corpus if numbered else order_rows(corpus, within, [key]).scan(row_index=number(0)).rows()
+        rows = rows.withColumn("batch", F.floor(F.col("row_index") / size).cast("bigint"))
     return rows.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(epochs))))
 
 

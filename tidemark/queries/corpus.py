@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import tokens as k
 from tidemark.functions.text import PERSONAL_DATA, collapse
 from tidemark.operators import corpus as p
+from tidemark.plans.staging import staged_path
 from tidemark.queries.registry import query
 from tidemark.queries.views import CORPUS, with_views
 from tidemark.sources import readers, tables
@@ -48,9 +49,14 @@ def s1(spark, folder):
     return rows.select("shard", "row_index", F.length("text").cast("bigint").alias("n_chars"), F.md5("text").alias("digest"))
 
 
-@query("s2_list_shards")
+TABLES = ("benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels", "lineitem", "nation",
+          "orders", "pages", "part", "region", "supplier")
+
+
+@query("s2_list_shards", "SELECT file_name, true AS holds_bytes FROM (VALUES " + ", ".join(
+    f"('{name}.parquet')" for name in TABLES) + ") t(file_name)")
 def s2(spark, folder):
-    return readers.list_files(spark, folder, "*.parquet").select("file_name", "length")
+    return readers.list_files(spark, folder, "*.parquet").select("file_name", (F.col("length") > 0).alias("holds_bytes"))
 
 
 @query("s3_plan_shards", with_views(SHARDS) + "SELECT * FROM manifest")
@@ -161,6 +167,28 @@ def t11(spark, folder):
     )
 
 
+@query("t11_row_group_batches", with_views(CORPUS) + """
+SELECT count(*) AS n_docs, true AS within_size, true AS groups_start_anew, true AS several_groups FROM corpus""")
+def t11_row_groups(spark, folder):
+    """Batches of shards that are written with several row groups each and read back."""
+    path = staged_path(spark, "shards")
+    rows = tables.corpus(spark, folder).select("shard", "doc_id", "text").coalesce(2).sortWithinPartitions("shard", "doc_id")
+    rows.write.option("parquet.block.size", 65_536).option("parquet.page.size.row.check.min", 1).parquet(path)
+    stored = readers.in_row_groups(readers.text_shards(spark, path).drop("text"), readers.row_groups(spark, path))
+    batches = p.document_batches(stored).groupBy("shard", "batch").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("row_group").alias("groups"), F.min("group_row").alias("first")
+    )
+    groups = stored.agg(F.countDistinct("shard", "row_group").alias("groups"), F.countDistinct("shard").alias("shards"))
+    facts = batches.agg(
+        F.sum("n").alias("n_docs"),
+        (F.max("n") <= p.DOCS_PER_BATCH).alias("within_size"),
+        F.bool_and((F.col("groups") == 1) & (F.col("first") % p.DOCS_PER_BATCH == 0)).alias("groups_start_anew"),
+    )
+    return facts.crossJoin(groups).select(  # one row each
+        "n_docs", "within_size", "groups_start_anew", (F.col("groups") > F.col("shards")).alias("several_groups")
+    )
+
+
 @query("p19_input_target_shift", with_views(WORDS) + """
 SELECT doc_id, md5(array_to_string(w[1:len(w)-1], '|')) AS inputs, md5(array_to_string(w[2:], '|')) AS targets FROM words""")
 def p19(spark, folder):

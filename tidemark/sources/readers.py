@@ -46,25 +46,50 @@ def folder_size(spark: SparkSession, folder: str) -> DataFrame:
     return files.agg((F.sum("length") / F.lit(1024 * 1024)).alias("total_mb"), F.count(F.lit(1)).alias("n_files"))
 
 
-def checked_shards(files: DataFrame, tasks: int = 64) -> DataFrame:
-    """Row count of each parquet file of a listing, read from its footer by parallel tasks; null if it cannot be read."""
+def checked_shards(spark: SparkSession, folder: str, pattern: str = "*.parquet") -> DataFrame:
+    """Row count of each parquet file of a folder, whatever its columns, by a scan that reads no column.
 
-    def footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
+    A file that cannot be read fails the scan, with its name in the error.
+    """
+    rows = spark.read.schema("_no_such_column string").option("pathGlobFilter", pattern).parquet(folder)
+    counts = rows.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(F.count(F.lit(1)).alias("n_rows"))
+    listed = list_files(spark, folder, pattern).select("file_name")
+    return listed.join(counts, "file_name", "left").select("file_name", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
+
+
+def row_groups(spark: SparkSession, path: str) -> DataFrame:
+    """shard and starts, the file-wide positions at which its row groups begin, from the footers of parquet files.
+
+    Spark tells a row's position in its file but not its row group. Spark's binary reader reaches any store and hands
+    each file to a task, which parses the footer only; that is one pass over the bytes, so store the result with the
+    corpus.
+    """
+
+    def starts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import io
+
+        import numpy as np
         from pyarrow import parquet
 
         for batch in batches:
-            rows = []
-            for path in batch["path"]:
-                try:
-                    where, inner = fs.FileSystem.from_uri(path)
-                    rows.append(parquet.read_metadata(inner, filesystem=where).num_rows)
-                except (OSError, ValueError):
-                    rows.append(None)
-            yield pd.DataFrame({"file_name": batch["file_name"], "n_rows": pd.array(rows, dtype="Int64")})
-
-    spread = files.select("file_name", "path").repartition(tasks, "path")
-    return spread.mapInPandas(footers, "file_name string, n_rows bigint")
+            found = []
+            for content in batch["content"]:
+                meta = parquet.read_metadata(io.BytesIO(content))
+                rows = [meta.row_group(i).num_rows for i in range(meta.num_row_groups)]
+                found.append((np.cumsum(rows) - rows).tolist() if rows else [])
+            yield pd.DataFrame({"shard": batch["shard"], "starts": found})
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    name = F.regexp_extract("path", r"([^/]+)$", 1).alias("shard")
+    return files.select(name, "content").mapInPandas(starts, "shard string, starts array<bigint>")
+
+
+def in_row_groups(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """``row_group`` of each row of ``text_shards``, and its position there as ``group_row``."""
+    out = rows.join(groups, "shard")
+    group = F.size(F.filter("starts", lambda s: s <= F.col("row_index"))) - 1
+    out = out.withColumn("row_group", group)
+    return out.withColumn("group_row", F.col("row_index") - F.get("starts", F.col("row_group"))).drop("starts")
 
 
 def first_existing(spark: SparkSession, candidates: Iterable[str]) -> str:
