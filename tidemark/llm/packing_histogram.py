@@ -12,7 +12,6 @@ repeated rows and null ids are packed like any other; an empty table gives no ro
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -31,6 +30,7 @@ END_TOKEN = 2
 BUCKET_ROWS = 4_000
 #: Words whose ids a worker remembers, twice.
 REMEMBERED_WORDS = 500_000
+TEXTS_AT_ONCE = 64
 
 PIECES = "doc_id {}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
@@ -38,8 +38,9 @@ PIECES = "doc_id {}, start bigint, length bigint, ids_crc32 bigint, doc_tokens b
 # --------------------------------------------------------------------------- encoding and cutting
 
 
-#: A full stop or comma after an ASCII letter or digit at the end of a word is a piece of its own.
-LAST_MARK = re.compile(rb"(?<=[a-z0-9])([.,])(?=[\x20\x09-\x0D]|$)")
+#: A full stop or comma after one of these at the end of a word is a piece of its own.
+PLAIN = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
+MARKS = (b".", b",")
 
 
 class WordIds:
@@ -53,27 +54,63 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.definition, self.tokenizer = definition, Tokenizer.from_str(definition)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a piece
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.recent: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
-
-    def encode(self, text: bytes) -> bytes:
-        if b"<|" not in text:  # else it may hold a special token, which case tells from other text
-            text = LAST_MARK.sub(rb" \1", text.lower())
-        words = text.split()  # at ASCII white space
+        self.marks = {mark: self._each([mark])[0] for mark in MARKS}
+
+    def _each(self, words: list[bytes]) -> list[bytes]:
+        encoded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in encoded]
+
+    def _plain(self, words: list[bytes]) -> list[bytes]:
+        """Words of letters make one piece each, as a rule: many are encoded as one text and told apart by piece ends."""
+        found: list[bytes] = []
+        parts = [words[at : at + 64] for at in range(0, len(words), 64)]
+        texts = [b" ".join(part).decode("utf-8", "replace") for part in parts]
+        for part, encoded in zip(parts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(encoded.ids, "<u4")
+            at = np.flatnonzero(self.ends[ids]) + 1
+            data = ids.tobytes()
+            if len(at) == len(part) and at[-1] == len(ids):
+                edges = (4 * np.append(0, at)).tolist()
+                found += [data[a:b] for a, b in zip(edges, edges[1:])]
+            else:  # lower case or composition has made more pieces of a word
+                found += self._each(part)
+        return found
+
+    def _add(self, new: list[bytes]) -> None:
+        """Encode new words; those with a last mark from the word before it."""
+        recent, older = self.recent, self.older
+        marked = [w for w in new if w[-1:] in self.marks and w[-2:-1] and w[-2] in PLAIN]
+        stems = {w[:-1] for w in marked}.union(new).difference(marked)
+        plain, other = [], []
+        for stem in stems:
+            if stem in recent:
+                continue
+            if stem in older:
+                recent[stem] = older[stem]
+            else:
+                (plain if stem.isalpha() or (not stem.isascii() and stem.decode("utf-8", "replace").isalpha()) else other).append(stem)
+        recent.update(zip(plain, self._plain(plain)))
+        recent.update(zip(other, self._each(other)))
+        for word in marked:
+            recent[word] = recent[word[:-1]] + self.marks[word[-1:]]
+
+    def encode(self, texts: list[bytes]) -> Iterator[bytes]:
+        """The ids of each text; new words of all of them are encoded together."""
+        # A special token is told from other text by its case.
+        split = [(text if b"<|" in text else text.lower()).split() for text in texts]  # at ASCII white space
         if len(self.recent) > REMEMBERED_WORDS:
             self.recent, self.older = {}, self.recent
         recent, older = self.recent, self.older
-        new = []
-        for word in set(words).difference(recent):
-            if word in older:
-                recent[word] = older[word]
-            else:
-                new.append(word)
-        if new:
-            texts = [w.decode("utf-8", "replace") for w in new]
-            for word, found in zip(new, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-                recent[word] = np.array(found.ids, "<u4").tobytes()
-        return b"".join(map(recent.__getitem__, words))
+        new = set().union(*split).difference(recent)
+        known = [w for w in new if w in older]
+        recent.update((w, older[w]) for w in known)
+        self._add(list(new.difference(known)))
+        return (b"".join(map(recent.__getitem__, words)) for words in split)
 
 
 _encoders: list[WordIds] = []
@@ -105,8 +142,10 @@ def pieces(docs: DataFrame, definition: str, capacity: int = CAPACITY, end: int
         encoder = _encoder(shared.value)
         for batch in batches:
             rows, starts, lengths, sums, totals, tokens = [], [], [], [], [], []
-            for i, text in enumerate(batch.column(1)):
-                data = encoder.encode(text.as_buffer().to_pybytes() if text.is_valid else b"") + tail
+            texts = [t.as_buffer().to_pybytes() if t.is_valid else b"" for t in batch.column(1)]
+            encoded = (ids for at in range(0, len(texts), TEXTS_AT_ONCE) for ids in encoder.encode(texts[at : at + TEXTS_AT_ONCE]))
+            for i, ids_of_text in enumerate(encoded):
+                data = ids_of_text + tail
                 for at in range(0, len(data), 4 * capacity):
                     piece = data[at : at + 4 * capacity]
                     rows.append(i)
