@@ -107,6 +107,15 @@ def test_batches_start_anew_with_each_row_group(spark, tmp_path):
     assert [r["count"] for r in got] == [128, 72, 128, 72]
 
 
+def test_a_split_is_a_partition_filter(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a", "train"), (2, "b", "val")], "doc_id int, text string, split string")
+    sinks.write_split_corpus(rows, str(tmp_path / "c"))
+    val = spark.read.parquet(str(tmp_path / "c")).filter("split = 'val'")
+    assert [r.doc_id for r in val.collect()] == [2]
+    plan = val._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(split" in plan
+
+
 def test_planned_shards(spark):
     ids = lambda df: sorted(r.shard for r in df.collect())
     assert ids(p.planned_shards(spark, 3)) == [0, 1, 2, 6542]

@@ -10,7 +10,7 @@ from tidemark.operators import corpus as p
 from tidemark.plans.staging import staged_path
 from tidemark.queries.registry import query
 from tidemark.queries.views import CORPUS, with_views
-from tidemark.sources import readers, tables
+from tidemark.sources import readers, sinks, tables
 
 BUDGET = 1_000_000
 FIRST_N = 300
@@ -109,6 +109,16 @@ def p1(spark, folder):
     return split_corpus(spark, folder).select("doc_id", "shard", "split")
 
 
+@query("p1_split_folders", with_views(CORPUS) + """
+SELECT doc_id, shard, length(text) AS n_chars FROM corpus WHERE shard = (SELECT max(shard) FROM corpus)""")
+def p1_folders(spark, folder):
+    """The validation split of a corpus stored by split; the scan reads that folder only."""
+    path = staged_path(spark, "split-corpus")
+    sinks.write_split_corpus(split_corpus(spark, folder), path)
+    val = spark.read.parquet(path).filter("split = 'val'")
+    return val.select("doc_id", "shard", F.length("text").cast("bigint").alias("n_chars"))
+
+
 @query("p2_document_cap", "SELECT doc_id, length(text) AS n_chars, md5(substr(text, 1, 10000)) AS digest FROM documents")
 def p2(spark, folder):
     return tables.corpus(spark, folder).select(

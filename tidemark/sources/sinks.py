@@ -8,6 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def write_split_corpus(corpus: DataFrame, path: str) -> None:
+    """A corpus in one folder per ``split``, so that a filter on the split leaves out the other's files."""
+    corpus.write.partitionBy("split").parquet(path)
+
+
 def append_results(rows: DataFrame, path: str) -> None:
     """Add experiment rows to a result table."""
     rows.write.mode("append").parquet(path)
