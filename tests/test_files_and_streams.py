@@ -150,53 +150,50 @@ def pairs(df, *columns):
     return sorted(tuple(r) for r in df.select(*columns).collect())
 
 
-def test_state_changes_stream(spark, tiny_slices):
+def finished(spark, stream, path):
+    stream_jobs.write_stream(stream, str(path / "out"), str(path / "progress"))
+    return spark.read.parquet(str(path / "out"))
+
+
+def test_state_changes_stream(spark, tmp_path):
     states = tables.job_states(spark, SMALL)
-    stream = stream_jobs.state_changes(staged_path(spark, "s"))
-    stream.run(in_pieces(spark, states, ["at_us", "event_id"], 4))
+    got = finished(spark, stream_jobs.state_changes(in_pieces(spark, states, ["at_us", "event_id"], 3)), tmp_path)
     want = j.state_changes(j.until_terminal(states))
-    assert pairs(stream.output(spark, "slug string, event_id bigint, state string"), "slug", "event_id", "state") == pairs(want, "slug", "event_id", "state")
+    assert pairs(got, "slug", "event_id", "state") == pairs(want, "slug", "event_id", "state")
 
 
-def test_waiting_stream(spark):
-    states = tables.job_states(spark, SMALL)
-    stream = stream_jobs.waited_states(staged_path(spark, "s"), 200_000)
-    stream.run(in_pieces(spark, states, ["at_us", "event_id"], 4))
-    got = stream.state(spark).select("slug", *stream_jobs.waited())
-    assert pairs(got, "slug", "state", "timed_out") == pairs(j.waited_states(states, 200_000), "slug", "state", "timed_out")
-    told = stream.output(spark, "slug string, state string, timed_out boolean")
-    assert told.count() == told.select("slug").distinct().count() > 0
-
-
-def test_run_progress_stream(spark):
-    log = tables.step_log(spark, SMALL).cache()
-    stream = stream_jobs.run_progress(staged_path(spark, "s"))
-    stream.run(in_pieces(spark, log, ["step", "run_id"], 3))
-    got = stream.output(spark, "run_id bigint, step bigint, smooth_loss double, trained bigint")
+def test_a_silent_job_is_reported_when_its_time_is_up(spark, tmp_path):
+    second = 1_000_000
+    rows = [("a", 10, "running"), ("b", 20, "running"), ("b", 1_000, "succeeded"), ("c", 3_000, ""), ("c", 9_000, "running"), ("a", 9_100, "failed")]
+    states = spark.createDataFrame([(s, t * second, i, w) for i, (s, t, w) in enumerate(rows)], "slug string, at_us bigint, event_id bigint, state string")
+    got = finished(spark, stream_jobs.waited_states(in_pieces(spark, states, ["at_us"], 6), 1_800), tmp_path)
+    assert pairs(got, "slug", "state", "timed_out") == [("a", "running", True), ("b", "succeeded", False), ("c", "?", True)]
+
+
+def test_run_progress_stream(spark, tmp_path):
+    log = tables.step_log(spark, SMALL).withColumn("at", F.timestamp_seconds(F.col("step") + 86_400)).cache()
+    got = finished(spark, stream_jobs.run_progress(in_pieces(spark, log, ["step", "run_id"], 3)), tmp_path)
     lived = o.smoothed_loss(o.until_diverged(log))
     rounded = F.round("smooth_loss", 9).alias("smooth_loss")
     assert pairs(got, "run_id", "step", rounded) == pairs(lived, "run_id", "step", rounded)
 
 
-def test_decisions_stream_resumes(spark, tiny_slices):
-    rows = x.coerce_results(tables.raw_results(spark, SMALL)).select("tag", "ts", "event_id", "val_bpb", "status").cache()
-    stream = stream_jobs.decisions(staged_path(spark, "s"))
+def test_decisions_stream_resumes(spark, tmp_path):
+    rows = x.coerce_results(tables.raw_results(spark, SMALL)).withColumn("ts", F.col("ts").cast("timestamp"))
+    rows = rows.select("tag", "ts", "event_id", "val_bpb", "status").cache()
     source = in_pieces(spark, rows, ["ts", "event_id"], 3)
-    stream.run(source)
-    stream.run(source)  # nothing new
-    got = stream.output(spark, "tag bigint, event_id bigint, decision string")
+    finished(spark, stream_jobs.decisions(source), tmp_path)
+    got = finished(spark, stream_jobs.decisions(source), tmp_path)  # nothing new
     assert pairs(got, "tag", "event_id", "decision") == pairs(x.accept_reject(rows), "tag", "event_id", "decision")
 
 
-def test_state_table_over_many_versions(spark, monkeypatch):
-    monkeypatch.setattr(incremental, "FULL_EVERY", 2)
-    marks = tables.stage_events(spark, SMALL).cache()
-    stream = stream_jobs.metrics_progress(staged_path(spark, "s"))
-    stream.run(in_pieces(spark, marks, ["at_us"], 5))
-    got = stream.state(spark).select("run_id", "stage", F.round((F.col("to_us") - F.col("from_us")) / 1e6, 2).alias("seconds"))
-    assert pairs(got.filter("seconds is not null"), "run_id", "stage", "seconds") == pairs(
-        o.stage_durations(marks).filter("seconds is not null"), "run_id", "stage", "seconds")
-    assert got.count() == o.stage_durations(marks).count()
+def test_metrics_progress_stream(spark, tmp_path):
+    marks = tables.stage_events(spark, SMALL).select("run_id", "stage", "at_us", "edge").cache()
+    stream = stream_jobs.metrics_progress(in_pieces(spark, marks, ["at_us"], 3))
+    stream_jobs.write_updates(stream, str(tmp_path / "out"), str(tmp_path / "progress"))
+    got = stream_jobs.latest_rows(spark.read.parquet(str(tmp_path / "out")), ["run_id", "stage"])
+    known = o.stage_durations(marks).filter("seconds is not null")
+    assert pairs(got.filter("seconds is not null"), "run_id", "stage", "seconds") == pairs(known, "run_id", "stage", "seconds")
 
 
 def test_ingest_skips_what_was_taken(spark):

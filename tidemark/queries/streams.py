@@ -14,11 +14,24 @@ from tidemark.streaming import jobs as j
 from tidemark.streaming.incremental import ingest_once, new_files
 
 
-def streamed(spark, rows):
-    """A table written to the shared folder and read as a stream of its files."""
+PIECES = 3
+
+
+def streamed(spark, rows, at):
+    """A table written to the shared folder in pieces by time and read as a stream, one piece in a micro-batch."""
     path = staged_path(spark, "stream")
-    rows.write.parquet(path)
-    return spark.readStream.schema(rows.schema).parquet(path)
+    low, high = rows.agg(F.min(at), F.max(at)).head()
+    piece = F.floor((at - F.lit(low)) / F.lit((high or 0) - (low or 0) + 1) * PIECES)
+    for i in range(PIECES):
+        rows.filter(piece == i).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def written(spark, stream, schema):
+    """The output of a stream after it has read all there is."""
+    out = staged_path(spark, "streamed")
+    j.write_stream(stream, out, staged_path(spark, "progress"))
+    return spark.read.schema(schema).parquet(out)
 
 
 @query("x1_state_changes", with_views(JOB_STATES) + """
@@ -27,9 +40,8 @@ lived AS (SELECT j.* FROM job_states j LEFT JOIN ends e ON j.slug = e.slug WHERE
 SELECT slug, event_id, state FROM (SELECT *, lag(state) OVER (PARTITION BY slug ORDER BY at_us, event_id) AS before FROM lived)
 WHERE before IS DISTINCT FROM state""")
 def x1(spark, folder):
-    stream = j.state_changes(staged_path(spark, "x1"))
-    stream.run(streamed(spark, tables.job_states(spark, folder)))
-    return stream.output(spark, "slug string, event_id bigint, state string")
+    source = streamed(spark, tables.job_states(spark, folder), F.col("at_us"))
+    return written(spark, j.state_changes(source), "slug string, event_id bigint, state string")
 
 
 @query("x2_waiting", with_views(JOB_STATES) + f"""
@@ -40,9 +52,14 @@ SELECT slug, coalesce(arg_min(state, at_us) FILTER (ends),
   CASE WHEN arg_max(state, at_us) = '' THEN '?' ELSE arg_max(state, at_us) END) AS state, NOT bool_or(ends) AS timed_out
 FROM seen GROUP BY slug""")
 def x2(spark, folder):
-    stream = j.waited_states(staged_path(spark, "x2"), WAIT_S)
-    stream.run(streamed(spark, tables.job_states(spark, folder)))
-    return stream.state(spark).select("slug", *j.waited())
+    """A last observation of no job moves time on, so that jobs that went silent are reported too."""
+    states = tables.job_states(spark, folder)
+    clock = states.agg((F.max("at_us") + (WAIT_S + 3_600) * 1_000_000).alias("at_us")).select(
+        F.lit("").alias("slug"), "at_us", F.lit(0).cast("bigint").alias("event_id"), F.lit("").alias("state")
+    )
+    source = streamed(spark, states.select("slug", "at_us", "event_id", "state").unionByName(clock), F.col("at_us"))
+    rows = written(spark, j.waited_states(source, WAIT_S), "slug string, state string, timed_out boolean")
+    return rows.filter("slug <> ''")
 
 
 @query("x3_run_progress", with_views(STEP_LOG) + """
@@ -52,9 +69,9 @@ SELECT a.run_id, a.step, round(sum(0.1 * b.loss * pow(0.9, a.step - b.step)) / (
   CAST(coalesce(sum(b.dt_us) FILTER (b.step > 10), 0) AS BIGINT) AS trained, a.loss > 100 AS failed
 FROM lived a JOIN lived b ON a.run_id = b.run_id AND b.step <= a.step GROUP BY a.run_id, a.step, a.loss""")
 def x3(spark, folder):
-    stream = j.run_progress(staged_path(spark, "x3"))
-    stream.run(streamed(spark, tables.step_log(spark, folder)))
-    out = stream.output(spark, "run_id bigint, step bigint, smooth_loss double, trained bigint, failed boolean")
+    log = tables.step_log(spark, folder).select("run_id", "step", "loss", "dt_us", F.timestamp_seconds(F.col("step") + 86_400).alias("at"))  # after the first watermark, which is time zero
+    source = streamed(spark, log, F.col("step"))
+    out = written(spark, j.run_progress(source), "run_id bigint, step bigint, smooth_loss double, trained bigint, failed boolean")
     return out.withColumn("smooth_loss", F.round("smooth_loss", 6))
 
 
@@ -64,17 +81,19 @@ SELECT tag, event_id, CASE WHEN status = 'CRASH' THEN 'CRASH'
 FROM (SELECT *, min(CASE WHEN status <> 'CRASH' THEN val_bpb END) OVER (PARTITION BY tag ORDER BY idx
   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best_before FROM experiments)""")
 def x4(spark, folder):
-    stream = j.decisions(staged_path(spark, "x4"))
-    stream.run(streamed(spark, x.coerce_results(tables.raw_results(spark, folder))))
-    return stream.output(spark, "tag bigint, event_id bigint, decision string")
+    ts = F.col("ts").cast("timestamp").alias("ts")
+    rows = x.coerce_results(tables.raw_results(spark, folder)).select("tag", ts, "event_id", "val_bpb", "status")
+    source = streamed(spark, rows, F.unix_micros("ts"))
+    return written(spark, j.decisions(source), "tag bigint, event_id bigint, decision string")
 
 
 @query("x5_metrics_progress", with_views(STAGES) + "SELECT run_id, stage, seconds FROM stages")
 def x5(spark, folder):
-    stream = j.metrics_progress(staged_path(spark, "x5"))
-    stream.run(streamed(spark, tables.stage_events(spark, folder)))
-    seconds = F.round((F.col("to_us") - F.col("from_us")) / F.lit(1e6), 2)
-    return stream.state(spark).select("run_id", "stage", seconds.alias("seconds"))
+    marks = tables.stage_events(spark, folder).select("run_id", "stage", "at_us", "edge")
+    out = staged_path(spark, "x5")
+    j.write_updates(j.metrics_progress(streamed(spark, marks, F.col("at_us"))), out, staged_path(spark, "progress"))
+    rows = spark.read.schema("run_id bigint, stage string, seconds double, version int").parquet(out)
+    return j.latest_rows(rows, ["run_id", "stage"]).select("run_id", "stage", "seconds")
 
 
 @query("x6_ingested_once", with_views(CORPUS) + "SELECT source, count(*) AS n_docs FROM corpus GROUP BY source")

@@ -1,72 +1,8 @@
-"""Stateful streams as repeated batch steps.
-
-A step receives the new rows and the state of the keys in them, and returns output rows and new state. It is written
-with the batch operators, so a key with very many rows in one micro-batch is cut into slices like anywhere else, and
-a stream gives what the batch operator gives. State is one row per key in a versioned table: version n is written by
-micro-batch n, so a repeated micro-batch writes the same version again.
-"""
+"""Streams that copy what is new."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-Step = Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]
-
-#: Every so many versions hold the state of all keys; those between hold the keys of their micro-batch.
-FULL_EVERY = 16
-
-
-@dataclass(frozen=True)
-class Incremental:
-    """A stateful computation over a stream; all its files lie under ``folder``."""
-
-    keys: tuple[str, ...]
-    state_schema: str
-    step: Step
-    folder: str
-
-    def run(self, source: DataFrame) -> None:
-        """Process what the source has now, continuing after earlier runs."""
-        query = (
-            source.writeStream.foreachBatch(self._process)
-            .option("checkpointLocation", f"{self.folder}/progress")
-            .trigger(availableNow=True)
-            .start()
-        )
-        query.awaitTermination()
-
-    def output(self, spark: SparkSession, schema: str) -> DataFrame:
-        return spark.read.schema(schema).parquet(f"{self.folder}/out/*")
-
-    def state(self, spark: SparkSession, before: int | None = None) -> DataFrame:
-        """Latest state of each key, from the last full version on."""
-        if before == 0:
-            return spark.createDataFrame([], self.state_schema)
-        path = f"{self.folder}/state"
-        rows = spark.read.schema(f"{self.state_schema}, version int").parquet(path)
-        last = before if before is not None else rows.agg(F.max("version")).head()[0] + 1
-        full = (last - 1) // FULL_EVERY * FULL_EVERY
-        rows = rows.filter((F.col("version") >= full) & (F.col("version") < last))
-        rest = [c for c in rows.columns if c not in (*self.keys, "version")]
-        newest = F.max_by(F.struct(*rest), "version").alias("_newest")
-        return rows.groupBy(*self.keys).agg(newest).select(*self.keys, "_newest.*")
-
-    def _process(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch = batch.persist()
-        everything = self.state(spark, before=batch_id)
-        touched = batch.select(*self.keys).distinct()
-        out, state = self.step(batch, everything.join(touched, list(self.keys), "left_semi"))
-        if batch_id % FULL_EVERY == 0:
-            others = everything.join(touched, list(self.keys), "left_anti")
-            state = state.unionByName(others)
-        out.write.mode("overwrite").parquet(f"{self.folder}/out/batch={batch_id}")
-        state.write.mode("overwrite").parquet(f"{self.folder}/state/version={batch_id}")
-        batch.unpersist()
 
 
 def new_files(spark: SparkSession, folder: str, schema: str, pattern: str = "*.parquet", per_batch: int | None = None) -> DataFrame:

@@ -1,151 +1,208 @@
-"""Streaming forms of job states, run telemetry, decisions and metrics documents.
+"""Streaming forms of job states, run telemetry, decisions and metrics documents, on the engine's own keyed state.
 
-Rows of the past enter a micro-batch as one carried row per key that sorts before all new ones. The batch operator then
-runs over both, and the carried row is left out of the result.
+Each takes a stream and returns one. A key's state is a few values in the engine's state store; event-time time-outs
+end waits, report silent jobs and remove what is no longer needed. Rows of a key must arrive in order across
+micro-batches, within the stated watermark; inside a micro-batch they are sorted.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidemark.functions import schedules as s
 from tidemark.operators import experiments as x
 from tidemark.operators import jobs as j
-from tidemark.operators import telemetry as o
-from tidemark.plans.ordered import order_rows, running_any, running_sum
-from tidemark.plans.staging import stage
-from tidemark.streaming.incremental import Incremental
 
+#: How far behind the latest observation rows may arrive.
+DELAY = "10 seconds"
+#: How long an ended key is remembered, so that late rows of it are not taken for a new one.
+KEEP_ENDED_S = 30 * 24 * 3600
+
+Rows = list[tuple]
+
+
+def _keyed(
+    stream: DataFrame,
+    key: str,
+    order: list[str],
+    step: Callable[[tuple | None, Rows], tuple[tuple | None, Rows, int | None]],
+    expire: Callable[[tuple], tuple[tuple | None, Rows]],
+    output: str,
+    state: str,
+    at: str,
+) -> DataFrame:
+    """``step`` turns the state and the sorted new rows of a key into new state, output rows and a time-out in ms.
 
-def state_changes(folder: str) -> Incremental:
+    ``expire`` does so when the time is up; state None removes the key.
+    """
+    names = [f.split()[0] for f in output.split(", ")]
+    columns = [c for c in stream.columns if c not in (key, at)]
+
+    def run(group: tuple, frames: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
+        before = held.get if held.exists else None
+        if held.hasTimedOut:
+            after, out = expire(before)
+            limit = None
+        else:
+            rows = pd.concat(list(frames)).sort_values(order)
+            after, out, limit = step(before, list(rows[columns].itertuples(index=False, name=None)))
+        if after is None:
+            held.remove()
+        else:
+            held.update(after)
+            now = held.getCurrentWatermarkMs()
+            held.setTimeoutTimestamp(max(limit if limit is not None else now + KEEP_ENDED_S * 1000, now + 1))
+        if out:
+            yield pd.DataFrame([(*group, *row) for row in out], columns=names)
+
+    timed = stream.withWatermark(at, DELAY)
+    return timed.groupBy(key).applyInPandasWithState(run, output, state, "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def _at(column: str):
+    return F.timestamp_micros(column).alias("at")
+
+
+def state_changes(stream: DataFrame) -> DataFrame:
     """Changes of job states until a job ends; observations (slug, at_us, event_id, state)."""
 
-    def step(batch: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
-        carried = state.filter("not ended").select(
-            "slug", F.lit(None).cast("bigint").alias("at_us"), F.lit(-1).cast("bigint").alias("event_id"),
-            F.coalesce("last_state", F.lit("")).alias("state"),
-        )
-        ended = state.filter("ended")
-        fresh = batch.select("slug", "at_us", "event_id", "state").join(ended.select("slug"), "slug", "left_anti")
-        rows = j.until_terminal(fresh.unionByName(carried))
-        out = j.state_changes(rows).filter("at_us is not null")
-        last = rows.groupBy("slug").agg(
-            F.max_by("state", F.when(F.col("state") != "", F.struct(*j.ORDER))).alias("last_state"),
-            F.bool_or(F.col("state").isin(*j.TERMINAL_STATES)).alias("ended"),
-        )
-        return out, last.unionByName(ended)
-
-    return Incremental(("slug",), "slug string, last_state string, ended boolean", step, folder)
-
-
-def waited_states(folder: str, timeout_s: int = j.TIMEOUT_S) -> Incremental:
-    """Waiting for jobs: a row when a job ends in time, and one when its time is up without an end.
-
-    Time is the time of the observations; a job's clock starts with its first one. Output rows: slug, state, timed_out.
-    The state keeps one row per job; ``report`` reads from it where every job stands.
+    def step(before, rows):
+        last, ended = before or ("", False)
+        out = []
+        for _, event_id, state in rows:
+            if ended:
+                break
+            if state and state != last:
+                out.append((event_id, state))
+                last = state
+            ended = state in j.TERMINAL_STATES
+        return (last, ended), out, None
+
+    rows = stream.select("slug", "at_us", "event_id", "state", _at("at_us"))
+    return _keyed(
+        rows, "slug", ["at_us", "event_id"], step, lambda before: (None, []),
+        "slug string, event_id bigint, state string", "last string, ended boolean", "at",
+    )
+
+
+def waited_states(stream: DataFrame, timeout_s: int = j.TIMEOUT_S) -> DataFrame:
+    """Waiting for jobs: a row when a job ends in time, and one when its time is up, also of a job that went silent.
+
+    Time is that of the observations; a job's clock starts with its first one. Rows: slug, state, timed_out. A job
+    that has been told is remembered for a while, so that its later observations start no new wait.
     """
     limit = timeout_s * 1_000_000
 
-    def step(batch: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
-        begun = batch.groupBy("slug").agg(F.min("at_us").alias("_first"))
-        begun = begun.join(state, "slug", "left").select("slug", F.coalesce("start_us", "_first").alias("start_us"))
-        rows = batch.join(begun, "slug")
-        at = F.when(F.col("at_us") <= F.col("start_us") + limit, F.struct(*j.ORDER))
-        ends = F.col("state").isin(*j.TERMINAL_STATES)
-        new = rows.groupBy("slug").agg(
-            F.min("start_us").alias("start_us"),
-            F.min_by("state", F.when(ends, at)).alias("end_state"),
-            F.max_by("state", at).alias("last_state"),
-            F.max("at_us").alias("seen_us"),
-        )
-        old = state.select("slug", *[F.col(c).alias(f"_{c}") for c in ("end_state", "last_state", "told")])
-        merged = new.join(old, "slug", "left").select(
-            "slug",
-            "start_us",
-            F.coalesce("_end_state", "end_state").alias("end_state"),
-            F.coalesce("last_state", "_last_state").alias("last_state"),
-            (F.col("seen_us") > F.col("start_us") + limit).alias("_over"),
-            F.coalesce("_told", F.lit(False)).alias("_told"),
-        )
-        telling = F.col("end_state").isNotNull() | F.col("_over")
-        out = merged.filter(telling & ~F.col("_told")).select("slug", *waited())
-        return out, merged.withColumn("told", F.col("_told") | telling).drop("_over", "_told")
-
-    schema = "slug string, start_us bigint, end_state string, last_state string, told boolean"
-    return Incremental(("slug",), schema, step, folder)
-
-
-def waited():
-    """State and time-out of a job from the state of ``waited_states``."""
-    last = F.when(F.col("last_state") == "", j.UNKNOWN).otherwise(F.col("last_state"))
-    return F.coalesce("end_state", last).alias("state"), F.col("end_state").isNull().alias("timed_out")
-
-
-def run_progress(folder: str) -> Incremental:
-    """Smoothed loss, training time and divergence of each step as it arrives; steps (run_id, step, loss, dt_us)."""
-
-    def step(batch: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
-        over = state.filter("failed")
-        rows = batch.select("run_id", "step", "loss", "dt_us").join(over.select("run_id"), "run_id", "left_anti")
-        rows = o.smoothed_loss(rows, carried=state.select("run_id", "ema", "seen"))
-        rows = order_rows(rows, ["run_id"], ["step"]).scan(
-            _trained=running_sum(o.timed(F.col("step"), F.col("dt_us"))),
-            _gone=running_any(s.diverged(F.col("loss")), inclusive=False),
-        )
-        rows = rows.rows().filter("not _gone").join(state.select("run_id", "trained"), "run_id", "left")
-        rows = rows.withColumns(
-            {
-                "trained": F.col("_trained") + F.coalesce("trained", F.lit(0)),
-                "failed": s.diverged(F.col("loss")),
-            }
-        ).drop("_trained", "_gone")
-        rows = stage(rows, "progress")
-        last = F.max_by(F.struct("ema", "seen", "trained", "failed"), "step").alias("_last")
-        new = rows.groupBy("run_id").agg(last).select("run_id", "_last.*")
-        return rows.select("run_id", "step", "smooth_loss", "trained", "failed"), new.unionByName(over)
-
-    schema = "run_id bigint, ema double, seen bigint, trained bigint, failed boolean"
-    return Incremental(("run_id",), schema, step, folder)
-
-
-def decisions(folder: str) -> Incremental:
+    def shown(last):
+        return last or j.UNKNOWN
+
+    def step(before, rows):
+        start, last, told = before or (rows[0][0], "", False)
+        out = []
+        for at_us, _, state in rows:
+            if told:
+                break
+            if at_us > start + limit:
+                out, told = [(shown(last), True)], True
+            elif state in j.TERMINAL_STATES:
+                out, told = [(state, False)], True
+            else:
+                last = state
+        return (start, last, told), out, None if told else (start + limit) // 1000 + 1
+
+    def expire(before):
+        start, last, told = before
+        return (None, []) if told else ((start, last, True), [(shown(last), True)])
+
+    rows = stream.select("slug", "at_us", "event_id", "state", _at("at_us"))
+    return _keyed(
+        rows, "slug", ["at_us", "event_id"], step, expire,
+        "slug string, state string, timed_out boolean", "start bigint, last string, told boolean", "at",
+    )
+
+
+def run_progress(stream: DataFrame) -> DataFrame:
+    """Smoothed loss, training time and divergence of each step as it arrives; steps (run_id, step, loss, dt_us, at).
+
+    Steps after divergence are left out.
+    """
+    beta = s.EMA_BETA
+
+    def step(before, rows):
+        mean, seen, trained, failed = before or (0.0, 0, 0, False)
+        out = []
+        for number, loss, dt_us in rows:
+            if failed:
+                break
+            mean, seen = beta * mean + (1 - beta) * loss, seen + 1
+            trained += int(dt_us) if number > s.UNTIMED_STEPS else 0
+            failed = bool(math.isnan(loss) or loss > s.DIVERGED_LOSS)
+            out.append((int(number), mean / (1 - beta**seen), trained, failed))
+        return (mean, seen, trained, failed), out, None
+
+    rows = stream.select("run_id", "step", "loss", "dt_us", "at")
+    return _keyed(
+        rows, "run_id", ["step"], step, lambda before: (None, []),
+        "run_id bigint, step bigint, smooth_loss double, trained bigint, failed boolean",
+        "mean double, seen bigint, trained bigint, failed boolean", "at",
+    )
+
+
+def decisions(stream: DataFrame) -> DataFrame:
     """Accept/reject of experiments as they arrive; rows (tag, ts, event_id, val_bpb, status)."""
 
-    def step(batch: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
-        fresh = batch.select("tag", "ts", "event_id", "val_bpb", "status")
-        carried = state.filter("best is not null").select(
-            "tag",
-            F.lit(None).cast(batch.schema["ts"].dataType).alias("ts"),
-            F.lit(-1).cast("bigint").alias("event_id"),
-            F.col("best").alias("val_bpb"),
-            F.lit(x.KEEP).alias("status"),
-        )
-        out = x.accept_reject(fresh.unionByName(carried)).filter("ts is not null")
-        best = F.min(F.when(F.col("status") != x.CRASH, F.col("val_bpb"))).alias("best")
-        new = fresh.unionByName(carried).groupBy("tag").agg(best)
-        return out.select("tag", "event_id", "decision"), new
+    def step(before, rows):
+        best = before[0] if before else None
+        out = []
+        for _, event_id, value, status in rows:
+            value = None if value is None or math.isnan(value) else value
+            if status == x.CRASH:
+                out.append((event_id, x.CRASH))
+                continue
+            better = value is not None and (best is None or value < best)
+            out.append((event_id, x.KEEP if better else "DISCARD"))
+            best = value if better else best
+        return (best,), out, None
 
-    return Incremental(("tag",), "tag bigint, best double", step, folder)
+    rows = stream.select("tag", F.unix_micros("ts").alias("order_us"), "event_id", "val_bpb", "status", F.col("ts").alias("at"))
+    return _keyed(
+        rows, "tag", ["order_us", "event_id"], step, lambda before: (None, []),
+        "tag bigint, event_id bigint, decision string", "best double", "at",
+    )
 
 
-def metrics_progress(folder: str) -> Incremental:
-    """Stage times of each run as far as they are known; marks (run_id, stage, at_us, edge).
+def metrics_progress(stream: DataFrame) -> DataFrame:
+    """Stage times of each run as far as they are known; marks (run_id, stage, at_us, edge). For update mode."""
+    began = F.min(F.when(F.col("edge") == "start", F.col("at_us")))
+    ended = F.max(F.when(F.col("edge") == "end", F.col("at_us")))
+    seconds = F.round((ended - began) / F.lit(1e6), 2)
+    return stream.groupBy("run_id", "stage").agg(seconds.alias("seconds"))
+
+
+def write_stream(stream: DataFrame, path: str, progress: str) -> None:
+    """Process what the source has now into a table, continuing after earlier runs."""
+    writer = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", progress)
+    writer.trigger(availableNow=True).start().awaitTermination()
+
+
+def write_updates(stream: DataFrame, path: str, progress: str) -> None:
+    """The same for update mode: each micro-batch's changed rows with its number as ``version``."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/version={number}")
+
+    writer = stream.writeStream.foreachBatch(write).outputMode("update").option("checkpointLocation", progress)
+    writer.trigger(availableNow=True).start().awaitTermination()
 
-    Output rows repeat a stage whenever it changes; the state is the metrics document of every run so far.
-    """
 
-    def step(batch: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
-        known = state.select("run_id", "stage", F.explode(F.array(
-            F.struct(F.col("from_us").alias("at_us"), F.lit("start").alias("edge")),
-            F.struct(F.col("to_us").alias("at_us"), F.lit("end").alias("edge")),
-        )).alias("m")).select("run_id", "stage", "m.at_us", "m.edge")
-        marks = batch.select("run_id", "stage", "at_us", "edge").unionByName(known)
-        new = marks.groupBy("run_id", "stage").agg(
-            F.min(F.when(F.col("edge") == "start", F.col("at_us"))).alias("from_us"),
-            F.max(F.when(F.col("edge") == "end", F.col("at_us"))).alias("to_us"),
-        )
-        return o.stage_durations(marks), new
-
-    schema = "run_id bigint, stage string, from_us bigint, to_us bigint"
-    return Incremental(("run_id", "stage"), schema, step, folder)
+def latest_rows(updates: DataFrame, keys: list[str]) -> DataFrame:
+    """The last version of each key's row."""
+    rest = [c for c in updates.columns if c not in (*keys, "version")]
+    newest = F.max_by(F.struct(*rest), "version").alias("_newest")
+    return updates.groupBy(*keys).agg(newest).select(*keys, "_newest.*")
