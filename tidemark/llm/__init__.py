@@ -9,6 +9,7 @@ from tidemark.queries.registry import Query
 
 MODULES = (
     "learned_partitions",
+    "licences",
     "mixing",
     "outliers",
     "packing_histogram",
