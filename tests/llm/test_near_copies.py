@@ -1,0 +1,92 @@
+"""Near copies of the pipeline beside brute force, and planted copies at 0.8 to 0.95 similarity."""
+
+import numpy as np
+import pytest
+from llm_tables import SMALL, awkward, documents  # noqa: F401
+
+import corpus_pipeline
+from tidemark.llm import near_copies as nc
+
+
+def naive_set(text):
+    words = (text or "").encode().lower().split()
+    return {b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def similarity(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def naive_kept(sets):
+    """Ids of {id: set}, the smallest of each group that pairs of similarity 0.8 or more connect."""
+    ids = sorted(sets)
+    label = {i: i for i in ids}
+
+    def find(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    for n, i in enumerate(ids):
+        for j in ids[:n]:
+            if similarity(sets[i], sets[j]) >= 0.8:
+                x, y = find(i), find(j)
+                label[max(x, y)] = min(x, y)
+    return sorted({find(i) for i in ids})
+
+
+def planted():
+    """Texts, and copies with so many words replaced that similarities lie on both sides of 0.8."""
+    draw = np.random.default_rng(7)
+    vocabulary = ["".join(draw.choice(list("abcdefghij"), 6)) for _ in range(3_000)]
+    texts = []
+    for n in range(50):
+        words = list(draw.choice(vocabulary, 40 + 15 * n))
+        texts.append(" ".join(words))
+        for share in (0.005, 0.012, 0.018, 0.021, 0.023, 0.03):
+            changed = list(words)
+            for at in draw.choice(len(words), max(1, int(share * len(words))), replace=False):
+                changed[at] = f"new{draw.integers(1_000_000)}"
+            texts.append(" ".join(changed))
+    return texts
+
+
+@pytest.mark.parametrize("chunk_rows", [4_000, 3])
+def test_planted_copies_are_removed(spark, documents, monkeypatch, chunk_rows):  # noqa: F811
+    monkeypatch.setattr(nc, "CHUNK_ROWS", chunk_rows)
+    texts = planted()
+    sets = {i: naive_set(t) for i, t in enumerate(texts)}
+    levels = [similarity(sets[i - i % 7], sets[i]) for i in sets if i % 7]
+    assert all(sum(low <= s < low + 0.05 for s in levels) > 10 for low in (0.75, 0.8, 0.85, 0.9))
+    docs = documents(texts).select(*corpus_pipeline.COLUMNS)
+    kept = sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").select("doc_id").collect())
+    assert kept == naive_kept(sets)
+
+
+def test_stored_documents_equal_brute_force(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    sets = {r.doc_id: naive_set(r.text) for r in docs.select("doc_id", "text").collect()}
+    assert sorted(r.doc_id for r in nc.one_of_each(docs).select("doc_id").collect()) == naive_kept(sets)
+
+
+def test_awkward_rows_near_copies(awkward, documents):  # noqa: F811
+    kept = nc.one_of_each(awkward)
+    assert kept.columns == awkward.columns
+    ids = [r.doc_id for r in kept.collect()]
+    assert ids.count(7) == 1 and 8 not in ids and 0 in ids and not {1, 2} & set(ids)
+    assert nc.one_of_each(documents([])).count() == 0
+
+
+def test_a_large_group_equals_brute_force():
+    """Copies of one text that are mostly below 0.8 among each other, as bitmaps and one by one."""
+    draw = np.random.default_rng(11)
+    base = [f"w{i}" for i in range(150)]
+    texts = {" ".join(f"x{draw.integers(10**6)}" if draw.random() < 0.02 else w for w in base) for _ in range(300)}
+    sets = [nc.shingle_set(t.encode(), 5) for t in sorted(texts)]
+    prints = np.array([nc.sketch(s)[0] for s in sets]).view(np.uint64)
+    wanted = {i: set(s.tolist()) for i, s in enumerate(sets)}
+    for rows in (32, 10**9):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(nc, "BITMAP_ROWS", rows)
+            a, b = nc.confirmed_links(np.zeros(len(sets), np.int64), np.arange(len(sets)), prints, sets, 0.8)
+        assert all(x != y for x, y in zip(a, b)) and len(sets) - len(a) == len(naive_kept(wanted))

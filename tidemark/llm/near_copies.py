@@ -1,0 +1,216 @@
+"""Near copies: texts whose sets of word shingles have a Jaccard similarity of a given value or more.
+
+1. Each distinct set of shingles has MinHash values in ``BANDS`` bands of ``ROWS``, and a SimHash fingerprint. Two sets of
+   similarity s agree on a band with probability 1 - (1 - s ** ROWS) ** BANDS: 0.9999 at 0.8. Sets that share a band,
+   directly or through others, form a candidate part.
+2. In a part, the trie of fingerprints is joined with itself under ``BUDGET`` bits, which a pair at 0.8 (10 bits on
+   average) exceeds in under one of 10,000 cases (sets of a few shingles more often). Every pair that it finds is compared on the whole shingle sets, unless
+   known links connect it already; no pair is linked unconfirmed.
+3. A part that is too large for one task is cut into chunks, and every two chunks are joined; no pair is left out.
+
+Defined cases: null and blank texts have the empty set and are copies of each other; a text of fewer words than a shingle
+is one shingle; letters are compared in lower case, and repeated shingles count once; the rest as in ``simhash_trie``.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidemark.llm import simhash_trie
+from tidemark.plans.staging import stage
+
+BANDS, ROWS = 30, 6
+#: Bits in which the fingerprints of a candidate pair may differ.
+BUDGET = 24
+#: Sets, and bytes of sets, of a chunk; a task joins two of them at a time.
+CHUNK_ROWS, CHUNK_BYTES = 4_000, 32_000_000
+#: A group of so many sets compares them as bitmaps of its shared shingles, of at most so many bytes,
+#: and so many words of them at once.
+BITMAP_ROWS, BITMAP_BYTES, PAIR_WORDS = 32, 128_000_000, 1_000_000
+#: Bytes of sets of a partition.
+TASK_BYTES = 64_000_000
+_draw = np.random.default_rng(42)
+ADDED = _draw.integers(0, 2**64, BANDS * ROWS, dtype=np.uint64)[:, None]
+TIMES = _draw.integers(0, 2**64, BANDS * ROWS, dtype=np.uint64)[:, None] | np.uint64(1)
+
+
+def shingle_set(text: bytes, shingle: int) -> np.ndarray:
+    """The sorted distinct XXH64 values of all shingles of space-joined words in lower case."""
+    words = text.lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    hashed = xxhash.xxh64_intdigest
+    if len(words) <= shingle:
+        return np.array([hashed(b" ".join(words), 42)], np.uint64)
+    line = b" ".join(words)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    count = len(words) - shingle + 1
+    pieces = zip(starts[:count].tolist(), ends[shingle - 1 :].tolist())
+    return np.unique(np.fromiter((hashed(line[a:b], 42) for a, b in pieces), np.uint64, count))
+
+
+def sketch(values: np.ndarray) -> tuple[int, np.ndarray]:
+    """The SimHash and the hash of each band of a set that is not empty."""
+    ones, least = np.zeros(64, np.int64), np.full(len(ADDED), 2**64 - 1, np.uint64)
+    for at in range(0, len(values), 2_048):
+        some = values[at : at + 2_048]
+        ones += np.unpackbits(some.astype("<u8").view(np.uint8), bitorder="little").reshape(-1, 64).sum(axis=0, dtype=np.int64)
+        np.minimum(least, ((some ^ ADDED) * TIMES).min(axis=1), out=least)
+    fp = int(np.packbits(2 * ones > len(values), bitorder="little").view("<i8")[0])
+    rows = least.reshape(BANDS, ROWS)
+    return fp, np.array([xxhash.xxh64_intdigest(r.tobytes(), band) for band, r in enumerate(rows)], np.uint64).view(np.int64)
+
+
+def sketches(docs: DataFrame, shingle: int) -> DataFrame:
+    """_k and _h of ``docs`` with set (its hash), size, fp and bands."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, sizes, prints, bands = [], [], [], []
+            for text in batch.column(0):
+                values = shingle_set(text.as_buffer().to_pybytes() if text.is_valid else b"", shingle)
+                fp, found = sketch(values) if len(values) else (0, np.zeros(0, np.int64))
+                keys.append(xxhash.xxh64_intdigest(values.tobytes()))
+                sizes.append(len(values))
+                prints.append(fp)
+                bands.append(found)
+            ends = np.concatenate([[0], np.cumsum([len(b) for b in bands])]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*bands, np.zeros(0, np.int64)])))
+            columns = [pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), pa.array(prints, pa.int64()), lists]
+            yield pa.record_batch([*batch.columns[1:], *columns], names=["_k", "_h", "set", "size", "fp", "bands"])
+
+    schema = "_k bigint, _h bigint, `set` bigint, size bigint, fp bigint, bands array<bigint>"
+    return docs.select("text", "_k", "_h").mapInArrow(run, schema)
+
+
+def _parts(sets: DataFrame) -> DataFrame:
+    """node and root for the sets that share a band with another one, directly or through others."""
+    bands = stage(sets.select("set", F.explode("bands").alias("band")), "bands")
+    shared = bands.groupBy("band").agg(F.min("set").alias("low"), F.max("set").alias("high")).filter("low < high")
+    edges = bands.join(shared, "band").filter("`set` != low").select(F.col("set").alias("a"), F.col("low").alias("b"))
+    stars = simhash_trie.stars(edges)
+    return stars.unionByName(stars.select(F.col("root").alias("node"), "root").distinct()).distinct()
+
+
+def _with_values(rows: DataFrame, shingle: int) -> DataFrame:
+    """The columns of ``rows`` but text, and values, the bytes of the shingle set."""
+    others = [c for c in rows.columns if c != "text"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                values = [shingle_set(t.as_buffer().to_pybytes() if t.is_valid else b"", shingle).tobytes() for t in part.column(0)]
+                yield pa.record_batch([*part.columns[1:], pa.array(values, pa.binary())], names=[*others, "values"])
+
+    schema = ", ".join([*(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in others), "values binary"])
+    return rows.select("text", *others).mapInArrow(run, schema)
+
+
+def bitmaps(sets: list[np.ndarray]) -> np.ndarray | None:
+    """A row of 64-bit words for each set, with one bit for each shingle that two or more sets have."""
+    every, code, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = count > 1
+    width = -(-int(shared.sum()) // 64)
+    if not width or 8 * width * len(sets) > BITMAP_BYTES:
+        return None
+    at, bit = np.repeat(np.arange(len(sets)), [len(s) for s in sets]), (np.cumsum(shared) - 1)[code]
+    at, bit = at[shared[code]], bit[shared[code]]
+    out = np.zeros((len(sets), width), np.uint64)
+    np.bitwise_or.at(out, (at, bit // 64), np.uint64(1) << (bit % 64).astype(np.uint64))
+    return out
+
+
+def confirmed_links(group: np.ndarray, keys: np.ndarray, fp: np.ndarray, sets: list[np.ndarray], similarity: float):
+    """Links (a, b) of ``keys`` that connect, within each group, all pairs whose sets have at least the similarity."""
+    order = np.lexsort((keys, fp, group))
+    keys, sets = keys[order], [sets[i] for i in order]
+    sizes = np.array([len(s) for s in sets])
+    group = group[order]
+    edges = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [len(group)]])
+    maps = {int(group[a]): (a, m) for a, b in zip(edges, edges[1:]) if b - a >= BITMAP_ROWS and (m := bitmaps(sets[a:b])) is not None}
+
+    def confirm(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        a, b, both = sizes[left], sizes[right], np.zeros(len(left), np.int64)
+        fits = np.flatnonzero(np.minimum(a, b) >= similarity * np.maximum(a, b) - 1e-9)
+        for g in np.unique(group[left[fits]]).tolist():
+            some = fits[group[left[fits]] == g]
+            if g in maps:
+                first, rows = maps[g]
+                for part in np.array_split(some, len(some) * rows.shape[1] // PAIR_WORDS + 1):
+                    common = rows[left[part] - first] & rows[right[part] - first]
+                    both[part] = np.bitwise_count(common).sum(axis=1, dtype=np.int64)
+            else:
+                for i in some:
+                    x, y = sets[left[i]], sets[right[i]]
+                    both[i] = np.count_nonzero(y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x)
+        return both >= similarity * (a + b - both) - 1e-9
+
+    labels = simhash_trie.trie_links(group, fp[order], BUDGET, confirm)
+    moved = np.flatnonzero(labels != np.arange(len(keys)))
+    return keys[moved], keys[labels[moved]]
+
+
+def _joined(similarity: float):
+    def close(held: list) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held)
+        root, pair, keys, fp = (table.column(c).to_numpy() for c in ("root", "pair", "set", "fp"))
+        new = (np.diff(root) != 0) | (np.diff(pair) != 0)
+        sets = [np.frombuffer(v.as_buffer(), np.uint64) for c in table.column("values").chunks for v in c]
+        a, b = confirmed_links(np.concatenate([[0], np.cumsum(new)]), keys, fp.view(np.uint64), sets, similarity)
+        return pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            root, pair = (batch.column(c).to_numpy() for c in ("root", "pair"))
+            last = (held[-1].column("root")[-1].as_py(), held[-1].column("pair")[-1].as_py()) if held else None
+            new = np.concatenate([[last is not None and last != (root[0], pair[0])], (np.diff(root) != 0) | (np.diff(pair) != 0)])
+            at = 0
+            rows, size = sum(b.num_rows for b in held), sum(b.nbytes for b in held)
+            mean = batch.nbytes / batch.num_rows
+            for start in np.flatnonzero(new):
+                if rows + start - at >= CHUNK_ROWS or size + (start - at) * mean >= CHUNK_BYTES:
+                    yield close([*held, batch.slice(at, start - at)])
+                    held, rows, size, at = [], 0, 0, start
+            held.append(batch.slice(at))
+        if held:
+            yield close(held)
+
+    return run
+
+
+def links(docs: DataFrame, found: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """a and b, hashes of sets: enough links to connect all sets of at least the similarity."""
+    sets = stage(found.groupBy("set").agg(F.first("size").alias("size"), F.first("fp").alias("fp"), F.first("bands").alias("bands"), F.min(F.struct("_k", "_h")).alias("doc")), "sets")
+    parts = stage(_parts(sets.filter("size > 0")), "parts")
+    members = sets.drop("bands").join(parts.withColumnRenamed("node", "set"), "set")
+    chunks = F.greatest(F.ceil(F.count("*") / CHUNK_ROWS), F.ceil(F.sum("size") * 8 / CHUNK_BYTES)).cast("bigint")
+    sizes = stage(members.groupBy("root").agg(chunks.alias("m"), F.sum("size").alias("total")), "sizes")
+    total = sizes.agg(F.sum(F.col("total") * 8 * F.greatest(F.lit(1), F.col("m") - 1))).first()[0] or 0
+    wanted = members.join(sizes.drop("total"), "root").select("set", "fp", "root", "m", "doc._k", "doc._h")
+    rows = docs.select("text", "_k", "_h").join(wanted, ["_k", "_h"]).select("text", "set", "fp", "root", "m")
+    chunk = F.pmod(F.xxhash64("set"), "m")
+    others = F.filter(F.sequence(F.lit(0).cast("bigint"), F.col("m") - 1), lambda d: d != chunk)
+    pairs = F.transform(others, lambda d: F.least(d, chunk) * F.col("m") + F.greatest(d, chunk))
+    pairs = F.when(F.col("m") == 1, F.array(F.lit(0).cast("bigint"))).otherwise(pairs)
+    rows = _with_values(rows, shingle).select("set", "fp", "root", "values", F.explode(pairs).alias("pair"))
+    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, -(-int(total) // TASK_BYTES))
+    rows = rows.repartition(tasks, "root", "pair").sortWithinPartitions("root", "pair")
+    return rows.mapInArrow(_joined(similarity), "a bigint, b bigint").distinct()
+
+
+def one_of_each(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The rows of ``docs``, one for each group that near copies connect: that with the smallest doc_id (null last)."""
+    keyed = docs.select("text", *simhash_trie.row_key())
+    found = stage(sketches(keyed, shingle), "sketches")
+    roots = simhash_trie.stars(links(keyed, found, shingle, similarity)).withColumnRenamed("node", "set")
+    near = found.join(roots, "set", "left").select("_k", "_h", F.coalesce("root", "set").alias("root"))
+    return simhash_trie.first_of_each(docs, near)
