@@ -8,6 +8,7 @@ from tidemark.llm.registry import QUERIES
 from tidemark.queries.registry import Query
 
 MODULES = (
+    "crc_resampling",
     "learned_partitions",
     "licences",
     "mixing",
