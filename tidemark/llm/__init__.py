@@ -14,6 +14,7 @@ MODULES = (
     "mixing",
     "outliers",
     "packing_histogram",
+    "piece_encoding",
     "pitman_yor",
     "run_index",
     "simhash_trie",
