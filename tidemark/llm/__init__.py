@@ -16,6 +16,7 @@ MODULES = (
     "packing_histogram",
     "piece_encoding",
     "pitman_yor",
+    "prefix_trie",
     "run_index",
     "simhash_trie",
     "toxicity",

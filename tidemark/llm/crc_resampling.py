@@ -233,11 +233,24 @@ def resampled(docs: DataFrame, target: DataFrame, n: int = 1, buckets: int = BUC
 
 # --------------------------------------------------------------------------- the query
 
-ORACLE = r"""
-WITH crc_table AS (
-    SELECT i, list_reduce([i::UBIGINT, 0, 1, 2, 3, 4, 5, 6, 7], lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS entry
+#: CTEs: the entries of the CRC table.
+CRC_ENTRIES = """crc_table AS (
+    SELECT i, list_reduce([i::UBIGINT, 0, 1, 2, 3, 4, 5, 6, 7],
+        lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS entry
     FROM range(256) AS r(i)
-), entries AS (SELECT list(entry ORDER BY i) AS entry FROM crc_table),
+), entries AS (SELECT list(entry ORDER BY i) AS entry FROM crc_table)"""
+
+
+def crc_sql(digits: str) -> str:
+    """The CRC-32 of bytes given in upper-case hexadecimal digits, where ``entry`` is in scope."""
+    byte = f"(instr('0123456789ABCDEF', {digits}[2 * k + 1]) - 1) * 16 + instr('0123456789ABCDEF', {digits}[2 * k + 2]) - 1"
+    listed = f"list_transform(range(0, length({digits}) // 2), lambda k: ({byte})::UBIGINT)"
+    step = "xor(c // 256, entry[(xor(c, b) % 256 + 1)::BIGINT])"
+    return f"xor(list_reduce(list_prepend(4294967295::UBIGINT, {listed}), lambda c, b: {step}), 4294967295::UBIGINT)"
+
+
+ORACLE = rf"""
+WITH {CRC_ENTRIES},
 words AS (
     SELECT 'd' AS side, doc_id AS id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM documents
@@ -247,10 +260,7 @@ words AS (
 ), used AS (SELECT side, id, word, count(*) AS n FROM words GROUP BY ALL),
 spelled AS (SELECT word, hex(encode(word)) AS h FROM (SELECT DISTINCT word FROM used)),
 hashed AS (
-    SELECT word, xor(list_reduce(
-        list_prepend(4294967295::UBIGINT, list_transform(range(0, length(h) // 2),
-            lambda k: ((instr('0123456789ABCDEF', h[2 * k + 1]) - 1) * 16 + instr('0123456789ABCDEF', h[2 * k + 2]) - 1)::UBIGINT)),
-        lambda c, b: xor(c // 256, entry[(xor(c, b) % 256 + 1)::BIGINT])), 4294967295::UBIGINT) % 10000 AS bucket
+    SELECT word, {crc_sql('h')} % 10000 AS bucket
     FROM spelled, entries
 ), placed AS (SELECT side, id, bucket, n FROM used JOIN hashed USING (word)),
 counts AS (
