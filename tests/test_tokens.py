@@ -1,6 +1,7 @@
 """Pre-tokens, byte-pair training, encoding and packing against small independent models."""
 
 import random
+import time
 from collections import Counter
 
 import pytest
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.tokens import SPLIT_PATTERN, pretokens
 from tidemark.operators import bpe, packing
+from tidemark.operators import merges as trainer
 from tidemark.operators.corpus import document_batches, word_counts
 
 HAND_MADE = [
@@ -70,6 +72,66 @@ def test_training_equals_one_merge_at_a_time(spark):
     assert bpe.train(words, 80, rounds_per_stage=5) == greedy(counts, 80)
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_many_merges_a_round_equal_one_at_a_time(seed):
+    """Ties, runs of one letter and overlapping pairs, without the engine: one shard or two."""
+    rng = random.Random(seed)
+    for _ in range(25):
+        letters, most = "abcé"[: rng.randrange(1, 5)], rng.choice([2, 4, 30])
+        made = ("".join(rng.choices(letters, k=rng.randrange(1, 12))) for _ in range(rng.randrange(1, 80)))
+        counts = {w: rng.randrange(1, most) for w in made}
+        words, n = list(counts), rng.choice([5, 30, 200])
+        half = rng.randrange(len(words))
+        shards = [trainer.Shard.of([w.encode() for w in part], [counts[w] for w in part]) for part in (words[:half], words[half:]) if part]
+        pairs = trainer.Pairs()
+        pairs.add([s.pair_counts() for s in shards])
+        while batch := pairs.next_batch(n):
+            done = [s.merged(batch) for s in shards]
+            shards = [d[0].without_short_words() for d in done]
+            pairs.add([d[1:] for d in done])
+        assert pairs.merges[:n] == greedy(counts, n)
+
+
+def test_the_whole_vocabulary_of_documents(spark, texts):
+    """Until 7,932 merges, compared at its end by what the merges do to the words."""
+    merges = bpe.train(word_counts(texts, F.col("text")), 7_932)
+    counts = Counter(w for r in texts.collect() for w in regex.findall(SPLIT_PATTERN, r.text))
+    assert len(merges) == 7_932 == len(set(merges))
+    assert merges[:90] == greedy(counts, 90)
+    assert all(max(pair) < 256 + i for i, pair in enumerate(merges))
+
+
+def test_long_words_are_merged_in_little_time():
+    rng = random.Random(2)
+    counts = {"".join(rng.choices("abcd", k=12)): 1 for _ in range(400)} | {"a" * 40: 9}
+    ranks = {pair: i for i, pair in enumerate(greedy(counts, 300))}
+    for size in (1, 2, 49, 50, 200, 700):
+        for letters in ("a", "ab", "abcd"):
+            word = "".join(rng.choices(letters, k=size)).encode()
+            ids, short = bpe._merged_by_heap(list(word), ranks), list(word)
+            while len(short) > 1:
+                best = min(zip(short, short[1:]), key=lambda p: ranks.get(p, 10**9))
+                if best not in ranks:
+                    break
+                out, i = [], 0
+                while i < len(short):
+                    here = tuple(short[i : i + 2]) == best
+                    out.append(256 + ranks[best] if here else short[i])
+                    i += 2 if here else 1
+                short = out
+            assert ids == short
+    begun = time.perf_counter()
+    assert len(bpe.merged_ids("".join(rng.choices("abcd", k=1_000_000)).encode(), ranks)) < 800_000
+    assert time.perf_counter() - begun < 60
+
+
+def test_decoding_and_lengths_of_odd_lists(spark, merges):
+    rows = [(0, None), (1, []), (2, [104, 105]), (3, [-1, 104, 10**6]), (4, [None, 105])]
+    df = spark.createDataFrame(rows, "i int, ids array<int>").coalesce(1)
+    got = df.select("i", bpe.decoded(F.col("ids"), merges).alias("t"), bpe.bytes_of(F.col("ids"), merges).alias("n")).orderBy("i").collect()
+    assert [(r.t, r.n) for r in got] == [(None, None), ("", 0), ("hi", 2), ("h", 1), ("i", 1)]
+
+
 def test_training_stops_when_no_pair_is_left(spark):
     words = spark.createDataFrame([("ab", 3), ("c", 9)], "word string, cnt bigint")
     assert bpe.train(words, 50) == [(97, 98)]

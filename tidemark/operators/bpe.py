@@ -1,36 +1,27 @@
-"""Byte-pair vocabulary: training on word counts, the token table, encoding and decoding.
-
-While training, a word is a string in which every token is the one character whose code point is the token's id.
-Bytes are tokens 0 to 255, so a word starts as its UTF-8 bytes read as Latin-1. A merge is then a plain string
-replacement, left to right and not overlapping, and stays inside the JVM.
-"""
+"""Byte-pair vocabulary: pair counts, the token table, encoding and decoding. Training is in ``merges``."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import heapq
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.tokens import SPECIAL_TOKENS, pretokens
-from tidemark.plans.staging import stage
-
-Merge = tuple[int, int]
-
-FIRST_MERGED = 256
-_SURROGATES, _SURROGATE_COUNT = 0xD800, 0x800
+from tidemark.operators.merges import FIRST_MERGED, Merge, train
 
+__all__ = ["FIRST_MERGED", "Merge", "train"]
 
-def _char(token_id: int) -> str:
-    return chr(token_id if token_id < _SURROGATES else token_id + _SURROGATE_COUNT)
-
-
-def _token_id(char: str) -> int:
-    return ord(char) if ord(char) < _SURROGATES else ord(char) - _SURROGATE_COUNT
+#: Longer words are merged with a heap; in short ones all pairs are looked at again after each merge.
+HEAP_TOKENS = 48
 
 
 def as_symbols(word: Column) -> Column:
+    """The UTF-8 bytes of a word as characters of Latin-1, one for each."""
     return F.decode(F.encode(word, "UTF-8"), "ISO-8859-1")
 
 
@@ -43,55 +34,6 @@ def pair_counts(symbols: DataFrame) -> DataFrame:
     return symbols.select(F.explode(pairs).alias("pair"), "cnt").groupBy("pair").agg(F.sum("cnt").alias("cnt"))
 
 
-def merge_batch(ranked: Sequence[str]) -> list[str]:
-    """The leading pairs that can be merged in one pass with the same result as one after another.
-
-    A merge only lowers counts of pairs that share one of its tokens, and a new pair is never more frequent than the
-    pair it comes from. So the order of the others stands until a pair shares a token with one already taken.
-    """
-    taken: list[str] = []
-    used: set[str] = set()
-    for pair in ranked:
-        if used & set(pair):
-            break
-        taken.append(pair)
-        used |= set(pair)
-        if pair[0] == pair[1]:
-            break
-    return taken
-
-
-def train(words: DataFrame, n_merges: int, batch: int = 64, rounds_per_stage: int = 8) -> list[Merge]:
-    """Merges of a byte-pair vocabulary from word counts (word, cnt), most frequent pair first, ties by token ids.
-
-    The words stay distributed. Each round the driver receives only the ``batch`` most frequent pairs. Every few
-    rounds the words are written to the shared folder, which bounds what a lost executor makes Spark redo.
-    """
-    state = words.select(as_symbols(F.col("word")).alias("symbols"), "cnt").filter(F.length("symbols") > 1).persist()
-    merges: list[Merge] = []
-    rounds = 0
-    ranked = _ranked_pairs(state, batch)
-    while taken := merge_batch(ranked)[: n_merges - len(merges)]:
-        merged = F.col("symbols")
-        for pair in taken:
-            merged = F.replace(merged, F.lit(pair), F.lit(_char(FIRST_MERGED + len(merges))))
-            merges.append((_token_id(pair[0]), _token_id(pair[1])))
-        if len(merges) == n_merges:
-            break
-        rounds += 1
-        after = state.withColumn("symbols", merged).filter(F.length("symbols") > 1)
-        after = (stage(after, "bpe") if rounds % rounds_per_stage == 0 else after).persist()
-        ranked = _ranked_pairs(after, batch)
-        state.unpersist()
-        state = after
-    state.unpersist()
-    return merges
-
-
-def _ranked_pairs(state: DataFrame, n: int) -> list[str]:
-    return [r.pair for r in pair_counts(state).orderBy(F.desc("cnt"), "pair").limit(n).collect()]
-
-
 # --------------------------------------------------------------------------- vocabulary
 
 
@@ -136,6 +78,48 @@ def bos_id(merges: Sequence[Merge]) -> int:
 # --------------------------------------------------------------------------- encoding and decoding
 
 
+def merged_ids(word: bytes, ranks: Mapping[Merge, int]) -> list[int]:
+    """Token ids of a word: the pair of the lowest rank is merged wherever it is, from the left, until none has a rank."""
+    found = list(word)
+    if len(found) > HEAP_TOKENS:
+        return _merged_by_heap(found, ranks)
+    unknown = len(ranks)
+    while len(found) > 1:
+        pairs = list(zip(found, found[1:]))
+        known = [ranks.get(p, unknown) for p in pairs]
+        rank = min(known)
+        if rank == unknown:
+            break
+        pair, at, merged = pairs[known.index(rank)], 0, []
+        while at < len(found):
+            here = at < len(pairs) and pairs[at] == pair
+            merged.append(FIRST_MERGED + rank if here else found[at])
+            at += 2 if here else 1
+        found = merged
+    return found
+
+
+def _merged_by_heap(ids: list[int], ranks: Mapping[Merge, int]) -> list[int]:
+    """The same in a time that grows little faster than the word: neighbours are linked, pairs wait in a heap."""
+    count, gone = len(ids), -1
+    after, before = list(range(1, count + 1)), list(range(-1, count - 1))
+    heap = [(ranks[pair], i, pair) for i, pair in enumerate(zip(ids, ids[1:])) if pair in ranks]
+    heapq.heapify(heap)
+    while heap:
+        rank, left, pair = heapq.heappop(heap)
+        right = after[left]
+        if ids[left] == gone or right == count or (ids[left], ids[right]) != pair:
+            continue  # a neighbour has been merged meanwhile
+        ids[left], ids[right] = FIRST_MERGED + rank, gone
+        after[left] = after[right]
+        if after[right] < count:
+            before[after[right]] = left
+        for a, b in ((before[left], left), (left, after[left])):
+            if a >= 0 and b < count and (made := (ids[a], ids[b])) in ranks:
+                heapq.heappush(heap, (ranks[made], a, made))
+    return [i for i in ids if i != gone]
+
+
 def word_encoder(merges: Sequence[Merge], memo_words: int = 300_000):
     """Token ids of the pre-tokens of a text, as an Arrow function of a column of string arrays.
 
@@ -144,32 +128,17 @@ def word_encoder(merges: Sequence[Merge], memo_words: int = 300_000):
     lie: nothing is shuffled.
     """
     ranks = {pair: i for i, pair in enumerate(merges)}
-    first, unknown = FIRST_MERGED, len(ranks)
 
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         from itertools import chain
 
-        import numpy as np
-
         memo: dict[str, list[int]] = {}
 
         def ids_of(word: str) -> list[int]:
             found = memo.get(word)
             if found is None:
-                found = list(word.encode("utf-8"))
-                while len(found) > 1:
-                    pairs = list(zip(found, found[1:]))
-                    known = [ranks.get(p, unknown) for p in pairs]
-                    rank = min(known)
-                    if rank == unknown:
-                        break
-                    pair, at, merged = pairs[known.index(rank)], 0, []
-                    while at < len(found):
-                        here = at < len(pairs) and pairs[at] == pair
-                        merged.append(first + rank if here else found[at])
-                        at += 2 if here else 1
-                    found = merged
+                found = merged_ids(word.encode("utf-8"), ranks)
                 if len(memo) >= memo_words:
                     memo.clear()
                 memo[word] = found
@@ -197,18 +166,57 @@ def encoded(text: Column, merges: Sequence[Merge], prepend: int | None = None) -
     return ids if prepend is None else F.concat(F.array(F.lit(prepend)), ids)
 
 
+def _shared(value):
+    """A table of one entry per token, sent once to each executor."""
+    return SparkSession.active().sparkContext.broadcast(value)
+
+
 def decoded(ids: Column, merges: Sequence[Merge], special: Sequence[str] = SPECIAL_TOKENS) -> Column:
-    """Text of token ids, invalid bytes replaced. The tokens are one array literal, looked up by position."""
+    """Text of token ids, invalid bytes replaced; an id that is no token has no text."""
     values = [*token_values(merges), *(name.encode() for name in special)]
-    table = F.expr("array(" + ",".join(f"X'{v.hex()}'" for v in values) + ")")
-    pieces = F.transform(ids, lambda i: F.get(table, i).cast("string"))
-    return F.make_valid_utf8(F.array_join(pieces, ""))
+    table = _shared((np.frombuffer(b"".join(values), np.uint8), np.array([len(v) for v in values], np.int64)))
+
+    @F.arrow_udf("binary")
+    def spelled(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        data, sizes = table.value
+        sizes = np.append(sizes, 0)  # for all other ids
+        starts = np.cumsum(sizes) - sizes
+        for lists in batches:
+            tokens, bounds = _flat(lists)
+            tokens = np.where((tokens < 0) | (tokens >= len(sizes)), len(sizes) - 1, tokens)
+            lengths = sizes[tokens]
+            ends = np.concatenate([[0], np.cumsum(lengths)])
+            places = np.repeat(starts[tokens] - ends[:-1], lengths) + np.arange(ends[-1])
+            offsets = pa.array(ends[bounds], pa.int64())
+            made = pa.Array.from_buffers(pa.large_binary(), len(lists), [None, offsets.buffers()[1], pa.py_buffer(data[places].tobytes())])
+            yield pc.if_else(lists.is_null(), None, made.cast(pa.binary()))
+
+    return F.make_valid_utf8(spelled(ids).cast("string"))
 
 
 def bytes_of(ids: Column, merges: Sequence[Merge]) -> Column:
-    """Bytes that token ids stand for, summed in the array; special tokens have none."""
-    lengths = F.array(*[F.lit(len(v)) for v in token_values(merges)])
-    return F.aggregate(ids, F.lit(0).cast("bigint"), lambda n, i: n + F.coalesce(F.get(lengths, i), F.lit(0)))
+    """Bytes that token ids stand for; special tokens have none."""
+    table = _shared(np.array([len(v) for v in token_values(merges)], np.int64))
+
+    @F.arrow_udf("bigint")
+    def measured(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        sizes = np.append(table.value, 0)
+        for lists in batches:
+            tokens, bounds = _flat(lists)
+            tokens = np.where((tokens < 0) | (tokens >= len(sizes)), len(sizes) - 1, tokens)
+            ends = np.concatenate([[0], np.cumsum(sizes[tokens])])
+            yield pa.array(np.diff(ends[bounds]), mask=lists.is_null().to_numpy(zero_copy_only=False))
+
+    return measured(ids)
+
+
+def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The values of all lists, and where each list begins and the last one ends."""
+    if isinstance(lists, pa.ChunkedArray):
+        lists = lists.combine_chunks()
+    bounds = lists.offsets.to_numpy().astype(np.int64)
+    values = lists.values.slice(bounds[0], bounds[-1] - bounds[0])
+    return pc.fill_null(values, -1).to_numpy(zero_copy_only=False).astype(np.int64), bounds - bounds[0]
 
 
 def with_token_bytes(tokens: DataFrame, vocab: DataFrame, token_id: str = "token_id") -> DataFrame:

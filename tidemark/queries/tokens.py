@@ -17,26 +17,31 @@ from tidemark.queries.views import CORPUS, with_views
 from tidemark.session import shared_dir
 from tidemark.sources import readers, sinks, tables
 
-MERGES = 48
+MERGES = 7_932  # with 256 bytes and 4 special tokens: 8,192 ids
 ROW_TOKENS = 2_049
 BATCH_ROWS, EVAL_BUDGET = 4, 20_971_520
 MERGE_ROWS = "rank int, left_id int, right_id int"
 
 
+def vocabulary_name(spark, folder):
+    """The number of merges and a digest of the documents that they are trained on."""
+    rows = tables.corpus(spark, folder)
+    digest = rows.agg(F.count(F.lit(1)), F.sum(F.xxhash64("shard", "doc_id", "text").cast("decimal(38,0)"))).head()
+    return f"{MERGES}-{digest[0]}-{digest[1]}"
+
+
 def merges(spark, folder):
     """Merges trained on the training split within the character budget.
 
-    They are a stored table in the shared folder, found again by the number of merges and a digest of the documents.
+    They are a stored table in the shared folder, found again by ``vocabulary_name``.
     """
-    rows = tables.corpus(spark, folder)
-    digest = rows.agg(F.count(F.lit(1)), F.sum(F.xxhash64("shard", "doc_id", "text").cast("decimal(38,0)"))).head()
 
     def train():
         train = split_corpus(spark, folder).filter("split = 'train'")
         words = p.word_counts(readers.spread(p.character_budget(train)), F.col("text"))
         return spark.createDataFrame([(i, *pair) for i, pair in enumerate(bpe.train(words, MERGES))], MERGE_ROWS)
 
-    stored = sinks.built_once(spark, f"{shared_dir(spark)}/merges-{MERGES}-{digest[0]}-{digest[1]}", train)
+    stored = sinks.built_once(spark, f"{shared_dir(spark)}/merges-{vocabulary_name(spark, folder)}", train)
     return [(r.left_id, r.right_id) for r in stored.orderBy("rank").collect()]  # as many rows as there are merges
 
 
@@ -45,8 +50,10 @@ def vocabulary(spark, folder):
 
 
 def encoded(spark, folder):
+    """The encoded corpus, a stored table like the vocabulary: several queries read it."""
     ids = bpe.encoded(F.col("text"), merges(spark, folder))
-    return tables.texts(spark, folder).select("doc_id", "text", ids.alias("ids"))
+    rows = tables.texts(spark, folder).select("doc_id", "text", ids.alias("ids"))
+    return sinks.built_once(spark, f"{shared_dir(spark)}/encoded-{vocabulary_name(spark, folder)}", lambda: rows)
 
 
 def packed(spark, folder, split):
@@ -154,7 +161,7 @@ def s15(spark, folder):
 
 @query("j1_token_bytes", "SELECT doc_id, CAST(strlen(text) AS BIGINT) AS raw_bytes FROM documents WHERE text <> ''")
 def j1(spark, folder):
-    rows = encoded(spark, folder).filter(F.size("ids") > 0)
+    rows = encoded(spark, folder).filter("text <> ''")
     return rows.select("doc_id", bpe.bytes_of(F.col("ids"), merges(spark, folder)).alias("raw_bytes"))
 
 
