@@ -1,8 +1,8 @@
 """The corpus pipeline: stages over the documents table, each written as Parquet and read again as the next one's input.
 
 1. ``toxicity`` drops the documents that the string-kernel machine, trained on the labels, calls toxic.
-2. ``near_duplicates`` keeps one document of each group of near copies (sets of five-word shingles with a Jaccard similarity
-   of 0.8 or more), that with the smallest doc_id.
+2. ``near_duplicates`` keeps one document of each group that links of fingerprints connect (SimHash of three-word shingles, at
+   most three bits apart), that with the smallest doc_id.
 3. ``long_passages`` cuts passages of 50 bytes or more that start in an earlier document.
 4. ``mixture`` repeats or leaves out documents so that each source comes near its target.
 5. ``packing`` cuts and packs what is left into sequences of 4096 tokens.
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import llm
-from tidemark.llm import mixing, near_copies, packing_histogram, run_index
+from tidemark.llm import mixing, packing_histogram, run_index, simhash_trie
 from tidemark.llm import toxicity as kernel
 from tidemark.plans.staging import stage
 from tidemark.queries.registry import Query
@@ -32,7 +32,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_copies.one_of_each(docs.select(*COLUMNS), shingle=5, similarity=0.8)
+    return simhash_trie.one_of_each(docs.select(*COLUMNS), shingle=3)
 
 
 def long_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
