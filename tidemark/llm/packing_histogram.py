@@ -22,10 +22,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.registry import query, table
+from tidemark.llm.worker_memory import remembered
 from tidemark.plans.staging import stage
 
 CAPACITY = 4_096
 END_TOKEN = 2
+#: Slots, of six numbers each, that are sent to all executors.
+BROADCAST_SLOTS = 500_000
 #: Rows ranked together.
 BUCKET_ROWS = 4_000
 #: Words whose ids a worker remembers, twice.
@@ -101,26 +104,31 @@ class WordIds:
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
         """The ids of each text; new words of all of them are encoded together."""
-        # A special token is told from other text by its case.
-        split = [(text if b"<|" in text else text.lower()).split() for text in texts]  # at ASCII white space
         if len(self.recent) > REMEMBERED_WORDS:
             self.recent, self.older = {}, self.recent
         recent, older = self.recent, self.older
-        new = set().union(*split).difference(recent)
-        known = [w for w in new if w in older]
-        recent.update((w, older[w]) for w in known)
-        self._add(list(new.difference(known)))
-        return (b"".join(map(recent.__getitem__, words)) for words in split)
-
-
-_encoders: list[WordIds] = []
+        rows, missing = [], set()
+        for text in texts:
+            # A special token is told from other text by its case.
+            words = (text if b"<|" in text else text.lower()).split()  # at ASCII white space
+            ids = list(map(recent.get, words))
+            if None in ids:
+                missing.update([word for word, known in zip(words, ids) if known is None])
+            rows.append((words, ids))
+        new = []
+        for word in missing:
+            if word in older:
+                recent[word] = older[word]
+            else:
+                new.append(word)
+        self._add(new)
+        for words, ids in rows:
+            yield b"".join(map(recent.__getitem__, words) if None in ids else ids)
 
 
 def _encoder(definition: str) -> WordIds:
-    """One encoder stays in a worker, with what it remembers."""
-    if not _encoders or _encoders[0].definition != definition:
-        _encoders[:] = [WordIds(definition)]
-    return _encoders[0]
+    """One encoder stays in a worker while it packs, with the words that it remembers."""
+    return remembered(("words", definition), lambda: WordIds(definition))
 
 
 def tokenizer_definition(path: str | None = None) -> str:
@@ -238,11 +246,12 @@ def pack(docs: DataFrame, definition: str, capacity: int = CAPACITY, end: int =
     rows = stage(pieces(docs, definition, capacity, end, ids).withColumn("row", F.monotonically_increasing_id()), "pieces")
     histogram = {r["length"]: r["n"] for r in rows.groupBy("length").agg(F.count("*").alias("n")).collect()}
     schema = "length bigint, first bigint, stop bigint, sequence bigint, offset bigint, used bigint"
-    places = spark.createDataFrame(slots(pack_histogram(histogram, capacity)), schema)
+    where_to = slots(pack_histogram(histogram, capacity))
+    places = spark.createDataFrame(where_to, schema)
+    places = F.broadcast(places) if len(where_to) <= BROADCAST_SLOTS else places  # else Spark splits the longest groups
     narrow = ranked(rows.select("row", "length"), "length")
-    # The slots depend on the capacity, not on the corpus: at most a few for each pair of length and pattern.
     where = (narrow["length"] == places["length"]) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("stop"))
-    placed = narrow.join(F.broadcast(places), where).select(
+    placed = narrow.join(places, where).select(
         "row", (F.col("sequence") + F.col("rank") - F.col("first")).alias("sequence_id"), "offset", "used"
     )
     power = F.col("used").bitwiseAND(F.col("used") - 1) == 0

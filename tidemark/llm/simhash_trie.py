@@ -17,7 +17,7 @@ stay; an empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.registry import query, table
+from tidemark.llm.worker_memory import forget
 from tidemark.plans.staging import stage
 
 #: Blocks into which the open bits are divided: one more than the bits that may differ.
@@ -67,6 +68,7 @@ def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
     others = [c for c in docs.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             found = []
             for text in batch.column(0):
@@ -98,12 +100,9 @@ def _labels(count: int, left: np.ndarray, right: np.ndarray, labels: np.ndarray)
             labels = jumped
 
 
-def trie_links(group: np.ndarray, fp: np.ndarray, budget: int = BUDGET, confirm: Callable | None = None) -> np.ndarray:
+def trie_links(group: np.ndarray, fp: np.ndarray, budget: int = BUDGET) -> np.ndarray:
     """For rows sorted by (group, fp), distinct: the first row that each is connected to within its group.
 
-    Given ``confirm``, rows may repeat a fingerprint, and a pair within the budget is a link only where ``confirm`` says
-    so of the row numbers of its left and right sides.
-
     Nodes of the tries are row ranges. A growing budget finds the close links first, so that the pairs below nodes that
     are connected throughout need no visit with the larger one.
     """
@@ -119,8 +118,7 @@ def trie_links(group: np.ndarray, fp: np.ndarray, budget: int = BUDGET, confirm:
     for bit in range(63, -1, -1):
         is_zero = ((fp >> np.uint64(bit)) & np.uint64(1)) == 0
         zeros[bit] = np.concatenate([[0], np.cumsum(is_zero)]).astype(np.int32)
-    before = -1
-    for allowed in range(1, budget + 1) if confirm is None else sorted({min(budget, b) for b in (3, 8, 16, budget)}):
+    for allowed in range(1, budget + 1):
         stack = [(63, part) for part in np.array_split(roots, max(1, roots.shape[1] // 50_000 + 1), axis=1)]
         while stack:
             bit, pairs = stack.pop()
@@ -131,10 +129,7 @@ def trie_links(group: np.ndarray, fp: np.ndarray, budget: int = BUDGET, confirm:
             alo, ahi, blo, bhi, spent = pairs
             small = (ahi - alo) * (bhi - blo) <= LEAF_PAIRS
             small |= bit < 0
-            if confirm is None:
-                labels = _compare(fp, pairs[:, small], allowed, labels)
-            else:
-                labels = _confirm(fp, pairs[:, small], before, allowed, labels, confirm)
+            labels = _compare(fp, pairs[:, small], allowed, labels)
             pairs = pairs[:, ~small]
             if not pairs.shape[1]:
                 continue
@@ -155,7 +150,6 @@ def trie_links(group: np.ndarray, fp: np.ndarray, budget: int = BUDGET, confirm:
             for part in np.array_split(below, below.shape[1] // PAIRS_AT_ONCE + 1, axis=1):
                 if part.shape[1]:
                     stack.append((bit - 1, part))
-        before = allowed
     return labels
 
 
@@ -175,32 +169,6 @@ def _compare(fp: np.ndarray, pairs: np.ndarray, allowed: int, labels: np.ndarray
     return labels
 
 
-def _confirm(fp: np.ndarray, pairs: np.ndarray, before: int, allowed: int, labels: np.ndarray, confirm: Callable) -> np.ndarray:
-    """Labels after all confirmed pairs of leaves that differ in more than ``before`` and at most ``allowed`` bits."""
-    alo, ahi, blo, bhi, _ = pairs
-    # Rows of the left side, dealt so that few leaf pairs are listed at once.
-    owner = np.repeat(np.arange(len(alo)), ahi - alo)
-    left = alo[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(ahi - alo) - (ahi - alo), ahi - alo)
-    width = (bhi - blo)[owner]
-    batch = np.cumsum(width) // PAIRS_AT_ONCE
-    for some in np.split(np.arange(len(owner)), np.flatnonzero(np.diff(batch)) + 1):
-        wide = width[some]
-        a = np.repeat(left[some], wide)
-        b = np.repeat(blo[owner[some]], wide) + np.arange(len(a)) - np.repeat(np.cumsum(wide) - wide, wide)
-        keep = (a < b) & (labels[a] != labels[b])
-        a, b = a[keep], b[keep]
-        bits = np.bitwise_count(fp[a] ^ fp[b])
-        near = (bits > before) & (bits <= allowed)
-        a, b, take = a[near], b[near], 256
-        while len(a):
-            yes = confirm(a[:take], b[:take])
-            labels = _labels(len(fp), a[:take][yes], b[:take][yes], labels)
-            a, b, take = a[take:], b[take:], min(2 * take, 65_536)
-            still = labels[a] != labels[b]
-            a, b = a[still], b[still]
-    return labels
-
-
 def _divided(mask: int) -> list[int]:
     """``mask`` with one of the blocks of its open bits added, for each block."""
     open_bits = [b for b in range(64) if not mask >> b & 1]

@@ -5,7 +5,9 @@ the more characters lie in between, in either. Characters inserted into an insul
 Within ``SPAN`` characters these subsequences are few enough to be listed, so a string's kernel with all landmarks is a
 lookup of its subsequences in one table.
 
-A text is read as units: its words without punctuation, and runs of single characters read together. Landmarks are units whose share among toxic training texts stands out, unlike each other under the kernel.
+A text is read as units: its words without punctuation, and runs of single characters read together, whole, without the
+first one and sentence by sentence. Landmarks are units whose share among toxic training texts stands out, unlike each other
+under the kernel.
 Each text is represented by its largest kernel value with each landmark, mapped by the inverse root of the landmarks'
 own kernel matrix; a linear support vector machine with squared hinge loss separates the classes there, and a sigmoid
 fitted to its margins gives the score.
@@ -33,6 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.registry import query, table
+from tidemark.llm.worker_memory import remembered
 
 SAMPLE_ROWS = 10_000
 LANDMARKS = 64
@@ -43,9 +46,12 @@ FLOOR, ALIKE = 0.35, 0.8
 #: A landmark occurs in this many toxic texts, with this standard score against the others.
 LEAST_TEXTS, LEAST_SCORE = 3, 4.0
 REMEMBERED_WORDS = 400_000
+#: Characters of landmarks are numbered in eight bits.
+LETTERS = 256
 TEXTS_AT_ONCE = 256
 
 PUNCTUATION = dict.fromkeys(c for c in range(33, 127) if not chr(c).isalnum())
+SENTENCE_END = re.compile(r"[.!?]+[ \t]+")
 #: Three or more single characters in a row, each with any punctuation around it.
 SPELLED_OUT = re.compile(r"(?<!\S)(?:[^\w\s]*\w[^\w\s]*[ \t]+){2,}[^\w\s]*\w[^\w\s]*(?!\S)")
 
@@ -54,7 +60,11 @@ def text_words(text: str) -> set[str]:
     """Lower-case words of a text, and its runs of single characters as one word each."""
     lower = text.lower()
     words = set(lower.split())
-    words.update("".join(run.split()) for run in SPELLED_OUT.findall(lower))
+    for run in SPELLED_OUT.findall(lower):
+        single = run.split()
+        words.add("".join(single))
+        words.add("".join(single[1:]))  # without a leading article
+        words.update("".join(part.split()) for part in SENTENCE_END.split(run))
     return words
 
 
@@ -89,11 +99,16 @@ def _places(length: int) -> tuple[np.ndarray, ...]:
     return _PLACES[length]
 
 
-def _codes(units: list[str], length: int) -> np.ndarray:
-    """One row per unit: the code of the characters at each of the places. All units have the same length."""
-    chars = np.frombuffer("".join(units).encode("utf-32-le"), "<u4").reshape(len(units), length) & 0xFF
-    i, j, k, _ = _places(length)
-    return (chars[:, i] << 16 | chars[:, j] << 8 | chars[:, k]).astype(np.int32)
+def _characters(units: list[str], length: int) -> np.ndarray:
+    """One row of code points per unit. All units have the same length."""
+    return np.frombuffer("".join(units).encode("utf-32-le"), "<u4").reshape(len(units), length)
+
+
+def _codes(chars: np.ndarray, bits: int, kind: type = np.int64) -> np.ndarray:
+    """One row per unit: a number for the characters, of so many bits each, at each of the places."""
+    i, j, k, _ = _places(chars.shape[1])
+    chars = chars.astype(kind)
+    return chars[:, i] << 2 * bits | chars[:, j] << bits | chars[:, k]
 
 
 def _norms(codes: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -117,14 +132,24 @@ class Landmarks:
     #: Of the words seen, those like a landmark.
     alike: dict[str, np.ndarray] = field(default_factory=dict, repr=False)
 
+    @cached_property
+    def _letters(self) -> np.ndarray:
+        """A small number for each code point of a landmark, zero for all others."""
+        found = sorted({ord(c) for string in self.strings for c in string})
+        if len(found) >= LETTERS:
+            raise ValueError(f"landmarks of more than {LETTERS - 1} different characters")
+        numbers = np.zeros(0x110000, np.uint8)
+        numbers[found] = np.arange(1, len(found) + 1)
+        return numbers
+
     @cached_property
     def _table(self) -> tuple[np.ndarray, np.ndarray]:
         """Row of each subsequence code, or -1; and the normalised weights, one row per code, one column per landmark."""
         weights: dict[int, np.ndarray] = {}
         for column, string in enumerate(self.strings):
-            codes, (*_, weight) = _codes([string], len(string)), _places(len(string))
-            norm = _norms(codes, weight)[0]
-            for code, w in zip(codes[0].tolist(), weight):
+            chars, (*_, weight) = _characters([string], len(string)), _places(len(string))
+            norm = _norms(_codes(chars, 21), weight)[0]
+            for code, w in zip(_codes(self._letters[chars], 8)[0].tolist(), weight):
                 weights.setdefault(code, np.zeros(len(self.strings)))[column] += w / norm
         rows = np.full(1 << 24, -1, np.int16)
         rows[list(weights)] = np.arange(len(weights))
@@ -138,15 +163,16 @@ class Landmarks:
             at = np.array([i for i, u in enumerate(units) if len(u) == length])
             for part in np.array_split(at, len(at) // 4_096 + 1):
                 *_, weight = _places(length)
-                codes = _codes([units[i] for i in part], length)
-                known = rows[codes]
+                chars = _characters([units[i] for i in part], length)
+                known = rows[_codes(self._letters[chars], 8, np.int32)]
                 owner, place = np.nonzero(known >= 0)
                 if not len(owner):
                     continue
                 shared = weight[place][:, None] * weights[known[owner, place]]
                 edge = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
                 some = owner[edge]
-                out[part[some]] = np.add.reduceat(shared, edge, axis=0) / _norms(codes[some], weight)[:, None]
+                norms = _norms(_codes(chars[some], 21), weight)
+                out[part[some]] = np.add.reduceat(shared, edge, axis=0) / norms[:, None]
         return out
 
     def likeness(self, texts: list[str]) -> np.ndarray:
@@ -254,11 +280,15 @@ def _likeness(known: Landmarks, column: pa.Array) -> np.ndarray:
 
 
 def training_texts(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_ROWS) -> DataFrame:
-    """text and toxic of at most ``most`` labelled documents of each class outside the held-out fold."""
+    """text and toxic of at most ``most`` labelled documents of each class outside the held-out fold.
+
+    Of rows that share an id, the one with the smallest hash of its text is taken.
+    """
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out("doc_id"))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).withColumn("_h", F.xxhash64("doc_id"))
     some = [known.filter(F.col("toxic") == c).orderBy("_h", "doc_id").limit(most) for c in (0, 1)]
-    return docs.select("doc_id", "text").join(F.broadcast(some[0].unionByName(some[1]).drop("_h")), "doc_id")
+    rows = docs.select("doc_id", "text").join(F.broadcast(some[0].unionByName(some[1]).drop("_h")), "doc_id")
+    return rows.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.max("toxic").alias("toxic"))
 
 
 def fit(texts: DataFrame) -> Model | None:
@@ -290,14 +320,9 @@ def fit(texts: DataFrame) -> Model | None:
     return fit_model(landmarks, np.array([r["likeness"] for r in rows]), np.array([r["toxic"] for r in rows]))
 
 
-_known: list[Landmarks] = []
-
-
 def _landmarks(strings: tuple[str, ...]) -> Landmarks:
     """The landmarks with what a worker remembers of units that it has seen."""
-    if not _known or tuple(_known[0].strings) != tuple(strings):
-        _known[:] = [Landmarks(list(strings))]
-    return _known[0]
+    return remembered(("landmarks", strings), lambda: Landmarks(list(strings)))
 
 
 def with_likeness(docs: DataFrame, landmarks: list[str], *kept: str) -> DataFrame:
@@ -317,15 +342,17 @@ def scored(docs: DataFrame, model: Model | None, *kept: str) -> DataFrame:
     """The columns ``kept`` of all ``docs``, and score."""
     if model is None:
         return docs.select(*kept, F.lit(0.0).alias("score"))
+    sent = [*dict.fromkeys(["text", *kept])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _landmarks(model.landmarks)
         for batch in batches:
             found = _likeness(known, batch.column(0))
-            yield pa.record_batch([*batch.columns[1:], pa.array(model.scores(found))], names=[*kept, "score"])
+            columns = [batch.column(sent.index(c)) for c in kept]
+            yield pa.record_batch([*columns, pa.array(model.scores(found))], names=[*kept, "score"])
 
     schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept), "score double"])
-    return docs.select("text", *kept).mapInArrow(run, schema)
+    return docs.select(*sent).mapInArrow(run, schema)
 
 
 @query("op4_kernel_toxicity")
