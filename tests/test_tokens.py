@@ -236,6 +236,28 @@ def test_packing_equals_naive_search(documents):
     assert all(r.packer_id == 0 for r in rows)
 
 
+@pytest.mark.parametrize("range_docs", [10_000, 211, 40])
+def test_one_loader_cut_into_ranges(documents, range_docs):
+    """The rows of one loader, whatever the number of ranges, over two epochs."""
+    docs, df = documents
+    batches = []
+    for shard in range(3):
+        own = [d[2] for d in docs if d[0] == shard]
+        batches += [own[i : i + 128] for i in range(0, len(own), 128)]
+    rows = packing.packed_in_order(document_batches(df, epochs=2), F.col("ids"), 33, buffer=150, range_docs=range_docs)
+    rows = rows.orderBy("row_id").collect()
+    assert [list(r.tokens) for r in rows] == naive_pack(batches * 2, 33, 150)
+    one = packing.packed(document_batches(df, epochs=2), F.col("ids"), 33, buffer=150, packers=1).orderBy("row_id").collect()
+    assert rows == one
+
+
+def test_packing_in_order_of_nothing_and_of_too_little(spark, documents):
+    _, df = documents
+    assert packing.packed_in_order(document_batches(df.limit(0)), F.col("ids"), 33).collect() == []
+    few = spark.createDataFrame([(0, 1, [7, 1]), (0, 2, None), (0, 3, [])], "shard int, doc_id int, ids array<int>").filter("doc_id = 1")
+    assert packing.packed_in_order(document_batches(few), F.col("ids"), 33).collect() == []
+
+
 def test_many_packers_share_a_shard(documents):
     docs, df = documents
     rows = packing.packed(document_batches(df, epochs=2), F.col("ids"), 33, buffer=20, packers=6).cache()

@@ -63,6 +63,18 @@ def packed(spark, folder, split):
     return packing.packed(p.document_batches(docs), ids, ROW_TOKENS)
 
 
+def packed_rows(spark, folder, split):
+    """The rows of one loader over a split, a stored table that a trainer reads and several queries use."""
+    known = merges(spark, folder)
+
+    def rows():
+        docs = split_corpus(spark, folder).filter(F.col("split") == split).select("shard", "doc_id", "text")
+        ids = bpe.encoded(F.col("text"), known, bpe.bos_id(known))
+        return packing.packed_in_order(p.document_batches(docs), ids, ROW_TOKENS)
+
+    return sinks.built_once(spark, f"{shared_dir(spark)}/packed-{split}-{ROW_TOKENS}-{vocabulary_name(spark, folder)}", rows)
+
+
 @query("t4_pair_counts", with_views(WORDS) + """
 , counts AS (SELECT hex(encode(word)) AS h, count(*) AS cnt FROM (SELECT unnest(w) AS word FROM words) GROUP BY word)
 SELECT pair, CAST(sum(cnt) AS BIGINT) AS cnt FROM (
@@ -173,7 +185,7 @@ def a1_packed(spark, folder):
     nats = counts.select("token_id", (-F.log(F.col("cnt") / total)).alias("nats"))
     # Both tables have one row per token of the vocabulary.
     losses = vocab.join(nats, "token_id", "left").withColumn("nats", F.coalesce("nats", F.lit(0.0)))
-    rows = packed(spark, folder, "val").select(F.explode(targets(F.col("tokens"))).alias("token_id"))
+    rows = packed_rows(spark, folder, "val").select(F.explode(targets(F.col("tokens"))).alias("token_id"))
     seen = rows.groupBy("token_id").agg(F.count(F.lit(1)).alias("times")).join(F.broadcast(losses), "token_id")
     out = ev.bits_per_byte(seen, F.col("nats"), F.col("n_bytes"), weight=F.col("times"))
     return out.select("n_bytes", F.round("bpb", 6).alias("bpb"))
@@ -181,7 +193,7 @@ def a1_packed(spark, folder):
 
 @query("t12_packed_rows")
 def t12(spark, folder):
-    return packed(spark, folder, "train").select(
+    return packed_rows(spark, folder, "train").select(
         "packer_id", "row_id", "epoch", "drain", "docs", "cropped", F.size("tokens").alias("n_tokens"),
         F.md5(F.array_join(F.col("tokens").cast("array<string>"), " ")).alias("digest"),
     )
@@ -189,7 +201,7 @@ def t12(spark, folder):
 
 @query("t13_packing_report")
 def t13(spark, folder):
-    out = packing.packing_report(packed(spark, folder, "train"), ROW_TOKENS, bpe.bos_id(merges(spark, folder)))
+    out = packing.packing_report(packed_rows(spark, folder, "train"), ROW_TOKENS, bpe.bos_id(merges(spark, folder)))
     return out.withColumn("docs_per_row", F.round("docs_per_row", 6))
 
 
@@ -217,15 +229,14 @@ def t13_invariants(spark, folder):
 
 @query("t14_evaluation_rows")
 def t14(spark, folder):
-    # Packed once and stored, as a trainer would read it; the budget is then found on the stored rows.
-    rows = stage(packed(spark, folder, "val").select("packer_id", "row_id", F.size("tokens").alias("n_tokens")), "packed")
+    rows = packed_rows(spark, folder, "val").select("packer_id", "row_id", F.size("tokens").alias("n_tokens"))
     return packing.evaluation_rows(rows, BATCH_ROWS, EVAL_BUDGET, ROW_TOKENS - 1)
 
 
 @query("f4_packed_inputs")
 def f4(spark, folder):
     tokens = F.col("tokens")
-    return packed(spark, folder, "val").select(
+    return packed_rows(spark, folder, "val").select(
         "packer_id",
         "row_id",
         F.size(inputs(tokens)).alias("n_inputs"),
