@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.operators import chat as c
-from tidemark.sources import readers
+from tidemark.sources import readers, sinks
 
 U, M = "<|turn>user\n", "<|turn>model\n"
 END = "<turn|>\n"
@@ -133,3 +133,19 @@ def test_holdout_is_exact(spark):
 def test_size_bands(spark):
     df = spark.createDataFrame([(99,), (100,), (1000,), (5000,), (5001,)], "n int").select(c.size_band(F.col("n")).alias("b"))
     assert [r.b for r in df.collect()] == ["below 100", "unspecified", "1000 to 5000", "1000 to 5000", "above 5000"]
+
+
+def test_text_parts_join_to_the_rendered_text(spark, tmp_path, tiny_slices):
+    rows = [(c, t, ("user", "model")[t % 2], f"{c}-{t} " * (1 + (c * t) % 7)) for c in range(6) for t in range(0, 300 if c == 2 else 9)]
+    messages = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    path = str(tmp_path / "parts")
+    sinks.write_text_parts(c.rendered_parts(messages, part_chars=100), path)
+    whole = {r.conv_id: r.text for r in c.rendered(messages).collect()}
+    parts = readers.text_parts(spark, path).orderBy("conv_id", "part").collect()
+    for conv, text in whole.items():
+        own = [p for p in parts if p.conv_id == conv]
+        assert "".join(p.text for p in own) == text
+        assert all(p.start // 100 == p.part and text[p.start :].startswith(p.text) for p in own)
+    assert len([p for p in parts if p.conv_id == 2]) > 20
+    assert readers.text_parts(spark, path, 2).orderBy("part").collect() == [p for p in parts if p.conv_id == 2]
+    assert c.rendered(messages, max_chars=500).filter("text is null").count() >= 1  # its parts are all there

@@ -1,6 +1,8 @@
 """File readers and writers, and streams of several micro-batches beside their batch forms."""
 
+import datetime as dt
 import json
+from pathlib import Path
 
 import pytest
 from conftest import SMALL
@@ -12,6 +14,7 @@ from tidemark.operators import experiments as x
 from tidemark.operators import jobs as j
 from tidemark.operators import telemetry as o
 from tidemark.plans.staging import staged_path
+from tidemark.queries import all_queries
 from tidemark.session import shared_dir
 from tidemark.sources import readers, sinks, tables
 from tidemark.streaming import incremental
@@ -196,6 +199,60 @@ def test_metrics_progress_stream(spark, tmp_path):
     assert pairs(got.filter("seconds is not null"), "run_id", "stage", "seconds") == pairs(known, "run_id", "stage", "seconds")
 
 
+def test_an_open_key_is_kept_however_long_it_is_silent(spark, tmp_path):
+    """60 days pass between pieces; an ended key is forgotten after 30, open ones are not."""
+    day = 86_400 * 1_000_000
+    rows = [(0, "a", "running"), (0, "b", "succeeded"), (30, "c", "running"), (61, "c", "running"), (61, "a", "running"), (62, "a", "failed")]
+    schema = "slug string, at_us bigint, event_id bigint, state string"
+    states = spark.createDataFrame([(s, 10**15 + d * day + i, i, w) for i, (d, s, w) in enumerate(rows)], schema)
+    got = finished(spark, stream_jobs.state_changes(in_pieces(spark, states, ["at_us"], 6)), tmp_path)
+    assert pairs(got, "slug", "state") == [("a", "failed"), ("a", "running"), ("b", "succeeded"), ("c", "running")]
+
+
+def test_the_best_value_is_kept_however_long_a_tag_is_silent(spark, tmp_path):
+    rows = [(1, 0, 1, 1.0), (2, 0, 2, 5.0), (2, 70, 3, 4.0), (1, 71, 4, 2.0), (1, 72, 5, 0.5)]
+    data = [(tag, dt.datetime(2024, 1, 1) + dt.timedelta(days=d, seconds=e), e, v, "OK") for tag, d, e, v in rows]
+    source = spark.createDataFrame(data, "tag bigint, ts timestamp, event_id bigint, val_bpb double, status string")
+    got = finished(spark, stream_jobs.decisions(in_pieces(spark, source, ["ts"], 5)), tmp_path)
+    assert pairs(got, "event_id", "decision") == [(1, "KEEP"), (2, "KEEP"), (3, "KEEP"), (4, "DISCARD"), (5, "KEEP")]
+
+
+def test_documents_are_replaced_by_run(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    save = lambda **docs: sinks.replace_run_documents(spark.createDataFrame(list(docs.items()), "run string, document string"), path)
+    read = lambda: {r.run: (r.steps, r.epochs) for r in readers.run_documents(spark, path).select(
+        "run", readers.document_value("$.max_steps", "int").alias("steps"), readers.document_value("$.num_epochs", "int").alias("epochs")
+    ).collect()}
+    save(a='{"max_steps": 60}', b='{"num_epochs": 20}')
+    save(a='{"max_steps": 61}')
+    save(a='{"max_steps": 61}', c="no document")
+    assert read() == {"a": (61, None), "b": (None, 20), "c": (None, None)}
+
+
+def test_run_documents_stream_resumes(spark, tmp_path):
+    marks = tables.stage_events(spark, SMALL).select("run_id", "stage", "at_us", "edge").cache()
+    stages = [r.stage for r in marks.select("stage").distinct().collect()]
+    path, progress = str(tmp_path / "runs"), str(tmp_path / "progress")
+    source = in_pieces(spark, marks, ["at_us"], 3)
+    for _ in range(2):
+        stream_jobs.write_run_documents(stream_jobs.run_documents(source, stages), path, progress)
+    docs = readers.run_documents(spark, path).select(
+        readers.document_value("$.run_tag", "bigint").alias("run_id"), readers.document_value("$.stages", "map<string, double>").alias("m")
+    )
+    got = docs.select("run_id", F.explode("m").alias("stage", "seconds"))
+    known = o.stage_durations(marks).filter("seconds is not null")
+    assert pairs(got, "run_id", "stage", "seconds") == pairs(known, "run_id", "stage", "seconds")
+    assert docs.count() == marks.select("run_id").distinct().count()
+
+
+def test_listed_lengths_are_those_of_the_file_system(spark):
+    files = {p.name: p.stat().st_size for p in Path(SMALL).iterdir()}
+    listed = all_queries()["s2_shard_sizes"].run(spark, SMALL).collect()
+    assert {r.file_name: r.length for r in listed} == files
+    size = all_queries()["s18_folder_mb"].run(spark, SMALL).head()
+    assert size.n_files == len(files) and size.total_mb == sum(files.values()) / 2**20
+
+
 def test_ingest_skips_what_was_taken(spark):
     out, progress = staged_path(spark, "out"), staged_path(spark, "progress")
     for _ in range(2):

@@ -22,6 +22,8 @@ IGNORED_LABEL = -1
 KEYS = ("conv_id",)
 #: Characters that one rendered text may have: a value must fit into a fraction of an executor.
 MAX_CHARS = 100_000_000
+#: Characters of a conversation in whose range the messages of one part begin.
+PART_CHARS = 1_000_000
 
 
 # --------------------------------------------------------------------------- roles and content
@@ -141,7 +143,7 @@ def rendered(messages: DataFrame, order: str = "turn", max_chars: int = MAX_CHAR
     """Text of each conversation as (conv_id, n_chars, text), one row each.
 
     A conversation of more than ``max_chars`` characters cannot be one value; it is listed with its length and no
-    text, and its messages are never gathered.
+    text, and its messages are never gathered. ``rendered_parts`` has the text of any conversation.
     """
     rows = messages.select(*KEYS, order, segment(F.col("role"), F.col("text")).alias("_segment"))
     sizes = rows.groupBy(*KEYS).agg(F.sum(F.length("_segment")).alias("n_chars"))
@@ -156,6 +158,26 @@ def rendered(messages: DataFrame, order: str = "turn", max_chars: int = MAX_CHAR
     )
 
 
+def rendered_parts(
+    messages: DataFrame, order: str = "turn", part_chars: int = PART_CHARS, cuts_from: DataFrame | None = None
+) -> DataFrame:
+    """The text of each conversation as ordered parts (conv_id, part, start, text), of any length in all.
+
+    A part holds the whole messages that begin within its ``part_chars`` characters of the conversation; a part without a
+    beginning is left out. Joined in order, the parts are the text of ``rendered``. Only a part is ever gathered.
+    """
+    rows = messages.select(*KEYS, order, segment(F.col("role"), F.col("text")).alias("_segment"))
+    rows = rows.withColumn("_length", F.length("_segment"))
+    rows = order_rows(rows, KEYS, [order], cuts_from=cuts_from).scan(_start=running_sum("_length", inclusive=False)).rows()
+    rows = rows.withColumn("part", F.floor(F.col("_start") / F.lit(part_chars)).cast("bigint"))
+    parts = rows.groupBy(*KEYS, "part").agg(
+        F.min("_start").alias("start"), F.array_sort(F.collect_list(F.struct("_start", "_segment"))).alias("_all")
+    )
+    text = F.array_join(F.transform("_all", lambda s: s["_segment"]), "")
+    text = F.when(F.col("start") == 0, without_bos(text)).otherwise(text)
+    return parts.select(*KEYS, "part", "start", text.alias("text"))
+
+
 def target_spans(messages: DataFrame, order: str = "turn", cuts_from: DataFrame | None = None) -> DataFrame:
     """Character spans of each message in the rendered text: opener, then body; only model bodies are targets."""
     rows = messages.withColumns(

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import text as t
 from tidemark.operators import chat as c
+from tidemark.plans.staging import staged_path
 from tidemark.queries.registry import query
 from tidemark.queries.views import CORPUS, FROM_VALUE, UNEVEN, with_views
-from tidemark.sources import tables
+from tidemark.sources import readers, sinks, tables
 
 
 def source():
@@ -91,6 +92,18 @@ def c9(spark, folder):
     return texts.select("conv_id", "n_chars", F.md5("text").alias("digest"))
 
 
+@query("c9_text_parts", with_views(UNEVEN) + """,
+placed AS (SELECT *, coalesce(sum(length(segment)) OVER (PARTITION BY conv_id ORDER BY turn
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begun FROM segments)
+SELECT conv_id, CAST(begun // 400 AS BIGINT) AS part, CAST(min(begun) AS BIGINT) AS start, string_agg(segment, '' ORDER BY turn) AS text
+FROM placed GROUP BY conv_id, begun // 400""")
+def c9_parts(spark, folder):
+    """The texts in parts of about 400 characters, written and read again: nothing is left out at any length."""
+    path = staged_path(spark, "parts")
+    sinks.write_text_parts(c.rendered_parts(kept_messages(spark, folder), part_chars=400, cuts_from=tables.turns(spark, folder)), path)
+    return readers.text_parts(spark, path)
+
+
 @query("c10_target_spans", with_views(UNEVEN) + """,
 placed AS (SELECT *, coalesce(sum(length(segment)) OVER (PARTITION BY conv_id ORDER BY turn
   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begun FROM segments)

@@ -59,6 +59,12 @@ def s2(spark, folder):
     return readers.list_files(spark, folder, "*.parquet").select("file_name", (F.col("length") > 0).alias("holds_bytes"))
 
 
+@query("s2_shard_sizes")
+def s2_sizes(spark, folder):
+    """The length of each file; the tests compare it with the file system."""
+    return readers.list_files(spark, folder, "*.parquet").select("file_name", "length")
+
+
 @query("s3_plan_shards", with_views(SHARDS) + "SELECT * FROM manifest")
 def s3(spark, folder):
     rows = tables.corpus(spark, folder)

@@ -137,10 +137,14 @@ def documents(spark, folder):
         mode.alias("mode"),
         F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull()).alias("stages"),
         F.struct(F.when(F.col("run_id") % 2 == 0, 8).otherwise(32).alias("r")).alias("lora"),
-        F.struct(F.lit(2e-4).alias("learning_rate")).alias("training_config"),
+        F.struct(  # a run is limited by steps or by epochs, as its mode has it
+            F.lit(2e-4).alias("learning_rate"),
+            F.when(mode == "generic", F.col("steps")).alias("max_steps"),
+            F.when(mode == "domain", F.lit(20)).alias("num_epochs"),
+        ).alias("training_config"),
         F.when(F.col("run_id") % 11 != 0, F.struct(F.col("loss").alias("train_loss"))).alias("training_result"),
     )
-    return wide.join(log, "run_id").select(F.to_json(doc).alias("document"))
+    return wide.join(log, "run_id").select("run_id", F.to_json(doc).alias("document"))
 
 
 def read_documents(spark, folder):
@@ -163,12 +167,61 @@ def s14(spark, folder):
     return read_documents(spark, folder).select("run_tag", "mode", "training_result.train_loss", "peak_vram_gb")
 
 
+def sweep_folders(spark, folder):
+    """The documents of a sweep, one folder per run."""
+    path = staged_path(spark, "sweep")
+    sinks.replace_run_documents(documents(spark, folder).withColumnRenamed("run_id", "run"), path)
+    value = readers.document_value
+    return readers.run_documents(spark, path).select(
+        value("$.run_tag", "string").alias("run_tag"),
+        value("$.mode", "string").alias("mode"),
+        value("$.stages", "map<string, double>").alias("stages"),
+        F.struct(value("$.lora.r", "int").alias("r")).alias("lora"),
+        F.struct(
+            value("$.training_config.learning_rate", "double").alias("learning_rate"),
+            value("$.training_config.max_steps", "bigint").alias("max_steps"),
+            value("$.training_config.num_epochs", "bigint").alias("num_epochs"),
+        ).alias("training_config"),
+        F.struct(value("$.training_result.train_loss", "double").alias("train_loss")).alias("training_result"),
+        value("$.peak_vram_gb", "double").alias("peak_vram_gb"),
+    )
+
+
+@query("s13_saved_by_run", with_views(STAGES, STEP_LOG) + """
+SELECT CAST(run_id AS VARCHAR) AS run_tag, stage, seconds FROM stages WHERE seconds IS NOT NULL
+AND run_id IN (SELECT run_id FROM step_log) AND (run_id % 3 <> 0 OR stage IN ('click', 'error'))""")
+def s13_by_run(spark, folder):
+    """Documents saved after two stages and at the end; every third run is killed in between and keeps what it had."""
+    path = staged_path(spark, "saved")
+    rows = documents(spark, folder).withColumnRenamed("run_id", "run")
+    early = F.map_filter(F.from_json(F.get_json_object("document", "$.stages"), "map<string, double>"), lambda k, _: k.isin("click", "error"))
+    begun = F.to_json(F.struct(F.col("run").cast("string").alias("run_tag"), early.alias("stages")))
+    sinks.replace_run_documents(rows.withColumn("document", begun), path)
+    for _ in range(2):  # the last save is retried
+        sinks.replace_run_documents(rows.filter("run % 3 <> 0"), path)
+    return o.stage_rows(readers.run_documents(spark, path).select(
+        readers.document_value("$.run_tag", "string").alias("run_tag"),
+        readers.document_value("$.stages", "map<string, double>").alias("stages"),
+    ))
+
+
+@query("s14_run_folders", with_views(STEP_LOG) + """
+SELECT CAST(run_id AS VARCHAR) AS run_tag, CASE WHEN run_id % 2 = 0 THEN 'generic' ELSE 'domain' END AS mode,
+  CASE WHEN run_id % 11 <> 0 THEN min(loss) END AS train_loss, CASE WHEN run_id % 2 = 0 THEN 8 ELSE 32 END AS r,
+  CASE WHEN run_id % 2 = 0 THEN count(*) END AS max_steps, CASE WHEN run_id % 2 = 1 THEN 20::BIGINT END AS num_epochs
+FROM step_log GROUP BY run_id""")
+def s14_folders(spark, folder):
+    return sweep_folders(spark, folder).select(
+        "run_tag", "mode", "training_result.train_loss", "lora.r", "training_config.max_steps", "training_config.num_epochs"
+    )
+
+
 @query("a17_leaderboard", with_views(STEP_LOG) + """
 , runs AS (SELECT CAST(run_id AS VARCHAR) AS run_tag, CASE WHEN run_id % 2 = 0 THEN 'generic' ELSE 'domain' END AS mode,
   CASE WHEN run_id % 11 <> 0 THEN min(loss) END AS metric FROM step_log GROUP BY run_id)
 SELECT run_tag, mode, metric, row_number() OVER (ORDER BY metric NULLS LAST, run_tag) AS rank FROM runs""")
 def a17(spark, folder):
-    return o.leaderboard(read_documents(spark, folder)).select("run_tag", "mode", "metric", "rank")
+    return o.leaderboard(sweep_folders(spark, folder)).select("run_tag", "mode", "metric", "rank")
 
 
 @query("s18_folder_size", f"SELECT CAST({len(TABLES)} AS BIGINT) AS n_files, true AS holds_bytes")
@@ -176,6 +229,12 @@ def s18(spark, folder):
     return readers.folder_size(spark, folder).select("n_files", (F.col("total_mb") > 0).alias("holds_bytes"))
 
 
+@query("s18_folder_mb")
+def s18_size(spark, folder):
+    """The size in MiB and the number of files; the tests compare it with the file system."""
+    return readers.folder_size(spark, folder)
+
+
 @query("f3_checked_shards", " UNION ALL ".join(
     f"SELECT '{name}.parquet' AS file_name, count(*) AS n_rows FROM {name}" for name in TABLES
 ))

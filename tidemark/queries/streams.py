@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import experiments as x
+from tidemark.operators import telemetry as o
 from tidemark.plans.staging import staged_path
 from tidemark.queries.jobs import WAIT_S
 from tidemark.queries.registry import query
 from tidemark.queries.views import CORPUS, EXPERIMENTS, JOB_STATES, STAGES, STEP_LOG, with_views
-from tidemark.sources import tables
+from tidemark.sources import readers, tables
 from tidemark.streaming import jobs as j
 from tidemark.streaming.incremental import ingest_once, new_files
 
@@ -17,20 +18,23 @@ from tidemark.streaming.incremental import ingest_once, new_files
 PIECES = 3
 
 
-def streamed(spark, rows, at):
-    """A table written to the shared folder in pieces by time and read as a stream, one piece in a micro-batch."""
+def streamed(spark, rows, at, write):
+    """A table that arrives in pieces by time: after each, ``write`` processes what is new in its folder.
+
+    A piece has as many files as Spark writes; the stream goes on from its checkpoint, one micro-batch per piece.
+    """
     path = staged_path(spark, "stream")
     low, high = rows.agg(F.min(at), F.max(at)).head()
     piece = F.floor((at - F.lit(low)) / F.lit((high or 0) - (low or 0) + 1) * PIECES)
     for i in range(PIECES):
-        rows.filter(piece == i).coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        rows.filter(piece == i).write.mode("append").parquet(path)
+        write(spark.readStream.schema(rows.schema).parquet(path))
 
 
-def written(spark, stream, schema):
-    """The output of a stream after it has read all there is."""
-    out = staged_path(spark, "streamed")
-    j.write_stream(stream, out, staged_path(spark, "progress"))
+def written(spark, rows, at, make, schema):
+    """The output of the stream that ``make`` builds on the rows as they arrive."""
+    out, progress = staged_path(spark, "streamed"), staged_path(spark, "progress")
+    streamed(spark, rows, at, lambda source: j.write_stream(make(source), out, progress))
     return spark.read.schema(schema).parquet(out)
 
 
@@ -40,8 +44,8 @@ lived AS (SELECT j.* FROM job_states j LEFT JOIN ends e ON j.slug = e.slug WHERE
 SELECT slug, event_id, state FROM (SELECT *, lag(state) OVER (PARTITION BY slug ORDER BY at_us, event_id) AS before FROM lived)
 WHERE before IS DISTINCT FROM state""")
 def x1(spark, folder):
-    source = streamed(spark, tables.job_states(spark, folder), F.col("at_us"))
-    return written(spark, j.state_changes(source), "slug string, event_id bigint, state string")
+    rows = tables.job_states(spark, folder)
+    return written(spark, rows, F.col("at_us"), j.state_changes, "slug string, event_id bigint, state string")
 
 
 @query("x2_waiting", with_views(JOB_STATES) + f"""
@@ -57,9 +61,9 @@ def x2(spark, folder):
     clock = states.agg((F.max("at_us") + (WAIT_S + 3_600) * 1_000_000).alias("at_us")).select(
         F.lit("").alias("slug"), "at_us", F.lit(0).cast("bigint").alias("event_id"), F.lit("").alias("state")
     )
-    source = streamed(spark, states.select("slug", "at_us", "event_id", "state").unionByName(clock), F.col("at_us"))
-    rows = written(spark, j.waited_states(source, WAIT_S), "slug string, state string, timed_out boolean")
-    return rows.filter("slug <> ''")
+    rows = states.select("slug", "at_us", "event_id", "state").unionByName(clock)
+    wait = lambda source: j.waited_states(source, WAIT_S)
+    return written(spark, rows, F.col("at_us"), wait, "slug string, state string, timed_out boolean").filter("slug <> ''")
 
 
 @query("x3_run_progress", with_views(STEP_LOG) + """
@@ -70,8 +74,8 @@ SELECT a.run_id, a.step, round(sum(0.1 * b.loss * pow(0.9, a.step - b.step)) / (
 FROM lived a JOIN lived b ON a.run_id = b.run_id AND b.step <= a.step GROUP BY a.run_id, a.step, a.loss""")
 def x3(spark, folder):
     log = tables.step_log(spark, folder).select("run_id", "step", "loss", "dt_us", F.timestamp_seconds(F.col("step") + 86_400).alias("at"))  # after the first watermark, which is time zero
-    source = streamed(spark, log, F.col("step"))
-    out = written(spark, j.run_progress(source), "run_id bigint, step bigint, smooth_loss double, trained bigint, failed boolean")
+    schema = "run_id bigint, step bigint, smooth_loss double, trained bigint, failed boolean"
+    out = written(spark, log, F.col("step"), j.run_progress, schema)
     return out.withColumn("smooth_loss", F.round("smooth_loss", 6))
 
 
@@ -83,19 +87,32 @@ FROM (SELECT *, min(CASE WHEN status <> 'CRASH' THEN val_bpb END) OVER (PARTITIO
 def x4(spark, folder):
     ts = F.col("ts").cast("timestamp").alias("ts")
     rows = x.coerce_results(tables.raw_results(spark, folder)).select("tag", ts, "event_id", "val_bpb", "status")
-    source = streamed(spark, rows, F.unix_micros("ts"))
-    return written(spark, j.decisions(source), "tag bigint, event_id bigint, decision string")
+    return written(spark, rows, F.unix_micros("ts"), j.decisions, "tag bigint, event_id bigint, decision string")
 
 
 @query("x5_metrics_progress", with_views(STAGES) + "SELECT run_id, stage, seconds FROM stages")
 def x5(spark, folder):
     marks = tables.stage_events(spark, folder).select("run_id", "stage", "at_us", "edge")
-    out = staged_path(spark, "x5")
-    j.write_updates(j.metrics_progress(streamed(spark, marks, F.col("at_us"))), out, staged_path(spark, "progress"))
+    out, progress = staged_path(spark, "x5"), staged_path(spark, "progress")
+    streamed(spark, marks, F.col("at_us"), lambda source: j.write_updates(j.metrics_progress(source), out, progress))
     rows = spark.read.schema("run_id bigint, stage string, seconds double, version int").parquet(out)
     return j.latest_rows(rows, ["run_id", "stage"]).select("run_id", "stage", "seconds")
 
 
+@query("x5_run_documents", with_views(STAGES) + """
+SELECT CAST(run_id AS VARCHAR) AS run_tag, stage, seconds FROM stages WHERE seconds IS NOT NULL""")
+def x5_documents(spark, folder):
+    """The document of each run, replaced whenever marks of it arrive, read from its folder."""
+    marks = tables.stage_events(spark, folder).select("run_id", "stage", "at_us", "edge")
+    out, progress = staged_path(spark, "runs"), staged_path(spark, "progress")
+    stages = ("click", "error", "purchase", "signup", "view")
+    streamed(spark, marks, F.col("at_us"), lambda source: j.write_run_documents(j.run_documents(source, stages), out, progress))
+    return o.stage_rows(readers.run_documents(spark, out).select(
+        readers.document_value("$.run_tag", "string").alias("run_tag"),
+        readers.document_value("$.stages", "map<string, double>").alias("stages"),
+    ))
+
+
 @query("x6_ingested_once", with_views(CORPUS) + "SELECT source, count(*) AS n_docs FROM corpus GROUP BY source")
 def x6(spark, folder):
     out, progress = staged_path(spark, "x6"), staged_path(spark, "x6-progress")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -103,6 +103,15 @@ def first_existing(spark: SparkSession, candidates: Iterable[str]) -> str:
     raise FileNotFoundError(f"none of these exists: {tried}")
 
 
+def text_parts(spark: SparkSession, path: str, conv_id: int | None = None, folders: int = 64) -> DataFrame:
+    """Written parts of texts (conv_id, part, start, text); those of one conversation are read from its folder only."""
+    rows = spark.read.parquet(path)
+    if conv_id is not None:
+        wanted = F.lit(conv_id).cast(rows.schema["conv_id"].dataType)
+        rows = rows.filter((F.col("conv_id") == wanted) & (F.col("folder") == F.pmod(F.xxhash64(wanted), F.lit(folders))))
+    return rows.select("conv_id", "part", "start", "text")
+
+
 def json_records(spark: SparkSession, path: str, schema: str | T.StructType, multi_line: bool = False) -> DataFrame:
     """JSON records. ``multi_line`` reads files that hold one array each; such a file is read by one task."""
     return spark.read.schema(schema).option("multiLine", multi_line).option("mode", "PERMISSIVE").json(path)
@@ -131,6 +140,17 @@ def metrics_documents(spark: SparkSession, path: str) -> DataFrame:
     return docs.withColumn("run_folder", F.regexp_extract("_metadata.file_path", r"([^/]+)/[^/]+$", 1))
 
 
+def run_documents(spark: SparkSession, path: str) -> DataFrame:
+    """The document of each ``run`` folder as a variant, whatever its keys; null where it is no JSON."""
+    rows = spark.read.schema("value string, run string").option("wholetext", True).text(path)
+    return rows.select("run", F.try_parse_json("value").alias("document"))
+
+
+def document_value(path: str, kind: str) -> Column:
+    """A value of ``document`` by its path, null where it is missing or of another kind."""
+    return F.try_variant_get("document", path, kind)
+
+
 def metrics_lines(spark: SparkSession, path: str) -> DataFrame:
     """Metrics documents of a sweep gathered in files of one document per line."""
     return spark.read.schema(schemas.METRICS).json(path)

@@ -30,6 +30,16 @@ def write_metrics(documents: DataFrame, path: str, document: str = "document") -
     documents.select(F.col(document).alias("value")).write.mode("overwrite").text(path)
 
 
+def replace_run_documents(documents: DataFrame, path: str) -> None:
+    """One folder per ``run`` with its ``document``, a JSON text: a run's document replaces the one it had.
+
+    Other runs are not touched, and writing the same documents again changes nothing, so it can be called after every stage
+    of a run and by a task that is retried.
+    """
+    rows = documents.select(F.col("document").alias("value"), F.col("run").cast("string").alias("run"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run").text(path)
+
+
 def write_lines(rows: DataFrame, path: str, line: str) -> None:
     """One text line per row, such as a record that is JSON already."""
     rows.select(F.col(line).alias("value")).write.mode("overwrite").text(path)
@@ -39,6 +49,12 @@ def write_records(records: DataFrame, path: str) -> None:
     records.write.mode("overwrite").json(path)
 
 
+def write_text_parts(parts: DataFrame, path: str, folders: int = 64) -> None:
+    """Parts of texts (conv_id, part, start, text), a conversation's parts in order in one of ``folders`` folders."""
+    rows = parts.withColumn("folder", F.pmod(F.xxhash64("conv_id"), F.lit(folders)))
+    rows.repartition("folder", "conv_id").sortWithinPartitions("folder", "conv_id", "part").write.partitionBy("folder").parquet(path)
+
+
 def built_once(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
     """The table at ``path``; built and written first when it is not there yet."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")

@@ -8,21 +8,24 @@ micro-batches, within the stated watermark; inside a micro-batch they are sorted
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidemark.functions import schedules as s
 from tidemark.operators import experiments as x
 from tidemark.operators import jobs as j
+from tidemark.sources import sinks
 
 #: How far behind the latest observation rows may arrive.
 DELAY = "10 seconds"
 #: How long an ended key is remembered, so that late rows of it are not taken for a new one.
 KEEP_ENDED_S = 30 * 24 * 3600
+#: In place of a time-out: the key has ended. An open key without a time-out stays, however long it is silent.
+ENDED = -1
 
 Rows = list[tuple]
 
@@ -39,25 +42,29 @@ def _keyed(
 ) -> DataFrame:
     """``step`` turns the state and the sorted new rows of a key into new state, output rows and a time-out in ms.
 
-    ``expire`` does so when the time is up; state None removes the key.
+    The time-out is None for an open key that waits for ever and ``ENDED`` for one that is done. ``expire`` is asked when
+    the time is up; state None removes the key, another one has ended.
     """
     names = [f.split()[0] for f in output.split(", ")]
     columns = [c for c in stream.columns if c not in (key, at)]
 
     def run(group: tuple, frames: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
         before = held.get if held.exists else None
+        now = held.getCurrentWatermarkMs()
         if held.hasTimedOut:
             after, out = expire(before)
-            limit = None
+            limit = ENDED
         else:
             rows = pd.concat(list(frames)).sort_values(order)
+            now = max(now, int(rows[at].max().timestamp() * 1000))  # the watermark of a first batch is zero
             after, out, limit = step(before, list(rows[columns].itertuples(index=False, name=None)))
         if after is None:
             held.remove()
         else:
             held.update(after)
-            now = held.getCurrentWatermarkMs()
-            held.setTimeoutTimestamp(max(limit if limit is not None else now + KEEP_ENDED_S * 1000, now + 1))
+            if limit is not None:
+                until = now + KEEP_ENDED_S * 1000 if limit == ENDED else limit
+                held.setTimeoutTimestamp(max(until, held.getCurrentWatermarkMs() + 1))
         if out:
             yield pd.DataFrame([(*group, *row) for row in out], columns=names)
 
@@ -82,7 +89,7 @@ def state_changes(stream: DataFrame) -> DataFrame:
                 out.append((event_id, state))
                 last = state
             ended = state in j.TERMINAL_STATES
-        return (last, ended), out, None
+        return (last, ended), out, ENDED if ended else None
 
     rows = stream.select("slug", "at_us", "event_id", "state", _at("at_us"))
     return _keyed(
@@ -114,7 +121,7 @@ def waited_states(stream: DataFrame, timeout_s: int = j.TIMEOUT_S) -> DataFrame:
                 out, told = [(state, False)], True
             else:
                 last = state
-        return (start, last, told), out, None if told else (start + limit) // 1000 + 1
+        return (start, last, told), out, ENDED if told else (start + limit) // 1000 + 1
 
     def expire(before):
         start, last, told = before
@@ -144,7 +151,7 @@ def run_progress(stream: DataFrame) -> DataFrame:
             trained += int(dt_us) if number > s.UNTIMED_STEPS else 0
             failed = bool(math.isnan(loss) or loss > s.DIVERGED_LOSS)
             out.append((int(number), mean / (1 - beta**seen), trained, failed))
-        return (mean, seen, trained, failed), out, None
+        return (mean, seen, trained, failed), out, ENDED if failed else None
 
     rows = stream.select("run_id", "step", "loss", "dt_us", "at")
     return _keyed(
@@ -185,6 +192,25 @@ def metrics_progress(stream: DataFrame) -> DataFrame:
     return stream.groupBy("run_id", "stage").agg(seconds.alias("seconds"))
 
 
+def run_documents(stream: DataFrame, stages: Sequence[str]) -> DataFrame:
+    """The metrics document of each run as far as its ``stages`` are known; marks (run_id, stage, at_us, edge). For update mode."""
+
+    def seconds(stage: str) -> Column:
+        mark = lambda edge: F.when((F.col("stage") == stage) & (F.col("edge") == edge), F.col("at_us"))
+        return F.round((F.max(mark("end")) - F.min(mark("start"))) / F.lit(1e6), 2).alias(stage)
+
+    rows = stream.groupBy("run_id").agg(*[seconds(stage) for stage in stages])
+    known = F.map_filter(F.create_map(*[part for s in stages for part in (F.lit(s), F.col(s))]), lambda _, v: v.isNotNull())
+    tag = F.col("run_id").cast("string")
+    return rows.select(tag.alias("run"), F.to_json(F.struct(tag.alias("run_tag"), known.alias("stages"))).alias("document"))
+
+
+def write_run_documents(documents: DataFrame, path: str, progress: str) -> None:
+    """Replace the documents of the runs that a micro-batch has changed; a batch that is repeated writes the same again."""
+    writer = documents.writeStream.foreachBatch(lambda batch, _: sinks.replace_run_documents(batch, path))
+    writer.outputMode("update").option("checkpointLocation", progress).trigger(availableNow=True).start().awaitTermination()
+
+
 def write_stream(stream: DataFrame, path: str, progress: str) -> None:
     """Process what the source has now into a table, continuing after earlier runs."""
     writer = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", progress)
