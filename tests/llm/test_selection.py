@@ -7,6 +7,7 @@ from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import pytest
 from llm_tables import SMALL, awkward, documents  # noqa: F401
 
 from tidemark.llm import mixing, outliers, pitman_yor, toxicity
@@ -84,6 +85,8 @@ def test_kernel_equals_listed_subsequences():
 def test_units_read_spelled_out_words():
     assert {"idiot"} <= toxicity.text_units("you I-D-I-O-T. and")
     assert "moron" in toxicity.text_units("such a. m o r o n here")
+    assert "moron" in toxicity.text_units("such a m o r o n here")
+    assert "idiot" in toxicity.text_units("so i. d. i. o. t. there")
     assert all(len(u) <= toxicity.UNIT for u in toxicity.text_units("x" * 1_000))
 
 
@@ -111,6 +114,19 @@ def test_held_out_accuracy_and_inserted_characters(spark, documents):  # noqa: F
     assert min(scores[:3]) > 0.5 > max(scores[3:])
 
 
+def test_letters_of_other_scripts_are_not_alike():
+    shifted = "".join(chr(ord(c) + 0x100) for c in "idiot")
+    known = toxicity.Landmarks(["idiot", shifted + "ab"])
+    values = known.kernel(["idiot", shifted, "ixdiot"])
+    assert values[0, 0] == pytest.approx(1) and values[1, 0] == 0 and values[1, 1] > 0.5 and 0.3 < values[2, 0] < 1
+
+
+def test_one_text_of_an_id_is_learnt_from(spark, documents):  # noqa: F811
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id bigint, toxic int")
+    rows = toxicity.training_texts(documents(["a", "b", "c", None], [1, 1, 1, 2]), labels).collect()
+    assert sorted(r.toxic for r in rows) == [0, 1]
+
+
 def test_awkward_rows_toxicity(spark, awkward, documents):  # noqa: F811
     texts, labels = labelled(spark)
     model = toxicity.fit(toxicity.training_texts(documents(texts), labels))
@@ -142,6 +158,26 @@ def naive_mix(rows, weights=(5.0, 2.0, 1.0)):
         capped |= over
 
 
+@pytest.mark.parametrize("border_rows", [10_000, 20])
+@pytest.mark.parametrize("ids", ["same", "null", "few"])
+@pytest.mark.parametrize("equal", [True, False])
+def test_targets_are_met_with_repeated_and_null_ids(documents, monkeypatch, border_rows, ids, equal):  # noqa: F811
+    """Within half a document, also where all rows share an id, with equal texts or different ones."""
+    monkeypatch.setattr(mixing, "BORDER_ROWS", border_rows)
+    id_of = {"same": lambda i: 7, "null": lambda i: None, "few": lambda i: i % 3}[ids]
+    texts = ["w " * (10 if equal else 5 + i % 11) for i in range(400)]
+    sources = ["a" if i % 4 else "b" for i in range(400)]
+    docs = documents(texts, [id_of(i) for i in range(400)], sources)
+    rows = mixing.mix(docs, mixing.words()).collect()
+    sizes = {(r.source_size, r.target): 0 for r in rows}
+    for r in rows:
+        sizes[r.source_size, r.target] += r.taken
+        assert r.taken <= 3 * r.size
+    assert len(rows) == 400 and len(sizes) == 2
+    assert all(abs(taken - target) <= 8 for (_, target), taken in sizes.items())
+    assert mixing.mixed(docs, mixing.words()).count() == sum(r.copies for r in rows)
+
+
 def test_mix_meets_targets(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     rows = mixing.mix(docs, mixing.words()).join(docs.select("doc_id", "source"), "doc_id").collect()

@@ -8,12 +8,13 @@ filled; the document at the border is taken when more than half of it fits. So a
 half a document.
 
 ``p`` is the same within a source, so the order there is that of ``u``, whose bits place the border: level by level, the
-words per source and slot of 12 bits are summed, and only the slot that holds the border is looked at more closely. No
-source is ever sorted or gathered, however many rows it holds.
+words per source and slot of 12 bits are summed, and only the slot that holds the border is looked at more closely. Where
+very many rows have the same ``u``, as of one repeated id, the bits of a hash of their content and then of their place in
+the table go on. No source is ever sorted or gathered, however many rows it holds.
 
 Defined cases: a null text counts no words; a null source is a source of its own, last in order; a null id draws like
-an empty one; repeated ids with equal texts are separate rows, of which the border may take any one; an empty table gives
-no rows; extra columns are ignored.
+an empty one; rows that share an id are drawn one after another, in the order of a hash of their content, equal rows in any
+order; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,8 +32,13 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST_REPEATS = 3
 SEED = "mix"
-#: A draw has 52 bits; each level looks at 12 of them, and the last 16 break what few ties are left.
-LEVEL_BITS, LEVELS, DRAW_BITS = 12, 3, 52
+#: A draw has 52 bits.
+DRAW_BITS = 52
+#: What each level looks at: a number of the row without its last bits. Rows are ordered by the numbers.
+LEVELS = [("u", 40), ("u", 28), ("u", 16), ("u", 0), ("content", 36), ("content", 24), ("content", 12), ("content", 0)]
+LEVELS += [("row", shift) for shift in (51, 39, 27, 15, 3, 0)]
+#: Levels end when no source has more rows left.
+BORDER_ROWS = 10_000
 
 
 def draw(seed: str, doc_id: Column) -> Column:
@@ -67,50 +73,70 @@ def source_targets(sources: DataFrame, weights: Sequence[float], most_repeats: f
     return ranked.select("key", "source_size", F.least(share, cap).alias("target"))
 
 
-def _border(rows: DataFrame, sources: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(key, prefix, left): the slot of ``u`` where each source's words fill up and the words left there; its rows."""
-    border, inside = sources.select("key", F.lit(0).cast("bigint").alias("prefix"), "left"), rows
-    for level in range(1, LEVELS + 1):
-        shift = DRAW_BITS - LEVEL_BITS * level
-        slots = inside.groupBy("key", F.shiftright("u", shift).alias("slot")).agg(F.sum("size").alias("words"))
+def _border(rows: DataFrame, sources: DataFrame) -> tuple[DataFrame, DataFrame, tuple[str, int]]:
+    """Where each source's words fill up; the rows there; the level that was reached.
+
+    The border has, per key, ``prefix``, the slot of the level, ``left``, the words left in it, and the whole numbers of the
+    levels before.
+    """
+    border = sources.select("key", "left", *[F.lit(None).cast("bigint").alias(f"at_{c}") for c in ("u", "content", "row")])
+    inside = rows
+    for column, shift in LEVELS:
+        slot = F.shiftright(column, shift)
+        slots = inside.groupBy("key", slot.alias("slot")).agg(F.sum("size").alias("words"), F.count("*").alias("n"))
         before = F.sum("words").over(Window.partitionBy("key").orderBy("slot")) - F.col("words")
         reached = (
             slots.withColumn("before", before)
-            .join(border, "key")
+            .join(border.drop("prefix", "n"), "key")
             .filter((F.col("before") <= F.col("left")) & (F.col("left") < F.col("before") + F.col("words")))
-            .select("key", F.col("slot").alias("prefix"), (F.col("left") - F.col("before")).alias("left"))
+            .withColumns({"left": F.col("left") - F.col("before"), f"at_{column}": F.col("slot")})
+            .select("key", F.col("slot").alias("prefix"), "left", "n", "at_u", "at_content", "at_row")
         )
         border = stage(reached, "border")
-        keys = border.select("key", "prefix")
-        inside = rows.withColumn("prefix", F.shiftright("u", shift)).join(keys, ["key", "prefix"], "left_semi").drop("prefix")
-    return border, inside
+        inside = inside.withColumn("prefix", slot).join(border.select("key", "prefix"), ["key", "prefix"], "left_semi").drop("prefix")
+        if (border.agg(F.max("n")).first()[0] or 0) <= BORDER_ROWS:
+            break
+    return border.drop("n"), inside, (column, shift)
+
+
+def _before_border(level: tuple[str, int]) -> Column:
+    """Whether a row comes before the slot of the border."""
+    column, shift = level
+    out = F.shiftright(column, shift) < F.col("prefix")
+    for earlier in reversed(["u", "content", "row"][: ["u", "content", "row"].index(column)]):
+        at = F.col(f"at_{earlier}")
+        out = (F.col(earlier) < at) | ((F.col(earlier) == at) & out)
+    return out
 
 
 def _decided(docs: DataFrame, size: Column, weights: Sequence[float], most_repeats: float, seed: str, whole: bool) -> DataFrame:
-    """key, size and u of each document, with what its source gets, and copies; ``row``, its columns, if ``whole``."""
-    columns = [source_key(F.col("source")).alias("key"), size.cast("bigint").alias("size"), draw(seed, F.col("doc_id")).alias("u"), "doc_id"]
-    rows = stage(docs.select(*columns), "mix")
-    sources = source_targets(rows.groupBy("key").agg(F.sum("size").alias("source_size")), weights, most_repeats)
+    """key, size and u of each document, with what its source gets, and copies; ``all``, its columns, if ``whole``."""
+    content = F.xxhash64(*[c for c in ("doc_id", "text", "source") if c in docs.columns]).bitwiseAND(F.lit((1 << 48) - 1))
+    columns = [
+        source_key(F.col("source")).alias("key"), size.cast("bigint").alias("size"), draw(seed, F.col("doc_id")).alias("u"),
+        content.alias("content"), "doc_id", F.monotonically_increasing_id().alias("row"),
+    ]
+    rows = stage(docs.select(*columns, *[F.struct("*").alias("all")] * whole), "mix")
+    narrow = rows.select("key", "size", "u", "content", "row")
+    sources = source_targets(narrow.groupBy("key").agg(F.sum("size").alias("source_size")), weights, most_repeats)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     sources = sources.withColumn("whole", F.floor(ratio)).withColumn("p", ratio - F.col("whole"))
     sources = stage(sources.withColumn("left", F.col("target") - F.col("whole") * F.col("source_size")), "targets")
-    border, inside = _border(rows, sources)
+    border, inside, level = _border(narrow, sources)
 
-    # A handful of rows per source: those that share 36 bits of the draw at the border.
-    place = F.struct("u", F.coalesce("doc_id", F.lit(-(2**63))).alias("doc_id"), "size")
-    near = Window.partitionBy("key").orderBy("u", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    place = F.struct("u", "content", "row")
+    near = Window.partitionBy("key").orderBy("u", "content", "row").rowsBetween(Window.unboundedPreceding, -1)
     last = (
         inside.withColumn("before", F.coalesce(F.sum("size").over(near), F.lit(0)))
         .join(border, "key")
         .filter(F.col("before") + F.col("size") / 2 < F.col("left"))
-        .groupBy("key", "prefix")
+        .groupBy("key")
         .agg(F.max(place).alias("last"))
     )
-    known = sources.join(border.drop("left"), "key", "left").join(last, ["key", "prefix"], "left")
+    known = sources.join(border.drop("left"), "key", "left").join(last, "key", "left")
     known = stage(known.withColumn("full", (F.col("left") > 0) & F.col("prefix").isNull()), "known")
-    extra = F.col("full") | (F.shiftright("u", DRAW_BITS - LEVEL_BITS * LEVELS) < F.col("prefix")) | (place <= F.col("last"))
-    base = docs.select(*columns, F.struct("*").alias("row")) if whole else rows
-    return base.join(known, "key").withColumn("copies", F.col("whole") + F.coalesce(extra, F.lit(False)).cast("bigint"))
+    extra = F.col("full") | _before_border(level) | (place <= F.col("last"))
+    return rows.join(known, "key").withColumn("copies", F.col("whole") + F.coalesce(extra, F.lit(False)).cast("bigint"))
 
 
 def mix(
@@ -143,7 +169,7 @@ def mixed(
 ) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it."""
     rows = _decided(docs, size, weights, most_repeats, seed, whole=True).filter("copies > 0")
-    return rows.select("row", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies"))).select("row.*")
+    return rows.select("all", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies"))).select("all.*")
 
 
 def words(column: str = "text") -> Column:
