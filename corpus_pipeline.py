@@ -21,12 +21,13 @@ from tidemark.llm import mixing, packing_histogram, run_index, simhash_trie
 from tidemark.llm import toxicity as kernel
 from tidemark.plans.staging import stage
 from tidemark.queries.registry import Query
+from tidemark.session import prepared
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    labels = prepared(spark).read.parquet(f"{sf_dir}/labels.parquet")
     model = kernel.fit(kernel.training_texts(docs, labels))
     return kernel.scored(docs.select(*COLUMNS), model, *COLUMNS).filter("score < 0.5").select(*COLUMNS)
 

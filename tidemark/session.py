@@ -6,13 +6,15 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-#: Session settings the operators rely on. Adaptive execution resizes and splits shuffle partitions.
+#: Session settings the operators rely on. Adaptive execution resizes and splits shuffle partitions; whole texts go to Python
+#: workers, so batches have few rows.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 
@@ -33,6 +35,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     return spark
 
 
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session with ``SETTINGS``."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it in ``spark.checkpoint.dir``.
 
