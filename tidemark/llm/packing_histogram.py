@@ -32,7 +32,7 @@ BROADCAST_SLOTS = 500_000
 #: Rows ranked together.
 BUCKET_ROWS = 4_000
 #: Words whose ids a worker remembers, twice.
-REMEMBERED_WORDS = 500_000
+REMEMBERED_WORDS = 300_000
 TEXTS_AT_ONCE = 64
 
 PIECES = "doc_id {}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"

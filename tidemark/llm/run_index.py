@@ -33,12 +33,13 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.exchange import array, divided, packed, per_group, per_row, stage_arrays
 from tidemark.llm.registry import query, table
+from tidemark.llm.worker_memory import forget
 
 LENGTH = 50
 ANCHOR = 24
 BLOCK_BYTES = 6_000_000
 #: Text for each bucket of anchors, and for each shard of the index.
-BUCKET_BYTES, SHARD_BYTES = 8_000_000, 10_000_000
+BUCKET_BYTES, SHARD_BYTES = 8_000_000, 6_000_000
 SEGMENT = 400
 #: An anchor in more documents than this is very frequent.
 HOT_DOCUMENTS = 1_000
@@ -91,21 +92,24 @@ def suffix_order(chars: np.ndarray, rest: np.ndarray, length: int) -> tuple[np.n
     ``chars`` holds segments, each ended by 0; ``rest`` is how many characters each suffix has, its end included. Ends
     differ: an earlier segment's is smaller.
     """
-    n = len(chars)
+    n = len(chars)  # a few million: places fit in 32 bits
     key = np.zeros(n, np.int64)
     for j in range(7):
-        key[: n - j] |= np.where(rest[: n - j] > j, chars[j:], 0) << (9 * (6 - j))
-    order = np.argsort(key, kind="stable")
+        key[: n - j] |= np.where(rest[: n - j] > j, chars[j:], 0).astype(np.int64) << (9 * (6 - j))
+    order = np.argsort(key, kind="stable").astype(np.int32)
     ordered = key[order]
-    new = np.concatenate([[True], ordered[1:] != ordered[:-1]]) | (rest[order] <= 7)
-    new[1:] |= (rest[order] <= 7)[:-1]
+    new = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+    del key, ordered
+    short = rest[order] <= 7
+    new |= short
+    new[1:] |= short[:-1]
     depth, starts = 7, None
-    rank = np.empty(n, np.int64)
-    rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    rank = np.empty(n, np.int32)
+    rank[order] = np.maximum.accumulate(np.where(new, np.arange(n, dtype=np.int32), 0))
     while True:
         if depth == length:
             starts = new.copy()
-        open_rows = np.flatnonzero(~(new & np.append(new[1:], True)))
+        open_rows = np.flatnonzero(~(new & np.append(new[1:], True))).astype(np.int32)
         if not len(open_rows):
             break
         target = min(2 * depth, length) if depth < length else 2 * depth
@@ -134,12 +138,14 @@ class RunIndex:
         self.length = length
         sizes = np.fromiter(map(len, segments), np.int64, len(segments))
         ends = np.cumsum(sizes + 1)
-        chars = np.zeros(int(ends[-1]), np.int64)
+        chars = np.zeros(int(ends[-1]), np.int16)
         body = np.ones(len(chars), bool)
         body[ends - 1] = False
-        chars[body] = np.frombuffer(b"".join(segments), np.uint8).astype(np.int64) + 1
-        owner = np.repeat(np.arange(len(segments)), sizes + 1)
-        order, interval = suffix_order(chars, ends[owner] - np.arange(len(chars)), length)
+        chars[body] = np.frombuffer(b"".join(segments), np.uint8).astype(np.int16) + 1
+        owner = np.repeat(np.arange(len(segments), dtype=np.int32), sizes + 1)
+        rest = ends.astype(np.int32)[owner] - np.arange(len(chars), dtype=np.int32)
+        order, interval = suffix_order(chars, rest, length)
+        del rest
         transform = chars[order - 1]  # before the first suffix: the last end
         edge = np.concatenate([[True], transform[1:] != transform[:-1]])
         self.run_start = np.flatnonzero(edge)
@@ -203,6 +209,7 @@ def _blocks(docs: DataFrame, bits: int, block_bytes: int) -> DataFrame:
     at_id = others.index("doc_id")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         rest, keys, texts, places, hashes, size = [], [], [], [], [], 0
 
         def block() -> pa.RecordBatch:
