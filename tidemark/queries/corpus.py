@@ -188,7 +188,7 @@ SELECT count(*) AS n_docs, true AS within_size, true AS groups_start_anew, true
 def t11_row_groups(spark, folder):
     """Batches of shards that are written with several row groups each and read back."""
     path = staged_path(spark, "shards")
-    rows = tables.corpus(spark, folder).select("shard", "doc_id", "text").coalesce(2).sortWithinPartitions("shard", "doc_id")
+    rows = tables.corpus(spark, folder).select("shard", "doc_id", "text").repartition("shard").sortWithinPartitions("shard", "doc_id")
     rows.write.option("parquet.block.size", 65_536).option("parquet.page.size.row.check.min", 1).parquet(path)
     stored = readers.in_row_groups(readers.text_shards(spark, path).drop("text"), readers.row_groups(spark, path))
     batches = p.document_batches(stored).groupBy("shard", "batch").agg(
