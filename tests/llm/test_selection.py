@@ -52,6 +52,57 @@ def test_outliers_are_rejected_in_groups_of_any_size(documents):  # noqa: F811
     assert sum(kept[i] for i in range(120)) >= 119 and not any(kept[i] for i in range(120, 128))
 
 
+def test_minimum_covariance_determinant_equals_the_best_of_all_subsets():
+    draw = np.random.default_rng(3)
+    for _ in range(5):
+        x = np.vstack([draw.normal([1.6, 0.2, 0.4, 0.4], 0.2, (9, 4)), draw.normal(3, 0.2, (2, 4))])
+        h = math.ceil(outliers.KEPT_SHARE * len(x))
+        every = (list(rows) for rows in combinations(range(len(x)), h))
+        best = min(np.linalg.slogdet(outliers._floored(np.cov(x[rows], rowvar=False, bias=True)))[1] for rows in every)
+        assert outliers.subset_estimate(x)[2] == pytest.approx(best, abs=0.05)
+
+
+def test_weighted_vectors_are_repeated_ones():
+    draw = np.random.default_rng(4)
+    x, n = draw.normal(1, 0.3, (60, 4)), draw.integers(1, 6, 60)
+    mean, cov = outliers._moments(x, n.astype(float))
+    many = np.repeat(x, n, axis=0)
+    assert np.allclose(mean, many.mean(axis=0)) and np.allclose(cov, outliers._floored(np.cov(many, rowvar=False, bias=True)))
+    h = 0.75 * n.sum()
+    one = outliers._concentrate(x, n.astype(float), np.ceil(h), mean, cov, 3)
+    other = outliers._concentrate(many, np.ones(len(many)), np.ceil(h), mean, cov, 3)
+    assert np.allclose(one[0], other[0]) and np.allclose(one[1], other[1])
+
+
+def test_repetition_alone_is_rejected_and_a_repeated_line_is_not(documents):  # noqa: F811
+    draw = np.random.default_rng(2)
+    word = lambda: "".join(draw.choice(list("abcdefgh"), draw.integers(2, 9)))
+    lines = lambda n: [" ".join(word() for _ in range(10)) for _ in range(n)]
+    clean = ["\n".join(lines(20)) for _ in range(150)]
+    slight = ["\n".join([*own, own[0]]) for own in (lines(19) for _ in range(5))]
+    planted = []
+    for share in (0.2, 0.3, 0.4, 0.45):
+        for _ in range(3):
+            n = round(20 * share)
+            own = lines(20 - n)
+            planted.append("\n".join(own + [own[0]] * n))  # n of 20 lines and n + 1 of 20 lines of words are repeated
+    texts = clean + slight + planted
+    rows = {r.doc_id: r for r in outliers.judged(documents(texts, sources=["a"] * len(texts))).collect()}
+    assert sum(rows[i].kept for i in range(150)) >= 149 and all(rows[i].kept for i in range(150, 155))
+    assert not any(rows[i].base_failed or rows[i].kept for i in range(155, len(texts)))
+
+
+def test_small_groups_are_judged_by_all_and_copies_change_nothing(documents):  # noqa: F811
+    draw = np.random.default_rng(5)
+    text = lambda: " ".join("".join(draw.choice(list("abcdefgh"), draw.integers(2, 9))) for _ in range(100))
+    many, copies, few = [text() for _ in range(60)], [text()] * 60, [text() for _ in range(6)] + ["# ".join(text().split())]
+    rows = outliers.judged(documents(many + copies + few, sources=["a"] * 60 + ["b"] * 60 + [f"s{i}" for i in range(7)])).collect()
+    kept = {r.doc_id: r.kept for r in rows}
+    assert sum(kept[i] for i in range(126)) >= 125 and not kept[126]
+    alone = outliers.judged(documents(few, sources=[f"s{i}" for i in range(7)])).collect()
+    assert len(alone) == 7 and sum(r.kept for r in alone) >= 6
+
+
 def test_awkward_rows_outliers(awkward, documents):  # noqa: F811
     rows = outliers.judged(awkward).collect()
     assert len(rows) == awkward.count() and all(r.base_failed is not None and r.kept is not None for r in rows)

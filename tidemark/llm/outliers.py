@@ -7,10 +7,17 @@ rejected when its Mahalanobis distance is beyond what a clean one shows.
 
 The estimates are made as by the fast algorithm for large samples: every group is divided into subsets of bounded size,
 each finds its best estimate from many random starts, and the best of these takes concentration steps over all rows of
-the group, which are two aggregates each. A group with a third of all rows is many subsets and partial aggregates.
+the group, which are two aggregates each. Equal vectors are one weighted row of a subset, so that a group with a third of
+all rows, or thousands of copies of one text, is many subsets of bounded size and partial aggregates.
 
-Scatter never falls below ``FLOORS``, since most texts have no symbol and no repeated line at all; groups of fewer than
-``LEAST_ROWS`` documents use the estimate over all documents.
+The covariance of the nearest rows understates the spread of clean documents, and real statistics have longer tails than
+normal ones. Distances are therefore divided by the group's own: the larger of what its median and its ``KEPT_SHARE``
+quantile show beside those of normal vectors.
+
+Most texts have no symbol and no repeated line at all, so a group's scatter can be zero in a direction. ``FLOORS`` is the
+least deviation that counts: beside texts without any repetition, one with a fifth of its lines and words repeated is out.
+
+Groups of fewer than ``LEAST_ROWS`` documents are pooled in the group ``*``, and judged by the sum of all groups' moments.
 
 Defined cases: a null or blank text has no words and fails the base rule; null languages and sources are groups of their
 own; null and repeated ids are rows like any other; with no document that passes the base rule there is no estimate and
@@ -35,13 +42,13 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 SYMBOLS = b"#*$%&|<>"
 VECTOR = ("x0", "x1", "x2", "x3")
 #: Least standard deviation of each statistic.
-FLOORS = np.array([0.05, 0.03, 0.15, 0.15])
+FLOORS = np.array([0.05, 0.03, 0.12, 0.12])
 KEPT_SHARE = 0.75
-SUBSET_ROWS, STARTS, STEPS = 2_000, 10, 2
+SUBSET_ROWS, STARTS, STEPS = 2_000, 10, 3
 LEAST_ROWS = 30
-#: Share of clean documents that the cut-off may reject, as a normal quantile: one in a million.
-QUANTILE = 4.753
-EVERYTHING = "*"
+#: Normal quantiles: of the share of clean documents that the cut-off may reject, one in a thousand, and of ``KEPT_SHARE``.
+QUANTILE, KEPT_QUANTILE = 3.0902, 0.6745
+POOLED = "*"
 
 
 # --------------------------------------------------------------------------- statistics of a text
@@ -105,30 +112,46 @@ def _floored(cov: np.ndarray) -> np.ndarray:
     return cov + np.diag(lacking)
 
 
-def _concentrate(x: np.ndarray, h: int, mean: np.ndarray, cov: np.ndarray, steps: int):
+def _moments(x: np.ndarray, n: np.ndarray):
+    mean = n @ x / n.sum()
+    off = x - mean
+    return mean, _floored((off * n[:, None]).T @ off / n.sum())
+
+
+def _concentrate(x: np.ndarray, n: np.ndarray, h: float, mean: np.ndarray, cov: np.ndarray, steps: int):
     for _ in range(steps):
         off = x - mean
         distance = np.einsum("ij,ij->i", off @ np.linalg.inv(cov), off)
-        near = x[np.argpartition(distance, h - 1)[:h]]
-        mean, cov = near.mean(axis=0), _floored(np.cov(near, rowvar=False, bias=True))
+        order = np.argsort(distance, kind="stable")
+        before = np.cumsum(n[order]) - n[order]
+        near = order[before < h]
+        weights = n[near].astype(float)
+        weights[-1] = min(weights[-1], h - before[len(near) - 1])  # of equal rows, as many as are lacking
+        mean, cov = _moments(x[near], weights)
     return mean, cov, np.linalg.slogdet(cov)[1]
 
 
-def subset_estimate(x: np.ndarray, seed: int = 0):
-    """(mean, covariance, log determinant): the best that random starts lead to."""
-    n, p = x.shape
-    h = max((n + p + 1) // 2, int(np.ceil(KEPT_SHARE * n)))
-    h, random = min(n, h), np.random.default_rng(seed)
+def subset_estimate(x: np.ndarray, n: np.ndarray | None = None, seed: int = 0):
+    """(mean, covariance, log determinant) of vectors that occur ``n`` times: the best that random starts lead to."""
+    n = np.ones(len(x)) if n is None else n
+    p, total = x.shape[1], n.sum()
+    h, random = min(total, max((total + p + 1) // 2, np.ceil(KEPT_SHARE * total))), np.random.default_rng(seed)
     starts = []
     for _ in range(STARTS):
-        some = x[random.permutation(n)[: p + 1]]
-        cov = _floored(np.cov(some, rowvar=False, bias=True)) if len(some) > 1 else np.diag(FLOORS**2)
-        starts.append(_concentrate(x, h, some.mean(axis=0), cov, 2))
+        some = x[random.permutation(len(x))[: p + 1]]
+        mean, cov = _moments(some, np.ones(len(some)))
+        starts.append(_concentrate(x, n, h, mean, cov, 2))
     best = sorted(starts, key=lambda s: s[2])[:3]
-    return min((_concentrate(x, h, m, c, 10) for m, c, _ in best), key=lambda s: s[2])
+    return min((_concentrate(x, n, h, m, c, 10) for m, c, _ in best), key=lambda s: s[2])
 
 
+#: A group's estimate, and the moments it was made from.
 ESTIMATE = "g string, mean array<double>, inverse array<double>"
+P = len(VECTOR)
+PAIRS = [(i, j) for i in range(P) for j in range(i, P)]
+MOMENTS = ["n", *(f"s{i}" for i in range(P)), *(f"s{i}{j}" for i, j in PAIRS)]
+#: Median and ``KEPT_SHARE`` quantile of the squared length of a normal vector, and the cut-off.
+EXPECTED = [P * (1 - 2 / (9 * P) + z * (2 / (9 * P)) ** 0.5) ** 3 for z in (0.0, KEPT_QUANTILE, QUANTILE)]
 
 
 def _estimate_rows(g, means, covariances) -> pd.DataFrame:
@@ -138,73 +161,80 @@ def _estimate_rows(g, means, covariances) -> pd.DataFrame:
 
 def _distance() -> Column:
     """Squared Mahalanobis distance of the vector columns, given ``mean`` and ``inverse``."""
-    p = len(VECTOR)
     off = [F.col(c) - F.col("mean")[i] for i, c in enumerate(VECTOR)]
-    terms = [off[i] * off[j] * F.col("inverse")[i * p + j] for i in range(p) for j in range(p)]
+    terms = [off[i] * off[j] * F.col("inverse")[i * P + j] for i in range(P) for j in range(P)]
     return reduce(lambda a, b: a + b, terms)
 
 
 def _from_moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    p = len(VECTOR)
     for batch in batches:
         if len(batch):
             n = batch["n"].to_numpy(float)[:, None]
-            means = batch[[f"s{i}" for i in range(p)]].to_numpy() / n
-            second = np.empty((len(batch), p, p))
-            for i in range(p):
-                for j in range(p):
-                    second[:, i, j] = batch[f"s{min(i, j)}{max(i, j)}"].to_numpy() / n[:, 0]
+            means = batch[[f"s{i}" for i in range(P)]].to_numpy() / n
+            second = np.empty((len(batch), P, P))
+            for i, j in PAIRS:
+                second[:, i, j] = second[:, j, i] = batch[f"s{i}{j}"].to_numpy() / n[:, 0]
             covariances = [_floored(c) for c in second - means[:, :, None] * means[:, None, :]]
             yield _estimate_rows(batch["g"], means, covariances)
 
 
-def estimates(rows: DataFrame) -> DataFrame:
-    """g, mean, inverse and scale for each group ``g`` of ``rows``, which have the ``VECTOR`` and a ``key`` to divide by."""
-    sizes = rows.groupBy("g").agg(F.count("*").alias("n"))
+def _scaled(rows: DataFrame, now: DataFrame) -> DataFrame:
+    """The estimates with ``scale``, by which the squared distances of their groups exceed normal ones."""
+    shares = F.percentile_approx(_distance(), [0.5, KEPT_SHARE], 10_000)
+    shown = rows.join(now, "g").groupBy("g").agg(shares.alias("q"))
+    scale = F.greatest(F.lit(1.0), *[F.col("q")[k] / EXPECTED[k] for k in (0, 1)])
+    return now.join(stage(shown.select("g", scale.alias("scale")), "estimates"), "g")
+
+
+def estimates(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """g, mean, inverse and scale for each group ``g`` of ``rows``, and one row all_mean, all_inverse, all_scale.
+
+    ``rows`` have g and the ``VECTOR``. What has one row per group is stored before a join, so that Spark knows its size:
+    small ones are broadcast, and rows stay where they are.
+    """
+    vectors = stage(rows.groupBy("g", *VECTOR).agg(F.count("*").alias("times")), "vectors")
+    sizes = stage(vectors.groupBy("g").agg(F.count("*").alias("n")), "sizes")
     subsets = F.ceil(F.col("n") / SUBSET_ROWS)
-    divided = rows.join(sizes, "g").withColumn("subset", F.pmod(F.xxhash64("key"), subsets))
+    divided = vectors.join(sizes, "g").withColumn("subset", F.pmod(F.xxhash64(*VECTOR), subsets))
 
     def fit(name: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(list(VECTOR))  # the result does not depend on the order of arrival
-        mean, cov, det = subset_estimate(rows[list(VECTOR)].to_numpy())
+        mean, cov, det = subset_estimate(rows[list(VECTOR)].to_numpy(), rows["times"].to_numpy(float))
         return _estimate_rows([name[0]], [mean], [cov]).assign(det=det, subset=name[1])
 
     found = divided.groupBy("g", "subset").applyInPandas(fit, f"{ESTIMATE}, det double, subset bigint")
     best = found.groupBy("g").agg(F.min_by(F.struct("mean", "inverse"), F.struct("det", "subset")).alias("e"))
     now = stage(best.select("g", "e.*"), "estimates")
-    p = len(VECTOR)
     for _ in range(STEPS):
-        near = rows.join(now, "g").withColumn("d", _distance())
-        limits = near.groupBy("g").agg(F.percentile_approx("d", KEPT_SHARE, 10_000).alias("limit"))
+        limit = F.percentile_approx(_distance(), KEPT_SHARE, 10_000)
+        limits = stage(rows.join(now, "g").groupBy("g").agg(limit.alias("limit")), "limits")
         near = rows.join(now.join(limits, "g"), "g").filter(_distance() <= F.col("limit"))
-        sums = [F.sum(VECTOR[i]).alias(f"s{i}") for i in range(p)]
-        sums += [F.sum(F.col(VECTOR[i]) * F.col(VECTOR[j])).alias(f"s{i}{j}") for i in range(p) for j in range(i, p)]
-        moments = near.groupBy("g").agg(F.count("*").alias("n"), *sums)
+        sums = [F.sum(VECTOR[i]).alias(f"s{i}") for i in range(P)]
+        sums += [F.sum(F.col(VECTOR[i]) * F.col(VECTOR[j])).alias(f"s{i}{j}") for i, j in PAIRS]
+        moments = stage(near.groupBy("g").agg(F.count("*").alias("n"), *sums), "moments")
         now = stage(moments.mapInPandas(_from_moments, ESTIMATE), "estimates")
-    middle = rows.join(now, "g").groupBy("g").agg(F.percentile_approx(_distance(), 0.5, 10_000).alias("middle"))
-    expected = p * (1 - 2 / (9 * p)) ** 3
-    return now.join(middle, "g").withColumn("scale", F.greatest(F.lit(1.0), F.col("middle") / expected)).drop("middle")
+    own = stage(_scaled(rows, now), "estimates")
+    added = moments.agg(*[F.sum(c).alias(c) for c in MOMENTS]).filter("n > 0").withColumn("g", F.lit(POOLED))
+    scale = own.join(moments.select("g", "n"), "g").agg((F.sum(F.col("n") * F.col("scale")) / F.sum("n")).alias("all_scale"))
+    overall = added.mapInPandas(_from_moments, ESTIMATE).select(F.col("mean").alias("all_mean"), F.col("inverse").alias("all_inverse"))
+    return own, stage(overall.crossJoin(scale), "estimates")  # one row each
 
 
 def judged(docs: DataFrame) -> DataFrame:
     """doc_id, the counts, base_failed, kept, and distance, the squared one in units of its group's scatter."""
     part = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-"))
-    columns = docs.select("doc_id", "text", F.concat_ws("\x1f", part("lang"), part("source")).alias("g"), F.xxhash64("doc_id", "text").alias("key"))
+    columns = docs.select("doc_id", "text", F.concat_ws("\x1f", part("lang"), part("source")).alias("g"))
     rows = with_counts(columns).withColumn("base_failed", base_failed()).withColumns(vector())
     rows = stage(rows, "statistics")
-    fit = rows.filter("NOT base_failed").select("g", "key", *VECTOR)
-    large = fit.groupBy("g").count().filter(F.col("count") >= LEAST_ROWS).select("g")
-    both = fit.join(large, "g", "left_semi").unionByName(fit.withColumn("g", F.lit(EVERYTHING)))
-    found = stage(estimates(both), "estimates")
-    own = found.filter(F.col("g") != EVERYTHING)
-    overall = found.filter(F.col("g") == EVERYTHING).select(*[F.col(c).alias(f"all_{c}") for c in ("mean", "inverse", "scale")])
-    out = rows.join(own, "g", "left").join(F.broadcast(overall), F.lit(True), "left")  # one row
+    fit = rows.filter("NOT base_failed").select("g", *VECTOR)
+    large = stage(fit.groupBy("g").count().filter(F.col("count") >= LEAST_ROWS).select("g", F.lit(True).alias("own")), "groups")
+    group = F.when(F.col("own"), F.col("g")).otherwise(POOLED)
+    own, overall = estimates(fit.join(large, "g", "left").select(group.alias("g"), *VECTOR))
+    out = rows.join(own.filter(F.col("g") != POOLED), "g", "left").join(F.broadcast(overall), F.lit(True), "left")  # one row
     for name in ("mean", "inverse", "scale"):
         out = out.withColumn(name, F.coalesce(name, f"all_{name}"))
-    p = len(VECTOR)
-    cutoff = p * (1 - 2 / (9 * p) + QUANTILE * (2 / (9 * p)) ** 0.5) ** 3
     out = out.withColumn("distance", _distance() / F.col("scale"))
-    kept = F.when(F.col("base_failed"), False).otherwise(F.coalesce(F.col("distance") <= cutoff, F.lit(False)))
+    kept = F.when(F.col("base_failed"), False).otherwise(F.coalesce(F.col("distance") <= EXPECTED[2], F.lit(False)))
     return out.select("doc_id", *COUNTS, "base_failed", kept.alias("kept"), "distance")
 
 
