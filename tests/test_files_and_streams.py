@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+from collections import Counter
 from pathlib import Path
 
 import pytest
@@ -13,10 +14,10 @@ from tidemark.operators import corpus as p
 from tidemark.operators import experiments as x
 from tidemark.operators import jobs as j
 from tidemark.operators import telemetry as o
-from tidemark.plans.staging import staged_path
+from tidemark.plans.staging import stage, staged_path
 from tidemark.queries import all_queries
 from tidemark.session import shared_dir
-from tidemark.sources import readers, sinks, tables
+from tidemark.sources import readers, row_groups, sinks, tables
 from tidemark.streaming import incremental
 from tidemark.streaming import jobs as stream_jobs
 
@@ -105,11 +106,43 @@ def test_batches_start_anew_with_each_row_group(spark, tmp_path):
 
     rows = pa.table({"text": [f"t{i}" for i in range(400)]})
     parquet.write_table(rows, tmp_path / "shard_00000.parquet", row_group_size=200)
-    corpus = readers.in_row_groups(readers.text_shards(spark, str(tmp_path)), readers.row_groups(spark, str(tmp_path)))
+    corpus = readers.in_row_groups(readers.text_shards(spark, str(tmp_path)), row_groups.row_groups(spark, str(tmp_path)))
     got = p.document_batches(corpus).groupBy("batch").count().orderBy("batch").collect()
     assert [r["count"] for r in got] == [128, 72, 128, 72]
 
 
+def test_endless_epochs_go_on_where_they_stopped(spark, tmp_path):
+    import pyarrow as pa
+    from pyarrow import parquet
+
+    for shard, n in ((0, 500), (1, 90)):
+        rows = pa.table({"doc_id": range(n), "text": [f"{shard}-{i}" for i in range(n)]})
+        parquet.write_table(rows, tmp_path / f"shard_{shard}.parquet", row_group_size=200)
+    plan = stage(row_groups.epoch_plan(spark, str(tmp_path)))
+    listed = [(r.position, r.shard, r.row_group, r.start, r.n_rows, r.first_batch) for r in plan.orderBy("position").collect()]
+    assert listed == [(0, "shard_0.parquet", 0, 0, 200, 0), (1, "shard_0.parquet", 1, 200, 200, 2), (2, "shard_0.parquet", 2, 400, 100, 4), (3, "shard_1.parquet", 0, 0, 90, 0)]
+    out, progress = staged_path(spark, "epochs"), staged_path(spark, "progress")
+    seen = []
+    for _ in range(3):  # three row groups of four in each run: two epochs and a quarter
+        stream = row_groups.endless_epochs(spark, plan, 3)
+        stream.writeStream.option("checkpointLocation", progress).trigger(once=True).start(out).awaitTermination()
+        seen.append(spark.read.parquet(out).count())
+    assert seen == [500, 500 + 490, 500 + 490 + 390]
+    rows = spark.read.parquet(out).collect()
+    first = sorted((r.shard, r.row_index, r.text) for r in rows if r.epoch == 1)
+    assert first == sorted((f"shard_{s}.parquet", i, f"{s}-{i}") for s, n in ((0, 500), (1, 90)) for i in range(n))
+    assert sorted((r.shard, r.row_index, r.text) for r in rows if r.epoch == 2) == first
+    assert {r.row_group for r in rows if r.epoch == 3} == {0} and {r.shard for r in rows if r.epoch == 3} == {"shard_0.parquet"}
+    batches = Counter((r.shard, r.batch) for r in rows if r.epoch == 1)
+    assert batches == {("shard_0.parquet", b): n for b, n in enumerate((128, 72, 128, 72, 100))} | {("shard_1.parquet", 0): 90}
+
+
+def test_a_file_without_a_footer_is_named(spark, tmp_path):
+    (tmp_path / "bad.parquet").write_bytes(b"no parquet")
+    with pytest.raises(Exception, match="bad.parquet"):
+        row_groups.row_groups(spark, str(tmp_path)).collect()
+
+
 def test_a_split_is_a_partition_filter(spark, tmp_path):
     rows = spark.createDataFrame([(1, "a", "train"), (2, "b", "val")], "doc_id int, text string, split string")
     sinks.write_split_corpus(rows, str(tmp_path / "c"))

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from tidemark.functions import tokens as k
 from tidemark.functions.text import PERSONAL_DATA, collapse
 from tidemark.operators import corpus as p
-from tidemark.plans.staging import staged_path
+from tidemark.plans.staging import stage, staged_path
 from tidemark.queries.registry import query
 from tidemark.queries.views import CORPUS, with_views
-from tidemark.sources import readers, sinks, tables
+from tidemark.sources import readers, row_groups, sinks, tables
 
 BUDGET = 1_000_000
 FIRST_N = 300
@@ -190,7 +190,7 @@ def t11_row_groups(spark, folder):
     path = staged_path(spark, "shards")
     rows = tables.corpus(spark, folder).select("shard", "doc_id", "text").repartition("shard").sortWithinPartitions("shard", "doc_id")
     rows.write.option("parquet.block.size", 65_536).option("parquet.page.size.row.check.min", 1).parquet(path)
-    stored = readers.in_row_groups(readers.text_shards(spark, path).drop("text"), readers.row_groups(spark, path))
+    stored = readers.in_row_groups(readers.text_shards(spark, path).drop("text"), row_groups.row_groups(spark, path))
     batches = p.document_batches(stored).groupBy("shard", "batch").agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("row_group").alias("groups"), F.min("group_row").alias("first")
     )
@@ -205,6 +205,26 @@ def t11_row_groups(spark, folder):
     )
 
 
+@query("t11_endless_epochs", with_views(CORPUS) + """
+SELECT e.range AS epoch, shard, count(*) AS n_docs, count(*) AS n_rows, sum(length(text)) AS n_chars
+FROM corpus, range(1, 3) e GROUP BY 1, 2""")
+def t11_endless(spark, folder):
+    """The first two epochs of an endless stream over row groups that is stopped and started again after each micro-batch."""
+    shards, out, progress = (staged_path(spark, name) for name in ("shards", "epochs", "progress"))
+    rows = tables.corpus(spark, folder).select("shard", "doc_id", "text").repartition("shard").sortWithinPartitions("shard", "doc_id")
+    rows.write.option("parquet.block.size", 65_536).option("parquet.page.size.row.check.min", 1).partitionBy("shard").parquet(shards)
+    plan = stage(row_groups.epoch_plan(spark, f"{shards}/*"), "plan")
+    size = max(8, -(-plan.count() // 2))
+    runs = -(-2 * plan.count() // size)
+    for _ in range(runs):
+        stream = row_groups.endless_epochs(spark, plan, size)
+        stream.writeStream.option("checkpointLocation", progress).trigger(once=True).start(out).awaitTermination()
+    shard = F.regexp_extract("path", r"shard=(\d+)", 1).cast("bigint").alias("shard")
+    return spark.read.parquet(out).filter("epoch <= 2").groupBy("epoch", shard).agg(
+        F.count(F.lit(1)).alias("n_docs"), F.countDistinct("path", "row_index").alias("n_rows"), F.sum(F.length("text")).alias("n_chars")
+    )
+
+
 @query("p19_input_target_shift", with_views(WORDS) + """
 SELECT doc_id, md5(array_to_string(w[1:len(w)-1], '|')) AS inputs, md5(array_to_string(w[2:], '|')) AS targets FROM words""")
 def p19(spark, folder):

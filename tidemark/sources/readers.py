@@ -57,36 +57,10 @@ def checked_shards(spark: SparkSession, folder: str, pattern: str = "*.parquet")
     return listed.join(counts, "file_name", "left").select("file_name", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
 
 
-def row_groups(spark: SparkSession, path: str) -> DataFrame:
-    """shard and starts, the file-wide positions at which its row groups begin, from the footers of parquet files.
-
-    Spark tells a row's position in its file but not its row group. Spark's binary reader reaches any store and hands
-    each file to a task, which parses the footer only; that is one pass over the bytes, so store the result with the
-    corpus.
-    """
-
-    def starts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import io
-
-        import numpy as np
-        from pyarrow import parquet
-
-        for batch in batches:
-            found = []
-            for content in batch["content"]:
-                meta = parquet.read_metadata(io.BytesIO(content))
-                rows = [meta.row_group(i).num_rows for i in range(meta.num_row_groups)]
-                found.append((np.cumsum(rows) - rows).tolist() if rows else [])
-            yield pd.DataFrame({"shard": batch["shard"], "starts": found})
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
-    name = F.regexp_extract("path", r"([^/]+)$", 1).alias("shard")
-    return files.select(name, "content").mapInPandas(starts, "shard string, starts array<bigint>")
-
-
 def in_row_groups(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """``row_group`` of each row of ``text_shards``, and its position there as ``group_row``."""
-    out = rows.join(groups, "shard")
+    """``row_group`` of each row of ``text_shards``, and its position there as ``group_row``, by the ``row_groups`` of the shards."""
+    starts = groups.groupBy("shard").agg(F.array_sort(F.collect_list("start")).alias("starts"))  # of one file each
+    out = rows.join(starts, "shard")
     group = F.size(F.filter("starts", lambda s: s <= F.col("row_index"))) - 1
     out = out.withColumn("row_group", group)
     return out.withColumn("group_row", F.col("row_index") - F.get("starts", F.col("row_group"))).drop("starts")
