@@ -291,3 +291,10 @@ def test_ingest_skips_what_was_taken(spark):
     for _ in range(2):
         incremental.ingest_once(incremental.new_files(spark, SMALL, "doc_id bigint, text string", "documents.parquet"), out, progress)
     assert spark.read.parquet(out).count() == 200
+
+
+def test_ingest_of_a_table_of_several_files(spark, tmp_path):
+    docs = spark.range(30).selectExpr("id AS doc_id", "'t' AS text", "'src1' AS source")
+    docs.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    taken = all_queries()["x6_ingested_once"].run(spark, str(tmp_path)).collect()
+    assert [tuple(r) for r in taken] == [("src1", 30)]

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def new_files(spark: SparkSession, folder: str, schema: str, pattern: str = "*.parquet", per_batch: int | None = None) -> DataFrame:
-    """A stream of the parquet files of a folder; each file is read once per checkpoint."""
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+    """A stream of the parquet entries of a folder, files or folders of part files; each file is read once per checkpoint."""
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", True)
     if per_batch:
         reader = reader.option("maxFilesPerTrigger", per_batch)
-    return reader.parquet(folder)
+    return reader.parquet(f"{folder}/{pattern}")
 
 
 def ingest_once(source: DataFrame, out: str, progress: str) -> None:
