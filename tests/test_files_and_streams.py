@@ -298,3 +298,18 @@ def test_ingest_of_a_table_of_several_files(spark, tmp_path):
     docs.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
     taken = all_queries()["x6_ingested_once"].run(spark, str(tmp_path)).collect()
     assert [tuple(r) for r in taken] == [("src1", 30)]
+
+
+def test_tables_stored_as_folders_of_parts(spark, tmp_path):
+    """A table that Spark has written is one entry of its folder, whatever its number of part files."""
+    data = tmp_path / "some data+x"
+    for name, rows, parts in (("documents", 30, 3), ("b+c", 7, 2), ("none", 0, 1)):
+        docs = spark.range(rows).selectExpr("id AS doc_id", "'t' AS text", "'src1' AS source")
+        docs.repartition(parts).write.parquet(str(data / f"{name}.parquet"))
+    (data / "other.txt").write_text("x")
+    sizes = {p.name: sum(f.stat().st_size for f in p.glob("*.parquet")) for p in data.glob("*.parquet")}
+    listed = readers.list_files(spark, str(data)).collect()
+    assert {r.file_name: r.length for r in listed} == sizes and len(sizes) == 3
+    assert all(Path(r.path.removeprefix("file:")).is_dir() for r in listed)
+    assert {r.file_name: r.n_rows for r in readers.checked_shards(spark, str(data)).collect()} == {"documents.parquet": 30, "b+c.parquet": 7, "none.parquet": 0}
+    assert readers.checked_shards(spark, str(data), "*.nothing").collect() == []
