@@ -313,3 +313,13 @@ def test_tables_stored_as_folders_of_parts(spark, tmp_path):
     assert all(Path(r.path.removeprefix("file:")).is_dir() for r in listed)
     assert {r.file_name: r.n_rows for r in readers.checked_shards(spark, str(data)).collect()} == {"documents.parquet": 30, "b+c.parquet": 7, "none.parquet": 0}
     assert readers.checked_shards(spark, str(data), "*.nothing").collect() == []
+
+
+def test_a_save_writes_no_file_per_run(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    runs = lambda n, steps: spark.range(n).selectExpr("id AS run", f"concat('{{\"run_tag\": ', id, ', \"steps\": {steps}}}') AS document")
+    for n, steps in ((600, 1), (250, 2), (250, 2)):
+        sinks.replace_run_documents(runs(n, steps).coalesce(2), path)
+    assert len(list(Path(path).rglob("part-*"))) <= 6
+    steps = readers.run_documents(spark, path).groupBy(readers.document_value("$.steps", "int").alias("steps")).count()
+    assert {r.steps: r["count"] for r in steps.collect()} == {1: 350, 2: 250}

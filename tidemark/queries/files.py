@@ -8,7 +8,7 @@ from tidemark import schemas
 from tidemark.operators import chat as c
 from tidemark.operators import experiments as x
 from tidemark.operators import telemetry as o
-from tidemark.plans.staging import staged_path
+from tidemark.plans.staging import stage, staged_path
 from tidemark.queries.registry import query
 from tidemark.queries.views import EXPERIMENTS, STAGES, STEP_LOG, with_views
 from tidemark.sources import readers, sinks, tables
@@ -168,7 +168,7 @@ def s14(spark, folder):
 
 
 def sweep_folders(spark, folder):
-    """The documents of a sweep, one folder per run."""
+    """The documents of a sweep, saved by run."""
     path = staged_path(spark, "sweep")
     sinks.replace_run_documents(documents(spark, folder).withColumnRenamed("run_id", "run"), path)
     value = readers.document_value
@@ -193,7 +193,7 @@ AND run_id IN (SELECT run_id FROM step_log) AND (run_id % 3 <> 0 OR stage IN ('c
 def s13_by_run(spark, folder):
     """Documents saved after two stages and at the end; every third run is killed in between and keeps what it had."""
     path = staged_path(spark, "saved")
-    rows = documents(spark, folder).withColumnRenamed("run_id", "run")
+    rows = stage(documents(spark, folder).withColumnRenamed("run_id", "run"), "documents")
     early = F.map_filter(F.from_json(F.get_json_object("document", "$.stages"), "map<string, double>"), lambda k, _: k.isin("click", "error"))
     begun = F.to_json(F.struct(F.col("run").cast("string").alias("run_tag"), early.alias("stages")))
     sinks.replace_run_documents(rows.withColumn("document", begun), path)

@@ -102,7 +102,7 @@ def x5(spark, folder):
 @query("x5_run_documents", with_views(STAGES) + """
 SELECT CAST(run_id AS VARCHAR) AS run_tag, stage, seconds FROM stages WHERE seconds IS NOT NULL""")
 def x5_documents(spark, folder):
-    """The document of each run, replaced whenever marks of it arrive, read from its folder."""
+    """The document of each run, replaced whenever marks of it arrive."""
     marks = tables.stage_events(spark, folder).select("run_id", "stage", "at_us", "edge")
     out, progress = staged_path(spark, "runs"), staged_path(spark, "progress")
     stages = ("click", "error", "purchase", "signup", "view")
