@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
-from llm_tables import SMALL, awkward, documents  # noqa: F401
+from llm_tables import LONG, SMALL, awkward, documents  # noqa: F401
 
 from tidemark.llm import run_index as ri
 from tidemark.llm import simhash_trie as st
@@ -149,3 +149,22 @@ def test_index_runs_and_samples():
             assert first[at + i] == wanted
         at += len(s)
     assert len(joined) == at
+
+
+def test_blocks_hold_no_anchors(documents):
+    """Anchors that are stored take more room than the text; they are found anew from it."""
+    texts = [LONG[i : i + 3_000] for i in range(0, 60_000, 2_500)] + [None, "", "short"]
+    rows = ri._blocks(documents(texts).select("doc_id", "text"), 20_000)
+    stored = sum(len(r[c]) for r in rows.collect() for c in r.asDict() if isinstance(r[c], bytes))
+    assert stored < 0.7 * sum(len(t or "") for t in texts)
+    joined, sizes = "".join(t or "" for t in texts).encode(), np.array([len(t or "") for t in texts])
+    every, which, place, document = ri._block_anchors(joined, sizes, 64)
+    begin = np.cumsum(sizes) - sizes
+    plain = [(d, int(at) + begin[d], h) for d, t in enumerate(texts) for at, h in zip(*ri.anchors(np.frombuffer((t or "").encode(), np.uint8)))]
+    assert list(zip(document, place, every[which])) == plain
+
+
+def test_few_anchors_share_their_bits_by_chance():
+    text = np.random.default_rng(5).integers(32, 127, 2_000_000, dtype=np.uint8).tobytes()
+    few, all_ = (len(ri._block_anchors(text, np.array([len(text)]), bits)[0]) for bits in (32, 64))
+    assert all_ - few < 15

@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.exchange import array, divided, packed, per_group, per_row, stage_arrays
+from tidemark.llm.exchange import array, ascending, divided, packed, per_group, per_row, stage_arrays
 from tidemark.llm.registry import query, table
 from tidemark.llm.worker_memory import forget
 
@@ -197,26 +197,25 @@ def _merged(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 # --------------------------------------------------------------------------- over the corpus
 
-BLOCK = "keys binary, sizes binary, text binary, place binary, hashes binary"
+BLOCK = "keys binary, sizes binary, text binary"
 
 
-def _blocks(docs: DataFrame, bits: int, block_bytes: int) -> DataFrame:
-    """Blocks of documents: ids, sizes and text of its documents, and their anchors; ``rest`` holds the other columns."""
+def _blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
+    """Blocks of documents: ids, sizes and text of its documents; ``rest`` holds the other columns."""
     others = [c for c in docs.columns if c != "text"]
     fields = [docs.schema[c] for c in others]
     struct = pa.struct([pa.field(f.name, arrow_types.to_arrow_type(f.dataType)) for f in fields])
-    names = ["rest", "keys", "sizes", "text", "place", "hashes"]
+    names = ["rest", "keys", "sizes", "text"]
     at_id = others.index("doc_id")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
-        rest, keys, texts, places, hashes, size = [], [], [], [], [], 0
+        rest, keys, texts, size = [], [], [], 0
 
         def block() -> pa.RecordBatch:
             sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-            found = np.concatenate(hashes) >> np.uint64(64 - bits)
             stored = zstandard.ZstdCompressor(level=3).compress(b"".join(texts))
-            row = [packed(np.array(keys, np.int64)), packed(sizes), stored, packed(np.diff(np.concatenate(places), prepend=0)), packed(found)]
+            row = [packed(np.array(keys, np.int64)), packed(sizes), stored]
             values = pa.array([rest], pa.list_(struct))
             return pa.record_batch([values, *(pa.array([v], pa.binary()) for v in row)], names=names)
 
@@ -224,16 +223,13 @@ def _blocks(docs: DataFrame, bits: int, block_bytes: int) -> DataFrame:
             columns = [c.to_pylist() for c in batch.columns[1:]]
             for i, text in enumerate(batch.column(0)):
                 data = text.as_buffer().to_pybytes() if text.is_valid else b""
-                at, h = anchors(np.frombuffer(data, np.uint8))
                 rest.append(dict(zip(others, [c[i] for c in columns])))
                 keys.append(LAST if columns[at_id][i] is None else columns[at_id][i])
                 texts.append(data)
-                places.append(at + size)
-                hashes.append(h)
                 size += len(data)
                 if size >= block_bytes:
                     yield block()
-                    rest, keys, texts, places, hashes, size = [], [], [], [], [], 0
+                    rest, keys, texts, size = [], [], [], 0
         if texts:
             yield block()
 
@@ -242,18 +238,18 @@ def _blocks(docs: DataFrame, bits: int, block_bytes: int) -> DataFrame:
     return stage_arrays(rows.withColumn("block", F.monotonically_increasing_id()), "blocks")
 
 
-def _sent_anchors(row: dict) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct anchors of a block, and for each anchor occurrence which of them it is."""
-    return np.unique(array(row["hashes"], "u8"), return_inverse=True)
+def _block_anchors(text: bytes, sizes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct anchors of a block, by ``bits`` of their hashes; of each occurrence, which it is, its place and its document.
 
-
-def _occurrences(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Ids and first bytes of a block's documents; place in the block's text and document of each anchor occurrence."""
-    keys, sizes = array(row["keys"]), array(row["sizes"])
-    place = np.cumsum(array(row["place"]))
-    first = np.cumsum(sizes) - sizes
-    document = np.searchsorted(first, place, "right") - 1
-    return keys, first, place, document
+    They are found anew wherever they are needed: an anchor takes more room on disk than the text that it stands for.
+    """
+    data, first = np.frombuffer(text, np.uint8), np.cumsum(sizes) - sizes
+    found = [anchors(data[a : a + n]) for a, n in zip(first.tolist(), sizes.tolist())]
+    place = np.concatenate([at + a for (at, _), a in zip(found, first.tolist())])
+    document = np.repeat(np.arange(len(found)), [len(at) for at, _ in found])
+    low = np.uint64(2**bits - 1)  # the upper bits of a least hash are mostly zero
+    every, which = np.unique(np.concatenate([h for _, h in found]) & low, return_inverse=True)
+    return every, which, place, document
 
 
 def _segments(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -271,13 +267,13 @@ def with_spans(
 ) -> DataFrame:
     """Blocks of documents: rest (their other columns), text, sizes, and the removed runs of the block's text."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = min(64, max(32, int(total).bit_length() + 12))
+    bits = min(64, max(32, int(total).bit_length() + 8))  # one anchor in some 13 bytes: few share a hash by chance
     buckets, shards = int(total) // BUCKET_BYTES + 3, int(total) // shard_bytes + 3
-    rows = _blocks(docs, bits, block_bytes)
+    rows = _blocks(docs, block_bytes)
 
     def send(row: dict):
-        keys, _, _, document = _occurrences(row)
-        every, which = _sent_anchors(row)
+        keys, text = array(row["keys"]), zstandard.ZstdDecompressor().decompress(row["text"])
+        every, which, _, document = _block_anchors(text, array(row["sizes"]), bits)
         order = np.lexsort((keys[document], which))
         which, owner = which[order], keys[document][order]
         new = np.concatenate([[True], which[1:] != which[:-1]])[: len(which)]
@@ -285,10 +281,10 @@ def with_spans(
         other = np.concatenate([[False], (which[1:] == which[:-1]) & (owner[1:] != owner[:-1])])[: len(which)]
         documents = 1 + np.bincount(which, other, len(every)).astype(np.int64)
         for bucket, at in divided(every, buckets):
-            yield bucket, row["block"], packed(every[at]), packed(least[at]), packed(documents[at])
+            yield bucket, row["block"], ascending(every[at]), packed(least[at]), packed(documents[at])
 
     def home(bucket: int, group: list[dict]):
-        hashes = [array(r["hashes"], "u8") for r in group]
+        hashes = [np.cumsum(array(r["hashes"], "u8")) for r in group]
         every, place = np.unique(np.concatenate(hashes), return_inverse=True)
         least = np.full(len(every), LAST)
         keys = np.concatenate([array(r["least"]) for r in group])
@@ -307,10 +303,10 @@ def with_spans(
             yield bucket, row["block"], packed(shard[place[at : at + len(own)]])
             at += len(own)
 
-    sent = per_row(rows.select("block", "keys", "sizes", "place", "hashes"), send, "bucket bigint, block bigint, hashes binary, least binary, documents binary")
+    sent = per_row(rows.select("block", "keys", "sizes", "text"), send, "bucket bigint, block bigint, hashes binary, least binary, documents binary")
     homes = per_group(sent, "bucket", home, "bucket bigint, block bigint, shard binary")
 
-    kinds = (("keys", "binary"), ("sizes", "binary"), ("text", "binary"), ("place", "binary"), ("hashes", "binary"))
+    kinds = (("keys", "binary"), ("sizes", "binary"), ("text", "binary"))
     blank = lambda columns: [F.lit(None).cast(t).alias(c) for c, t in columns]
     asking = rows.select("block", *[c for c, _ in kinds], *blank((("bucket", "bigint"), ("shard", "binary"))))
     asking = asking.unionByName(homes.select("block", "bucket", "shard", *blank(kinds)))
@@ -318,17 +314,18 @@ def with_spans(
     def pieces(block: int, group: list[dict]):
         row = next(r for r in group if r["text"] is not None)
         answers = {int(r["bucket"]): array(r["shard"]) for r in group if r["text"] is None}
-        every, which = _sent_anchors(row)
+        sizes, keys = array(row["sizes"]), array(row["keys"])
+        text = zstandard.ZstdDecompressor().decompress(row["text"])
+        every, which, place, document = _block_anchors(text, sizes, bits)
+        first = np.cumsum(sizes) - sizes
         shard_of = np.zeros(len(every), np.int64)
         for bucket, at in divided(every, buckets):
             shard_of[at] = answers[bucket]
-        keys, first, place, document = _occurrences(row)
         shard = shard_of[which]
         chosen = shard > 0
         place, document, shard = place[chosen], document[chosen], shard[chosen]
         if not len(place):
             return
-        sizes = array(row["sizes"])
         begin = np.maximum(place - (LENGTH - ANCHOR), first[document])
         end = np.minimum(place + LENGTH, first[document] + sizes[document])
         order = np.lexsort((begin, document, shard))
@@ -337,7 +334,6 @@ def with_spans(
         new |= shard % 2 == 0  # pieces around very frequent anchors stay apart, so that equal ones can be told
         at = np.flatnonzero(new)
         start, stop, of, to = begin[at], end[np.append(at[1:], len(end)) - 1], document[at], shard[at]
-        text = zstandard.ZstdDecompressor().decompress(row["text"])
         piece, a, b = _segments(start, stop)
         of, to = of[piece], to[piece]
         alone = np.ones(len(a), bool)
