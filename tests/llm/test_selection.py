@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from llm_tables import SMALL, awkward, documents  # noqa: F401
 
-from tidemark.llm import mixing, outliers, pitman_yor, toxicity
+from tidemark.llm import mixing, outliers, pitman_yor, table_counts, toxicity
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
@@ -316,6 +316,71 @@ def test_seating_has_the_right_distribution():
     assert abs((seats.tables == 1).mean() - together) < 0.015
 
 
+def test_a_sweep_seats_every_customer():
+    """Far from settled after a few single moves: the tables of a frequent pair, which two sweeps bring to their expectation."""
+    discount, weight, n = 0.75, 40.0, 400
+    for c in (300, 4_000):
+        counts = np.full(n, c)
+        seats = table_counts.TableCounts(counts, discount, 5)
+        seats.begin(np.full(n, 0.01))  # begins at about one table
+        assert seats.tables.mean() < 3
+        for _ in range(2 if c <= table_counts.LISTED else 12):
+            seats.draw(np.full(n, weight))
+        ways = exact_ways(c, discount)
+        mass = np.exp((log := ways + np.log(weight) * np.arange(1, len(ways) + 1)) - log.max())
+        mean = (mass * np.arange(1, len(ways) + 1)).sum() / mass.sum()
+        assert abs(seats.tables.mean() - mean) < 0.03 * mean
+        one_by_one = pitman_yor.Seating(counts, np.full(n, 0.01), discount, 5)
+        for _ in range(12):
+            one_by_one.move(np.full(n, weight))
+        assert one_by_one.tables.mean() < 0.5 * mean
+
+
+def exact_ways(c, discount):
+    """log S(c, t) for t = 1, 2, ..., by its recurrence."""
+    out = np.full(min(c, 1_000) + 1, -np.inf)
+    out[1] = 0
+    t = np.arange(len(out))
+    for n in range(1, c):
+        with np.errstate(divide="ignore"):
+            out = np.logaddexp(out + np.log(np.maximum(n - discount * t, 0)), np.r_[-np.inf, out[:-1]])
+    return out[1:]
+
+
+def test_coefficients_of_large_counts():
+    for discount in (0.1, 0.5, 0.8, 0.95):
+        t = np.arange(1, 401)
+        logs = np.array([math.lgamma(k + 1) for k in t]) - math.lgamma(401)
+        want = exact_ways(400, discount) + t * math.log(discount) + logs
+        assert np.abs(table_counts.log_coefficient(np.full(400, 400), t, discount) - want).max() < 1e-5
+        one = math.log(discount) + math.lgamma(1e6 - discount) - math.lgamma(1 - discount) - math.lgamma(1e6 + 1)
+        assert abs(table_counts.log_coefficient(np.array([10**6]), np.array([1]), discount)[0] - one) < 1e-6
+
+
+def test_sampled_tables_settle_in_a_shared_restaurant():
+    """Two pairs of one restaurant against all their joint states, by the definition of the process."""
+    c, parent, discount, concentration = np.array([6, 9]), np.array([0.3, 0.1]), 0.6, 2.0
+    ways = [exact_ways(n, discount) for n in c]
+    mass = {}
+    for a in range(1, 7):
+        for b in range(1, 10):
+            rising = sum(math.log(concentration + discount * i) for i in range(a + b))
+            mass[a, b] = math.exp(ways[0][a - 1] + ways[1][b - 1] + a * math.log(0.3) + b * math.log(0.1) + rising)
+    total = sum(mass.values())
+    want = [sum(t[i] * m for t, m in mass.items()) / total for i in (0, 1)]
+    n = 4_000
+    found = pitman_yor.sampled_tables(
+        np.repeat(np.arange(n), 2), np.tile(c, n), np.tile(parent, n), np.ones(n, np.int64), discount, concentration, 3, 1
+    )[0].reshape(n, 2)
+    assert np.abs(found.mean(axis=0) - want).max() < 0.08
+    ways = exact_ways(300, discount)  # a frequent pair alone
+    log = [w + t * math.log(0.3) + sum(math.log(concentration + discount * i) for i in range(t)) for t, w in enumerate(ways, 1)]
+    mass = np.exp(np.array(log) - max(log))
+    mean = (mass * np.arange(1, 301)).sum() / mass.sum()
+    alone = np.arange(1_000), np.full(1_000, 300), np.full(1_000, 0.3), np.ones(1_000, np.int64)
+    assert abs(pitman_yor.sampled_tables(*alone, discount, concentration, 3, 1)[0].mean() - mean) < 0.05 * mean
+
+
 def test_awkward_rows_language_model(awkward, documents):  # noqa: F811
     rows = pitman_yor.scored(awkward).collect()
     assert len(rows) == awkward.count()

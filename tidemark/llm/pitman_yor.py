@@ -2,15 +2,18 @@
 
 Every word is a context with a restaurant of its own, where the tokens that follow it are seated; all of these restaurants
 share one parent, and a new table sends a customer there; the parent's parent is uniform over the known words and one
-class of unknown ones. Seatings are sampled by Gibbs: a customer leaves its table and takes a seat anew, at a table in
-proportion to its size less the discount, or at a new one in proportion to the parent's probability of the word. A text
-is scored with predictive probabilities averaged over several samples.
+class of unknown ones. Seatings are sampled by Gibbs: customers leave their tables and take seats anew, at a table in
+proportion to its size less the discount, or at a new one in proportion to the parent's probability of the word. Only the
+numbers of tables matter, so a sweep draws, for every pair, that of all its customers seated anew (``table_counts``). A
+text is scored with predictive probabilities averaged over several samples.
 
 How this is divided: documents are read as blocks of tokens. A block sends its words, and later its (context, word)
 pairs, to buckets by key and gets the answers back in the order that it sent the keys in, so neither the vocabulary nor
 the pairs ever meet in one place. Pairs are in buckets by context, and those of a very frequent context are divided by
-word as well. Within a bucket, one pass moves a customer of every pair at once, with the totals of the pass before.
-Between rounds, the buckets' tables are summed by word, where the parent's seating is sampled, and its probabilities go
+word as well. What the pairs of a restaurant share is its total of tables, T. Given a draw g of Gamma(concentration/discount + T)
+for it they are independent, and discount * g * (parent's probability) weighs a pair's new table: so one sweep takes all pairs of a
+bucket at once. A restaurant in several buckets counts its tables elsewhere as the round before left them, in the first round and
+in the parent as many as its own in each. Between rounds, the buckets' tables are summed by word, where the parent's seating is sampled, and its probabilities go
 back. Discounts come from the counts of counts.
 
 Words are told apart by 64-bit hashes. Every draw is seeded by its bucket, so reruns agree.
@@ -32,6 +35,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.exchange import array, ascending, divided, packed, per_group, per_row, stage_arrays
 from tidemark.llm.registry import query, table
+from tidemark.llm.table_counts import TableCounts
 
 BLOCK_TOKENS = 3_000_000
 #: Tokens (of all blocks) for each bucket of words and of pairs.
@@ -39,7 +43,7 @@ WORD_BUCKET_TOKENS, PAIR_BUCKET_TOKENS = 4_000_000, 2_000_000
 #: A context is divided among the buckets when it holds more than this share of one.
 HOT_SHARE = 0.25
 CONCENTRATION = (1.0, 3.0)
-#: Passes before the first sample, between samples, and samples of the last round.
+#: Sweeps before the first sample, between samples, and samples of the last round.
 BURN_IN, BETWEEN, SAMPLES = 10, 4, 3
 END = b""
 
@@ -103,7 +107,10 @@ def blocks(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> tuple[DataFrame
 
 
 class Seating:
-    """Customers of many dishes at tables; a dish has ``c`` customers, and ``weight`` is that of a new table."""
+    """Customers of many dishes at tables; a dish has ``c`` customers, and ``weight`` is that of a new table.
+
+    One customer after the other, as the sampler is defined; ``TableCounts`` draws for all of them, and is compared with it.
+    """
 
     def __init__(self, c: np.ndarray, weight: np.ndarray, discount: float, seed: int) -> None:
         self.c, self.discount, self.random = c, discount, np.random.default_rng(seed)
@@ -150,26 +157,39 @@ class Seating:
 
 
 def sampled_tables(
-    context: np.ndarray, c: np.ndarray, parent: np.ndarray, spread: np.ndarray, discount: float, concentration: float, seed: int, samples: int
+    context: np.ndarray,
+    c: np.ndarray,
+    parent: np.ndarray,
+    spread: np.ndarray,
+    discount: float,
+    concentration: float,
+    seed: int,
+    samples: int,
+    elsewhere: np.ndarray | None = None,
 ) -> list[np.ndarray]:
-    """Tables of each (context, dish) in each sample. ``spread``: how many buckets share each context's restaurant."""
+    """Tables of each (context, dish) in each sample; a sweep seats every customer anew.
+
+    ``spread``: how many buckets share each context's restaurant; ``elsewhere``: its tables in the other ones, where known.
+    """
     several = np.flatnonzero(c > 1)
     tables = np.minimum(c, 1)
-    at, own, shared = context[several], parent[several], spread
-    count = len(spread)
+    at, own, count = context[several], parent[several], len(spread)
+    random = np.random.default_rng([seed, 1])
 
-    def weight(tables: np.ndarray) -> np.ndarray:
-        total = np.bincount(context, tables, count) * shared
-        return (concentration + discount * total[at]) * own
+    def weight() -> np.ndarray:
+        total = np.bincount(context, tables, count)
+        total = total * spread if elsewhere is None else total + elsewhere
+        return discount * random.gamma(concentration / discount + total)[at] * own
 
-    seating = Seating(c[several], weight(tables), discount, seed)
+    seated = TableCounts(c[several], discount, seed)
+    seated.begin(weight())
     out = []
     for n in range(1, BURN_IN + BETWEEN * (samples - 1) + 1):
-        tables[several] = seating.tables
-        seating.move(weight(tables))
+        tables[several] = seated.tables
+        seated.draw(weight())
         if n >= BURN_IN and (n - BURN_IN) % BETWEEN == 0:
             now = tables.copy()
-            now[several] = seating.tables
+            now[several] = seated.tables
             out.append(now)
     return out
 
@@ -325,14 +345,15 @@ def scored(
     once, twice = types.agg(F.sum("once"), F.sum("twice")).first()
     discount, concentration = discount_of(once or 0, twice or 0), CONCENTRATION[1]
 
-    def seat(row: dict, parent: np.ndarray, dishes: np.ndarray, dish: np.ndarray, samples: int, seed: int):
+    def seat(row: dict, parent: np.ndarray, dishes: np.ndarray, dish: np.ndarray, samples: int, seed: int, elsewhere=None):
         """Tables by pair, and their sums by word (as dish) and by context, for each sample."""
         context, c, c_context = (array(row[n]) for n in ("context", "c", "c_context"))
         every, at = np.unique(context, return_inverse=True)
         hot = np.zeros(len(every), np.int64)
         hot[at] = c_context
         spread = np.where(hot > HOT_SHARE * tokens / pair_buckets, pair_buckets, 1)
-        found = sampled_tables(at, c, parent[dish], spread, discount, concentration, seed + row["bucket"], samples)
+        others = None if elsewhere is None else elsewhere(every)
+        found = sampled_tables(at, c, parent[dish], spread, discount, concentration, seed + row["bucket"], samples, others)
         as_dish = [np.bincount(dish, t, len(dishes)).astype(np.int64) for t in found]
         as_context = [np.bincount(at, t, len(every)).astype(np.int64) for t in found]
         return found, every, as_dish, as_context
@@ -361,15 +382,17 @@ def scored(
     def last_round(bucket: int, group: list[dict]):
         row = next(r for r in group if r["c"] is not None)
         dishes, dish = np.unique(array(row["word"]), return_inverse=True)
-        numbers, values = [np.zeros(0, np.int64)], [np.zeros(0)]
+        numbers, values, others = [np.zeros(0, np.int64)], [np.zeros(0)], [np.zeros(0, np.int64)]
         for r in group:
             if r["c"] is None:
                 numbers.append(np.cumsum(array(r["numbers"])))
                 values.append(array(r["parent"], "f8"))
-        numbers, values = np.concatenate(numbers), np.concatenate(values)
+                others.append(array(r["elsewhere"]))
+        numbers, values, others = np.concatenate(numbers), np.concatenate(values), np.concatenate(others)
         order = np.argsort(numbers)
         parent = values[order][np.searchsorted(numbers[order], dishes)]
-        found, every, as_dish, as_context = seat(row, parent, dishes, dish, SAMPLES, 2_000_003)
+        elsewhere = lambda contexts: others[order][np.searchsorted(numbers[order], contexts)]
+        found, every, as_dish, as_context = seat(row, parent, dishes, dish, SAMPLES, 2_000_003, elsewhere)
         mean = np.mean(found, axis=0)
         kept = (array(row["c"]) - discount * mean).astype(np.float32)
         yield bucket, None, None, None, None, packed(kept)
@@ -377,9 +400,9 @@ def scored(
             yield bucket, to, n, a, b, None
 
     columns = ("bucket", "context", "word", "c_context", "c")
-    static = types.filter("octet_length(c) > 0").select(*columns, *[F.lit(None).cast("binary").alias(n) for n in ("numbers", "parent")])
+    static = types.filter("octet_length(c) > 0").select(*columns, *[F.lit(None).cast("binary").alias(n) for n in ("numbers", "parent", "elsewhere")])
     answers = round_one.filter("bucket IS NOT NULL").select(
-        "bucket", *[F.lit(None).cast("binary").alias(n) for n in columns[1:]], "numbers", "parent"
+        "bucket", *[F.lit(None).cast("binary").alias(n) for n in columns[1:]], "numbers", "parent", F.col("context").alias("elsewhere")
     )
     schema = "bucket bigint, to bigint, numbers binary, dish binary, context binary, kept binary"
     seated = stage_arrays(per_group(static.unionByName(answers), "bucket", last_round, schema), "seated")
@@ -450,7 +473,8 @@ def _spread(every: np.ndarray, keys: np.ndarray, values: np.ndarray) -> np.ndarr
 def _parents(sent: DataFrame, buckets: int, samples: int, known: int, asking: DataFrame | None = None) -> DataFrame:
     """The parent's probabilities, sampled in buckets of words from the tables that the restaurants sent.
 
-    Answers go to the buckets that sent, or, given the ``asking`` blocks with the numbers of their words, to those.
+    Answers go to the buckets that sent, or, given the ``asking`` blocks with the numbers of their words, to those. With them go
+    the tables of each word's own restaurant: to buckets those that others have sent, to blocks all.
     """
 
     def sums(rows: list[dict]):
@@ -496,14 +520,15 @@ def _parents(sent: DataFrame, buckets: int, samples: int, known: int, asking: Da
             there = (every[at] == wanted) if len(every) else np.zeros(len(wanted), bool)
             p = np.where(there, parent[:, at], uniform[:, None]) if len(every) else np.repeat(uniform[:, None], len(wanted), 1)
             t = np.where(there, context[:, at], 0) if len(every) else np.zeros((samples, len(wanted)), np.int64)
+            t = t - array(r["own"]).reshape(samples, -1) if to_buckets else t
             yield to, r["bucket"], r["block"], r["numbers"] if to_buckets else None, packed(p.ravel().astype(np.float32)), packed(t.ravel())
 
     blank = lambda *n: [F.lit(None).cast(t).alias(c) for c, t in n]
-    own = words.select("to", "numbers", "kept", "context", *blank(("bucket", "bigint"), ("block", "bigint")))
+    own = words.select("to", "numbers", "kept", "context", *blank(("bucket", "bigint"), ("block", "bigint"), ("own", "binary")))
     if asking is None:
-        asked = sent.select("to", "numbers", *blank(("kept", "binary"), ("context", "binary"), ("block", "bigint")), "bucket")
+        asked = sent.select("to", "numbers", *blank(("kept", "binary"), ("context", "binary"), ("block", "bigint")), "bucket", F.col("context").alias("own"))
     else:
-        asked = asking.select(F.col("bucket").alias("to"), "numbers", "block", *blank(("kept", "binary"), ("context", "binary"), ("bucket", "bigint")))
+        asked = asking.select(F.col("bucket").alias("to"), "numbers", "block", *blank(("kept", "binary"), ("context", "binary"), ("bucket", "bigint"), ("own", "binary")))
     schema = "to bigint, bucket bigint, block bigint, numbers binary, parent binary, context binary"
     return per_group(own.unionByName(asked), "to", answer, schema)
 
