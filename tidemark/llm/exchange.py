@@ -15,6 +15,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
+from tidemark.llm.worker_memory import frugal, give_back
 from tidemark.plans.staging import staged_path
 
 
@@ -76,7 +77,7 @@ def per_row(df: DataFrame, make, schema: str) -> DataFrame:
     from pyspark.sql.types import _parse_datatype_string
 
     wanted = arrow.to_arrow_schema(_parse_datatype_string(schema))
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(frugal(run), schema)
 
 
 def per_group(df: DataFrame, key: str, make, schema: str) -> DataFrame:
@@ -84,6 +85,7 @@ def per_group(df: DataFrame, key: str, make, schema: str) -> DataFrame:
     names = [f.split()[0] for f in schema.split(", ")]
 
     def run(name: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        give_back()  # of the group before
         return pd.DataFrame(list(make(name[0], rows.to_dict("records"))), columns=names)
 
     return df.groupBy(key).applyInPandas(run, schema)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.registry import query, table
-from tidemark.llm.worker_memory import remembered
+from tidemark.llm.worker_memory import frugal, remembered
 from tidemark.plans.staging import stage
 
 CAPACITY = 4_096
@@ -169,7 +169,7 @@ def pieces(docs: DataFrame, definition: str, capacity: int = CAPACITY, end: int
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * ids)
 
     schema = PIECES.format(docs.schema["doc_id"].dataType.simpleString()) + ", ids array<int>" * ids
-    return docs.select("doc_id", "text").mapInArrow(cut, schema)
+    return docs.select("doc_id", "text").mapInArrow(frugal(cut), schema)
 
 
 # --------------------------------------------------------------------------- packing the histogram

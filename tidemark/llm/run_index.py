@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.exchange import array, ascending, divided, packed, per_group, per_row, stage_arrays
 from tidemark.llm.registry import query, table
-from tidemark.llm.worker_memory import forget
+from tidemark.llm.worker_memory import forget, frugal
 
 LENGTH = 50
 ANCHOR = 24
@@ -234,7 +234,7 @@ def _blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
             yield block()
 
     inner = ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in fields)
-    rows = docs.select("text", *others).mapInArrow(read, f"rest array<struct<{inner}>>, {BLOCK}")
+    rows = docs.select("text", *others).mapInArrow(frugal(read), f"rest array<struct<{inner}>>, {BLOCK}")
     return stage_arrays(rows.withColumn("block", F.monotonically_increasing_id()), "blocks")
 
 
@@ -438,7 +438,7 @@ def deduplicated(docs: DataFrame, texts: bool = True, **sizes: int) -> DataFrame
 
     rest = blocks.schema["rest"].dataType.elementType.simpleString()
     schema = f"rest {rest}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", text string" * texts
-    out = blocks.select("rest", "sizes", "text", "spans").mapInArrow(run, schema)
+    out = blocks.select("rest", "sizes", "text", "spans").mapInArrow(frugal(run), schema)
     return out.select(*[F.col("rest")[c].alias(c) for c in others], *names[1:])
 
 

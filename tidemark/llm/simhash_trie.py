@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.registry import query, table
-from tidemark.llm.worker_memory import forget
+from tidemark.llm.worker_memory import forget, frugal
 from tidemark.plans.staging import stage
 
 #: Blocks into which the open bits are divided: one more than the bits that may differ.
@@ -78,7 +78,7 @@ def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
             yield pa.record_batch([*batch.columns[1:], fp], names=[*others, "fp"])
 
     schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in others), "fp bigint"])
-    return docs.select("text", *others).mapInArrow(run, schema)
+    return docs.select("text", *others).mapInArrow(frugal(run), schema)
 
 
 # --------------------------------------------------------------------------- the trie join
@@ -222,7 +222,7 @@ def links(fps: DataFrame) -> DataFrame:
 
     tasks = max(fps.sparkSession.sparkContext.defaultParallelism, -(-fps.count() * BLOCKS // TASK_ROWS))
     rows = _grouped(fps).repartition(tasks, "mask", "part").select("fp", "mask", "part")
-    return rows.mapInArrow(run, "a bigint, b bigint").distinct()
+    return rows.mapInArrow(frugal(run), "a bigint, b bigint").distinct()
 
 
 # --------------------------------------------------------------------------- components

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.registry import query, table
-from tidemark.llm.worker_memory import remembered
+from tidemark.llm.worker_memory import forget, frugal, remembered
 
 SAMPLE_ROWS = 10_000
 LANDMARKS = 64
@@ -48,7 +48,7 @@ LEAST_TEXTS, LEAST_SCORE = 3, 4.0
 REMEMBERED_WORDS = 400_000
 #: Characters of landmarks are numbered in eight bits.
 LETTERS = 256
-TEXTS_AT_ONCE = 256
+TEXTS_AT_ONCE, UNITS_AT_ONCE = 256, 1_024
 
 PUNCTUATION = dict.fromkeys(c for c in range(33, 127) if not chr(c).isalnum())
 SENTENCE_END = re.compile(r"[.!?]+[ \t]+")
@@ -161,7 +161,7 @@ class Landmarks:
         out = np.zeros((len(units), len(self.strings)))
         for length in {len(u) for u in units if len(u) > 2}:
             at = np.array([i for i, u in enumerate(units) if len(u) == length])
-            for part in np.array_split(at, len(at) // 4_096 + 1):
+            for part in np.array_split(at, len(at) // UNITS_AT_ONCE + 1):
                 *_, weight = _places(length)
                 chars = _characters([units[i] for i in part], length)
                 known = rows[_codes(self._letters[chars], 8, np.int32)]
@@ -295,6 +295,7 @@ def fit(texts: DataFrame) -> Model | None:
     """A model from ``texts`` with text and toxic; None where they show no landmark."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             counts = Counter(), Counter()
             for text, toxic in zip(_arrow_texts(batch.column(0)), batch.column(1).to_pylist()):
@@ -306,7 +307,7 @@ def fit(texts: DataFrame) -> Model | None:
     totals = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
     if len(totals) < 2:
         return None
-    counted = texts.select("text", "toxic").mapInArrow(count, "unit string, clean bigint, toxic bigint")
+    counted = texts.select("text", "toxic").mapInArrow(frugal(count), "unit string, clean bigint, toxic bigint")
     counted = counted.groupBy("unit").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     both = (F.col("clean") + F.col("toxic")) / sum(totals.values())
     spread = F.sqrt(both * (1 - both) * (1 / totals[0] + 1 / totals[1]))
@@ -335,7 +336,7 @@ def with_likeness(docs: DataFrame, landmarks: list[str], *kept: str) -> DataFram
             yield pa.record_batch([*batch.columns[1:], pa.array(found, pa.list_(pa.float64()))], names=[*kept, "likeness"])
 
     schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept), "likeness array<double>"])
-    return docs.select("text", *kept).mapInArrow(run, schema)
+    return docs.select("text", *kept).mapInArrow(frugal(run), schema)
 
 
 def scored(docs: DataFrame, model: Model | None, *kept: str) -> DataFrame:
@@ -352,7 +353,7 @@ def scored(docs: DataFrame, model: Model | None, *kept: str) -> DataFrame:
             yield pa.record_batch([*columns, pa.array(model.scores(found))], names=[*kept, "score"])
 
     schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept), "score double"])
-    return docs.select(*sent).mapInArrow(run, schema)
+    return docs.select(*sent).mapInArrow(frugal(run), schema)
 
 
 @query("op4_kernel_toxicity")
