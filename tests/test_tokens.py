@@ -4,6 +4,7 @@ import random
 import time
 from collections import Counter
 
+import numpy as np
 import pytest
 import regex
 import tiktoken
@@ -92,6 +93,29 @@ def test_many_merges_a_round_equal_one_at_a_time(seed):
         assert pairs.merges[:n] == greedy(counts, n)
 
 
+def test_changes_of_pair_counts_go_to_the_driver_in_few_bytes():
+    rng = np.random.default_rng(1)
+    keys = np.unique(rng.integers(0, 8_192, 20_000) << 32 | rng.integers(0, 8_192, 20_000))
+    for values in (rng.geometric(0.3, len(keys)) * rng.choice([-1, 1], len(keys)), np.full(len(keys), -(2**40))):
+        made = trainer.sent(keys, values)
+        found = trainer.received(made)
+        assert np.array_equal(found[0], keys) and np.array_equal(found[1], values)
+        assert sum(map(len, made)) < (keys.nbytes + values.nbytes) / 2
+    nothing = np.zeros(0, np.int64)
+    assert [len(x) for x in trainer.received(trainer.sent(nothing, nothing))] == [0, 0]
+
+
+def test_words_shrink_in_their_slots():
+    """A merge rewrites the words that it changes and leaves the others where they are."""
+    shard = trainer.Shard.of([b"abab", b"xyz", b"ab"], [3, 5, 7])
+    after, keys, changes = shard.merged({(97, 98): 256})
+    assert after.tokens.tolist() == [257, 257, 0, 0, 0, 121, 122, 123, 0, 257, 0, 0]
+    assert dict(zip(keys.tolist(), changes.tolist())) == {97 << 32 | 98: -13, 98 << 32 | 97: -3, 256 << 32 | 256: 3}
+    assert after.without_short_words().tokens.tolist() == [257, 257, 0, 121, 122, 123, 0]
+    far = after.merged({(256, 256): 70_000})[0]
+    assert far.tokens.tolist()[:2] == [70_001, 0] and far.tokens.dtype == np.uint32
+
+
 def test_the_whole_vocabulary_of_documents(spark, texts):
     """Until 7,932 merges, compared at its end by what the merges do to the words."""
     merges = bpe.train(word_counts(texts, F.col("text")), 7_932)

@@ -7,15 +7,16 @@ place until its turn comes, whatever is merged elsewhere: all such pairs are mer
 have got one at a time are assigned afterwards, in the total order.
 
 The words stay distributed: a shard is one array of tokens and one of counts. A round applies its merges to the shards and
-returns how the counts of pairs have changed, from the words that it changed only. The driver keeps the pair counts, whose
+returns how the counts of pairs have changed, from the words that it changed only, in few bytes. The driver keeps the pair counts, whose
 number is set by the size of the vocabulary and not by the corpus (65,536 pairs of bytes, and per merge at most two for each
-token). Shards are small arrays that change each round, so they are a persisted RDD; every few rounds it is checkpointed in
+token); a round changes few of them in place. Shards are small arrays that change each round, so they are a persisted RDD; every few rounds it is checkpointed in
 the shared folder, which bounds what a lost executor makes Spark redo.
 """
 
 from __future__ import annotations
 
 import heapq
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -39,53 +40,75 @@ SHARD_BYTES = 4_000_000
 
 
 class Shard:
-    """Words as one array of shifted tokens, each word closed by ``WORD_END``, and how often each word occurs."""
+    """Words as one array of shifted tokens, each word in a slot that ``WORD_END`` fills up, and how often each word occurs.
+
+    Words shrink within their slots, so a round costs one comparison of the array and else only the words that it changes.
+    """
 
     def __init__(self, tokens: np.ndarray, counts: np.ndarray) -> None:
         self.tokens, self.counts = tokens, counts
 
     @classmethod
     def of(cls, words: list[bytes], counts: list[int]) -> Shard:
-        data = np.frombuffer(b"".join(words), np.uint8).astype(np.int32) + 1
+        data = np.frombuffer(b"".join(words), np.uint8).astype(np.uint16) + np.uint16(1)
         ends = np.cumsum([len(w) for w in words], dtype=np.int64)
         return cls(np.insert(data, ends, WORD_END), np.array(counts, np.int64))
 
+    def _slots(self) -> tuple[np.ndarray, np.ndarray]:
+        """Where the slot of each word begins, and its length."""
+        filled = self.tokens != WORD_END
+        begins = np.flatnonzero(filled & np.concatenate([[True], ~filled[:-1]]))
+        return begins, np.diff(begins, append=len(filled))
+
     def pair_counts(self) -> tuple[np.ndarray, np.ndarray]:
-        return _summed(*_weighted_pairs(self.tokens, self.counts))
+        sizes = self._slots()[1]
+        return _summed(*_weighted_pairs(self.tokens, np.repeat(self.counts, sizes)))
 
     def merged(self, batch: dict[Merge, int]) -> tuple[Shard, np.ndarray, np.ndarray]:
         """The shard after merges of pairs that share no token, and the changes of pair counts."""
         tokens = self.tokens
-        size = max(max(max(pair) for pair in batch) + 1, int(tokens.max(initial=0))) + 2
-        partner, made = np.full(size, -1, np.int32), np.zeros(size, np.int32)
+        size = max(max(max(pair) for pair in batch) + 1, max(batch.values()) + 1, int(tokens.max(initial=0))) + 2
+        if size > np.iinfo(tokens.dtype).max:
+            tokens = tokens.astype(np.uint32)
+        partner, made = np.full(size, np.iinfo(tokens.dtype).max, tokens.dtype), np.zeros(size, tokens.dtype)
         for (left, right), new in batch.items():
             partner[left + 1], made[left + 1] = right + 1, new + 1
         at = np.flatnonzero(partner[tokens[:-1]] == tokens[1:])
         at = _apart(at, tokens)
         if not len(at):
             return self, *_nothing()
-        word = np.cumsum(tokens == WORD_END)
-        word = np.concatenate([[0], word[:-1]])
-        changed = np.zeros(len(self.counts), bool)
-        changed[word[at]] = True
-        here = changed[word]
-        old, weights = tokens[here], self.counts[changed]
-        after = tokens.copy()
-        after[at] = made[tokens[at]]
-        keep = np.ones(len(tokens), bool)
-        keep[at + 1] = False
-        new = after[here & keep]
-        before_keys, before = _weighted_pairs(old, weights)
-        after_keys, gained = _weighted_pairs(new, weights)
+        begins, sizes = self._slots()
+        word = np.searchsorted(begins, at, "right") - 1
+        changed = word[np.diff(word, prepend=-1) > 0]
+        begins, sizes = begins[changed], sizes[changed]
+        first = np.cumsum(sizes) - sizes
+        owner = np.repeat(np.arange(len(changed)), sizes)
+        slots = (begins - first)[owner] + np.arange(len(owner))
+        old, weights = tokens[slots], self.counts[changed]
+        here = at + np.repeat(first - begins, np.bincount(np.searchsorted(changed, word), minlength=len(changed)))
+        new = old.copy()
+        new[here] = made[old[here]]
+        keep = old != WORD_END
+        keep[here + 1] = False
+        new, owner_after = new[keep], owner[keep]
+        left = np.bincount(owner_after, minlength=len(changed))
+        packed = np.zeros_like(old)
+        packed[np.arange(len(new)) + np.repeat(first - (np.cumsum(left) - left), left)] = new
+        before_keys, before = _weighted_pairs(old, weights[owner])
+        after_keys, gained = _weighted_pairs(packed, weights[owner])
         delta = _summed(np.concatenate([before_keys, after_keys]), np.concatenate([-before, gained]))
-        return Shard(after[keep], self.counts), *delta
+        after = tokens.copy()
+        after[slots] = packed
+        return Shard(after, self.counts), *delta
 
     def without_short_words(self) -> Shard:
-        """Words of one token have no pair left."""
-        ends = np.flatnonzero(self.tokens == WORD_END)
-        sizes = np.diff(ends, prepend=-1)
-        stay = sizes > 2
-        return Shard(self.tokens[np.repeat(stay, sizes)], self.counts[stay])
+        """Words of one token have no pair left; the slots of the others are cut to their words."""
+        sizes = self._slots()[1]
+        filled = self.tokens != WORD_END
+        word = np.repeat(np.arange(len(sizes)), sizes)
+        stay = np.bincount(word[filled], minlength=len(sizes)) > 1
+        keep = (filled | np.concatenate([[False], filled[:-1]])) & stay[word]
+        return Shard(self.tokens[keep], self.counts[stay])
 
 
 def _nothing() -> tuple[np.ndarray, np.ndarray]:
@@ -102,12 +125,11 @@ def _apart(at: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     return at[~odd]
 
 
-def _weighted_pairs(tokens: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(key, count of its word) of every pair of neighbours; the key holds both tokens."""
-    inside = (tokens[:-1] != WORD_END) & (tokens[1:] != WORD_END)
-    word = np.cumsum(tokens == WORD_END)[:-1][inside]
-    keys = (tokens[:-1][inside].astype(np.int64) - 1 << 32) | (tokens[1:][inside] - 1)
-    return keys, counts[word]
+def _weighted_pairs(tokens: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(key, weight) of every pair of neighbours in a word; the key holds both tokens. ``weights``: by place."""
+    inside = np.flatnonzero((tokens[:-1] != WORD_END) & (tokens[1:] != WORD_END))
+    keys = (tokens[inside].astype(np.int64) - 1 << 32) | (tokens[inside + 1].astype(np.int64) - 1)
+    return keys, weights[inside]
 
 
 def _summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -121,6 +143,27 @@ def _summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[first][sums != 0], sums[sums != 0]
 
 
+def sent(keys: np.ndarray, values: np.ndarray) -> list[bytes]:
+    """Ascending keys, as differences, and values for the way to the driver, in the narrowest types and compressed."""
+    out = []
+    for numbers in (np.diff(keys, prepend=0), values):
+        low, high = int(numbers.min(initial=0)), int(numbers.max(initial=0))
+        kind = next(t for t in ("i1", "i2", "i4", "i8") if np.iinfo(t).min <= low and high <= np.iinfo(t).max)
+        planes = numbers.astype(kind).view(np.uint8).reshape(len(numbers), -1).T if len(numbers) else numbers
+        out.append(kind.encode() + zlib.compress(np.ascontiguousarray(planes).tobytes(), 1))
+    return out
+
+
+def received(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The keys and values that ``sent`` made bytes of."""
+    found = []
+    for part in parts:
+        kind, planes = np.dtype(part[:2].decode()), np.frombuffer(zlib.decompress(part[2:]), np.uint8)
+        numbers = np.ascontiguousarray(planes.reshape(kind.itemsize, -1).T).view(kind).reshape(-1)
+        found.append(numbers.astype(np.int64))
+    return np.cumsum(found[0]), found[1]
+
+
 # --------------------------------------------------------------------------- what the driver keeps
 
 
@@ -137,8 +180,17 @@ class Pairs:
         self._waiting: dict[int, list[int]] = defaultdict(list)
 
     def add(self, changes: list[tuple[np.ndarray, np.ndarray]]) -> None:
-        keys, counts = zip(*changes) if changes else ((), ())
-        self.keys, self.counts = _summed(np.concatenate([self.keys, *keys]), np.concatenate([self.counts, *counts]))
+        none = _nothing()
+        keys, counts = _summed(*(np.concatenate([none[i], *(c[i] for c in changes)]) for i in (0, 1)))
+        place = np.searchsorted(self.keys, keys)
+        known = place < len(self.keys)
+        known[known] = self.keys[place[known]] == keys[known]
+        self.counts[place[known]] += counts[known]
+        stay = np.ones(len(self.keys), bool)
+        stay[place[known]] = self.counts[place[known]] != 0
+        place = place - np.concatenate([[0], np.cumsum(~stay)])[place]
+        self.keys = np.insert(self.keys[stay], place[~known], keys[~known])
+        self.counts = np.insert(self.counts[stay], place[~known], counts[~known])
 
     def _made(self, token: int) -> None:
         """A merged token gets its id once both its parts have theirs and it is its turn."""
@@ -245,15 +297,15 @@ def _shards(words: DataFrame):
         yield pa.RecordBatch.from_arrays(columns, names=["tokens", "counts"])
 
     rows = rows.repartition(parts, "word").mapInArrow(built, "tokens binary, counts binary")
-    return rows.rdd.map(lambda r: Shard(np.frombuffer(r[0], np.int32), np.frombuffer(r[1], np.int64)))
+    return rows.rdd.map(lambda r: Shard(np.frombuffer(r[0], np.uint16), np.frombuffer(r[1], np.int64)))
 
 
 def train(words: DataFrame, n_merges: int, rounds_per_stage: int = 32) -> list[Merge]:
     """Merges of a byte-pair vocabulary from word counts (word, cnt), most frequent pair first, ties by token ids."""
     shared_dir(words.sparkSession)  # sets the folder of checkpoints where there is none
-    state = _shards(words).map(lambda shard: (shard, shard.pair_counts())).persist()
+    state = _shards(words).map(lambda shard: (shard, sent(*shard.pair_counts()))).persist()
     pairs = Pairs()
-    pairs.add(state.map(lambda s: s[1]).collect())
+    pairs.add(_collected(state))
     rounds = 0
     while batch := pairs.next_batch(n_merges):
         rounds += 1
@@ -261,16 +313,20 @@ def train(words: DataFrame, n_merges: int, rounds_per_stage: int = 32) -> list[M
         after = state.map(_step(batch, tidy)).persist()
         if tidy:
             after.checkpoint()
-        pairs.add(after.map(lambda s: s[1]).collect())
+        pairs.add(_collected(after))
         state.unpersist()
         state = after
     state.unpersist()
     return pairs.merges[:n_merges]
 
 
+def _collected(state) -> list[tuple[np.ndarray, np.ndarray]]:
+    return [received(changes) for changes in state.map(lambda s: s[1]).collect()]
+
+
 def _step(batch: dict[Merge, int], tidy: bool):
-    def step(held: tuple[Shard, tuple]) -> tuple[Shard, tuple[np.ndarray, np.ndarray]]:
+    def step(held: tuple[Shard, list[bytes]]) -> tuple[Shard, list[bytes]]:
         shard, keys, changes = held[0].merged(batch)
-        return (shard.without_short_words() if tidy else shard), (keys, changes)
+        return (shard.without_short_words() if tidy else shard), sent(keys, changes)
 
     return step
