@@ -324,3 +324,17 @@ def test_each_packer_is_a_loader_of_its_range(documents):
 def test_evaluation_rows(documents):
     rows = packing.packed(document_batches(documents[1]), F.col("ids"), 33, buffer=20, packers=6)
     assert packing.evaluation_rows(rows, 4, 32 * 25, 32).count() == 24
+
+
+def test_texts_are_encoded_before_they_are_put_in_order(spark, monkeypatch):
+    """Few shards make few tasks of an order, so what is ordered for packing holds token ids and no text."""
+    from tidemark.queries import tokens as queries
+
+    given = []
+    real = packing.packed_in_order
+    monkeypatch.setattr(queries, "merges", lambda *_: [(97, 98)])
+    monkeypatch.setattr(queries.sinks, "built_once", lambda spark, path, build: build())
+    monkeypatch.setattr(packing, "packed_in_order", lambda docs, *rest: given.append(docs) or real(docs, *rest))
+    rows = queries.packed_rows(spark, SMALL, "train")
+    assert "text" not in given[0].columns and "ids" in given[0].columns
+    assert rows.count() and rows.filter(F.size("tokens") != queries.ROW_TOKENS).count() == 0

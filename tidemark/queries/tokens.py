@@ -70,7 +70,8 @@ def packed_rows(spark, folder, split):
     def rows():
         docs = split_corpus(spark, folder).filter(F.col("split") == split).select("shard", "doc_id", "text")
         ids = bpe.encoded(F.col("text"), known, bpe.bos_id(known))
-        return packing.packed_in_order(p.document_batches(docs), ids, ROW_TOKENS)
+        tokens = stage(readers.spread(docs).select("shard", "doc_id", ids.alias("ids")), "tokens")  # before the few shards are put in order
+        return packing.packed_in_order(p.document_batches(tokens), F.col("ids"), ROW_TOKENS)
 
     return sinks.built_once(spark, f"{shared_dir(spark)}/packed-{split}-{ROW_TOKENS}-{vocabulary_name(spark, folder)}", rows)
 
