@@ -184,6 +184,19 @@ def test_encoding_keeps_nulls_and_small_memory(spark, merges):
     assert got[1] is None and got[4] is None and list(got[3]) == [] and len(got[2]) > 0
 
 
+@pytest.mark.parametrize("letters", ["a", "ab", "aab", "abcd"])
+def test_many_words_are_encoded_together(letters):
+    """In as many passes as a word has merges, not one word after another; runs, empty words and unknown letters included."""
+    rng = random.Random(4)
+    counts = {"".join(rng.choices("abcd", k=10)): 1 for _ in range(200)} | {"a" * 30: 9}
+    ranks = {pair: i for i, pair in enumerate(greedy(counts, 120))}
+    words = ["".join(rng.choices(letters + "z" * (i % 2), k=rng.randrange(41))).encode() for i in range(3_000)] + [b""]
+    sizes = np.array([len(w) for w in words], np.int64)
+    ids, n = bpe.many_merged_ids(np.frombuffer(b"".join(words), np.uint8), sizes, bpe.PairRanks(ranks))
+    want = [bpe.merged_ids(w, ranks) for w in words]
+    assert n.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
 def test_round_trip(texts, merges):
     rows = texts.select("text", bpe.encoded(F.col("text"), merges).alias("ids"))
     assert rows.filter(bpe.decoded(F.col("ids"), merges) != F.col("text")).count() == 0

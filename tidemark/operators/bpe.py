@@ -12,12 +12,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.tokens import SPECIAL_TOKENS, pretokens
-from tidemark.operators.merges import FIRST_MERGED, Merge, train
+from tidemark.operators.merges import FIRST_MERGED, Merge, apart, train
 
 __all__ = ["FIRST_MERGED", "Merge", "train"]
 
-#: Longer words are merged with a heap; in short ones all pairs are looked at again after each merge.
+#: Longer words are merged with a heap; in short ones all pairs are looked at again after each merge, in many words at once.
 HEAP_TOKENS = 48
+#: Long words whose ids a task remembers.
+MEMO_WORDS = 10_000
 
 
 def as_symbols(word: Column) -> Column:
@@ -120,37 +122,109 @@ def _merged_by_heap(ids: list[int], ranks: Mapping[Merge, int]) -> list[int]:
     return [i for i in ids if i != gone]
 
 
-def word_encoder(merges: Sequence[Merge], memo_words: int = 300_000):
+class PairRanks:
+    """Ranks of pairs, for whole arrays of them."""
+
+    def __init__(self, ranks: Mapping[Merge, int]) -> None:
+        pairs = np.array(list(ranks), np.int64).reshape(-1, 2)
+        keys = pairs[:, 0] << 32 | pairs[:, 1]
+        order = np.argsort(keys)
+        #: The rank of a pair that is not merged; a last key that is none stands for all of these.
+        self.unknown = len(ranks)
+        self.keys = np.append(keys[order], np.iinfo(np.int64).max)
+        self.ranks = np.append(np.fromiter(ranks.values(), np.int64, len(ranks))[order], self.unknown).astype(np.int32)
+
+    def of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        keys = left.astype(np.int64) << 32 | right
+        place = np.searchsorted(self.keys, keys)
+        return np.where(self.keys[place] == keys, self.ranks[place], np.int32(self.unknown))
+
+
+def many_merged_ids(data: np.ndarray, sizes: np.ndarray, ranks: PairRanks) -> tuple[np.ndarray, np.ndarray]:
+    """``merged_ids`` of many words, given as their bytes in a row and the bytes of each: all ids in a row, and how many each has.
+
+    A pass merges in every word its own pair of the lowest rank, so there are as many passes as a word has merges; words that
+    are done are left out of the next.
+    """
+    begins = np.cumsum(sizes) - sizes
+    ids, counts = data.astype(np.int32), np.zeros(len(sizes), np.int64)
+    words = np.flatnonzero(sizes)  # those that are not done, their tokens, how many each has, and the ranks of pairs by the left one
+    left, tokens = sizes[words], ids.copy()
+    rank = np.full(len(tokens), ranks.unknown, np.int32)
+    rank[:-1] = ranks.of(tokens[:-1], tokens[1:])
+    rank[np.cumsum(left) - 1] = ranks.unknown
+    while len(words):
+        best = np.minimum.reduceat(rank, np.cumsum(left) - left)
+        more = best < ranks.unknown
+        stay = np.repeat(more, left)
+        done, n = words[~more], left[~more]
+        ids[np.repeat(begins[done] - (np.cumsum(n) - n), n) + np.arange(n.sum())] = tokens[~stay]
+        counts[done] = n
+        words, left, best, tokens, rank = words[more], left[more], best[more], tokens[stay], rank[stay]
+        at = apart(np.flatnonzero(rank == np.repeat(best, left)), tokens)
+        if not len(at):
+            break
+        tokens[at] = FIRST_MERGED + rank[at]
+        keep = np.ones(len(tokens), bool)
+        keep[at + 1] = False
+        left = left - np.add.reduceat(~keep, np.cumsum(left) - left, dtype=np.int64)
+        tokens, rank, at = tokens[keep], rank[keep], at - np.arange(len(at))
+        changed = np.concatenate([at, at[at > 0] - 1])
+        rank[changed] = ranks.of(tokens[changed], tokens[np.minimum(changed + 1, len(tokens) - 1)])
+        rank[np.cumsum(left) - 1] = ranks.unknown
+    filled = np.arange(len(ids)) - np.repeat(begins, sizes) < np.repeat(counts, sizes)
+    return ids[filled], counts
+
+
+class WordIds:
+    """Token ids of the words of an Arrow array: short words all together, long ones one by one and remembered, within bounds."""
+
+    def __init__(self, merges: Sequence[Merge], memo_words: int) -> None:
+        self.ranks = {pair: i for i, pair in enumerate(merges)}
+        self.pair_ranks, self.memo_words = PairRanks(self.ranks), memo_words
+        self.memo: dict[bytes, np.ndarray] = {}
+
+    def _long(self, word: bytes) -> np.ndarray:
+        found = self.memo.get(word)
+        if found is None:
+            found = np.array(merged_ids(word, self.ranks), np.int32)
+            if len(self.memo) >= self.memo_words:
+                self.memo.clear()
+            self.memo[word] = found
+        return found
+
+    def of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of all words in a row, first those of the short ones, where the ids of each word begin, and how many they are."""
+        words = words.cast(pa.large_binary())
+        _, places, data = words.buffers()
+        places = np.frombuffer(places or bytes(8), np.int64)[words.offset : words.offset + len(words) + 1]
+        data = np.frombuffer(data or b"", np.uint8)[places[0] : places[-1]]
+        lengths = np.diff(places)
+        short = lengths <= HEAP_TOKENS
+        begins, sizes = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        ids, sizes[short] = many_merged_ids(data[np.repeat(short, lengths)], lengths[short], self.pair_ranks)
+        long_ids = [self._long(words[i].as_buffer().to_pybytes()) for i in np.flatnonzero(~short).tolist()]
+        sizes[~short] = [len(x) for x in long_ids]
+        begins[short] = np.cumsum(sizes[short]) - sizes[short]
+        begins[~short] = len(ids) + np.cumsum(sizes[~short]) - sizes[~short]
+        return np.concatenate([ids, *long_ids]), begins, sizes
+
+
+def word_encoder(merges: Sequence[Merge], memo_words: int = MEMO_WORDS):
     """Token ids of the pre-tokens of a text, as an Arrow function of a column of string arrays.
 
-    Words repeat, so a batch encodes each distinct word once and copies the ids to its places as whole arrays. A task
-    also remembers words between batches; that memory is bounded and only saves time. Texts are encoded where they
-    lie: nothing is shuffled.
+    Words repeat, so a batch encodes each distinct word once and copies the ids to its places as whole arrays. A task also
+    remembers long words between batches; that memory is bounded and only saves time. Texts are encoded where they lie:
+    nothing is shuffled.
     """
-    ranks = {pair: i for i, pair in enumerate(merges)}
 
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        from itertools import chain
-
-        memo: dict[str, list[int]] = {}
-
-        def ids_of(word: str) -> list[int]:
-            found = memo.get(word)
-            if found is None:
-                found = merged_ids(word.encode("utf-8"), ranks)
-                if len(memo) >= memo_words:
-                    memo.clear()
-                memo[word] = found
-            return found
-
+        encoder = WordIds(merges, memo_words)
         for texts in batches:
             words = texts.flatten().dictionary_encode()
-            pieces = [ids_of(w) for w in words.dictionary.to_pylist()]
-            sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
-            begins = np.cumsum(sizes) - sizes
-            table = np.fromiter(chain.from_iterable(pieces), np.int32, int(sizes.sum()))
             which = words.indices.to_numpy()
+            table, begins, sizes = encoder.of(words.dictionary)
             ends = np.concatenate([[0], np.cumsum(sizes[which])])
             place = np.arange(ends[-1]) + np.repeat(begins[which] - ends[:-1], sizes[which])
             bounds = texts.offsets.to_numpy().astype(np.int64)

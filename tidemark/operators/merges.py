@@ -74,7 +74,7 @@ class Shard:
         for (left, right), new in batch.items():
             partner[left + 1], made[left + 1] = right + 1, new + 1
         at = np.flatnonzero(partner[tokens[:-1]] == tokens[1:])
-        at = _apart(at, tokens)
+        at = apart(at, tokens)
         if not len(at):
             return self, *_nothing()
         begins, sizes = self._slots()
@@ -115,7 +115,7 @@ def _nothing() -> tuple[np.ndarray, np.ndarray]:
     return np.zeros(0, np.int64), np.zeros(0, np.int64)
 
 
-def _apart(at: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+def apart(at: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     """Places of pairs without those that overlap the one before, as in a run of one token; the leftmost stay."""
     if not len(at):
         return at
