@@ -197,6 +197,21 @@ def test_many_words_are_encoded_together(letters):
     assert n.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
 
 
+def test_token_counts_leave_a_task_added_up(spark, merges):
+    """Short and long words of every partition; a partition returns a row per token, not one per token of each word."""
+    rng = random.Random(7)
+    counts = {"".join(rng.choices("abe ", k=rng.randrange(1, 90))): rng.randrange(1, 2**40) for _ in range(900)}
+    ranks, want = {pair: i for i, pair in enumerate(merges)}, Counter()
+    for word, n in counts.items():
+        for i in bpe.merged_ids(word.encode(), ranks):
+            want[i] += n
+    rows = bpe.token_counts(spark.createDataFrame(list(counts.items()), "word string, cnt bigint").repartition(2), merges)
+    assert {r.token_id: r.cnt for r in rows.collect()} == want
+    assert "Generate explode" not in rows._jdf.queryExecution().toString()
+    none = spark.createDataFrame([], "word string, cnt bigint")
+    assert bpe.token_counts(none, merges).count() == 0
+
+
 def test_round_trip(texts, merges):
     rows = texts.select("text", bpe.encoded(F.col("text"), merges).alias("ids"))
     assert rows.filter(bpe.decoded(F.col("ids"), merges) != F.col("text")).count() == 0

@@ -20,6 +20,8 @@ __all__ = ["FIRST_MERGED", "Merge", "train"]
 HEAP_TOKENS = 48
 #: Long words whose ids a task remembers.
 MEMO_WORDS = 10_000
+#: Words that are encoded together where they are rows.
+WORDS_AT_ONCE = 50_000
 
 
 def as_symbols(word: Column) -> Column:
@@ -300,6 +302,33 @@ def with_token_bytes(tokens: DataFrame, vocab: DataFrame, token_id: str = "token
 
 
 def token_counts(word_counts: DataFrame, merges: Sequence[Merge]) -> DataFrame:
-    """How often each token occurs, from word counts: each distinct word is encoded once."""
-    words = word_counts.select(word_encoder(merges)(F.array("word")).alias("ids"), "cnt")
-    return words.select(F.explode("ids").alias("token_id"), "cnt").groupBy("token_id").agg(F.sum("cnt").alias("cnt"))
+    """How often each token occurs, from word counts (word, cnt): each distinct word is encoded once.
+
+    A task adds up the counts of its words' tokens, so it returns at most one row per token.
+    """
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, total = WordIds(merges, MEMO_WORDS), np.zeros(FIRST_MERGED + len(merges), np.int64)
+        while held := _words_at_once(batches):
+            rows = pa.Table.from_batches(held).combine_chunks()
+            ids, begins, sizes = encoder.of(rows.column("word").chunk(0))
+            order = np.argsort(begins, kind="stable")  # as their ids lie
+            np.add.at(total, ids, np.repeat(rows.column("cnt").to_numpy()[order], sizes[order]))
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(total[seen])], names=["token_id", "cnt"])
+
+    words = word_counts.filter("word IS NOT NULL AND cnt IS NOT NULL").select("word", F.col("cnt").cast("bigint").alias("cnt"))
+    counts = words.mapInArrow(counted, "token_id int, cnt bigint")
+    return counts.groupBy("token_id").agg(F.sum("cnt").alias("cnt"))
+
+
+def _words_at_once(batches: Iterator[pa.RecordBatch]) -> list[pa.RecordBatch]:
+    """The next batches of at least ``WORDS_AT_ONCE`` rows together; none at the end."""
+    held, rows = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            rows += batch.num_rows
+        if rows >= WORDS_AT_ONCE:
+            break
+    return held
