@@ -250,6 +250,27 @@ def test_the_best_value_is_kept_however_long_a_tag_is_silent(spark, tmp_path):
     assert pairs(got, "event_id", "decision") == [(1, "KEEP"), (2, "KEEP"), (3, "KEEP"), (4, "DISCARD"), (5, "KEEP")]
 
 
+def test_keys_are_stored_together_by_hash(spark, tmp_path):
+    """Keys share states and calls, none of which sees another's values, also where there is no key."""
+    data = [(None if k == 7 else k, 86_400 * 10 + i, k * 10 + i, float((i * k) % 4), "OK") for k in range(2_000) for i in range(4)]
+    rows = spark.createDataFrame(data, "tag bigint, s bigint, event_id bigint, val_bpb double, status string")
+    rows = rows.select("tag", F.timestamp_seconds("s").alias("ts"), "event_id", "val_bpb", "status")
+    got = finished(spark, stream_jobs.decisions(in_pieces(spark, rows, ["ts"], 2)), tmp_path).collect()
+    best, want = {}, []
+    for tag, _, event, value, _ in sorted(data, key=lambda r: (r[1], r[2])):
+        want.append((tag, event, "KEEP" if value < best.get(tag, 9.0) else "DISCARD"))
+        best[tag] = min(value, best.get(tag, 9.0))
+    assert Counter(map(tuple, got)) == Counter(want)
+    states = spark.read.format("statestore").load(str(tmp_path / "progress"))
+    assert states.count() <= stream_jobs.GROUPS + 1
+
+
+def test_time_outs_of_keys_in_one_group(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stream_jobs._keyed, "__defaults__", (1,))
+    test_a_silent_job_is_reported_when_its_time_is_up(spark, tmp_path / "waits")
+    test_an_open_key_is_kept_however_long_it_is_silent(spark, tmp_path / "states")
+
+
 def test_documents_are_replaced_by_run(spark, tmp_path):
     path = str(tmp_path / "runs")
     save = lambda **docs: sinks.replace_run_documents(spark.createDataFrame(list(docs.items()), "run string, document string"), path)

@@ -1,7 +1,7 @@
 """Streaming forms of job states, run telemetry, decisions and metrics documents, on the engine's own keyed state.
 
-Each takes a stream and returns one. A key's state is a few values in the engine's state store; event-time time-outs
-end waits, report silent jobs and remove what is no longer needed. Rows of a key must arrive in order across
+Each takes a stream and returns one. A key's state is a few values, stored with those of other keys of its hash in the engine's
+state store; event-time time-outs end waits, report silent jobs and remove what is no longer needed. Rows of a key must arrive in order across
 micro-batches, within the stated watermark; inside a micro-batch they are sorted.
 """
 
@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator, Sequence
+from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -27,6 +28,12 @@ KEEP_ENDED_S = 30 * 24 * 3600
 #: In place of a time-out: the key has ended. An open key without a time-out stays, however long it is silent.
 ENDED = -1
 
+#: Keys are called, and their states stored, together by a hash in this many groups: a call costs milliseconds, a key in it
+#: microseconds. A checkpoint keeps to the number that it began with.
+GROUPS = 1_024
+#: The group of rows without a key.
+NO_KEY = -1
+
 Rows = list[tuple]
 
 
@@ -39,37 +46,55 @@ def _keyed(
     output: str,
     state: str,
     at: str,
+    groups: int = GROUPS,
 ) -> DataFrame:
     """``step`` turns the state and the sorted new rows of a key into new state, output rows and a time-out in ms.
 
     The time-out is None for an open key that waits for ever and ``ENDED`` for one that is done. ``expire`` is asked when
-    the time is up; state None removes the key, another one has ended.
+    the time is up; state None removes the key, another one has ended. Each of ``groups`` holds the keys of one hash, their
+    states and time-outs; it is called when rows of one of them arrive or the first of their time-outs is over.
     """
     names = [f.split()[0] for f in output.split(", ")]
     columns = [c for c in stream.columns if c not in (key, at)]
 
     def run(group: tuple, frames: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
-        before = held.get if held.exists else None
-        now = held.getCurrentWatermarkMs()
-        if held.hasTimedOut:
-            after, out = expire(before)
-            limit = ENDED
-        else:
-            rows = pd.concat(list(frames)).sort_values(order)
-            now = max(now, int(rows[at].max().timestamp() * 1000))  # the watermark of a first batch is zero
-            after, out, limit = step(before, list(rows[columns].itertuples(index=False, name=None)))
-        if after is None:
-            held.remove()
-        else:
-            held.update(after)
-            if limit is not None:
+        keys = {k: (until, before) for k, until, before in held.get[0]} if held.exists else {}
+        watermark = held.getCurrentWatermarkMs()
+        seen, out = set(), []
+
+        def put(own, after: tuple | None, made: Rows, limit: int | None, now: int) -> None:
+            out.extend((own, *row) for row in made)
+            if after is None:
+                keys.pop(own, None)
+            else:
                 until = now + KEEP_ENDED_S * 1000 if limit == ENDED else limit
-                held.setTimeoutTimestamp(max(until, held.getCurrentWatermarkMs() + 1))
+                keys[own] = (until if until is None else max(until, watermark + 1), after)
+
+        if not held.hasTimedOut:
+            rows = pd.concat(list(frames)).sort_values([key, *order])
+            own = [None] * len(rows) if group[0] == NO_KEY else rows[key].tolist()
+            times = rows[at].to_numpy().astype("datetime64[ms]").astype("int64").tolist()
+            for k, part in groupby(zip(own, times, rows[columns].itertuples(index=False, name=None)), key=lambda r: r[0]):
+                part = list(part)
+                seen.add(k)
+                now = max(watermark, *(r[1] for r in part))  # the watermark of a first batch is zero
+                put(k, *step(keys[k][1] if k in keys else None, [r[2] for r in part]), now)
+        for k in [k for k, (until, _) in keys.items() if until is not None and until < watermark and k not in seen]:
+            put(k, *expire(keys[k][1]), ENDED, watermark)
+        if keys:
+            held.update(([(k, *entry) for k, entry in keys.items()],))
+            if ends := [until for until, _ in keys.values() if until is not None]:
+                held.setTimeoutTimestamp(max(min(ends), watermark + 1))
+        elif held.exists:
+            held.remove()
         if out:
-            yield pd.DataFrame([(*group, *row) for row in out], columns=names)
+            yield pd.DataFrame(out, columns=names)
 
-    timed = stream.withWatermark(at, DELAY)
-    return timed.groupBy(key).applyInPandasWithState(run, output, state, "append", GroupStateTimeout.EventTimeTimeout)
+    kind = stream.schema[key].dataType.simpleString()
+    place = F.when(F.col(key).isNull(), NO_KEY).otherwise(F.pmod(F.xxhash64(key), F.lit(groups)))
+    timed = stream.withWatermark(at, DELAY).withColumn("_group", place.cast("int"))
+    entries = f"entries array<struct<key: {kind}, until: bigint, state: struct<{state}>>>"
+    return timed.groupBy("_group").applyInPandasWithState(run, output, entries, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def _at(column: str):
