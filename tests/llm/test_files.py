@@ -100,6 +100,31 @@ def test_packing_keeps_every_token(spark):
     assert used / (4096 * len(sequences)) > 0.95
 
 
+def test_words_are_looked_up_once_and_encoded_as_the_tokenizer_does(monkeypatch):
+    class Counted(dict):
+        looks = 0
+
+        def get(self, *key):
+            self.looks += 1
+            return super().get(*key)
+
+    encoder = ph.WordIds(ph.tokenizer_definition())
+    odd = ["", " ", "\x0b a\x0c\r\n b ", "it's don't. x., 12,345.", "a<|endoftext|>b <|endoftext|> <|ENDOFTEXT|>", "e\u0301 \u0301e \u00e9", "a\u00a0b \u2003c", "naïve Ünï. 你好, 🙂🙂 \x00\x1c", "- -- --- 7-8 x_y"]
+    odd += [" ".join(odd * 20), "\u0130 \u1e9e \ufb01 A\u030a"]
+    texts = [text.encode() for text in odd]
+    want = [encoder.tokenizer.encode(text, add_special_tokens=False).ids for text in odd]
+    for most in (ph.REMEMBERED_WORDS, 1, 1):  # also when all has to be remembered anew
+        monkeypatch.setattr(ph, "REMEMBERED_WORDS", most)
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode(texts)] == want
+    assert [part for some in ph._in_parts(texts) for part in some] == texts and list(ph._in_parts([])) == []
+    monkeypatch.setattr(ph, "BYTES_AT_ONCE", 10)
+    assert [part for some in ph._in_parts(texts) for part in some] == texts
+    monkeypatch.setattr(ph, "REMEMBERED_WORDS", 10**6)
+    encoder.recent = Counted(encoder.recent)
+    list(encoder.encode([b"word other " * 1_000] * 10))
+    assert encoder.recent.looks < 10
+
+
 def test_awkward_rows_packing(awkward, documents):  # noqa: F811
     check_packing(ph.pack(awkward, ph.tokenizer_definition()).collect(), [r.text for r in awkward.select("text").collect()])
     assert ph.pack(documents([]), ph.tokenizer_definition()).count() == 0

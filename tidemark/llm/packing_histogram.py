@@ -12,12 +12,14 @@ repeated rows and null ids are packed like any other; an empty table gives no ro
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,7 +35,8 @@ BROADCAST_SLOTS = 500_000
 BUCKET_ROWS = 4_000
 #: Words whose ids a worker remembers, twice.
 REMEMBERED_WORDS = 300_000
-TEXTS_AT_ONCE = 64
+#: Bytes of texts that are encoded together.
+BYTES_AT_ONCE = 4_000_000
 
 PIECES = "doc_id {}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
@@ -56,10 +59,13 @@ class WordIds:
     def __init__(self, definition: str) -> None:
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; threads beside it cost more than they bring
         self.definition, self.tokenizer = definition, Tokenizer.from_str(definition)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a piece
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        special = [(i, t.content.encode()) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not t.normalized]
+        self.between = next(((token, i) for i, token in special), None)
         self.recent: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
         self.marks = {mark: self._each([mark])[0] for mark in MARKS}
@@ -84,6 +90,24 @@ class WordIds:
                 found += self._each(part)
         return found
 
+    def _apart(self, words: list[bytes]) -> list[bytes]:
+        """Other words make any number of pieces: many are encoded as one text with a special token between them."""
+        if self.between is None:
+            return self._each(words)
+        token, number = self.between
+        found: list[bytes] = []
+        parts = [words[at : at + 64] for at in range(0, len(words), 64)]
+        texts = [(b" %b " % token).join(part).decode("utf-8", "replace") for part in parts]
+        for part, encoded in zip(parts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(encoded.ids, "<u4")
+            at = np.flatnonzero(ids == number)
+            data = ids.tobytes()
+            if len(at) == len(part) - 1:
+                found += [data[a:b] for a, b in zip([0, *(4 * at + 4).tolist()], [*(4 * at).tolist(), len(data)])]
+            else:  # a word holds that token
+                found += self._each(part)
+        return found
+
     def _add(self, new: list[bytes]) -> None:
         """Encode new words; those with a last mark from the word before it."""
         recent, older = self.recent, self.older
@@ -98,32 +122,52 @@ class WordIds:
             else:
                 (plain if stem.isalpha() or (not stem.isascii() and stem.decode("utf-8", "replace").isalpha()) else other).append(stem)
         recent.update(zip(plain, self._plain(plain)))
-        recent.update(zip(other, self._each(other)))
+        recent.update(zip(other, self._apart(other)))
         for word in marked:
             recent[word] = recent[word[:-1]] + self.marks[word[-1:]]
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
-        """The ids of each text; new words of all of them are encoded together."""
+        """The ids of each text. Their distinct words are looked up once; those not remembered are encoded together."""
         if len(self.recent) > REMEMBERED_WORDS:
             self.recent, self.older = {}, self.recent
         recent, older = self.recent, self.older
-        rows, missing = [], set()
-        for text in texts:
-            # A special token is told from other text by its case.
-            words = (text if b"<|" in text else text.lower()).split()  # at ASCII white space
-            ids = list(map(recent.get, words))
-            if None in ids:
-                missing.update([word for word, known in zip(words, ids) if known is None])
-            rows.append((words, ids))
+        # A special token is told from other text by its case.
+        lowered = pa.array([text if b"<|" in text else text.lower() for text in texts], pa.large_binary()).view(pa.large_string())
+        split = pc.ascii_split_whitespace(lowered)
+        places = split.flatten().dictionary_encode()
+        _, edges, data = places.dictionary.buffers()
+        edges, data = np.frombuffer(edges or bytes(8), np.int64)[: len(places.dictionary) + 1].tolist(), (data or pa.py_buffer(b"")).to_pybytes()
+        words = [data[begin:end] for begin, end in zip(edges, edges[1:])]
+        recent[b""] = b""  # beside white space at an end
+        known = list(map(recent.get, words))
+        gaps = [(i, words[i]) for i, ids in enumerate(known) if ids is None]
         new = []
-        for word in missing:
+        for _, word in gaps:
             if word in older:
                 recent[word] = older[word]
             else:
                 new.append(word)
         self._add(new)
-        for words, ids in rows:
-            yield b"".join(map(recent.__getitem__, words) if None in ids else ids)
+        for i, word in gaps:
+            known[i] = recent[word]
+        table, which = np.frombuffer(b"".join(known), "<u4"), places.indices.to_numpy()
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        begins, lengths = np.cumsum(sizes) - sizes, sizes[which]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        ids = table[np.arange(ends[-1]) + np.repeat(begins[which] - ends[:-1], lengths)]
+        bounds = split.offsets.to_numpy()
+        bounds = ends[bounds - bounds[0]].tolist()
+        for begin, end in zip(bounds, bounds[1:]):
+            yield ids[begin:end].tobytes()
+
+
+def _in_parts(texts: list[bytes]) -> Iterator[list[bytes]]:
+    """The texts in lists of about ``BYTES_AT_ONCE``."""
+    ends = np.cumsum([len(text) for text in texts], dtype=np.int64) // BYTES_AT_ONCE
+    edges = [0, *(np.flatnonzero(np.diff(ends)) + 1).tolist(), len(texts)]
+    for begin, end in zip(edges, edges[1:]):
+        if begin < end:
+            yield texts[begin:end]
 
 
 def _encoder(definition: str) -> WordIds:
@@ -151,7 +195,7 @@ def pieces(docs: DataFrame, definition: str, capacity: int = CAPACITY, end: int
         for batch in batches:
             rows, starts, lengths, sums, totals, tokens = [], [], [], [], [], []
             texts = [t.as_buffer().to_pybytes() if t.is_valid else b"" for t in batch.column(1)]
-            encoded = (ids for at in range(0, len(texts), TEXTS_AT_ONCE) for ids in encoder.encode(texts[at : at + TEXTS_AT_ONCE]))
+            encoded = (ids for some in _in_parts(texts) for ids in encoder.encode(some))
             for i, ids_of_text in enumerate(encoded):
                 data = ids_of_text + tail
                 for at in range(0, len(data), 4 * capacity):
