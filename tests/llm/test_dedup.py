@@ -135,6 +135,15 @@ def test_every_long_string_has_an_anchor():
         assert np.any((at >= start) & (at <= start + ri.LENGTH - ri.ANCHOR))
 
 
+def test_streaming_looks_rows_up_in_tables():
+    """No step searches among the starts of runs or intervals."""
+    segments = [b"banana" * 20, b"bananas" * 17, b"x" * 30]
+    index = ri.RunIndex(segments, np.array([5, 3, 1]))
+    rows = np.arange(sum(map(len, segments)) + len(segments))
+    assert np.array_equal(index.run_of, np.searchsorted(index.run_start, rows, "right") - 1)
+    assert len(index.interval_of) == len(rows) and index.interval_of[-1] == len(index.first_document) - 1
+
+
 def test_index_runs_and_samples():
     segments = [b"banana" * 20, b"bananas" * 17, b"x" * 30]
     index = ri.RunIndex(segments, np.array([5, 3, 1]))

@@ -156,8 +156,10 @@ class RunIndex:
         base = np.empty(len(by_char), np.int64)
         base[by_char] = np.cumsum(sizes_of_runs[by_char]) - sizes_of_runs[by_char]
         self.shift = base - self.run_start
-        self.interval_start = np.flatnonzero(interval)
-        self.first_document = np.minimum.reduceat(documents[owner[order]], self.interval_start)
+        #: The run and the interval of each row: a look at a table of a few million rows costs less than a search in their starts.
+        self.run_of = np.cumsum(edge, dtype=np.int32) - np.int32(1)
+        self.interval_of = np.cumsum(interval, dtype=np.int32) - np.int32(1)
+        self.first_document = np.minimum.reduceat(documents[owner[order]], np.flatnonzero(interval))
 
     def first_documents(self, sizes: np.ndarray) -> np.ndarray:
         """For the indexed segments, of these sizes: at each position, the first document with the string that begins there.
@@ -171,11 +173,10 @@ class RunIndex:
         for step in range(1, int(sizes.max(initial=0)) + 1):
             active = int(np.searchsorted(descending, -step, "right"))
             row = row[:active]
-            row = row + self.shift[np.searchsorted(self.run_start, row, "right") - 1]
+            row = row + self.shift[self.run_of[row]]
             if step >= self.length:
                 segment = by_size[:active]
-                at = np.searchsorted(self.interval_start, row, "right") - 1
-                out[first[segment] + sizes[segment] - step] = self.first_document[at]
+                out[first[segment] + sizes[segment] - step] = self.first_document[self.interval_of[row]]
         return out
 
 
