@@ -137,6 +137,21 @@ def test_endless_epochs_go_on_where_they_stopped(spark, tmp_path):
     assert batches == {("shard_0.parquet", b): n for b, n in enumerate((128, 72, 128, 72, 100))} | {("shard_1.parquet", 0): 90}
 
 
+def test_a_task_reads_many_row_groups(spark, tmp_path):
+    """As many tasks as cores need, not one task and footer for each row group."""
+    import pyarrow as pa
+    from pyarrow import parquet
+
+    for shard in range(2):
+        parquet.write_table(pa.table({"text": [f"{shard}-{i}" for i in range(500)]}), tmp_path / f"shard_{shard}.parquet", row_group_size=5)
+    plan, out = stage(row_groups.epoch_plan(spark, str(tmp_path))), staged_path(spark, "epochs")
+    stream = row_groups.endless_epochs(spark, plan, 200)
+    stream.writeStream.option("checkpointLocation", staged_path(spark, "progress")).trigger(once=True).start(out).awaitTermination()
+    rows = spark.read.parquet(out)
+    assert sorted((r.epoch, r.text, r.row_group, r.row_index) for r in rows.collect()) == sorted((1, f"{s}-{i}", i // 5, i) for s in range(2) for i in range(500))
+    assert len(list(Path(out.removeprefix("file:")).glob("part-*"))) <= row_groups.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+
+
 def test_a_file_without_a_footer_is_named(spark, tmp_path):
     (tmp_path / "bad.parquet").write_bytes(b"no parquet")
     with pytest.raises(Exception, match="bad.parquet"):

@@ -7,6 +7,7 @@ row groups as rows, and hands each to a task.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
 import pandas as pd
 import pyarrow as pa
@@ -17,6 +18,8 @@ from tidemark.operators.corpus import DOCS_PER_BATCH
 from tidemark.plans.ordered import number, order_rows
 from tidemark.plans.staging import stage
 
+#: Tasks of a micro-batch for each core, at most.
+TASKS_PER_CORE = 2
 #: Stores by the scheme of a path, where Hadoop's name for them is another than Arrow's.
 ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3"}
 
@@ -81,19 +84,20 @@ def read_groups(groups: DataFrame, text: str = "text", size: int = DOCS_PER_BATC
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import parquet
 
-        for group in (g for batch in batches for g in batch.to_pylist()):
-            with opened(group["path"]) as file:
-                parts = parquet.ParquetFile(file).iter_batches(size, row_groups=[group["row_group"]], columns=[text])
-                at = 0
-                for part in parts:
-                    n = len(part)
-                    rows = pa.array(range(at, at + n), pa.int64())
-                    same = lambda name: pa.repeat(pa.scalar(group[name], pa.string() if name in ("path", "shard") else pa.int64()), n)  # noqa: B023, E731
-                    numbers = [group["first_batch"] + r // size for r in range(at, at + n)]
-                    where = pa.array([group["start"] + r for r in range(at, at + n)], pa.int64())
-                    columns = [same("epoch"), same("path"), same("shard"), same("row_group"), pa.array(numbers, pa.int64()), where, part.column(0).cast(pa.string())]
-                    yield pa.record_batch(columns, names=["epoch", "path", "shard", "row_group", "batch", "row_index", "text"])
-                    at += len(rows)
+        for path, groups in groupby((g for batch in batches for g in batch.to_pylist()), key=lambda g: g["path"]):
+            with opened(path) as file:
+                shard = parquet.ParquetFile(file)  # its footer, which grows with the file, is read once
+                for group in groups:
+                    at = 0
+                    for part in shard.iter_batches(size, row_groups=[group["row_group"]], columns=[text]):
+                        n = len(part)
+                        rows = pa.array(range(at, at + n), pa.int64())
+                        same = lambda name: pa.repeat(pa.scalar(group[name], pa.string() if name in ("path", "shard") else pa.int64()), n)  # noqa: B023, E731
+                        numbers = [group["first_batch"] + r // size for r in range(at, at + n)]
+                        where = pa.array([group["start"] + r for r in range(at, at + n)], pa.int64())
+                        columns = [same("epoch"), same("path"), same("shard"), same("row_group"), pa.array(numbers, pa.int64()), where, part.column(0).cast(pa.string())]
+                        yield pa.record_batch(columns, names=["epoch", "path", "shard", "row_group", "batch", "row_index", "text"])
+                        at += len(rows)
 
     schema = "epoch bigint, path string, shard string, row_group bigint, batch bigint, row_index bigint, text string"
     return groups.select("epoch", "path", "shard", "row_group", "start", "first_batch").mapInArrow(read, schema)
@@ -104,12 +108,14 @@ def endless_epochs(spark: SparkSession, plan: DataFrame, groups_per_batch: int,
 
     Its source counts row groups. The count is the offset that a checkpoint stores, so a stream that is started again goes
     on with the next row group of the same epoch; a repeated micro-batch holds the same rows. A micro-batch is
-    ``groups_per_batch`` row groups, each read by one task. Epochs are numbered from 1.
+    ``groups_per_batch`` row groups, read by a few tasks for each core; a task reads a file's footer once for all that it
+    reads of it. Epochs are numbered from 1.
     """
     total = plan.count()
     if not total:
         raise ValueError("a plan without row groups has no epochs")
-    ticks = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", groups_per_batch).option("numPartitions", groups_per_batch).load()
+    tasks = min(groups_per_batch, TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
+    ticks = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", groups_per_batch).option("numPartitions", tasks).load()
     at = F.col("value")
     wanted = ticks.select((F.floor(at / total) + 1).cast("bigint").alias("epoch"), (at % total).alias("position"))
     return read_groups(wanted.join(plan, "position"), text, size)
