@@ -2,15 +2,18 @@
 
 import math
 import re
+import time
 import zlib
 from collections import Counter
 from itertools import combinations
 
 import numpy as np
 import pytest
+import xxhash
 from llm_tables import SMALL, awkward, documents  # noqa: F401
 
 from tidemark.llm import mixing, outliers, pitman_yor, table_counts, toxicity
+from tidemark.llm.exchange import array, distinct
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
@@ -347,6 +350,71 @@ def exact_ways(c, discount):
     return out[1:]
 
 
+def test_a_draw_costs_by_its_tables_and_not_by_its_customers():
+    """Dishes of 1,400 customers at few tables: terms that no longer change a sum are not added up."""
+
+    def seconds(c):
+        seats = table_counts.TableCounts(np.full(3_000, c), 0.75, 5)
+        seats.begin(np.full(3_000, 0.05))
+        times = []
+        for _ in range(7):
+            start = time.process_time()
+            seats.draw(np.full(3_000, 0.05))
+            times.append(time.process_time() - start)
+        return min(times)
+
+    assert seconds(1_400) < 8 * seconds(20)
+
+
+def test_draws_follow_the_exact_law():
+    n = 20_000
+    for discount in (0.1, 0.75, 0.95):
+        for c in (2, 8, 9, 40, 300):
+            ways, t = exact_ways(c, discount), np.arange(1, c + 1)
+            for weight in (0.02, 3.0, 500.0, 5_000.0):  # from 600 discounts on by logarithms
+                seats = table_counts.TableCounts(np.full(n, c), discount, c)
+                seats.draw(np.full(n, weight))
+                mass = np.exp((log := ways + np.log(weight) * t) - log.max())
+                share = np.bincount(seats.tables, minlength=c + 1)[1:].cumsum() / n
+                assert seats.tables.min() >= 1 and np.abs(share - mass.cumsum() / mass.sum()).max() < 0.016
+    rng = np.random.default_rng(7)  # all kinds at once
+    c, weight = rng.integers(2, 3_000, 2_000), 10 ** rng.uniform(-300, 5, 2_000)
+    seats = table_counts.TableCounts(c, 0.75, 1)
+    seats.begin(weight)
+    seats.draw(weight)
+    assert (seats.tables >= 1).all() and (seats.tables <= c).all() and (seats.tables[weight < 1e-12] == 1).all()
+
+
+def test_ratios_of_ways_and_what_lets_a_sum_end():
+    for discount in (0.1, 0.5, 0.8, 0.95):
+        ratio, later = table_counts.ratios(discount)
+        for c in (2, 3, 50, 1_000, table_counts.LISTED):
+            steps = ratio[2 : c + 1, c]
+            assert (ratio[c + 1 :, c] == 0).all()
+            for k in range(len(later)):
+                assert later[k, c] == ratio[8 * k + 1 :, c].max()
+            if c <= 1_000:
+                assert np.allclose(np.log(steps), np.diff(exact_ways(c, discount)[:c]), atol=1e-8)
+    assert table_counts.LISTED * table_counts.NOTHING <= 2.0**-53
+
+
+def test_words_and_keys_equal_plain_ones(spark, documents):  # noqa: F811
+    texts = ["A b\tC\x0bb ", "", None, " \n", "é\u2028Ä\x1cq\x85 É", "x\x00Y  x", "k" * 3_000, "\u00a0 İK"]
+    rows, _ = pitman_yor.blocks(documents(texts).coalesce(1), 4)
+    found = []
+    for row in rows.orderBy("block").collect():
+        tokens, hashes = array(row.tokens), array(row.hashes, "u8")
+        assert len(tokens) < 4 + 4 and hashes[0] == xxhash.xxh3_64_intdigest(b"")
+        for part in np.split(tokens, np.cumsum(array(row.lengths)))[:-1]:
+            found.append(hashes[part].tolist())
+    want = [[*(t or "").encode().lower().split(), b""] for t in texts]
+    assert found == [[xxhash.xxh3_64_intdigest(w) for w in line] for line in want]
+    rng = np.random.default_rng(3)
+    for keys in (rng.integers(0, 50, 1_000), rng.integers(0, 2**62, 1_000), np.zeros(0, np.int64), np.array([2**61, 0, 2**61])):
+        for mine, plain in zip(distinct(keys), np.unique(keys, return_inverse=True)):
+            assert mine.tolist() == plain.tolist()
+
+
 def test_coefficients_of_large_counts():
     for discount in (0.1, 0.5, 0.8, 0.95):
         t = np.arange(1, 401)

@@ -54,6 +54,25 @@ def ascending(x: np.ndarray) -> bytes:
     return packed(np.diff(x, prepend=0))
 
 
+def distinct(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, from 0 on, in rising order, and where each key is among them.
+
+    A key and its place are sorted as one number, if they fit in one: that is several times as fast as sorting places by key.
+    """
+    bits = len(key).bit_length()
+    if not len(key) or int(key.max()) >> (63 - bits):
+        return np.unique(key, return_inverse=True)
+    both = key << bits
+    both |= np.arange(len(key))
+    both.sort()
+    place = both & ((1 << bits) - 1)
+    both >>= bits
+    new = np.concatenate([[True], both[1:] != both[:-1]])
+    inverse = np.empty(len(key), np.int64)
+    inverse[place] = np.cumsum(new) - 1
+    return both[new], inverse
+
+
 def divided(key: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
     """(bucket, positions) of the keys, by bucket; positions keep their order."""
     bucket = (key % np.asarray(buckets, key.dtype)).astype(np.int64)

@@ -29,11 +29,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.exchange import array, ascending, divided, packed, per_group, per_row, stage_arrays
+from tidemark.llm.exchange import array, ascending, distinct, divided, packed, per_group, per_row, stage_arrays
 from tidemark.llm.registry import query, table
 from tidemark.llm.table_counts import TableCounts
 
@@ -58,37 +59,55 @@ def _route(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(40)).astype(np.int64)
 
 
+def _words(texts: pa.Array) -> pa.ListArray:
+    """The words of each text in lower case, and the end token."""
+    trimmed = pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    # What splits at the last space leaves an empty string behind it, as an empty text is one.
+    closed = pc.if_else(pc.equal(pc.binary_length(trimmed), 0), trimmed, pc.binary_join_element_wise(trimmed, "", " "))
+    return pc.ascii_split_whitespace(closed)
+
+
+def _each(words: pa.LargeBinaryArray) -> Iterator[bytes]:
+    _, ends, data = words.buffers()
+    ends = np.frombuffer(ends, np.int64)[words.offset : words.offset + len(words) + 1]
+    data = data.to_pybytes()
+    return (data[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()))
+
+
 def blocks(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> tuple[DataFrame, DataFrame]:
     """Blocks of tokens, numbered within each, with their words' hashes and training counts; and the blocks' doc_ids."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, int] = {END: 0}
-        ids, held, tokens, lengths = [], [], [], []
+        ids, held, lengths, tokens = [], [], [], []
         seen = 0
 
         def block() -> pa.RecordBatch:
-            words = list(known)
-            hashed = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-            line, length, out = np.concatenate(tokens), np.array(lengths), np.array(held, bool)
-            counts = np.bincount(line[np.repeat(~out, length)], minlength=len(words))
+            coded = pa.chunked_array([pa.array([END], pa.large_binary()), *tokens]).dictionary_encode().chunks
+            hashed = np.fromiter(map(xxhash.xxh3_64_intdigest, _each(coded[-1].dictionary)), np.uint64)
+            line = np.concatenate([c.indices.to_numpy() for c in coded[1:]])
+            out, length = np.concatenate(held), np.concatenate(lengths)
+            counts = np.bincount(line[np.repeat(~out, length)], minlength=len(hashed))
             routes = _route(hashed)
             row = [len(length), *map(packed, (out.astype(np.int64), length, line, hashed, routes, counts))]
-            return pa.record_batch([pa.array([ids], pa.list_(kind)), *(pa.array([v]) for v in row)], names=names)
+            every = pa.ListArray.from_arrays([0, len(length)], pa.concat_arrays(ids))
+            return pa.record_batch([every, *(pa.array([v]) for v in row)], names=names)
 
         for batch in batches:
-            for doc_id, text, out in zip(batch.column(0), batch.column(1), batch.column(2)):
-                words = (text.as_buffer().to_pybytes() if text.is_valid else b"").lower().split()
-                line = [known.setdefault(w, len(known)) for w in words]
-                line.append(0)
-                ids.append(doc_id)
-                held.append(out.as_py())
-                tokens.append(np.array(line, np.int32))
-                lengths.append(len(line))
-                seen += len(line)
+            words = _words(batch.column(1))
+            ends = words.offsets.to_numpy()
+            first = 0
+            while first < batch.num_rows:
+                last = min(int(np.searchsorted(ends, ends[first] + block_tokens - seen)), batch.num_rows)
+                ids.append(batch.column(0)[first:last].cast(kind))
+                held.append(batch.column(2)[first:last].to_numpy(zero_copy_only=False))
+                lengths.append(np.diff(ends[first : last + 1]))
+                tokens.append(words.values[ends[first] : ends[last]].cast(pa.large_binary()))
+                seen += int(ends[last] - ends[first])
                 if seen >= block_tokens:
                     yield block()
-                    known, seen = {END: 0}, 0
-                    ids, held, tokens, lengths = [], [], [], []
+                    seen = 0
+                    ids, held, lengths, tokens = [], [], [], []
+                first = last
         if ids:
             yield block()
 
@@ -173,11 +192,14 @@ def sampled_tables(
     """
     several = np.flatnonzero(c > 1)
     tables = np.minimum(c, 1)
-    at, own, count = context[several], parent[several], len(spread)
+    own, alone = parent[several], np.bincount(context, tables, len(spread))
+    shared, at = distinct(context[several])  # only these contexts have weights to be drawn
+    alone, spread = (alone - np.bincount(context[several], minlength=len(spread)))[shared], spread[shared]
+    elsewhere = None if elsewhere is None else elsewhere[shared]
     random = np.random.default_rng([seed, 1])
 
     def weight() -> np.ndarray:
-        total = np.bincount(context, tables, count)
+        total = alone + np.bincount(at, seated.tables, len(shared))
         total = total * spread if elsewhere is None else total + elsewhere
         return discount * random.gamma(concentration / discount + total)[at] * own
 
@@ -185,7 +207,6 @@ def sampled_tables(
     seated.begin(weight())
     out = []
     for n in range(1, BURN_IN + BETWEEN * (samples - 1) + 1):
-        tables[several] = seated.tables
         seated.draw(weight())
         if n >= BURN_IN and (n - BURN_IN) % BETWEEN == 0:
             now = tables.copy()
@@ -251,7 +272,7 @@ def _pairs(row: dict, answers: list[dict], buckets: int) -> tuple:
     tokens, lengths = place[array(row["tokens"])], array(row["lengths"])
     contexts = np.concatenate([place[:1], tokens[:-1]])
     contexts[np.cumsum(lengths)[:-1]] = place[0]  # the end token, the first word of every block
-    key, which = np.unique(contexts * len(order) + tokens, return_inverse=True)
+    key, which = distinct(contexts * len(order) + tokens)
     train = np.repeat(~array(row["held"], bool), lengths)
     seen = np.bincount(which[train], minlength=len(key))
     return numbers, counts, order[key // len(order)], order[key % len(order)], which, seen
@@ -321,13 +342,11 @@ def scored(
         context, word, c_context, c_word, seen = (
             np.concatenate([array(r[c]) for r in group]) for c in ("context", "word", "c_context", "c_word", "seen")
         )
-        order = np.lexsort((word, context))
-        a, b = context[order], word[order]
-        new = np.concatenate([[True], (np.diff(a) != 0) | (np.diff(b) != 0)])
-        place = np.empty(len(order), np.int64)
-        place[order] = np.cumsum(new) - 1
+        left, (words, right) = distinct(context)[1], distinct(word)
+        key, place = distinct(left * len(words) + right)
         total = np.bincount(place, seen).astype(np.int64)
-        first = order[new]
+        one = np.empty(len(key), np.int64)
+        one[place] = np.arange(len(place))  # counts of a word are the same in all blocks
         real = total > 0
         rank, there = np.cumsum(real)[place], real[place]  # the pair's place among those of training documents, from 1
         at = 0
@@ -335,8 +354,8 @@ def scored(
             n = len(array(row["seen"], "u1"))
             yield bucket, row["block"], ascending(rank[at : at + n]), packed(there[at : at + n].astype(np.int64)), *[None] * 5, 0, 0
             at += n
-        first = first[real]
-        values = (context[first], word[first], c_context[first], c_word[first], total[real])
+        one = one[real]
+        values = (context[one], word[one], c_context[one], c_word[one], total[real])
         yield bucket, None, None, None, *map(packed, values), int((total == 1).sum()), int((total == 2).sum())
 
     schema = "bucket bigint, block bigint, position binary, there binary, context binary, word binary, c_context binary, c_word binary, c binary, once bigint, twice bigint"
@@ -348,7 +367,7 @@ def scored(
     def seat(row: dict, parent: np.ndarray, dishes: np.ndarray, dish: np.ndarray, samples: int, seed: int, elsewhere=None):
         """Tables by pair, and their sums by word (as dish) and by context, for each sample."""
         context, c, c_context = (array(row[n]) for n in ("context", "c", "c_context"))
-        every, at = np.unique(context, return_inverse=True)
+        every, at = distinct(context)
         hot = np.zeros(len(every), np.int64)
         hot[at] = c_context
         spread = np.where(hot > HOT_SHARE * tokens / pair_buckets, pair_buckets, 1)
@@ -369,7 +388,7 @@ def scored(
     def first_round(row: dict):
         if row["c"] is None:
             return
-        dishes, dish = np.unique(array(row["word"]), return_inverse=True)
+        dishes, dish = distinct(array(row["word"]))
         parent = np.zeros(len(dishes))
         parent[dish] = _fine(array(row["c_word"])) / tokens
         _, every, as_dish, as_context = seat(row, parent, dishes, dish, 1, 1_000_003)
@@ -381,7 +400,7 @@ def scored(
     # --- last round: seatings under the sampled parent
     def last_round(bucket: int, group: list[dict]):
         row = next(r for r in group if r["c"] is not None)
-        dishes, dish = np.unique(array(row["word"]), return_inverse=True)
+        dishes, dish = distinct(array(row["word"]))
         numbers, values, others = [np.zeros(0, np.int64)], [np.zeros(0)], [np.zeros(0, np.int64)]
         for r in group:
             if r["c"] is None:
@@ -479,7 +498,7 @@ def _parents(sent: DataFrame, buckets: int, samples: int, known: int, asking: Da
 
     def sums(rows: list[dict]):
         numbers = np.concatenate([np.cumsum(array(r["numbers"])) for r in rows])
-        every, place = np.unique(numbers, return_inverse=True)
+        every, place = distinct(numbers)
         parts = lambda c: np.concatenate([array(r[c]).reshape(samples, -1) for r in rows], axis=1)
         add = lambda v: np.stack([np.bincount(place, s, len(every)).astype(np.int64) for s in v])
         return every, add(parts("dish")), add(parts("context"))

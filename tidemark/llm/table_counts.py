@@ -5,7 +5,8 @@ the weight of a new table and S counts the seatings of c customers at t tables,
 So one draw takes all customers of the dish from their tables and seats them anew, which one customer after the other would
 do only after many rounds of the dish.
 
-For up to ``LISTED`` customers S is listed and the draw is exact. For more, S is an integral: d**t * S(c, t) * t! / c! is the
+For up to ``LISTED`` customers the ratios of S are listed and the draw is exact: terms are added up for all dishes at once, t by t,
+until those that are left no longer change a sum. For more, S is an integral: d**t * S(c, t) * t! / c! is the
 coefficient of z**c in (1 - (1-z)**d)**t, taken along a curve through the saddle point, and t takes ``STEPS`` Metropolis steps;
 its cost does not grow with c.
 """
@@ -22,26 +23,33 @@ STEPS = 4
 NODES, REACH = 64, 4.0
 #: Numbers held at once.
 CELLS = 2_000_000
+#: Weights up to this, times the discount, keep sums within the range of doubles. ``LISTED`` terms of this share of a sum leave it as it is.
+PLAIN, NOTHING = 600.0, 2.0**-64
 
 
 @lru_cache(maxsize=2)
-def listed(discount: float) -> np.ndarray:
-    """log S(c, t) for c and t up to ``LISTED``."""
-    out = np.full((LISTED + 1, LISTED + 1), -np.inf)
-    out[1, 1] = 0
-    t = np.arange(LISTED + 1)
+def ratios(discount: float) -> tuple[np.ndarray, np.ndarray]:
+    """S(c, t) / S(c, t - 1) in row t and column c, for 2 <= t <= c <= ``LISTED``, zero beyond; the largest beyond row 8 k in row k.
+
+    From S(c + 1, t) = S(c, t - 1) + (c - d t) S(c, t), divided by S(c, t - 1): only sums and quotients of positive numbers.
+    """
+    out = np.zeros((LISTED + 1, LISTED + 1))
+    row, t = np.zeros(LISTED + 2), np.arange(LISTED + 2)  # of one c, by t
     for c in range(1, LISTED):
-        with np.errstate(divide="ignore"):
-            stay = out[c] + np.log(np.maximum(c - discount * t, 0))
-        out[c + 1] = np.logaddexp(stay, np.concatenate([[-np.inf], out[c, :-1]]))
-        out[c + 1, c + 2 :] = -np.inf
-    return out
+        part = t[2 : c + 2]
+        above = 1 + (c - discount * part) * row[2 : c + 2]
+        below = c - discount * (part - 1)
+        below[1:] += 1 / row[2 : c + 1]
+        row[2 : c + 2] = above / below
+        out[2 : c + 2, c + 1] = row[2 : c + 2]
+    largest = np.maximum.reduceat(out, np.arange(1, LISTED + 1, 8), axis=0)
+    return out, np.maximum.accumulate(largest[::-1], axis=0)[::-1]
 
 
 def _solved(rising, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """Where a rising function of each row crosses zero, between two positive bounds."""
     low, high = np.log(low), np.log(high)
-    for _ in range(60):
+    for _ in range(40):
         middle = (low + high) / 2
         over = rising(np.exp(middle)) > 0
         low, high = np.where(over, low, middle), np.where(over, middle, high)
@@ -91,17 +99,68 @@ def _log_coefficient(c: np.ndarray, t: np.ndarray, d: float) -> np.ndarray:
     return np.where(alone, c * np.log(d), top + np.log(total))
 
 
+def _drawn_plainly(c: np.ndarray, m: np.ndarray, drawn: np.ndarray, discount: float) -> np.ndarray:
+    """t in proportion to m**t * S(c, t), at the share ``drawn`` of the sum of all t; c never rises.
+
+    Terms are taken relative to the first. Once one is below ``NOTHING`` of the sum and no later one rises above the one before it,
+    all that are left are together below half a unit in the sum's last place. A sum is at most exp(m / d) * c! / (m * S(c, 1)).
+    """
+    ratio, later = ratios(discount)
+    total = np.ones(len(c))
+    rows, cs, ms, term, add = slice(None), c, m, np.ones(len(c)), np.ones(len(c))
+    t = 1
+    while n := len(cs) - int(np.searchsorted(cs[::-1], t + 1)):
+        t += 1
+        term[:n] *= ms[:n]
+        term[:n] *= ratio[t].take(cs[:n])
+        add[:n] += term[:n]
+        if t % 8 == 0:
+            total[rows] = add
+            on = np.flatnonzero((term[:n] > NOTHING * add[:n]) | (ms[:n] * later[t // 8].take(cs[:n]) > 1))
+            rows, cs, ms, term, add = (on if t == 8 else rows[on]), cs[on], ms[on], term[on], add[on]
+    total[rows] = add
+    goal = np.minimum(drawn * total, np.nextafter(total, 0))
+    out = np.ones(len(c), np.int64)
+    rows = np.flatnonzero(goal >= 1)
+    out[rows] = 2
+    cs, ms, goal, term, add = c[rows], m[rows], goal[rows], np.ones(len(rows)), np.ones(len(rows))
+    t = 1
+    while len(rows):  # the same sums again, so each passes its goal
+        t += 1
+        term *= ms
+        term *= ratio[t].take(cs)
+        add += term
+        below = add <= goal
+        out[rows] += below
+        if 4 * np.count_nonzero(below) <= 3 * len(rows):
+            on = np.flatnonzero(below)
+            rows, cs, ms, goal, term, add = rows[on], cs[on], ms[on], goal[on], term[on], add[on]
+    return out
+
+
+def _drawn_by_logs(c: np.ndarray, m: np.ndarray, drawn: np.ndarray, discount: float) -> np.ndarray:
+    """The same for weights whose sums exceed the range of doubles."""
+    ratio = ratios(discount)[0]
+    out = np.empty(len(c), np.int64)
+    edges = [*np.flatnonzero(np.diff(c, prepend=-1)).tolist(), len(c)]
+    for first, stop in zip(edges, edges[1:]):
+        customers = int(c[first])
+        ways = np.concatenate([[0.0], np.cumsum(np.log(ratio[2 : customers + 1, customers]))])
+        for at in range(first, stop, max(1, CELLS // customers)):
+            rows = slice(at, min(stop, at + max(1, CELLS // customers)))
+            mass = ways + np.log(m[rows])[:, None] * np.arange(customers)
+            mass = np.exp(mass - mass.max(axis=1, keepdims=True)).cumsum(axis=1)
+            out[rows] = 1 + (mass[:, :-1] <= (drawn[rows] * mass[:, -1])[:, None]).sum(axis=1)
+    return out
+
+
 class TableCounts:
     """Numbers of tables of dishes with ``c`` customers each, two or more."""
 
     def __init__(self, c: np.ndarray, discount: float, seed: int) -> None:
         self.c, self.discount, self.random = c, discount, np.random.default_rng(seed)
-        self.order = np.argsort(c, kind="stable")
-        ordered = c[self.order]
-        self.few = int(np.searchsorted(ordered, LISTED, "right"))
-        edges = np.flatnonzero(np.diff(ordered[: self.few], prepend=-1))
-        self.groups = list(zip(edges.tolist(), [*edges[1:].tolist(), self.few]))
-        self.many = self.order[self.few :]
+        order = np.argsort(-c, kind="stable")
+        self.many, self.few = np.split(order, [int((c > LISTED).sum())])
         self.tables = np.ones(len(c), np.int64)
         self.held: np.ndarray | None = None  # of the many: log t! S(c, t) d**t / c!, for their t
 
@@ -118,18 +177,15 @@ class TableCounts:
             self._many(weight[self.many])
 
     def _few(self, weight: np.ndarray) -> None:
-        ways = listed(self.discount)
-        with np.errstate(divide="ignore"):
-            logs = np.log(weight)
-        for first, stop in self.groups:
-            c = int(self.c[self.order[first]])
-            t = np.arange(1, c + 1)
-            for at in range(first, stop, max(1, CELLS // c)):
-                rows = self.order[at : min(stop, at + max(1, CELLS // c))]
-                mass = ways[c, 1 : c + 1] + np.maximum(logs[rows], -700.0)[:, None] * t
-                mass = np.exp(mass - mass.max(axis=1, keepdims=True)).cumsum(axis=1)
-                drawn = self.random.random(len(rows)) * mass[:, -1]
-                self.tables[rows] = 1 + (mass[:, :-1] <= drawn[:, None]).sum(axis=1)
+        c, m = self.c[self.few], weight[self.few]
+        drawn = self.random.random(len(c))
+        large = m > PLAIN * self.discount
+        if large.any():
+            self.tables[self.few[large]] = _drawn_by_logs(c[large], m[large], drawn[large], self.discount)
+            plain = ~large
+            self.tables[self.few[plain]] = _drawn_plainly(c[plain], m[plain], drawn[plain], self.discount)
+        else:
+            self.tables[self.few] = _drawn_plainly(c, m, drawn, self.discount)
 
     def _expected(self, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """About the mean and the deviation of t: a Poisson number of tables whose sizes add up to c."""
